@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from runnel.llm.chat_format import OP3_SQL, op3_chat_format
 from runnel.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from runnel.llm.packing import op10_pack
 from runnel.llm.source_mix import OP6_SQL, op6_source_mix
+from runnel.llm.token_files import op9_token_files
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_chat_format": op3_chat_format,
     "op6_source_mix": op6_source_mix,
+    "op9_token_files": op9_token_files,
+    "op10_pack": op10_pack,
 }
 
 ORACLES = {
