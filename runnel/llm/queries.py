@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from runnel.llm.ann_search import op7_ann_search
 from runnel.llm.chat_format import OP3_SQL, op3_chat_format
 from runnel.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from runnel.llm.packing import op10_pack
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_chat_format": op3_chat_format,
     "op6_source_mix": op6_source_mix,
+    "op7_ann_search": op7_ann_search,
     "op9_token_files": op9_token_files,
     "op10_pack": op10_pack,
 }
