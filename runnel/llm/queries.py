@@ -5,6 +5,7 @@ from __future__ import annotations
 from runnel.llm.ann_search import op7_ann_search
 from runnel.llm.chat_format import OP3_SQL, op3_chat_format
 from runnel.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from runnel.llm.language_id import op4_language_id
 from runnel.llm.near_dedup import op8_near_dedup
 from runnel.llm.packing import op10_pack
 from runnel.llm.source_mix import OP6_SQL, op6_source_mix
@@ -13,6 +14,7 @@ from runnel.llm.token_files import op9_token_files
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_chat_format": op3_chat_format,
+    "op4_language_id": op4_language_id,
     "op6_source_mix": op6_source_mix,
     "op7_ann_search": op7_ann_search,
     "op8_near_dedup": op8_near_dedup,
