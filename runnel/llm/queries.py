@@ -5,6 +5,7 @@ from __future__ import annotations
 from runnel.llm.ann_search import op7_ann_search
 from runnel.llm.chat_format import OP3_SQL, op3_chat_format
 from runnel.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from runnel.llm.html_extract import op5_html_extract
 from runnel.llm.language_id import op4_language_id
 from runnel.llm.near_dedup import op8_near_dedup
 from runnel.llm.packing import op10_pack
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_language_id": op4_language_id,
+    "op5_html_extract": op5_html_extract,
     "op6_source_mix": op6_source_mix,
     "op7_ann_search": op7_ann_search,
     "op8_near_dedup": op8_near_dedup,
