@@ -207,42 +207,72 @@ def fit(labelled: DataFrame) -> Model | None:
     return train(samples) if samples else None
 
 
+def _label(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the batch's texts: predicted language, score, and of their words: language and the bounds of the texts."""
+    names = np.array(model.languages, object)
+    data, offsets = utf8(batch["text"])
+    all_words, bounds = words(data, offsets)
+    coded = all_words.dictionary_encode()
+    features, begins, _ = word_features(coded.dictionary, model.lexicon)
+    letter = pc.match_substring_regex(coded.dictionary, r"\p{L}").to_numpy(zero_copy_only=False)
+    scores = _scores(model.weights, features, begins)
+    scores[~letter] = 0
+    code = coded.indices.to_numpy()
+    p = marginals(scores[code], bounds, model.transitions)
+    counted = letter[code].astype(np.float64)
+    upto = np.vstack([np.zeros((1, len(names))), np.cumsum(p * counted[:, None], axis=0, dtype=np.float64)])
+    n = np.r_[0, np.cumsum(counted)]
+    mass = upto[bounds[1:]] - upto[bounds[:-1]]
+    n = n[bounds[1:]] - n[bounds[:-1]]
+    best = mass.argmax(axis=1)
+    score = np.where(n > 0, mass[np.arange(len(best)), best] / np.maximum(n, 1), 0.0)
+    of_words = p.argmax(axis=1) if len(p) else np.zeros(0, int)
+    return np.where(n > 0, names[best], UNKNOWN), np.clip(score, 0, 1), of_words, bounds
+
+
+def _runs(model: Model, of_words: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    out = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        cut = a + np.flatnonzero(np.r_[True, np.diff(of_words[a:b]) != 0])[: b - a]
+        stop = np.r_[cut[1:], b] if len(cut) else cut
+        out.append([{"first": int(i - a), "words": int(j - i), "lang": model.languages[of_words[i]]} for i, j in zip(cut, stop, strict=True)])
+    return pa.array(out, pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("lang", pa.string())])))
+
+
 def _predict(shared, spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        names = np.array(model.languages, object)
         for batch in pieces(batches, most_bytes=16 << 20):
-            data, offsets = utf8(batch["text"])
-            all_words, bounds = words(data, offsets)
-            coded = all_words.dictionary_encode()
-            features, begins, _ = word_features(coded.dictionary, model.lexicon)
-            letter = pc.match_substring_regex(coded.dictionary, r"\p{L}").to_numpy(zero_copy_only=False)
-            scores = _scores(model.weights, features, begins)
-            scores[~letter] = 0
-            code = coded.indices.to_numpy()
-            p = marginals(scores[code], bounds, model.transitions)
-            counted = letter[code].astype(np.float64)
-            upto = np.vstack([np.zeros((1, len(names))), np.cumsum(p * counted[:, None], axis=0, dtype=np.float64)])
-            n = np.r_[0, np.cumsum(counted)]
-            mass = upto[bounds[1:]] - upto[bounds[:-1]]
-            n = n[bounds[1:]] - n[bounds[:-1]]
-            best = mass.argmax(axis=1)
-            score = np.where(n > 0, mass[np.arange(len(best)), best] / np.maximum(n, 1), 0.0)
-            pred = np.where(n > 0, names[best], UNKNOWN)
-            columns = [batch["doc_id"], pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1))]
+            pred, score, of_words, bounds = _label(model, batch)
+            columns = [batch["doc_id"], pa.array(pred, pa.string()), pa.array(score)]
             if spans:
-                word_best = p.argmax(axis=1) if len(p) else np.zeros(0, int)
-                out = []
-                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    cut = a + np.flatnonzero(np.r_[True, np.diff(word_best[a:b]) != 0])[: b - a]
-                    stop = np.r_[cut[1:], b] if len(cut) else cut
-                    out.append([{"first": int(i - a), "words": int(j - i), "lang": names[word_best[i]]} for i, j in zip(cut, stop, strict=True)])
-                columns.append(pa.array(out, pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))))
+                columns.append(_runs(model, of_words, bounds))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "spans"][: len(columns)])
 
     return run
 
 
+#: A document whose best language has less than this share of its words is rejected.
+LEAST_SCORE = 0.4
+
+
+def keep_identified(documents: DataFrame, model: Model | None, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The documents whose language is found with ``least_score`` or more, all columns as they are, without a shuffle.
+
+    Without a model nothing can be judged and all stay.
+    """
+    if model is None:
+        return documents
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, most_bytes=16 << 20):
+            pred, score, _, _ = _label(shared.value, batch)
+            yield batch.filter(pa.array((pred != UNKNOWN) & (score >= least_score)))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def identify(documents: DataFrame, model: Model | None, spans: bool = False) -> DataFrame:
     """doc_id, lang_pred, score of every whole text; with ``spans`` also its runs of words of one language.
 

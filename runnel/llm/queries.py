@@ -10,10 +10,12 @@ from runnel.llm.language_id import op4_language_id
 from runnel.llm.near_dedup import op8_near_dedup
 from runnel.llm.packing import op10_pack
 from runnel.llm.source_mix import OP6_SQL, op6_source_mix
+from runnel.llm.substring_dedup import op2_substring_dedup
 from runnel.llm.token_files import op9_token_files
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_language_id": op4_language_id,
     "op5_html_extract": op5_html_extract,

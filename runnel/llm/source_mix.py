@@ -145,6 +145,14 @@ def mix_sources(
     )
 
 
+def mixed_documents(documents: DataFrame, **how) -> DataFrame:
+    """The mix itself: every document as often as it has copies, with all its columns. Rows of a doc_id go together."""
+    copies = mix_sources(documents, **how).groupBy("doc_id").agg(F.max("copies").alias("_copies")).filter("_copies > 0")
+    copies = copies.withColumnRenamed("doc_id", "_doc_id")
+    joined = documents.join(copies, F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(documents.columns)
+
+
 def op6_source_mix(spark, sf_dir: str) -> DataFrame:
     mixed = mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
