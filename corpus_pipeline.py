@@ -1,10 +1,61 @@
-"""A corpus pipeline of the training-data operators."""
+"""A corpus pipeline of the training-data operators: language, copies, near copies, source mix, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept; all but the last return the
+columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from runnel.llm import exact_dedup, language_id, near_dedup
+from runnel.llm.packing import pack_documents
+from runnel.llm.source_mix import mixed_documents
+from runnel.llm.storage import materialize
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or in no language for 40 % of their words, go."""
+    model = language_id.fit(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    return language_id.keep_identified(docs, model)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the largest doc_id stays."""
+    return exact_dedup.survivors(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the smallest doc_id stays."""
+    return near_dedup.survivors(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents come as often as their source's target weight takes them."""
+    return mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences of 1024 tokens."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("source_mix", mix),
+    ("pack", pack),
+]
+
+#: The random field and the packing are not expressible in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
