@@ -264,7 +264,7 @@ def network(lines: DataFrame, prefix: str, digits: int = 3) -> tuple[DataFrame,
     Each part of a line with two points or more is an edge; its ends, rounded to ``digits``, are nodes, named in the
     order of (x, y). Parallel edges and loops are kept, with ``key`` counting the edges of a pair.
     """
-    part = lines.select("*", F.posexplode("parts").alias("n", "part")).filter(F.size("part") >= 2)
+    part = lines.select("*", F.posexplode("parts").alias("_n", "part")).filter(F.size("part") >= 2)
 
     def end(i: int, axis: str):
         return F.rint(F.element_at("part", i)[axis] * 10.0**digits) / 10.0**digits
@@ -275,9 +275,9 @@ def network(lines: DataFrame, prefix: str, digits: int = 3) -> tuple[DataFrame,
     a = nodes.select(F.col("node_id").alias("src"), F.col("x").alias("x0"), F.col("y").alias("y0"))
     b = nodes.select(F.col("node_id").alias("dst"), F.col("x").alias("x1"), F.col("y").alias("y1"))
     edges = ends.join(a, ["x0", "y0"]).join(b, ["x1", "y1"])
-    edges = edges.withColumn("edge_id", F.when(F.size("parts") > 1, F.concat("id", F.lit("_"), F.col("n") + 1)).otherwise(F.col("id")))
+    edges = edges.withColumn("edge_id", F.when(F.size("parts") > 1, F.concat("id", F.lit("_"), F.col("_n") + 1)).otherwise(F.col("id")))
     edges = edges.withColumn("key", F.row_number().over(W.partitionBy("src", "dst").orderBy("edge_id")) - 1)
-    return nodes, edges.drop("x0", "y0", "x1", "y1", "n", "parts")
+    return nodes, edges.drop("x0", "y0", "x1", "y1", "_n", "parts")
 
 
 def relabel(rows: DataFrame, order: list[str], prefix: str, name: str) -> DataFrame:

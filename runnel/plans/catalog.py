@@ -1,8 +1,8 @@
-"""All registered queries of the model and their SQL."""
+"""All registered queries of the model and their SQL. Importing a module of queries registers them."""
 
 from __future__ import annotations
 
-from runnel.plans import relational
+from runnel.plans import gridded, relational
 
-QUERIES = {**relational.QUERIES}
-ORACLES = {**relational.ORACLES}
+QUERIES, ORACLES = relational.QUERIES, relational.ORACLES
+assert gridded.CHANNEL_CELLS
