@@ -7,11 +7,13 @@
    set, added up before the shuffle.
 3. A band bucket's smallest document leads it. Pairs of a document and a leader that pass the odd sketch are checked
    on full sets, for each document the most similar leader first, then the other pairs whose ends are still apart.
-4. In buckets that still hold several components, pairs across components that pass the sketch are checked too: the
-   best for each document and component first, then all that are still apart. Large buckets are dealt in blocks.
+4. In buckets that still hold several components, the pairs across components that pass the sketch are found, and of
+   them only a spanning forest is kept. Documents that hang together by it are one suspect group.
+5. The full sets of a suspect group meet in blocks, where all pairs across components are compared exactly; of the
+   links a block keeps those that join components. Large buckets and large groups are dealt in blocks.
 
-So every pair that shares a band and passes the sketch is either checked or joins two documents that are already
-connected, without pairs inside a group of copies. A pair of similarity 0.75 shares no band with probability 5e-6
+So every pair that shares a band and passes the sketch is either compared on full sets or joins two documents that are
+already connected, while rows stay linear in the size of a group. A pair of similarity 0.75 shares no band with probability 5e-6
 and is five standard errors above the sketch's threshold.
 """
 
@@ -21,6 +23,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +36,8 @@ SAMPLES, ROWS, BITS = 128, 4, 512
 WORDS = BITS // 64
 #: Documents are linked from 75 % on; the sketch passes from this estimate on.
 SHARE, PASS = 75, 0.54
-#: Documents of a bucket that meet in one task at most; larger buckets are dealt in blocks of so many.
-BLOCK = 2000
+#: Documents of a bucket, and shingles of a suspect group, in a block; two blocks meet in a task.
+BLOCK, BLOCK_SHINGLES = 2000, 500_000
 
 SIGNATURES = "doc_id long, n_shingles long, s1 long, s2 long, sketch array<long>, bands array<long>"
 _SIGNATURES_ARROW = pa.schema(
@@ -134,54 +137,88 @@ def _popcounts(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def _across(best: bool):
-    """Pairs of a cell across components that pass; with ``best`` one for each document and component."""
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _forest(table: pa.Table) -> pa.Table:
+    """A spanning forest of the pairs of a cell that are in different components and pass the sketch."""
     most = int((1 - np.exp((PASS - 1) * 4 * SAMPLES / BITS)) * BITS / 2)
+    ci, cj = table["ci"][0].as_py(), table["cj"][0].as_py()
+    ids, comp, n = (table[c].to_numpy() for c in ("id", "component", "n_shingles"))
+    block, sketch = table["block"].to_numpy(), np.array(table["sketch"].to_pylist(), np.int64).reshape(-1, WORDS)
+    ok = np.zeros((len(ids), len(ids)), bool)
+    for i in range(0, len(ids), 256):
+        r = slice(i, i + 256)
+        small, large = np.minimum(n[r, None], n[None]), np.maximum(n[r, None], n[None])
+        ok[r] = (comp[r, None] != comp[None]) & (100 * small >= SHARE * large) & (_popcounts(sketch[r], sketch) <= most)
+        if ci != cj:
+            ok[r] &= block[r, None] != block[None]
+    left = ok.any(axis=1)
+    out = []
+    while left.any():
+        front = np.flatnonzero(left)[:1]
+        left[front] = False
+        while len(front):
+            step = ok[front] & left
+            new = np.flatnonzero(step.any(axis=0))
+            out.append(np.stack([ids[front[step[:, new].argmax(axis=0)]], ids[new]]))
+            left[new] = False
+            front = new
+    pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    return pa.table([pa.array(pairs.min(axis=0)), pa.array(pairs.max(axis=0))], schema=_PAIRS)
+
+
+def _exact(table: pa.Table) -> pa.Table:
+    """Links on full sets between the two blocks of a cell, as far as they join components."""
+    ids, label, block = (table[c].to_numpy().copy() for c in ("id", "component", "block"))
+    lists = table["shingles"].combine_chunks()
+    bounds = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())]
+    distinct, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    size = np.diff(bounds)
+    rows = np.flatnonzero(block == table["ci"][0].as_py())
+    others = np.flatnonzero(block == table["cj"][0].as_py())
+    begin = np.cumsum(size[others]) - size[others]
+    flat = np.concatenate([code[bounds[j] : bounds[j + 1]] for j in others]) if len(others) else code[:0]
+    mark, out = np.zeros(len(distinct), bool), []
+    for i in rows:
+        apart = label[others] != label[i]
+        if not apart.any():
+            continue
+        mine = code[bounds[i] : bounds[i + 1]]
+        mark[mine] = True
+        common = np.add.reduceat(mark[flat], begin, dtype=np.int64)
+        mark[mine] = False
+        for j in others[apart & (100 * common >= SHARE * (size[i] + size[others] - common))]:
+            if label[i] != label[j]:
+                out.append((ids[i], ids[j]))
+                label[label == label[j]] = label[i]
+    pairs = np.array(out, np.int64).reshape(-1, 2)
+    return pa.table([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))] if len(pairs) else [[], []], schema=_PAIRS)
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows dealt to the pairs of blocks (ci, cj) of their key; ``blocks`` says how many the key has."""
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn("other", other)
+    return rows.withColumn("ci", F.least("block", "other")).withColumn("cj", F.greatest("block", "other"))
 
-    def run(table: pa.Table) -> pa.Table:
-        first = table["ci"][0].as_py() == table["cj"][0].as_py()
-        ids, comp, n = (table[c].to_numpy() for c in ("id", "component", "n_shingles"))
-        block, sketch = table["block"].to_numpy(), np.array(table["sketch"].to_pylist(), np.int64).reshape(-1, WORDS)
-        i_of = np.flatnonzero(block == table["ci"][0].as_py())
-        j_of = i_of if first else np.flatnonzero(block == table["cj"][0].as_py())
-        j_of = j_of[np.argsort(comp[j_of], kind="stable")]
-        heads = np.flatnonzero(np.r_[True, np.diff(comp[j_of]) != 0]) if len(j_of) else np.zeros(0, int)
-        out_a, out_b = [], []
-        for at in range(0, len(i_of), 256):
-            rows = i_of[at : at + 256]
-            z = _popcounts(sketch[rows], sketch[j_of]).astype(np.int32)
-            ok = (z <= most) & (comp[rows][:, None] != comp[j_of][None])
-            small, large = np.minimum(n[rows][:, None], n[j_of][None]), np.maximum(n[rows][:, None], n[j_of][None])
-            ok &= 100 * small >= SHARE * large
-            if best and len(heads):
-                z[~ok] = BITS + 1
-                z = z * len(j_of) + np.arange(len(j_of))
-                least = np.minimum.reduceat(z, heads, axis=1)
-                r, c = np.nonzero(least < (BITS + 1) * len(j_of))
-                a, b = ids[rows[r]], ids[j_of[least[r, c] % len(j_of)]]
-            else:
-                r, c = np.nonzero(ok)
-                a, b = ids[rows[r]], ids[j_of[c]]
-            out_a.append(np.minimum(a, b))
-            out_b.append(np.maximum(a, b))
-        if not out_a:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        pairs = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=1)
-        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
-
-    return run
-
-
-def pairs_across(members: DataFrame, reps: DataFrame, comps: DataFrame, best: bool) -> DataFrame:
-    """Pairs (a, b) in a common bucket, of different components, that pass the sketch."""
+
+def suspects(members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
+    """Forest pairs (a, b) of the buckets that hold several components."""
     at = members.join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     open_keys = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("m"))
     open_keys = open_keys.filter("x <> y").select("key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    rows = at.join(open_keys, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    cells = rows.withColumn("other", other).join(reps.select("id", "n_shingles", "sketch"), "id")
-    cells = cells.withColumn("ci", F.least("block", "other")).withColumn("cj", F.greatest("block", "other"))
-    return cells.groupBy("key", "ci", "cj").applyInArrow(_across(best), "a long, b long").distinct()
+    cells = _cells(at.join(open_keys, "key")).join(reps.select("id", "n_shingles", "sketch"), "id")
+    return cells.groupBy("key", "ci", "cj").applyInArrow(_forest, "a long, b long").distinct()
+
+
+def links_across(groups: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
+    """Links (a, b) that join components within the suspect groups (id, component as group)."""
+    rows = groups.select("id", F.col("component").alias("suspect")).join(sets, "id").join(comps, "id", "left")
+    rows = rows.select("suspect", "id", "shingles", F.coalesce("component", "id").alias("component"))
+    size = sets.select("id", F.size("shingles").alias("n")).join(groups, "id").groupBy(F.col("component").alias("suspect"))
+    size = size.agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    return _cells(rows.join(size, "suspect")).groupBy("suspect", "ci", "cj").applyInArrow(_exact, "a long, b long")
 
 
 def near_dedup(documents: DataFrame) -> DataFrame:
@@ -214,33 +251,22 @@ def near_dedup(documents: DataFrame) -> DataFrame:
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = materialize(documents.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "sets")
 
-    tested = star.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
-    tested = materialize(tested, "tested")
-    edges = materialize(check_pairs(tested, sets), "links")
+    first = star.groupBy("b").agg(F.max_by("a", F.struct("est", -F.col("a"))).alias("a")).select("a", "b")
+    edges = materialize(check_pairs(first, sets), "links")
     comps = components(edges)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        for v in ("a", "b"):
-            pairs = pairs.join(comps.select(F.col("id").alias(v), F.col("component").alias(f"c{v}")), v, "left")
-        return pairs.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-    def more(pairs: DataFrame) -> bool:
-        """Check the pairs that are new and apart; True if links were found."""
-        nonlocal tested, edges, comps
-        new = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty():
-            return False
-        tested = tested.unionByName(new)
-        found = materialize(check_pairs(new, sets), "links")
-        if found.isEmpty():
-            return False
+    rest = star.select("a", "b")
+    for v in ("a", "b"):
+        rest = rest.join(comps.select(F.col("id").alias(v), F.col("component").alias(f"c{v}")), v, "left")
+    rest = rest.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b").join(first, ["a", "b"], "left_anti")
+    found = materialize(check_pairs(rest, sets), "links")
+    if not found.isEmpty():
         edges = edges.unionByName(found)
         comps = components(edges)
-        return True
-
-    more(apart(star.select("a", "b")))
-    more(pairs_across(members, reps, comps, best=True))
-    more(pairs_across(members, reps, comps, best=False))
+    forest = materialize(suspects(members, reps, comps), "suspects")
+    if not forest.isEmpty():
+        found = materialize(links_across(components(forest), sets, comps), "links")
+        if not found.isEmpty():
+            comps = components(edges.unionByName(found))
 
     linked = classes.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
     linked = linked.select("c", F.coalesce("component", "rep").alias("component"), "size", "rep").filter("size > 1 or component <> rep")
