@@ -219,11 +219,10 @@ def _label(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray,
     scores[~letter] = 0
     code = coded.indices.to_numpy()
     p = marginals(scores[code], bounds, model.transitions)
-    counted = letter[code].astype(np.float64)
-    upto = np.vstack([np.zeros((1, len(names))), np.cumsum(p * counted[:, None], axis=0, dtype=np.float64)])
-    n = np.r_[0, np.cumsum(counted)]
-    mass = upto[bounds[1:]] - upto[bounds[:-1]]
-    n = n[bounds[1:]] - n[bounds[:-1]]
+    counted = letter[code]
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[counted]
+    n = np.bincount(text, minlength=len(bounds) - 1)
+    mass = np.stack([np.bincount(text, p[counted, i], len(n)) for i in range(len(names))], axis=1)
     best = mass.argmax(axis=1)
     score = np.where(n > 0, mass[np.arange(len(best)), best] / np.maximum(n, 1), 0.0)
     of_words = p.argmax(axis=1) if len(p) else np.zeros(0, int)
@@ -242,7 +241,7 @@ def _runs(model: Model, of_words: np.ndarray, bounds: np.ndarray) -> pa.Array:
 def _predict(shared, spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for batch in pieces(batches, most_bytes=16 << 20):
+        for batch in pieces(batches, most_bytes=4 << 20):
             pred, score, of_words, bounds = _label(model, batch)
             columns = [batch["doc_id"], pa.array(pred, pa.string()), pa.array(score)]
             if spans:
@@ -266,7 +265,7 @@ def keep_identified(documents: DataFrame, model: Model | None, least_score: floa
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, most_bytes=16 << 20):
+        for batch in pieces(batches, most_bytes=4 << 20):
             pred, score, _, _ = _label(shared.value, batch)
             yield batch.filter(pa.array((pred != UNKNOWN) & (score >= least_score)))
 
