@@ -130,7 +130,8 @@ def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _popcounts(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """(len(x), len(y)) ones in the exclusive or of sketches."""
+    """(len(x), len(y)) ones in the exclusive or of sketches. Unsigned, as numpy counts the bits of absolute values."""
+    x, y = x.view(np.uint64), y.view(np.uint64)
     out = np.zeros((len(x), len(y)), np.uint16)
     for w in range(WORDS):
         out += np.bitwise_count(x[:, w, None] ^ y[None, :, w])
