@@ -19,7 +19,7 @@ from runnel.llm.html_blocks import HEADINGS, Block, blocks
 from runnel.llm.html_pages import labelled_pages
 
 #: Pages that the field is fitted on, and passes over them.
-TRAIN_PAGES, PASSES = 900, 8
+TRAIN_PAGES, PASSES = 1400, 8
 
 # Fixed value: words of notices, menus, adverts, forms and comment sections.
 PHRASES = (

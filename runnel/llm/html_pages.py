@@ -77,8 +77,8 @@ class _Maker:
         else:
             inner = self.text()
         semantic = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form"}.get(kind)
-        if semantic and r.random() < 0.6:
-            return f"<{semantic}>{inner}</{semantic}>" if r.random() < 0.6 else self.mark(semantic, OTHER[kind], inner)
+        if semantic and r.random() < 0.4:
+            return f"<{semantic}>{inner}</{semantic}>" if r.random() < 0.5 else self.mark(semantic, OTHER[kind], inner)
         wrapper = "form" if kind == "form" and r.random() < 0.7 else r.choice(("div", "div", "div", "section", "aside", "ul"))
         if wrapper == "ul":
             inner = f"<li>{inner}</li>"
@@ -140,8 +140,8 @@ class _Maker:
         out += [(self.other(k), False) for k in before]
         out += [(left, False) for left, _ in wrappers]
         article = [(b, True) for b in self.body()]
-        for _ in range(r.choice((0, 0, 0, 1, 2))):
-            article.insert(r.randint(0, len(article)), (self.other(r.choice(("ad", "aside", "form", "notice", "nav", "comments"))), False))
+        for _ in range(r.choice((0, 0, 1, 1, 2, 3))):
+            article.insert(r.randint(0, len(article)), (self.other(r.choice((*OTHER, "ad", "aside", "aside"))), False))
         inside = r.random() < 0.3
         tail = [(self.other(k), False) for k in after]
         out += article + (tail if inside else []) + [(right, False) for _, right in wrappers[::-1]] + ([] if inside else tail)

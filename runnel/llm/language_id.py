@@ -60,13 +60,13 @@ def word_features(distinct: pa.LargeStringArray, lexicon: np.ndarray | None) ->
     for k in (2, 3, 4):
         h = sum((padded[j : len(padded) - k + 1 + j] * by[j] for j in range(k)), np.zeros(max(0, len(padded) - k + 1), np.uint64))
         ok = np.flatnonzero(np.arange(len(h)) + k <= stop[: len(h)])
-        keys.append(mix(h[ok] + by[7] * np.uint64(k)))
+        keys.append(mix(h[ok] + by[7:] * np.uint64(k)))
         owner.append(word[ok])
     for k in (1, 2, 3):
         full = np.flatnonzero(size >= k)
         for side, at in ((1, begin[full] + 1), (2, ends[full] - 1 - k)):
             h = sum((padded[at + j] * by[j] for j in range(k)), np.zeros(len(full), np.uint64))
-            keys.append(mix(h + by[6] * np.uint64(10 * side + k)))
+            keys.append(mix(h + by[6:7] * np.uint64(10 * side + k)))
             owner.append(full)
     position = mix(padded + by[2] * (np.arange(len(padded), dtype=np.int64) - np.repeat(begin, size + 2)).astype(np.uint64))
     total = np.r_[np.uint64(0), np.cumsum(position)]
