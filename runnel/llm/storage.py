@@ -2,39 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SETTING = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where that is unset (local tests) one is made and set."""
-    base = spark.conf.get(SETTING, None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="runnel-")
-        spark.conf.set(SETTING, base)
-    return base.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/runnel/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    This cuts the lineage by a table every executor can read, so that losing executors
-    loses nothing and later stages do not repeat the work.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from runnel.staging import materialize, new_path, shared_dir
 
+__all__ = ["HOT_GROUPS", "join_groups", "materialize", "new_path", "shared_dir"]
 
 #: A group larger than total/HOT_GROUPS rows is hot; sizes add up to the total, so there are fewer than HOT_GROUPS of them.
 HOT_GROUPS = 1000
