@@ -33,6 +33,8 @@ from runnel.llm.text_arrays import pieces
 WINDOW, GRAM = 50, 16
 #: Batches the query deals the table into, and runs an index keeps before it compacts them.
 BATCHES, FANOUT = 4, 2
+#: Bytes of text that a Python worker hashes at once.
+PIECE = 4 << 20
 
 
 class Rolling:
@@ -83,7 +85,7 @@ PRINTS = "doc_id long, n_words long, s1 long, s2 long, kept_sha256 string, print
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A document's word count, digest of all its words, the hash of its text without removals, and window hashes."""
-    for batch in pieces(batches):
+    for batch in pieces(batches, PIECE):
         w = Words(batch["text"])
         s1, s2 = w.digests(w.bounds[:-1], w.bounds[1:])
         sha = [hashlib.sha256(b" ".join((t or "").encode().split())).hexdigest() for t in batch["text"].to_pylist()]
@@ -144,7 +146,7 @@ WINDOWS = "doc_id long, s1 long, pos int, len int, w1 long, w2 long, decided boo
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate windows with their digests; of those with one digest, all but the smallest document's are decided."""
-    for batch in pieces(batches):
+    for batch in pieces(batches, PIECE):
         w = Words(batch["text"])
         s1, _ = w.digests(w.bounds[:-1], w.bounds[1:])
         ids = batch["doc_id"].to_numpy()
@@ -200,7 +202,7 @@ def removed_mask(n_words: int, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, PIECE):
         rows, texts = batch.to_pylist(), []
         removed, sha = [], []
         for row in rows:
@@ -286,7 +288,7 @@ def substring_dedup(documents: DataFrame, with_text: bool = False) -> DataFrame:
 
 
 def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches):
+    for batch in pieces(batches, PIECE):
         w = Words(batch["text"])
         s1, _ = w.digests(w.bounds[:-1], w.bounds[1:])
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(s1), batch["text"]], names=["doc_id", "s1", "text"])

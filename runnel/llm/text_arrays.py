@@ -13,7 +13,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches, cut into runs of rows whose text comes to about ``most_bytes`` (or one longer row)."""
     for batch in batches:
         if not batch.num_rows:
