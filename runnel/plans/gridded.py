@@ -12,8 +12,13 @@ from runnel.operators import relational as R
 from runnel.plans.relational import STEPS_SQL, hourly_rain, query, table
 from runnel.staging import materialize
 
-#: Cells from so many upstream cells on are channels; every INLETS-th part is an inlet.
-CHANNEL_CELLS, INLETS = 25, 9
+#: Cells from so many upstream cells on are channels. A part's size is the height of its cell above its row: inlets are
+#: the lowest cells, the area of interest is all but the highest; cells that hold more than SPILL overflow.
+CHANNEL_CELLS, INLET_SIZE, AREA_SIZE, SPILL = 25, 5, 40, 900.0
+
+
+def size_of_cell():
+    return F.col("z") - 30 * F.col("row")
 
 GRID_SQL = """w AS (SELECT ceil(sqrt(count(*)))::BIGINT AS w FROM part),
 vol AS (SELECT l_partkey, sum(l_quantity) AS volume FROM lineitem GROUP BY 1),
@@ -80,12 +85,12 @@ def points_to_cells_sum(spark, sf_dir):
     return grid.points_to_cells(supplier_points(spark, sf_dir), META, "v").withColumn("v", F.round("v", 2))
 
 
-SOURCES_SQL = f"{GRID_SQL}, sources AS (SELECT * FROM grid WHERE cell % 17 = 3)"
+SOURCES_SQL = f"{GRID_SQL}, sources AS (SELECT * FROM grid WHERE volume >= {SPILL})"
 DISC_SQL = "disc AS (SELECT dr, dc FROM range(-5, 6) a(dr), range(-5, 6) b(dc) WHERE dr * dr + dc * dc <= 25)"
 
 
 def spill_sources(cells: DataFrame) -> DataFrame:
-    return cells.filter(F.col("cell") % 17 == 3)
+    return cells.filter(F.col("volume") >= SPILL)
 
 
 @query(f"""WITH {SOURCES_SQL}, {DISC_SQL} SELECT s.cell, count(*) AS n, min(g.z) AS zmin, max(g.z) AS zmax, sum(dr * dr + dc * dc)::BIGINT AS spread
@@ -164,14 +169,14 @@ def d8_accumulate(spark, sf_dir):
     return flow(spark, sf_dir).select("cell", "n", "volume")
 
 
-CAPTURE_SQL = f"""{DOWN_SQL}, cut AS (SELECT g.cell, g.volume, g.cell % {INLETS} = 0 AS captured, CASE WHEN g.cell % {INLETS} <> 0 THEN d.down END AS down FROM grid g LEFT JOIN down d ON d.cell = g.cell),
+CAPTURE_SQL = f"""{DOWN_SQL}, cut AS (SELECT g.cell, g.volume, p_size <= {INLET_SIZE} AS captured, CASE WHEN p_size > {INLET_SIZE} THEN d.down END AS down FROM grid g LEFT JOIN down d ON d.cell = g.cell),
 reach(cell, up) AS (SELECT cell, cell FROM cut UNION ALL SELECT c.down, r.up FROM reach r JOIN cut c ON c.cell = r.cell WHERE c.down IS NOT NULL),
 total AS (SELECT r.cell, sum(c.volume) AS volume FROM reach r JOIN cut c ON c.cell = r.up GROUP BY 1)"""
 
 
 def captured(spark, sf_dir) -> DataFrame:
     cells = cells_with_down(spark, sf_dir)
-    return graph.capture_at(cells, cells.filter(F.col("cell") % INLETS == 0), ["volume"])
+    return graph.capture_at(cells, cells.filter(size_of_cell() <= INLET_SIZE), ["volume"])
 
 
 @query(f"WITH RECURSIVE {CAPTURE_SQL} SELECT t.cell, c.captured, t.volume FROM total t JOIN cut c ON c.cell = t.cell WHERE c.captured OR c.down IS NULL")
@@ -252,7 +257,7 @@ def routed(spark, sf_dir) -> DataFrame:
     width, depth = E.section(F.col("order"))
     nodes = roots.select("id", "root").join(edges.select(F.col("src").alias("id"), F.col("dst").alias("down"), "acc"), "id", "left").join(orders, "id", "left")
     nodes = materialize(nodes.withColumn("capacity", F.when(F.col("down").isNotNull(), E.manning_m3s(width, depth, F.lit(0.01)))), "nodes")
-    rain = R.rain_intervals(hourly_rain(spark, sf_dir)).orderBy("start_min").limit(6)
+    rain = R.rain_intervals(hourly_rain(spark, sf_dir))
     local = F.col("mm") / 1000 * 900 * F.lit(0.75) / 3600 * F.coalesce(F.least(F.col("acc"), F.lit(40)), F.lit(1))
     dealt = nodes.crossJoin(F.broadcast(rain)).withColumn("local", local)
     return graph.capacity_route(dealt.select("start_min", "id", "down", "capacity", "root", "local"), ["start_min"])
@@ -263,7 +268,7 @@ def capacity_route(spark, sf_dir):
     return routed(spark, sf_dir)
 
 
-@query("SELECT start_min, TRUE AS balanced, TRUE AS limited FROM (SELECT DISTINCT (epoch(date_trunc('hour', ts)) / 60)::BIGINT AS start_min FROM events) ORDER BY start_min LIMIT 6")
+@query(f"WITH {STEPS_SQL} SELECT start_min, TRUE AS balanced, TRUE AS limited FROM steps WHERE end_min IS NOT NULL")
 def capacity_balance(spark, sf_dir):
     """Per interval: local inflow = exports + overflows, and nothing negative."""
     r = routed(spark, sf_dir).groupBy("start_min").agg(
@@ -349,7 +354,7 @@ INLETS_SQL = f"""{GRID_SQL}, inl AS (SELECT printf('RN_INLET_%05d', o_orderkey %
   -((o_orderkey * 31) % 769) / 769.0 * (w + 4) + 2 AS y FROM orders CROSS JOIN w),
 spots AS (SELECT *, floor(-y)::INT AS row, floor(x)::INT AS col FROM inl),
 st AS (SELECT a.*, CASE WHEN x IS NULL THEN 'excluded_invalid_geometry' WHEN a.row < 0 OR a.row >= w OR a.col < 0 OR a.col >= w THEN 'excluded_outside_grid'
-  WHEN g.cell IS NULL OR g.cell % 5 = 4 THEN 'excluded_outside_runoff_aoi' ELSE 'candidate' END AS status, g.cell,
+  WHEN g.cell IS NULL OR g.p_size >= {AREA_SIZE} THEN 'excluded_outside_runoff_aoi' ELSE 'candidate' END AS status, g.cell,
   sqrt((x - (a.col + 0.5)) * (x - (a.col + 0.5)) + (y - (-(a.row + 0.5))) * (y - (-(a.row + 0.5)))) AS dist FROM spots a CROSS JOIN w LEFT JOIN grid g ON g.row = a.row AND g.col = a.col)"""
 
 
@@ -364,7 +369,7 @@ def inlet_mapping_audit(spark, sf_dir):
         "o_orderkey", F.format_string("RN_INLET_%05d", k % 1000000).alias("inlet_id"),
         F.when(k % 50 != 0, (k % 977) / 977.0 * (F.col("w") + 4) - 2).alias("x"), (-((k * 31) % 769) / 769.0 * (F.col("w") + 4) + 2).alias("y"), "w",
     )
-    audit = map_inlets(inlets, cells.filter(F.col("cell") % 5 != 4), META, F.col("w"), F.col("w"), ["inlet_id", "o_orderkey"])
+    audit = map_inlets(inlets, cells.filter(size_of_cell() < AREA_SIZE), META, F.col("w"), F.col("w"), ["inlet_id", "o_orderkey"])
     return audit.select("o_orderkey", "inlet_id", F.col("surface_mapping_status"))
 
 
