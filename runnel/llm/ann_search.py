@@ -81,7 +81,8 @@ def fit(sample: np.ndarray, total: int, k: int, recall: float, seed: int = 7) ->
     near = np.argsort(far, axis=1)[:, : min(k, len(x) - 1)]
     place = np.argsort(index.lists(x[asked], n), axis=1)
     ranks = np.take_along_axis(place, mine[near], axis=1).ravel() if near.size else np.zeros(1, int)
-    index.probes = int(min(n, np.quantile(ranks, recall, method="higher") + 1))
+    least = -(-20 * k * n // total)  # lists that hold many more than k vectors between them
+    index.probes = int(min(n, max(least, np.quantile(ranks, recall, method="higher") + 1)))
     share = np.bincount(index.lists(rotate(sample, rotation), 1)[:, 0], minlength=n) / len(sample)
     index.cells = np.maximum(1, np.ceil(share * total / CELL)).astype(np.int64)
     index.first_cell = np.cumsum(index.cells) - index.cells
