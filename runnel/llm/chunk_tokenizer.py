@@ -48,6 +48,8 @@ class ChunkTokenizer:
         self.lower, self.normalizes = "Lowercase" in normal, spec["normalizer"] is not None
         pattern = regex.search(r'"Regex": ("(?:[^"\\]|\\.)*")', json.dumps(spec["pre_tokenizer"]))
         self.pattern = regex.compile(json.loads(pattern[1]) if pattern else BYTE_LEVEL)
+        trial = "abc" if self.normalizes else " abc"
+        self.words = self.pattern.findall(trial) == [trial]
         self.forget()
 
     def forget(self) -> None:
@@ -72,10 +74,20 @@ class ChunkTokenizer:
         self.known.update(zip(new, range(n, n + k), strict=True))
 
     def _split(self, chunks: list[str]) -> list[list[str]]:
-        find, plain = self.pattern.findall, PLAIN.fullmatch
-        if not self.normalizes:
-            return [find(c) for c in chunks]
-        return [find(c.lower() if self.lower else c) if plain(c) else [c] for c in chunks]
+        """Pieces of each chunk. A chunk of ASCII letters is one piece, which spares most chunks the pattern."""
+        find, plain, lower, words = self.pattern.findall, PLAIN.fullmatch, self.lower, self.words
+        out = []
+        for c in chunks:
+            if not self.normalizes:
+                bare = c[1:] if c[0] == " " else c
+                out.append([c] if words and bare.isascii() and bare.isalpha() else find(c))
+            elif c.isascii():
+                c = c.strip(" \t\n\r\x0b\x0c")
+                c = c.lower() if lower else c
+                out.append([c] if words and c.isalpha() else find(c))
+            else:
+                out.append(find(c.lower() if lower else c) if plain(c) else [c])
+        return out
 
     def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks one after another, and how many each has."""
