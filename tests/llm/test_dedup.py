@@ -105,6 +105,27 @@ def test_components(spark):
     assert got == {v: find(v) for e in edges if e[0] != e[1] for v in e}
 
 
+@pytest.mark.parametrize("n", [3000, 5000])
+def test_components_of_ascending_chains(spark, n):
+    """A chain along its ids takes few rounds, as do a comb and a star whose middle has the largest id."""
+    chain = [(i, i + 1) for i in range(n)]
+    comb = [(20_000 + 2 * i, 20_000 + 2 * j + 1) for i in range(1000) for j in (i, i + 1) if j < 1000]
+    star = [(30_000 + i, 39_999) for i in range(2000)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(chain + comb + star, "a long, b long")).collect()}
+    assert got == {v: 10_000 * (e[0] // 10_000) for e in chain + comb + star for v in e}
+
+
+def test_a_long_chain_of_revisions_is_one_group(spark):
+    """Each revision is a near copy of the one before it alone: 200 links one after another."""
+    words, rows = [f"w{k}" for k in range(120)], []
+    for i in range(200):
+        rows.append((i, " ".join(words), 0))
+        words[i * 7 % 120] = f"r{i}"
+    assert near_brute([r[:2] for r in rows]) == {i: (116, 0) for i in range(200)}
+    got = N.near_dedup(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == {i: (116, 0, i == 0) for i in range(200)}
+
+
 def cut_brute(rows):
     words = {i: (t or "").encode().split() for i, t in rows}
     first = defaultdict(lambda: 1 << 60)
