@@ -115,6 +115,32 @@ def test_bins_keep_all_three_limits():
     assert bins <= 1.25 * lower + 1
 
 
+def test_the_loss_limit_binds_on_prompts_and_answers(spark):
+    rnd = random.Random(4)
+    rows = [(i, [(f"ask {i} " * rnd.randrange(60), False), (f"tell {i} " * rnd.randrange(40), True)]) for i in range(150)]
+    rows += [(500, [("word " * 3000, True)]), (501, [("word " * 3000, False), ("é end", True)]), (502, []), (503, None), (504, [(None, True)])]
+    df = spark.createDataFrame(rows, "doc_id long, parts array<struct<text: string, loss: boolean>>").repartition(2)
+    out = P.pack_examples(df, public_tokenizers.path(FILES[1]), max_tokens=512, max_loss_tokens=100).collect()
+    ids, masks = {}, {}
+    for key, parts in rows:
+        each = [encoded([t], FILES[1], 0)[0][:-1] for t, _ in parts or []]
+        ids[key] = np.r_[*each, 0].astype("<u4") if each else np.zeros(1, "<u4")
+        masks[key] = np.r_[*[np.full(len(e), b) for e, (_, b) in zip(each, parts or [], strict=True)], bool(parts and parts[-1][1])]
+    tokens, loss, placed = defaultdict(int), defaultdict(int), defaultdict(int)
+    for p in out:
+        assert zlib.crc32(ids[p.doc_id][p.start : p.start + p.length]) == p.ids_crc32
+        tokens[p.sequence_id] += p.length
+        loss[p.sequence_id] += int(masks[p.doc_id][p.start : p.start + p.length].sum())
+        placed[p.doc_id] += p.length
+    assert placed == {k: len(v) for k, v in ids.items()}
+    assert max(loss.values()) == 100 and max(tokens.values()) == 512
+    plain = P.pack_documents(spark.createDataFrame([(1, "word " * 3000, 0)], DOCS), public_tokenizers.path(FILES[1]), max_tokens=512, max_loss_tokens=100).collect()
+    lengths = defaultdict(int)
+    for p in plain:
+        lengths[p.sequence_id] += p.length
+    assert max(lengths.values()) <= 100 and sum(lengths.values()) == len(encoded(["word " * 3000], FILES[1], 0)[0])
+
+
 VECTORS = "vec_id long, embedding array<float>, score int"
 
 
