@@ -3,7 +3,8 @@
 A text is cut where white space follows a character that is no white space. Byte-level and word-level BPE
 tokenizers never join characters over such a place, so the ids of a text are those of its chunks in order.
 Chunks are made distinct by Arrow, split by the tokenizer's own pattern, and the pieces that this worker has
-not met are encoded by the library. Chunks that the pattern route does not cover are encoded whole.
+not met are encoded by the library. Chunks that the pattern route does not cover are encoded whole, as are those
+that hold an added token ("<|endoftext|>"), which gets its own id as in the library's default setting.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ MOST_PIECES = 1_500_000
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters for which lower case and NFC are one character each, whatever stands beside them.
 PLAIN = regex.compile("[\x21-\x7e\xc0-\xff\x09-\x0d ]*")
+SPACES = regex.compile(r"\s")
 
 _loaded: dict[str, ChunkTokenizer] = {}
 
@@ -41,9 +43,13 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # a text's "<|...|>" is ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        added = [t["content"] for t in spec["added_tokens"]]
+        odd = [t["content"] for t in spec["added_tokens"] if t["normalized"] or t["lstrip"] or t["rstrip"] or SPACES.search(t["content"])]
+        if odd:
+            raise ValueError(f"added tokens that may reach over chunks or stand in other letters: {odd}")
+        self.added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)").search
         normal = json.dumps(spec["normalizer"])
         self.lower, self.normalizes = "Lowercase" in normal, spec["normalizer"] is not None
         pattern = regex.search(r'"Regex": ("(?:[^"\\]|\\.)*")', json.dumps(spec["pre_tokenizer"]))
@@ -75,18 +81,18 @@ class ChunkTokenizer:
 
     def _split(self, chunks: list[str]) -> list[list[str]]:
         """Pieces of each chunk. A chunk of ASCII letters is one piece, which spares most chunks the pattern."""
-        find, plain, lower, words = self.pattern.findall, PLAIN.fullmatch, self.lower, self.words
+        find, plain, lower, words, added = self.pattern.findall, PLAIN.fullmatch, self.lower, self.words, self.added
         out = []
         for c in chunks:
             if not self.normalizes:
                 bare = c[1:] if c[0] == " " else c
-                out.append([c] if words and bare.isascii() and bare.isalpha() else find(c))
+                out.append([c] if words and bare.isascii() and bare.isalpha() or added(c) else find(c))
             elif c.isascii():
-                c = c.strip(" \t\n\r\x0b\x0c")
-                c = c.lower() if lower else c
-                out.append([c] if words and c.isalpha() else find(c))
+                bare = c.strip(" \t\n\r\x0b\x0c")
+                bare = bare.lower() if lower else bare
+                out.append([bare] if words and bare.isalpha() else [c] if added(c) else find(bare))
             else:
-                out.append(find(c.lower() if lower else c) if plain(c) else [c])
+                out.append(find(c.lower() if lower else c) if plain(c) and not added(c) else [c])
         return out
 
     def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:

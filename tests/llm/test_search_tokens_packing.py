@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from runnel.llm import ann_search as A
 from runnel.llm import packing as P
@@ -30,6 +31,19 @@ def test_chunks_give_the_library_ids(name):
         assert ids[a:b].tolist() == c.library.encode(t or "", add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_added_tokens_get_their_own_ids(name):
+    path = public_tokenizers.path(name)
+    fresh, c, rnd = Tokenizer.from_file(path), ChunkTokenizer(path), random.Random(2)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", " ", "  ", "\n", "é", "Hi", "'s", "a4", "\u3000", "ΑΣ"]
+    texts = ODD + ["".join(rnd.choice(bits) for _ in range(rnd.randrange(9))) for _ in range(600)]
+    ids, n = c.encode(pa.array(texts))
+    ends = np.cumsum(n)
+    for t, a, b in zip(texts, ends - n, ends, strict=True):
+        assert ids[a:b].tolist() == fresh.encode(t or "", add_special_tokens=False).ids, repr(t)
+    assert c.encode(pa.array(["<|endoftext|> hi"]))[0].tolist() == {FILES[0]: [49407, 1883], FILES[1]: [50256, 23105]}[name]
+
+
 @settings(deadline=None, max_examples=40)
 @given(st.lists(st.integers(0, 49407), max_size=400), st.sampled_from([1, 90, 400]))
 def test_rans_round_trip(values, times):
