@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from runnel.functions import exprs as E
+from runnel.staging import materialize
 
 
 def rain_intervals(points: DataFrame) -> DataFrame:
@@ -91,9 +94,36 @@ def code_counts(df: DataFrame, column: str, first: int, last: int) -> DataFrame:
     return codes.join(counts.withColumn(column, F.col(column).cast("long")), column, "left").select(column, F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def numbered(df: DataFrame, order: list[Column], prefix: str, name: str) -> DataFrame:
-    """PREFIX_00001, ... in order; for tables of bounded size (see graph.relabel for large ones)."""
-    return df.withColumn(name, E.numbered(prefix, F.row_number().over(W.orderBy(*order))))
+def percentiles(df: DataFrame, keys: list[str], column: str, shares: dict[str, float]) -> DataFrame:
+    """keys and a column for each share: exact percentiles, between two neighbours in proportion; nulls do not count.
+
+    Equal values are counted before the shuffle. Values are dealt by ranges of (keys, value), so a group need not fit in
+    a task: each range knows how many of its group lie before it, and only the neighbours of each percentile are kept.
+    """
+    order = [*keys, column]
+    dealt = df.filter(F.col(column).isNotNull()).groupBy(*order).agg(F.count(F.lit(1)).alias("_m")).repartitionByRange(*order)
+    dealt = materialize(dealt.withColumn("_p", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy(*keys, "_p").agg(F.sum("_m").alias("_c"))  # a row for each range and group in it
+    per = W.partitionBy(*keys)
+    before = per.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select(*keys, "_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_s"), F.sum("_c").over(per).alias("_n"), "_c")
+    at = {name: (F.col("_n") - 1) * F.lit(float(share)) for name, share in shares.items()}
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in at.values()])))
+    wanted = counts.withColumn("_w", F.filter(ranks, lambda r: (r >= F.col("_s")) & (r < F.col("_s") + F.col("_c"))))
+    wanted = wanted.filter(F.size("_w") > 0).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_p").alias("_q"), "_s", "_n", "_w")
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col("_p") == F.col("_q"))
+    upto = F.sum("_m").over(W.partitionBy(*keys, "_p").orderBy(column).rowsBetween(W.unboundedPreceding, 0))
+    found = dealt.join(wanted, on).withColumn("_t", F.col("_s") + upto)
+    found = found.filter(F.exists("_w", lambda r: (r < F.col("_t")) & (r >= F.col("_t") - F.col("_m"))))
+
+    def at_rank(rank: Column) -> Column:
+        return F.max(F.when((rank < F.col("_t")) & (rank >= F.col("_t") - F.col("_m")), F.col(column).cast("double")))
+
+    ends = [at_rank(side(at[name])).alias(f"{end}_{name}") for name in shares for end, side in (("_a", F.floor), ("_b", F.ceil))]
+    one = found.groupBy(*keys).agg(F.max("_n").alias("_n"), *ends)
+    return one.select(*keys, *[
+        (F.col(f"_a_{name}") + (F.col(f"_b_{name}") - F.col(f"_a_{name}")) * (x - F.floor(x))).alias(name) for name, x in at.items()
+    ])
 
 
 def bad_counts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,12 +9,12 @@ from runnel.functions import geo as G
 from runnel.operators import grid
 
 
-def nearest_segment(points: DataFrame, segments: DataFrame, reach: float, point: str = "id", segment: str = "sid") -> DataFrame:
+def nearest_segment(points: DataFrame, segments: DataFrame, reach: float, point: str = "id", segment: str = "sid", apart: bool = False) -> DataFrame:
     """(point, segment, distance): each point's nearest segment up to ``reach`` away, the smaller id among equals.
 
     points: id, x, y; segments: sid, ax, ay, bx, by. Segments are dealt to the tiles of side ``reach`` that their
     bounds, widened by ``reach``, touch; a point has one tile, so candidates meet by an equi-join. Points without a
-    segment in reach have no row.
+    segment in reach have no row. With ``apart`` a segment of the point's own id does not count.
     """
 
     def tiles(a: str, b: str) -> Column:
@@ -25,10 +25,16 @@ def nearest_segment(points: DataFrame, segments: DataFrame, reach: float, point:
     at = points.withColumn("tx", F.floor(F.col("x") / reach)).withColumn("ty", F.floor(F.col("y") / reach))
     d = G.segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
     near = at.join(dealt, ["tx", "ty"]).withColumn("distance", d).filter(F.col("distance") <= reach)
+    if apart:
+        near = near.filter(F.col(point) != F.col(segment))
     best = near.groupBy(point).agg(F.min(F.struct("distance", segment)).alias("_b"))
     return best.select(point, F.col(f"_b.{segment}").alias(segment), F.col("_b.distance").alias("distance"))
 
 
+# What can become of an inlet.
+MAPPING_STATUS = ("mapped", "excluded_outside_runoff_aoi", "excluded_outside_grid", "excluded_invalid_geometry", "excluded_same_30m_cell")
+
+
 def map_inlets(inlets: DataFrame, cells: DataFrame, meta: dict, width: Column, height: Column, ties: list[str]) -> DataFrame:
     """Inlets (x, y, ...) with surface_row, surface_col, surface_mapping_selected and surface_mapping_status.
 
@@ -50,7 +56,7 @@ def map_inlets(inlets: DataFrame, cells: DataFrame, meta: dict, width: Column, h
     winners = at.filter("_s = 'candidate'").groupBy("_r", "_c").agg(F.min("_k").alias("_w"))
     out = at.join(winners, ["_r", "_c"], "left")
     won = F.col("_k") == F.col("_w")
-    final = F.when(F.col("_s") != "candidate", F.col("_s")).when(won, "mapped").otherwise("excluded_same_cell")
+    final = F.when(F.col("_s") != "candidate", F.col("_s")).when(won, "mapped").otherwise("excluded_same_30m_cell")
     placed = F.coalesce(F.col("_in"), F.lit(False))
     return out.select(
         *inlets.columns, F.when(placed, F.col("_r")).otherwise(-1).alias("surface_row"), F.when(placed, F.col("_c")).otherwise(-1).alias("surface_col"),

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from runnel.functions import exprs as E
 from runnel.functions import geo as G
 from runnel.operators import graph, grid
+from runnel.operators import relational as R
+from runnel.operators.spatial import MAPPING_STATUS
 from runnel.schema import PROVENANCE, require_columns
 
 
@@ -238,7 +240,9 @@ def inlet_flags(df: DataFrame) -> DataFrame:
 
 def coupling(tables: dict[str, DataFrame]) -> DataFrame:
     """The audit, V and Q, node balances, capacities and the mass balance."""
+    status = F.col("surface_mapping_status")
     audit = report(tables["inlet_surface_mapping"], [
+        ("unknown_status", _none(~status.isin(*MAPPING_STATUS)), "v = 0"),
         ("audited", F.count(F.lit(1)), "v > 0"), ("selected_differs", F.count_if((F.col("surface_mapping_status") == "mapped") != (F.col("surface_mapping_selected") == 1)), "v = 0"),
         ("shared_cells", F.count_if(F.col("surface_mapping_selected") == 1) - F.countDistinct(F.when(F.col("surface_mapping_selected") == 1, F.struct("surface_row", "surface_col"))), "v = 0"),
     ])
@@ -267,10 +271,9 @@ def balance(df: DataFrame) -> DataFrame:
 def flood_depth(depth: DataFrame, overflow: DataFrame, cell_area: float) -> DataFrame:
     """Finite, not negative, percentiles, and the volume of each interval conserved."""
     d = F.col("depth_m").cast("double")
-    p = F.percentile(d, F.array(*[F.lit(q) for q in (0.5, 0.9, 0.95, 0.99)]))
-    stats = report(depth, [
-        ("negative", F.count_if(d < 0), "v = 0"), ("not_finite", F.count_if(~E.finite(d)), "v = 0"), *[(f"p{n}", p[i], "") for i, n in enumerate((50, 90, 95, 99))], ("max", F.max(d), ""),
-    ])
+    stats = report(depth, [("negative", F.count_if(d < 0), "v = 0"), ("not_finite", F.count_if(~E.finite(d)), "v = 0"), ("max", F.max(d), "")])
+    p = R.percentiles(depth.select(d.alias("d")), [], "d", {f"p{n}": n / 100 for n in (50, 90, 95, 99)})
+    stats = both(stats, report(p, [(f"p{n}", F.max(f"p{n}"), "") for n in (50, 90, 95, 99)]))
     a = depth.groupBy("interval_id").agg(F.sum(d * cell_area).alias("a"))
     b = overflow.groupBy("interval_id").agg(F.sum(F.col("volume").cast("double")).alias("b"))
     off = ~E.within_tolerance(F.coalesce("a", F.lit(0.0)) - F.coalesce("b", F.lit(0.0)), F.coalesce("b", F.lit(0.0)) * 100, 0.01)

@@ -122,10 +122,11 @@ def spread_kernel(spark, sf_dir):
 @query(f"""WITH {SPREAD_SQL} SELECT count(*) AS wet, count(*) FILTER (volume / 900 >= 0.02) AS ge_002, count(*) FILTER (volume / 900 >= 0.1) AS ge_010, count(*) FILTER (volume / 900 >= 0.3) AS ge_030,
   count(*) FILTER (volume / 900 >= 1) AS ge_100, round(quantile_cont(volume / 900, 0.5), 6) AS p50, round(quantile_cont(volume / 900, 0.95), 6) AS p95, round(sum(volume), 3) AS volume_m3 FROM depth""")
 def depth_statistics(spark, sf_dir):
-    d = spilled(spark, sf_dir).withColumn("d", F.col("volume") / 900)
-    p = F.percentile("d", F.array(F.lit(0.5), F.lit(0.95)))
+    d = materialize(spilled(spark, sf_dir).withColumn("d", F.col("volume") / 900), "depths")
+    p = R.percentiles(d, [], "d", {"p50": 0.5, "p95": 0.95})
     bands = [F.count_if(F.col("d") >= b).alias(f"ge_{round(b * 100):03d}") for b in E.DEPTH_BANDS]
-    return d.agg(F.count(F.lit(1)).alias("wet"), *bands, F.round(p[0], 6).alias("p50"), F.round(p[1], 6).alias("p95"), F.round(F.sum("volume"), 3).alias("volume_m3"))
+    one = d.agg(F.count(F.lit(1)).alias("wet"), *bands, F.round(F.sum("volume"), 3).alias("volume_m3"))
+    return one.crossJoin(p).select("wet", *[f"ge_{round(b * 100):03d}" for b in E.DEPTH_BANDS], F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"), "volume_m3")
 
 
 @query(f"WITH {SPREAD_SQL} SELECT row, col, round(volume, 4) AS volume FROM depth ORDER BY depth.volume DESC, row, col LIMIT 1")
@@ -184,7 +185,21 @@ def d8_first_inlet_capture(spark, sf_dir):
     return captured(spark, sf_dir).filter("captured or outlet").select("cell", "captured", "volume")
 
 
-@query("SELECT 0::BIGINT AS unresolved, count(*) AS cells FROM part")
+CYCLE_SQL = f"""{GRID_SQL}, jump AS (SELECT cell, (cell * 31 + p_size * 17) % (SELECT count(*) FROM part) + 1 AS down FROM grid),
+walk(cell, here) AS (SELECT cell, down FROM jump UNION SELECT w.cell, j.down FROM walk w JOIN jump j ON j.cell = w.here)"""
+
+
+@query(f"WITH RECURSIVE {CYCLE_SQL} SELECT cell FROM walk WHERE here = cell")
+def cells_on_cycles(spark, sf_dir):
+    """Pointers that do run into cycles: each part points to another one by its key and size."""
+    parts = table(spark, sf_dir, "part")
+    n = parts.agg(F.count(F.lit(1)).alias("n"))
+    down = (F.col("p_partkey") * 31 + F.col("p_size") * 17) % F.col("n") + 1
+    return graph.cycle_cells(parts.crossJoin(F.broadcast(n)).select(F.col("p_partkey").alias("cell"), down.alias("down")))
+
+
+@query(f"""WITH RECURSIVE {DOWN_SQL}, drains(cell) AS (SELECT cell FROM grid WHERE cell NOT IN (SELECT cell FROM down) UNION ALL SELECT d.cell FROM drains r JOIN down d ON d.down = r.cell)
+SELECT (SELECT count(*) FROM grid) - (SELECT count(*) FROM drains) AS unresolved, (SELECT count(*) FROM grid) AS cells""")
 def d8_cycle_check(spark, sf_dir):
     cells = cells_with_down(spark, sf_dir)
     stuck = graph.cycle_cells(cells).agg(F.count(F.lit(1)).alias("unresolved"))
@@ -258,7 +273,7 @@ def routed(spark, sf_dir) -> DataFrame:
     nodes = roots.select("id", "root").join(edges.select(F.col("src").alias("id"), F.col("dst").alias("down"), "acc"), "id", "left").join(orders, "id", "left")
     nodes = materialize(nodes.withColumn("capacity", F.when(F.col("down").isNotNull(), E.manning_m3s(width, depth, F.lit(0.01)))), "nodes")
     rain = R.rain_intervals(hourly_rain(spark, sf_dir))
-    local = F.col("mm") / 1000 * 900 * F.lit(0.75) / 3600 * F.coalesce(F.least(F.col("acc"), F.lit(40)), F.lit(1))
+    local = F.col("mm") / 1000 * 900 * F.lit(0.75) / 3600 * F.coalesce(F.col("acc"), F.lit(1))
     dealt = nodes.crossJoin(F.broadcast(rain)).withColumn("local", local)
     return graph.capacity_route(dealt.select("start_min", "id", "down", "capacity", "root", "local"), ["start_min"])
 
@@ -311,7 +326,7 @@ hops AS (SELECT a, b, min(w) AS w FROM (SELECT a, b, w FROM roads UNION ALL SELE
 def roads(spark, sf_dir) -> DataFrame:
     """A road network of nations: an edge for each pair up to 3 apart that trades, as long as its smallest line."""
     li, o, c, s = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier"))
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(F.broadcast(s.select("s_suppkey", "s_nationkey")), F.col("l_suppkey") == F.col("s_suppkey"))
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(s.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     j = j.join(c, F.col("o_custkey") == F.col("c_custkey"))
     w = (F.col("l_quantity") + F.col("l_linenumber") / 8 + F.col("l_tax")).cast("double")
     apart = F.abs(F.col("c_nationkey") - F.col("s_nationkey"))
@@ -331,9 +346,9 @@ def farthest_pair(spark, sf_dir):
     return graph.farthest(graph.shortest_paths(edges, first)).select(F.lit(first).alias("from"), F.col("id").alias("to"), F.round("distance", 6).alias("distance"))
 
 
-NEAR_SQL = """p AS (SELECT vec_id AS id, embedding[1]::DOUBLE * 400 AS x, embedding[2]::DOUBLE * 400 AS y FROM embeddings WHERE vec_id % 2 = 0),
-s AS (SELECT vec_id AS sid, embedding[1]::DOUBLE * 400 AS ax, embedding[2]::DOUBLE * 400 AS ay, embedding[1]::DOUBLE * 400 + embedding[3]::DOUBLE * 90 AS bx, embedding[2]::DOUBLE * 400 + embedding[4]::DOUBLE * 90 AS by_ FROM embeddings WHERE vec_id % 2 = 1),
-t AS (SELECT *, greatest(0, least(1, coalesce(((x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) / nullif((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay), 0), 0))) AS k FROM p, s),
+NEAR_SQL = """p AS (SELECT vec_id AS id, embedding[1]::DOUBLE * 400 AS x, embedding[2]::DOUBLE * 400 AS y FROM embeddings),
+s AS (SELECT vec_id AS sid, embedding[1]::DOUBLE * 400 AS ax, embedding[2]::DOUBLE * 400 AS ay, embedding[1]::DOUBLE * 400 + embedding[3]::DOUBLE * 90 AS bx, embedding[2]::DOUBLE * 400 + embedding[4]::DOUBLE * 90 AS by_ FROM embeddings),
+t AS (SELECT *, greatest(0, least(1, coalesce(((x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) / nullif((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay), 0), 0))) AS k FROM p JOIN s ON sid <> id),
 d AS (SELECT id, sid, sqrt((ax + k * (bx - ax) - x) * (ax + k * (bx - ax) - x) + (ay + k * (by_ - ay) - y) * (ay + k * (by_ - ay) - y)) AS dist FROM t)"""
 
 
@@ -343,14 +358,14 @@ def nearest_within(spark, sf_dir):
 
     e = table(spark, sf_dir, "embeddings")
     v = [F.col("embedding")[i].cast("double") for i in range(4)]
-    points = e.filter(F.col("vec_id") % 2 == 0).select(F.col("vec_id").alias("id"), (v[0] * 400).alias("x"), (v[1] * 400).alias("y"))
-    lines = e.filter(F.col("vec_id") % 2 == 1).select(
+    points = e.select(F.col("vec_id").alias("id"), (v[0] * 400).alias("x"), (v[1] * 400).alias("y"))
+    lines = e.select(
         F.col("vec_id").alias("sid"), (v[0] * 400).alias("ax"), (v[1] * 400).alias("ay"), (v[0] * 400 + v[2] * 90).alias("bx"), (v[1] * 400 + v[3] * 90).alias("by")
     )
-    return nearest_segment(points, lines, 30.0).select("id", "sid", F.round("distance", 3).alias("distance_m"))
+    return nearest_segment(points, lines, 30.0, apart=True).select("id", "sid", F.round("distance", 3).alias("distance_m"))
 
 
-INLETS_SQL = f"""{GRID_SQL}, inl AS (SELECT printf('RN_INLET_%05d', o_orderkey % 1000000) AS inlet_id, o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE (o_orderkey % 977) / 977.0 * (w + 4) - 2 END AS x,
+INLETS_SQL = f"""{GRID_SQL}, inl AS (SELECT printf('RN_INLET_%05d', o_orderkey) AS inlet_id, o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE (o_orderkey % 977) / 977.0 * (w + 4) - 2 END AS x,
   -((o_orderkey * 31) % 769) / 769.0 * (w + 4) + 2 AS y FROM orders CROSS JOIN w),
 spots AS (SELECT *, floor(-y)::INT AS row, floor(x)::INT AS col FROM inl),
 st AS (SELECT a.*, CASE WHEN x IS NULL THEN 'excluded_invalid_geometry' WHEN a.row < 0 OR a.row >= w OR a.col < 0 OR a.col >= w THEN 'excluded_outside_grid'
@@ -358,7 +373,7 @@ st AS (SELECT a.*, CASE WHEN x IS NULL THEN 'excluded_invalid_geometry' WHEN a.r
   sqrt((x - (a.col + 0.5)) * (x - (a.col + 0.5)) + (y - (-(a.row + 0.5))) * (y - (-(a.row + 0.5)))) AS dist FROM spots a CROSS JOIN w LEFT JOIN grid g ON g.row = a.row AND g.col = a.col)"""
 
 
-@query(f"""WITH {INLETS_SQL} SELECT o_orderkey, inlet_id, CASE WHEN status <> 'candidate' THEN status WHEN row_number() OVER (PARTITION BY CASE WHEN status = 'candidate' THEN cell ELSE -1 - o_orderkey END ORDER BY dist, inlet_id, o_orderkey) = 1 THEN 'mapped' ELSE 'excluded_same_cell' END AS surface_mapping_status FROM st""")
+@query(f"""WITH {INLETS_SQL} SELECT o_orderkey, inlet_id, CASE WHEN status <> 'candidate' THEN status WHEN row_number() OVER (PARTITION BY CASE WHEN status = 'candidate' THEN cell ELSE -1 - o_orderkey END ORDER BY dist, inlet_id, o_orderkey) = 1 THEN 'mapped' ELSE 'excluded_same_30m_cell' END AS surface_mapping_status FROM st""")
 def inlet_mapping_audit(spark, sf_dir):
     from runnel.operators.spatial import map_inlets
 
@@ -366,7 +381,7 @@ def inlet_mapping_audit(spark, sf_dir):
     size = table(spark, sf_dir, "part").agg(F.ceil(F.sqrt(F.count(F.lit(1)))).cast("int").alias("w"))
     k = F.col("o_orderkey")
     inlets = table(spark, sf_dir, "orders").crossJoin(F.broadcast(size)).select(
-        "o_orderkey", F.format_string("RN_INLET_%05d", k % 1000000).alias("inlet_id"),
+        "o_orderkey", F.format_string("RN_INLET_%05d", k).alias("inlet_id"),
         F.when(k % 50 != 0, (k % 977) / 977.0 * (F.col("w") + 4) - 2).alias("x"), (-((k * 31) % 769) / 769.0 * (F.col("w") + 4) + 2).alias("y"), "w",
     )
     audit = map_inlets(inlets, cells.filter(size_of_cell() < AREA_SIZE), META, F.col("w"), F.col("w"), ["inlet_id", "o_orderkey"])

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from runnel.functions import exprs as E
+from runnel.operators import graph
 from runnel.operators import relational as R
 
 QUERIES: dict = {}
@@ -153,7 +154,8 @@ def string_bool_map(spark, sf_dir):
 @query("""SELECT s_suppkey, printf('RN_SUPP_%05d', row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey)) AS label,
   printf('R%03d_C%03d', (s_suppkey // 10)::INT, (s_suppkey % 10)::INT) AS cell_id, printf('%03d_%03d', s_nationkey * 30, s_nationkey * 30 + 30) AS interval_id FROM supplier""")
 def padded_ids(spark, sf_dir):
-    t = R.numbered(table(spark, sf_dir, "supplier"), [F.col("s_acctbal").desc(), F.col("s_suppkey")], "RN_SUPP", "label")
+    t = table(spark, sf_dir, "supplier").withColumn("_rank", -F.col("s_acctbal"))
+    t = graph.relabel(t, ["_rank", "s_suppkey"], "RN_SUPP", "label")
     start = F.col("s_nationkey") * 30
     return t.select(
         "s_suppkey", "label", E.cell_id(F.floor(F.col("s_suppkey") / 10), F.col("s_suppkey") % 10).alias("cell_id"),
@@ -219,9 +221,10 @@ def conditional_counts(spark, sf_dir):
 @query("""SELECT l_linestatus, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90, round(quantile_cont(l_extendedprice, 0.95), 4) AS p95,
   round(quantile_cont(l_extendedprice, 0.99), 4) AS p99, round(median(l_quantity), 4) AS median_quantity FROM lineitem GROUP BY 1""")
 def percentiles_exact(spark, sf_dir):
-    p = F.percentile("l_extendedprice", F.array(*[F.lit(x) for x in (0.5, 0.9, 0.95, 0.99)]))
-    out = table(spark, sf_dir, "lineitem").groupBy("l_linestatus").agg(p.alias("p"), F.round(F.median("l_quantity"), 4).alias("median_quantity"))
-    return out.select("l_linestatus", *[F.round(F.col("p")[i], 4).alias(n) for i, n in enumerate(("p50", "p90", "p95", "p99"))], "median_quantity")
+    lines = table(spark, sf_dir, "lineitem")
+    price = R.percentiles(lines, ["l_linestatus"], "l_extendedprice", {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99})
+    both = price.join(R.percentiles(lines, ["l_linestatus"], "l_quantity", {"median_quantity": 0.5}), "l_linestatus")
+    return both.select("l_linestatus", *[F.round(c, 4).alias(c) for c in ("p50", "p90", "p95", "p99", "median_quantity")])
 
 
 @query("""SELECT CASE WHEN l_quantity < 5 THEN '[0,5)' WHEN l_quantity < 10 THEN '[5,10)' WHEN l_quantity < 20 THEN '[10,20)' WHEN l_quantity < 30 THEN '[20,30)' ELSE '[30,inf)' END AS bin,

@@ -200,11 +200,12 @@ def derive_inlets(nodes: DataFrame, edges: DataFrame, roads: DataFrame, dem: Dat
 # --- coupling ---
 
 
-def couple(cells: DataFrame, volumes: DataFrame, steps: DataFrame, inlets: DataFrame, edges: DataFrame, meta: dict, scenario: str) -> dict[str, DataFrame]:
+def couple(cells: DataFrame, volumes: DataFrame, steps: DataFrame, inlets: DataFrame, nodes: DataFrame, edges: DataFrame, meta: dict, scenario: str) -> dict[str, DataFrame]:
     """Surface runoff to first inlets, inlet flow through the network, overflow where capacity ends.
 
     cells: row, col, direction; volumes per interval; inlets: inlet_id, drain_node_id, drain_id, road_id,
-    coupling_eligible, x, y; edges: src, dst, drain_id, capacity_m3s. Returns inlet_surface_mapping,
+    coupling_eligible, x, y; nodes: node_id, x, y; edges: src, dst, drain_id, capacity_m3s. Water overflows at its node,
+    which need not have an inlet. Returns inlet_surface_mapping,
     inlet_interval_coupling, drainage_interval_routing, drainage_overflow_points and interval_mass_balance.
     """
     names = [r[0] for r in steps.select("interval_id").orderBy("start_min").collect()]  # a scenario has few intervals
@@ -228,12 +229,12 @@ def couple(cells: DataFrame, volumes: DataFrame, steps: DataFrame, inlets: DataF
     )
     coupling = materialize(coupling, "coupling")
     local = coupling.groupBy("interval_id", "drain_node_id").agg(F.sum("potential_inflow_q_m3s").alias("local"))
-    ids = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
+    ids = edges.select(F.col("src").alias("id")).union(edges.select("dst")).union(nodes.select("node_id")).distinct()
     tree = ids.join(edges.select(F.col("src").alias("id"), F.col("dst").alias("down"), F.col("capacity_m3s").alias("capacity"), F.col("drain_id").alias("outgoing_drain_id")), "id", "left")
     tree = materialize(tree, "tree")
-    nodes = tree.join(graph.roots(tree, "id", "down").select("id", "root"), "id").crossJoin(F.broadcast(steps.select("interval_id")))
-    nodes = nodes.join(local.withColumnRenamed("drain_node_id", "id"), ["interval_id", "id"], "left")
-    flows = graph.capacity_route(nodes.select("interval_id", "id", "down", "capacity", "root", "local"), ["interval_id"])
+    dealt = tree.join(graph.roots(tree, "id", "down").select("id", "root"), "id").crossJoin(F.broadcast(steps.select("interval_id")))
+    dealt = dealt.join(local.withColumnRenamed("drain_node_id", "id"), ["interval_id", "id"], "left")
+    flows = graph.capacity_route(dealt.select("interval_id", "id", "down", "capacity", "root", "local"), ["interval_id"])
     routing = flows.join(tree.select("id", "outgoing_drain_id", "capacity"), "id").join(F.broadcast(steps), "interval_id")
     routing = materialize(
         routing.select(
@@ -245,7 +246,7 @@ def couple(cells: DataFrame, volumes: DataFrame, steps: DataFrame, inlets: DataF
         ),
         "routing",
     )
-    xy = inlets.select("drain_node_id", "x", "y").dropDuplicates(["drain_node_id"])
+    xy = nodes.select(F.col("node_id").alias("drain_node_id"), "x", "y")
     points = routing.filter("overflow_q_m3s > 0").join(xy, "drain_node_id", "left").withColumn("source_type", F.lit(PROVENANCE["overflow"]))
     generated = volumes.groupBy("interval_id").agg(F.sum(F.col("volume").cast("double")).alias("g"))
     surface = long(routed, names, ["captured", "outlet"]).groupBy("interval_id").agg(
@@ -312,10 +313,10 @@ def dropped_volume(overflow: DataFrame, dem: DataFrame) -> DataFrame:
 
 def depth_summary(depth: DataFrame) -> DataFrame:
     d = F.col("depth_m").cast("double")
-    p = F.percentile(d, F.array(*[F.lit(q) for q in (0.5, 0.9, 0.95, 0.99)]))
     bands = [F.count_if(d >= b).alias(f"cells_ge_{b:.2f}m") for b in E.DEPTH_BANDS]
-    out = depth.groupBy("interval_id").agg(F.count_if(d > 0).alias("wet_cells"), *bands, F.avg(d).alias("mean_m"), F.max(d).alias("max_m"), p.alias("_p"))
-    return out.select("*", *[F.col("_p")[i].alias(n) for i, n in enumerate(("p50_m", "p90_m", "p95_m", "p99_m"))]).drop("_p")
+    out = depth.groupBy("interval_id").agg(F.count_if(d > 0).alias("wet_cells"), *bands, F.avg(d).alias("mean_m"), F.max(d).alias("max_m"))
+    shares = {f"p{n}_m": n / 100 for n in (50, 90, 95, 99)}
+    return out.join(relational.percentiles(depth.select("interval_id", d.alias("d")), ["interval_id"], "d", shares), "interval_id")
 
 
 # --- roads ---

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from runnel.operators import relational
 from runnel.plans import checks, stages
 from runnel.sources import files
 
@@ -90,7 +91,7 @@ def test_end_to_end(spark, cells, steps):
     inlets = stages.derive_inlets(nodes, edges, road, cells, META).cache()
     assert inlets.count() == 8 and checks.passed(checks.inlets(inlets, nodes, edges, road)) and checks.passed(checks.inlet_flags(inlets))
 
-    tables = stages.couple(cells, volumes, steps, inlets, edges, META, "demo")
+    tables = stages.couple(cells, volumes, steps, inlets, nodes, edges, META, "demo")
     result = checks.coupling(tables)
     assert checks.passed(result), result.collect()
     balance = tables["interval_mass_balance"].collect()
@@ -111,6 +112,44 @@ def test_end_to_end(spark, cells, steps):
     assert checks.passed(flow)
 
 
+def test_water_overflows_at_a_node_without_inlet(spark, cells, steps):
+    """N1 takes all water in; the pipe after N2 is too small, so it overflows at N2 and arrives in N2's cell."""
+    volumes = stages.runoff_volumes(cells.select("row", "col", F.lit(0.9).alias("coefficient")), steps, 900.0).cache()
+    at = lambda row, col: (1000 + 30 * (col + 0.5), 2000 - 30 * (row + 0.5))
+    nodes = spark.createDataFrame([(f"N{i}", *at(5, c)) for i, c in ((1, 3), (2, 6), (3, 9))], "node_id string, x double, y double")
+    edges = spark.createDataFrame([("N1", "N2", "D1", 100.0), ("N2", "N3", "D2", 0.001)], "src string, dst string, drain_id string, capacity_m3s double")
+    inlet = "inlet_id string, drain_node_id string, drain_id string, road_id string, coupling_eligible int, x double, y double"
+    rows = [("I1", "N1", "D1", "R", 1, *at(5, 3)), ("I2", "N1", "D1", "R", 1, at(5, 3)[0] + 4, at(5, 3)[1]), ("I3", "N1", "D1", "R", 1, *at(50, 3))]
+    rows += [("I4", "N1", "D1", "R", 1, *at(5, 0)), ("I5", "N1", "D1", "R", 1, None, None), ("I6", "N1", "D1", "R", 0, *at(5, 8))]
+    tables = stages.couple(cells, volumes, steps, spark.createDataFrame(rows, inlet), nodes, edges, META, "demo")
+    status = {r.inlet_id: (r.surface_mapping_status, r.surface_row, r.surface_col) for r in tables["inlet_surface_mapping"].collect()}
+    assert status == {
+        "I1": ("mapped", 5, 3), "I2": ("excluded_same_30m_cell", 5, 3), "I3": ("excluded_outside_grid", -1, -1),
+        "I4": ("excluded_outside_runoff_aoi", 5, 0), "I5": ("excluded_invalid_geometry", -1, -1),
+    }
+    result = checks.coupling(tables)
+    assert checks.passed(result), result.collect()
+    points = tables["drainage_overflow_points"].collect()
+    assert {(r.drain_node_id, r.x, r.y) for r in points} == {("N2", *at(5, 6))} and len(points) == 6
+    over = stages.overflow_cells(tables["drainage_overflow_points"], cells, tables["interval_mass_balance"], META).collect()
+    assert {(r.row, r.col) for r in over if r.volume > 0} == {(5, 6)}
+    assert abs(sum(r.volume for r in over) - sum(r.overflow_volume_m3 for r in points)) < 0.01
+    assert not checks.passed(checks.coupling(tables | {"inlet_surface_mapping": tables["inlet_surface_mapping"].withColumn("surface_mapping_status", F.lit("lost"))}))
+
+
+def test_percentiles_of_ranges(spark):
+    rnd = random.Random(2)
+    rows = [(k, rnd.choice((1.0, 2.0, rnd.random() * 50))) for k in ("a", "b", None) for _ in range(rnd.randrange(1, 400))] + [("c", 7.0), ("d", None), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    got = {r.k: (r.p0, r.p50, r.p99, r.p100) for r in relational.percentiles(df, ["k"], "v", {"p0": 0, "p50": 0.5, "p99": 0.99, "p100": 1}).collect()}
+    for k in ("a", "b", "c", None):
+        want = np.percentile([v for x, v in rows if x == k and v is not None], [0, 50, 99, 100])
+        assert np.allclose(got[k], want), k
+    assert len(got) == 4
+    assert abs(relational.percentiles(df, [], "v", {"m": 0.5}).first().m - np.median([v for _, v in rows if v is not None])) < 1e-9
+    assert relational.percentiles(df.limit(0), [], "v", {"m": 0.5}).first().m is None
+
+
 def test_golden_mass_balance_closes(spark, tmp_path):
     """The rounded published rows pass the same rule."""
     head = "interval_id,scenario_id,start_min,end_min,duration_s,generated_surface_volume_m3,captured_to_drain_volume_m3,surface_export_volume_m3,surface_balance_error_m3,drainage_input_volume_m3,drainage_export_volume_m3,drainage_overflow_volume_m3,drainage_balance_error_m3,surface_capture_fraction"
