@@ -25,6 +25,8 @@ from runnel.llm.chunk_tokenizer import tokenizer
 from runnel.llm.text_arrays import pieces, strings, utf8
 
 WINDOW = 2048
+#: Bytes of text that a Python worker encodes at once.
+PIECE = 4 << 20
 #: sequence_id = partition * SEQUENCES + number in the partition.
 SEQUENCES = 1 << 36
 
@@ -173,7 +175,7 @@ def _pack_documents(path: str, end_id: int, limits: tuple[int, int, int]):
             names = [c.split()[0] for c in PIECES.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, PIECE):
             if "spans" in batch.schema.names:
                 ids, counts, bears = _encode_spans(path, batch["text"], batch["spans"])
             else:

@@ -28,6 +28,8 @@ from runnel.llm.text_arrays import pieces
 
 SEGMENT_TOKENS, BLOCK_TOKENS, LANES = 4 << 20, 1 << 15, 64
 SCALE, LOW = 18, np.uint64(1 << 31)
+#: Bytes of text that a Python worker encodes at once.
+PIECE = 4 << 20
 
 SEGMENTS = (
     "shard int, segment int, n_tokens long, doc_ids array<long>, doc_tokens array<int>, table binary, "
@@ -163,7 +165,7 @@ def _write_segments(path: str, end_id: int, segment_tokens: int):
             row = {"shard": shard, "segment": segment, "n_tokens": len(ids), "doc_ids": docs, "doc_tokens": lengths}
             return pa.RecordBatch.from_pylist([row | encode_ids(ids)], schema=_SEGMENTS_ARROW)
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, PIECE):
             ids, counts = tokenizer(path).encode(batch["text"])
             ends = np.cumsum(counts)
             held.append(np.insert(ids, ends, end_id).astype(np.uint32))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from runnel.llm import ann_search as A
+from runnel.llm import chunk_tokenizer as CT
 from runnel.llm import packing as P
 from runnel.llm import token_files as T
 from runnel.llm.chunk_tokenizer import ChunkTokenizer
@@ -44,6 +45,22 @@ def test_added_tokens_get_their_own_ids(name):
     assert c.encode(pa.array(["<|endoftext|> hi"]))[0].tolist() == {FILES[0]: [49407, 1883], FILES[1]: [50256, 23105]}[name]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_pieces_cut_on_bytes_give_the_library_ids(name, monkeypatch):
+    """Letters with and without marks, signs, digits, blanks of all kinds; also when a worker forgets between batches."""
+    path = public_tokenizers.path(name)
+    fresh, c, rnd = Tokenizer.from_file(path), ChunkTokenizer(path), random.Random(3)
+    monkeypatch.setattr(CT, "MOST_BYTES", 50_000)
+    bits = [" ", "  ", "\n", "\t", "a", "B", "xyz", "É", "ß", "ÿ", "À", "×", "÷", "1", "23", ".", ",", "'", "'s", "’", "<", "|", "-", "_", "´", "e", "h"]
+    bits += ["\u0301", "\u0331", "日", "\u3000", "\xa0", "\x1c", "\x85", "\x7f", "\x00", "ﬁ", "İ", "²", "Σ"]
+    for _ in range(4):
+        texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(12))) for _ in range(700)]
+        ids, n = c.encode(pa.array(texts))
+        ends = np.cumsum(n)
+        for t, a, b in zip(texts, ends - n, ends, strict=True):
+            assert ids[a:b].tolist() == fresh.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 @settings(deadline=None, max_examples=40)
 @given(st.lists(st.integers(0, 49407), max_size=400), st.sampled_from([1, 90, 400]))
 def test_rans_round_trip(values, times):
