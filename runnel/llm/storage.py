@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runnel.staging import materialize, new_path, shared_dir
+from runnel.staging import clear, discard, exists, materialize, new_path, shared_dir
 
-__all__ = ["HOT_GROUPS", "join_groups", "materialize", "new_path", "shared_dir"]
+__all__ = ["HOT_GROUPS", "clear", "discard", "exists", "join_groups", "materialize", "new_path", "shared_dir"]
 
 #: A group larger than total/HOT_GROUPS rows is hot; sizes add up to the total, so there are fewer than HOT_GROUPS of them.
 HOT_GROUPS = 1000
