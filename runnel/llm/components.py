@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runnel.llm.storage import materialize
+from runnel.llm.storage import discard, materialize, new_path
 from runnel.operators.graph import roots
 
 
@@ -18,8 +18,10 @@ def components(edges: DataFrame) -> DataFrame:
     lie, and a round doubles at most log2 of the vertices times. Edges and labels stay distributed; a round's tables
     lie in the shared folder.
     """
+    spark = edges.sparkSession
     edges = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = materialize(edges, "edges")
+    edges_path, labels_path = new_path(spark, "edges"), None
+    edges = materialize(edges, "edges", edges_path)
     labels = None
     for _ in range(2 * (2 * edges.count()).bit_length() + 1):  # an edge has two vertices at most
         both = edges.union(edges.select("b", "a"))
@@ -31,10 +33,15 @@ def components(edges: DataFrame) -> DataFrame:
         else:
             step = ends.select(F.col("v").alias("component"), F.col("p").alias("next"))
             labels = labels.join(step, "component", "left").select("id", F.coalesce("next", "component").alias("component"))
-        labels = materialize(labels, "labels")
+        old, labels_path = [edges_path, labels_path], new_path(spark, "labels")
+        labels = materialize(labels, "labels", labels_path)
         left = edges.join(ends.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a")
         left = left.join(ends.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b").filter("pa <> pb")
-        edges = materialize(left.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
+        left = left.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
+        edges_path = new_path(spark, "edges")
+        edges = materialize(left, "edges", edges_path)
+        for path in filter(None, old):  # both successors are written
+            discard(spark, path)
         if edges.isEmpty():
             return labels
     raise RuntimeError("components did not converge")

@@ -10,11 +10,13 @@
 4. In buckets that still hold several components, the pairs across components that pass the sketch are found, and of
    them only a spanning forest is kept. Documents that hang together by it are one suspect group.
 5. The full sets of a suspect group meet in blocks, where all pairs across components are compared exactly; of the
-   links a block keeps those that join components. Large buckets and large groups are dealt in blocks.
+   links a block keeps those that join components.
 
 So every pair that shares a band and passes the sketch is either compared on full sets or joins two documents that are
-already connected, while rows stay linear in the size of a group. A pair of similarity 0.75 shares no band with probability 5e-6
-and is five standard errors above the sketch's threshold.
+already connected. Steps 1 to 3 have rows linear in the size of a group, and the sets of a leader that many pairs name are
+copied for each SPREAD of them. In steps 4 and 5 a group of m rows is dealt to the pairs of its blocks, each a task of its
+own, with m * m / BLOCK rows in all (sets by BLOCK_SHINGLES). A pair of similarity 0.75 shares no band with probability
+5e-6 and is five standard errors above the sketch's threshold.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ WORDS = BITS // 64
 SHARE, PASS = 75, 0.54
 #: Documents of a bucket, and shingles of a suspect group, in a block; two blocks meet in a task.
 BLOCK, BLOCK_SHINGLES = 2000, 500_000
+#: Pairs of one leader that meet one copy of its set.
+SPREAD = 5000
 
 SIGNATURES = "doc_id long, n_shingles long, s1 long, s2 long, sketch array<long>, bands array<long>"
 _SIGNATURES_ARROW = pa.schema(
@@ -120,9 +124,14 @@ def _passes(n_a: Column, n_b: Column, est: Column) -> Column:
 
 
 def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough."""
-    with_b = pairs.select("a", "b").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = with_b.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+    """Those of the pairs (a, b) whose full sets are similar enough. Many pairs may have the same a, the leader."""
+    pairs = materialize(pairs.select("a", "b"), "pairs")
+    sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")).withColumn("copies", F.ceil(F.col("m") / SPREAD))
+    dealt = join_groups(pairs, sizes, "a", "m", pairs.count()).withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
+    with_a = sets.join(sizes.withColumnRenamed("a", "id"), "id").select(F.col("id").alias("a"), F.col("shingles").alias("sa"), copies)
+    with_b = dealt.select("a", "b", "copy").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+    both = with_b.join(with_a, ["a", "copy"])
     common = F.size(F.array_intersect("sa", "sb"))
     return both.select("a", "b", common.alias("k"), (F.size("sa") + F.size("sb")).alias("s")).filter(
         100 * F.col("k") >= SHARE * (F.col("s") - F.col("k"))
@@ -207,19 +216,23 @@ def _cells(rows: DataFrame) -> DataFrame:
 def suspects(members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
     """Forest pairs (a, b) of the buckets that hold several components."""
     at = members.join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    at = materialize(at, "labelled")
     open_keys = at.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("m"))
-    open_keys = open_keys.filter("x <> y").select("key", F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    cells = _cells(at.join(open_keys, "key")).join(reps.select("id", "n_shingles", "sketch"), "id")
+    open_keys = open_keys.filter("x <> y").select("key", "m", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+    rows = join_groups(at, open_keys, "key", "m", at.count()).filter("m is not null").drop("m")
+    cells = _cells(rows.join(reps.select("id", "n_shingles", "sketch"), "id"))
     return cells.groupBy("key", "ci", "cj").applyInArrow(_forest, "a long, b long").distinct()
 
 
-def links_across(groups: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
+def links_across(groups: DataFrame, reps: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
     """Links (a, b) that join components within the suspect groups (id, component as group)."""
-    rows = groups.select("id", F.col("component").alias("suspect")).join(sets, "id").join(comps, "id", "left")
-    rows = rows.select("suspect", "id", "shingles", F.coalesce("component", "id").alias("component"))
-    size = sets.select("id", F.size("shingles").alias("n")).join(groups, "id").groupBy(F.col("component").alias("suspect"))
-    size = size.agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    return _cells(rows.join(size, "suspect")).groupBy("suspect", "ci", "cj").applyInArrow(_exact, "a long, b long")
+    rows = groups.select("id", F.col("component").alias("suspect")).join(reps.select("id", F.col("n_shingles").alias("n")), "id")
+    rows = materialize(rows, "suspected")
+    size = rows.groupBy("suspect").agg(F.count(F.lit(1)).alias("m"), F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    # Sets join by id and are dealt by cell, so a large group is many tasks.
+    rows = join_groups(rows, size, "suspect", "m", rows.count()).select("suspect", "id", "blocks").join(comps, "id", "left")
+    rows = rows.select("suspect", "id", "blocks", F.coalesce("component", "id").alias("component")).join(sets, "id")
+    return _cells(rows).groupBy("suspect", "ci", "cj").applyInArrow(_exact, "a long, b long")
 
 
 def near_dedup(documents: DataFrame) -> DataFrame:
@@ -243,9 +256,10 @@ def near_dedup(documents: DataFrame) -> DataFrame:
     buckets = rows.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
     members = materialize(rows.join(buckets.filter("lead < last").select("key", "lead"), "key"), "members")
     known = reps.select("id", "n_shingles", "sketch")
-    star = members.filter("id <> lead").select("lead", "id").distinct().join(known, "id")
+    star = materialize(members.filter("id <> lead").select("lead", "id").distinct(), "led")
     lead = known.select(*[F.col(x).alias(f"{x}_l") for x in known.columns]).withColumnRenamed("id_l", "lead")
-    star = star.join(lead, "lead").select(
+    lead = lead.join(star.groupBy("lead").agg(F.count(F.lit(1)).alias("m")), "lead")
+    star = join_groups(star, lead, "lead", "m", star.count()).join(known, "id").select(
         F.col("lead").alias("a"), F.col("id").alias("b"), "n_shingles", "n_shingles_l", estimate(F.col("sketch"), F.col("sketch_l")).alias("est")
     )
     star = materialize(star.filter(_passes(F.col("n_shingles"), F.col("n_shingles_l"), F.col("est"))).select("a", "b", "est"), "star")
@@ -265,7 +279,7 @@ def near_dedup(documents: DataFrame) -> DataFrame:
         comps = components(edges)
     forest = materialize(suspects(members, reps, comps), "suspects")
     if not forest.isEmpty():
-        found = materialize(links_across(components(forest), sets, comps), "links")
+        found = materialize(links_across(components(forest), reps, sets, comps), "links")
         if not found.isEmpty():
             comps = components(edges.unionByName(found))
 
@@ -286,3 +300,26 @@ def survivors(documents: DataFrame) -> DataFrame:
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p : p + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS p FROM listed WHERE len(ws) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)
+), reach(id, other) AS (
+  SELECT doc_id, doc_id FROM listed UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+), component AS (
+  SELECT id, min(other) AS component_id FROM reach GROUP BY id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM listed LEFT JOIN sizes USING (doc_id) JOIN component ON id = doc_id
+"""

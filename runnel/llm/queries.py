@@ -7,10 +7,10 @@ from runnel.llm.chat_format import OP3_SQL, op3_chat_format
 from runnel.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from runnel.llm.html_extract import op5_html_extract
 from runnel.llm.language_id import op4_language_id
-from runnel.llm.near_dedup import op8_near_dedup
+from runnel.llm.near_dedup import OP8_SQL, op8_near_dedup
 from runnel.llm.packing import op10_pack
 from runnel.llm.source_mix import OP6_SQL, op6_source_mix
-from runnel.llm.substring_dedup import op2_substring_dedup
+from runnel.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 from runnel.llm.token_files import op9_token_files
 
 QUERIES = {
@@ -28,6 +28,8 @@ QUERIES = {
 
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op2_substring_dedup": OP2_SQL,
     "op3_chat_format": OP3_SQL,
     "op6_source_mix": OP6_SQL,
+    "op8_near_dedup": OP8_SQL,
 }

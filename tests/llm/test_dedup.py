@@ -166,12 +166,73 @@ def test_substrings_edges(spark):
     assert S.substring_dedup(df.limit(0)).count() == 0
 
 
-def test_index_finds_repeats_across_runs_and_compacts(spark):
-    index = S.FingerprintIndex(spark, fanout=2)
-    batches = [[(1, 1), (2, 1), (2, 2)], [(3, 3), (1, 4)], [(4, 5)], [(3, 6), (5, 6), (5, 6)]]
-    found = [sorted(r.hash for r in index.add(spark.createDataFrame(b, "hash long, doc_id long")).collect()) for b in batches]
-    assert found == [[2], [1], [], [3]] and len(index.runs) <= 2
-    names = list(index.runs)
-    rows = sorted(tuple(r) for n in names for r in spark.table(n).collect())
-    assert (1, 1) in rows and (3, 3) in rows
-    index.drop()
+def thue_morse(n):
+    return [bin(i).count("1") % 2 for i in range(n)]
+
+
+def test_patterns_that_make_sums_alike_are_told_apart(spark):
+    """Sums of powers modulo 2**64 are equal for a Thue-Morse run and its complement; the words are not."""
+    run = thue_morse(1024)
+    rows = [(1, "p " + " ".join("ab"[b] for b in run)), (2, "p " + " ".join("ba"[b] for b in run)), (3, "q " + " ".join("ba"[b] for b in run[:49]))]
+    got = S.substring_dedup(spark.createDataFrame([(i, t, 0) for i, t in rows], DOCS)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == cut_brute(rows)
+
+
+def test_runs_have_the_hash_of_their_words():
+    rnd = np.random.default_rng(1)
+    h = rnd.integers(0, 4, 4000).astype(np.uint64)
+    got = S.run_hashes(h, 50, 5)
+    assert len(got[50]) == 3951 and len(got[16]) == 3985
+    for n in (2, 16, 50):
+        of = {}
+        for i, x in enumerate(got[n].tolist()):
+            assert of.setdefault(tuple(h[i : i + n].tolist()), x) == x
+        assert len(set(of.values())) == len(of)
+    assert len(S.run_hashes(h[:30], 50, 5)[50]) == 0
+
+
+BATCH_ROWS = [[(1, 1), (2, 1), (2, 2)], [(3, 3), (1, 4)], [(4, 5)], [(3, 6), (5, 6), (5, 6)], [(9, 7)], [(5, 8), (4, 8)], [(7, 9), (7, 10)]]
+
+
+def test_index_finds_repeats_across_runs_and_compacts_by_levels(spark, tmp_path):
+    index = S.FingerprintIndex(spark, f"file://{tmp_path}/index", fanout=2)
+    found, levels = [], []
+    for b in BATCH_ROWS[:6]:
+        found.append(sorted(r.hash for r in index.add(spark.createDataFrame(b, "hash long, doc_id long")).collect()))
+        levels.append([level for _, level in index.runs])
+    assert found == [[2], [1], [], [3], [], [4, 5]]
+    assert levels == [[0], [1], [1, 0], [2], [2, 0], [2, 1]]
+    index.close()
+    # A later job goes on with the files alone.
+    later = S.FingerprintIndex(spark, f"file://{tmp_path}/index", fanout=2)
+    assert later.runs == index.runs and later.version == 6 and later.buckets == index.buckets
+    assert sorted(r.hash for r in later.add(spark.createDataFrame([(9, 11), (8, 11), *BATCH_ROWS[6]], "hash long, doc_id long")).collect()) == [7, 9]
+    rows = sorted(tuple(r) for n, _ in later.runs for r in later.table(n).collect())
+    assert [r for r in rows if r[0] in (1, 3, 7)] == [(1, 1, 4), (3, 3, 6), (7, 9, 10)]
+    later.close()
+
+
+def test_runs_are_merge_joined_without_a_shuffle(spark, tmp_path):
+    index = S.FingerprintIndex(spark, f"file://{tmp_path}/index", fanout=9)
+    for b in BATCH_ROWS[:2]:
+        index.add(spark.createDataFrame(b, "hash long, doc_id long"))
+    (a, _), (b, _) = index.runs
+    with index._sorted_buckets():
+        plan = index.table(a).join(index.table(b).hint("merge"), "hash", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+    index.close()
+
+
+def test_substrings_equal_their_sql(matches):
+    matches(S.op2_substring_dedup, S.OP2_SQL)
+
+
+def test_near_duplicates_equal_their_sql(matches):
+    matches(N.op8_near_dedup, N.OP8_SQL)
+
+
+def test_a_leader_of_many_pairs_is_copied(spark, monkeypatch):
+    monkeypatch.setattr(N, "SPREAD", 7)
+    rows = corpus(5)
+    got = N.near_dedup(spark.createDataFrame([(i, t, 0) for i, t in rows], DOCS)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_brute(rows)
