@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from runnel.plans import gridded, relational
+from runnel.plans import gridded, relational, validations
 
 QUERIES, ORACLES = relational.QUERIES, relational.ORACLES
-assert gridded.CHANNEL_CELLS
+assert gridded.CHANNEL_CELLS and validations.NETWORK_SQL
