@@ -258,12 +258,34 @@ def channel_roots(edges: DataFrame) -> DataFrame:
     return graph.roots(materialize(nodes, "nodes"), "id", "dst")
 
 
-@query(None)
+# Level by level from the deepest: all nodes that flow into a level lie in the one before it.
+TREE_SQL = """ids AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges), tree AS (SELECT id, dst AS down, acc FROM ids LEFT JOIN edges ON src = id),
+deep(id, d) AS (SELECT id, 0 FROM tree WHERE down IS NULL UNION ALL SELECT t.id, d + 1 FROM deep JOIN tree t ON t.down = deep.id),
+leveled AS (SELECT tree.*, d FROM tree JOIN deep ON deep.id = tree.id),
+ranked(id, down, d, o) AS (SELECT id, down, d, 1::BIGINT FROM leveled WHERE d = (SELECT max(d) FROM deep) UNION ALL
+  SELECT n.id, n.down, n.d, CASE WHEN max(r.o) IS NULL THEN 1 WHEN len(list(r.o)) > 1 AND list_reverse_sort(list(r.o))[1] = list_reverse_sort(list(r.o))[2] THEN max(r.o) + 1 ELSE max(r.o) END
+  FROM leveled n LEFT JOIN ranked r ON r.down = n.id WHERE n.d = (SELECT min(d) - 1 FROM ranked) GROUP BY n.id, n.down, n.d)"""
+
+
+@query(f"WITH RECURSIVE {CHANNEL_SQL}, {TREE_SQL} SELECT id, o::INT AS strahler_order FROM ranked")
 def strahler(spark, sf_dir):
     edges = materialize(channel_edges(spark, sf_dir), "edges")
     return graph.strahler(edges, channel_roots(edges)).withColumnRenamed("order", "strahler_order")
 
 
+ROUTE_SQL = f"""{CHANNEL_SQL}, {STEPS_SQL}, {TREE_SQL},
+sized AS (SELECT n.*, CASE o WHEN 1 THEN 0.4 WHEN 2 THEN 0.7 WHEN 3 THEN 1.0 ELSE 1.4 END::DOUBLE AS b, CASE o WHEN 1 THEN 0.3 WHEN 2 THEN 0.45 WHEN 3 THEN 0.6 ELSE 0.8 END::DOUBLE AS h
+  FROM leveled n JOIN ranked r ON r.id = n.id),
+dealt AS (SELECT start_min, id, down, d, mm / 1000 * 900 * 0.75 / 3600 * coalesce(acc, 1) AS local, CASE WHEN down IS NOT NULL THEN 1 / 0.035 * (b * h) * pow(b * h / (b + 2 * h), 2.0 / 3.0) * sqrt(0.01) END AS capacity
+  FROM sized, steps WHERE end_min IS NOT NULL),
+flow_down(start_min, id, down, d, local, capacity, upstream) AS (SELECT start_min, id, down, d, local, capacity, 0::DOUBLE FROM dealt WHERE d = (SELECT max(d) FROM deep) UNION ALL
+  SELECT n.start_min, n.id, n.down, n.d, n.local, n.capacity, coalesce(sum(least(f.local + f.upstream, f.capacity)), 0)::DOUBLE
+  FROM dealt n LEFT JOIN flow_down f ON f.down = n.id AND f.start_min = n.start_min WHERE n.d = (SELECT min(d) - 1 FROM flow_down) GROUP BY ALL),
+moved AS (SELECT start_min, id, local, upstream, local + upstream AS total, CASE WHEN down IS NULL THEN 0 ELSE least(local + upstream, capacity) END AS conveyed,
+  CASE WHEN down IS NULL THEN 0 ELSE greatest(0, local + upstream - least(local + upstream, capacity)) END AS overflow, CASE WHEN down IS NULL THEN local + upstream ELSE 0 END AS export FROM flow_down)"""
+FLOWS = ("local", "upstream", "total", "conveyed", "overflow", "export")
+
+
 def routed(spark, sf_dir) -> DataFrame:
     """Capacity-limited routing of every rain interval's captured water through the channels."""
     edges = materialize(channel_edges(spark, sf_dir), "edges")
@@ -278,18 +300,20 @@ def routed(spark, sf_dir) -> DataFrame:
     return graph.capacity_route(dealt.select("start_min", "id", "down", "capacity", "root", "local"), ["start_min"])
 
 
-@query(None)
+@query(f"WITH RECURSIVE {ROUTE_SQL} SELECT start_min, id, {', '.join(f'round({c}, 11) AS {c}' for c in FLOWS)} FROM moved")
 def capacity_route(spark, sf_dir):
-    return routed(spark, sf_dir)
+    return routed(spark, sf_dir).select("start_min", "id", *[F.round(c, 11).alias(c) for c in FLOWS])
 
 
-@query(f"WITH {STEPS_SQL} SELECT start_min, TRUE AS balanced, TRUE AS limited FROM steps WHERE end_min IS NOT NULL")
+@query(f"""WITH RECURSIVE {ROUTE_SQL} SELECT start_min, abs(sum(local) - sum(export) - sum(overflow)) <= greatest(1e-6, sum(local) * 1e-8) AS balanced,
+  min(least(conveyed, overflow, export)) >= 0 AS limited, count(*) FILTER (overflow > 1e-9) AS full_nodes FROM moved GROUP BY 1""")
 def capacity_balance(spark, sf_dir):
     """Per interval: local inflow = exports + overflows, and nothing negative."""
     r = routed(spark, sf_dir).groupBy("start_min").agg(
-        F.sum("local").alias("i"), F.sum("export").alias("e"), F.sum("overflow").alias("o"), F.min(F.least("conveyed", "overflow", "export")).alias("least")
+        F.sum("local").alias("i"), F.sum("export").alias("e"), F.sum("overflow").alias("o"), F.min(F.least("conveyed", "overflow", "export")).alias("least"),
+        F.count_if(F.col("overflow") > 1e-9).alias("full_nodes"),
     )
-    return r.select("start_min", E.within_tolerance(F.col("i") - F.col("e") - F.col("o"), F.col("i"), 1e-6).alias("balanced"), (F.col("least") >= 0).alias("limited"))
+    return r.select("start_min", E.within_tolerance(F.col("i") - F.col("e") - F.col("o"), F.col("i"), 1e-6).alias("balanced"), (F.col("least") >= 0).alias("limited"), "full_nodes")
 
 
 @query(f"""WITH RECURSIVE {CAPTURE_SQL}, {STEPS_SQL}, s AS (SELECT (SELECT sum(volume) FROM grid) AS g, (SELECT sum(t.volume) FROM total t JOIN cut c ON c.cell = t.cell WHERE c.captured) AS c,
@@ -339,7 +363,10 @@ def shortest_path(spark, sf_dir):
     return graph.shortest_paths(roads(spark, sf_dir), 0).select("id", F.round("distance", 6).alias("distance"))
 
 
-@query(None)
+@query(f"""WITH RECURSIVE {ROADS_SQL}, walk(start, id, d, k) AS (SELECT a, a, 0.0::DOUBLE, 0 FROM (SELECT DISTINCT a FROM hops) UNION ALL
+  SELECT start, b, min(d + w), k + 1 FROM walk JOIN hops ON a = id WHERE k < 24 GROUP BY start, b, k), paths AS (SELECT start, id, min(d) AS distance FROM walk GROUP BY 1, 2),
+one AS (SELECT id FROM paths WHERE start = 0 ORDER BY distance DESC, id DESC LIMIT 1)
+SELECT start AS "from", id AS "to", round(distance, 6) AS distance FROM paths WHERE start = (SELECT id FROM one) ORDER BY paths.distance DESC, id DESC LIMIT 1""")
 def farthest_pair(spark, sf_dir):
     edges = materialize(roads(spark, sf_dir), "roads")
     first = graph.farthest(graph.shortest_paths(edges, 0)).first()["id"]
