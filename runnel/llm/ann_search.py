@@ -9,7 +9,9 @@ measured anew in double precision on the original vectors.
 
 The centroids and the number of lists to probe come from a bounded sample (SAMPLE vectors, chosen by a hash of
 vec_id); every vector is indexed. A list that the sample shows to be large is dealt over several cells, so a list
-with a third of all vectors is no task of its own. Equal vectors are brought together before they are shuffled,
+with a third of all vectors is no task of its own. Cells go to groups in an order that keeps near lists together, so a
+query travels to few groups. Lists number twice the root of the vectors at most, up to MOST_LISTS and an eighth of the
+sample: beyond some millions of vectors the work of a query grows in proportion to the table. Equal vectors are brought together before they are shuffled,
 with their k+1 smallest ids: more of them cannot enter a result. Equal queries are searched once.
 """
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +42,9 @@ class Index:
     centroids: np.ndarray
     cells: np.ndarray  # of each list
     first_cell: np.ndarray
-    groups: int
+    group: np.ndarray  # of each cell
     probes: int
+    kind: type  # of the components
 
     def lists(self, x: np.ndarray, n: int) -> np.ndarray:
         """The n nearest lists of each (rotated) vector, nearest first."""
@@ -53,27 +57,38 @@ class Index:
 
 
 def rotate(x: np.ndarray, rotation: np.ndarray) -> np.ndarray:
-    return (x @ rotation).astype(np.float32)
+    return (x @ rotation).astype(rotation.dtype)
+
+
+def near_order(points: np.ndarray) -> np.ndarray:
+    """The points in an order that keeps near ones together: halved again and again along the widest dimension."""
+    if len(points) < 3:
+        return np.arange(len(points))
+    turn = np.argsort(points[:, np.argmax(np.ptp(points, axis=0))], kind="stable")
+    low, high = turn[: len(turn) // 2], turn[len(turn) // 2 :]
+    return np.r_[low[near_order(points[low])], high[near_order(points[high])]]
 
 
 def fit(sample: np.ndarray, total: int, k: int, recall: float, seed: int = 7) -> Index:
     """Rotation, centroids by k-means, cells, and the probes that reach ``recall`` among the sample itself.
 
-    Neighbours in a sample lie farther than in the whole, so they ask for more probes than the whole does.
+    Neighbours in a sample lie farther than in the whole, so they ask for more probes than the whole does. Small tables
+    probe more lists than the sample asks for, until those hold 20 times k vectors between them.
     """
     rng = np.random.default_rng(seed)
     dims = sample.shape[1]
-    rotation = np.linalg.qr(rng.standard_normal((dims, dims)))[0].astype(np.float32)
+    rotation = np.linalg.qr(rng.standard_normal((dims, dims)))[0].astype(sample.dtype)
     x = np.unique(rotate(sample, rotation), axis=0)
     n = int(max(1, min(MOST_LISTS, len(x) // 8, 2 * np.sqrt(total))))
     centroids = x[rng.choice(len(x), n, replace=False)]
-    index = Index(rotation, centroids, np.ones(n, int), np.arange(n), 1, n)
+    index = Index(rotation, centroids, np.ones(n, int), np.arange(n), np.zeros(n, int), n, sample.dtype.type)
     for _ in range(6):
         mine = index.lists(x, 1)[:, 0]
         size = np.bincount(mine, minlength=n)
         sums = np.zeros((n, dims))
         np.add.at(sums, mine, x)
-        index.centroids = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], index.centroids).astype(np.float32)
+        index.centroids = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], index.centroids).astype(sample.dtype)
+    index.centroids = index.centroids[near_order(index.centroids)]
     mine = index.lists(x, 1)[:, 0]
     asked = rng.choice(len(x), min(256, len(x)), replace=False)
     far = (x[asked] ** 2).sum(1)[:, None] + (x**2).sum(1) - 2 * x[asked] @ x.T
@@ -86,12 +101,14 @@ def fit(sample: np.ndarray, total: int, k: int, recall: float, seed: int = 7) ->
     share = np.bincount(index.lists(rotate(sample, rotation), 1)[:, 0], minlength=n) / len(sample)
     index.cells = np.maximum(1, np.ceil(share * total / CELL)).astype(np.int64)
     index.first_cell = np.cumsum(index.cells) - index.cells
-    index.groups = max(LEAST_GROUPS, -(-total // GROUP))
+    groups = max(LEAST_GROUPS, -(-total // GROUP))
+    held = np.repeat(share / index.cells, index.cells)  # share of all vectors that each cell is likely to hold
+    index.group = np.minimum((np.cumsum(held) - held) * groups, groups - 1).astype(np.int64)
     return index
 
 
-def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dims)
+def _matrix(column: pa.Array, dims: int, kind: type) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(-1, dims)
 
 
 def _digest(row: bytes) -> int:
@@ -109,9 +126,9 @@ def _deal_candidates(shared, dims: int, keep: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch["embedding"], dims) + np.float32(0)  # no negative zeros
+            x = _matrix(batch["embedding"], dims, index.kind) + index.kind(0)  # no negative zeros
             ids = batch["vec_id"].to_numpy()
-            rows = np.ascontiguousarray(x).view([("", np.void, dims * 4)]).ravel()
+            rows = np.ascontiguousarray(x).view([("", np.void, dims * x.itemsize)]).ravel()
             _, first, group = np.unique(rows, return_index=True, return_inverse=True)
             order = np.lexsort((ids, group))
             fresh = np.r_[True, (group[order][1:] != group[order][:-1]) | (ids[order][1:] != ids[order][:-1])]
@@ -124,7 +141,7 @@ def _deal_candidates(shared, dims: int, keep: int):
             cell = cell[group[order]]
             vectors = pa.array([x[i].tobytes() for i in order], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell % index.groups), pa.array(cell), pa.array(ids[order]), vectors], schema=_CANDIDATES
+                [pa.array(index.group[cell]), pa.array(cell), pa.array(ids[order]), vectors], schema=_CANDIDATES
             )
 
     return run
@@ -138,13 +155,13 @@ def _deal_queries(shared, dims: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch["embedding"], dims) + np.float32(0)
+            x = _matrix(batch["embedding"], dims, index.kind) + index.kind(0)
             probed = index.lists(rotate(x, index.rotation), index.probes)
             out_g, out_i = [], []
             for i, lists in enumerate(probed):
                 n = index.cells[lists]
                 cells = np.repeat(index.first_cell[lists], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                g = np.unique(cells % index.groups)
+                g = np.unique(index.group[cells])
                 out_g.append(g)
                 out_i.append(np.full(len(g), i))
             at = np.concatenate(out_i)
@@ -159,7 +176,7 @@ def scan(query: np.ndarray, blocks: list[np.ndarray], bound: float, epsilon: flo
     """Numbers of the candidates of one list that the tests leave. ``bound``: distance of the k-th best so far."""
     dims = len(query)
     live = np.arange(blocks[0].shape[1])
-    part = np.zeros(len(live), np.float32)
+    part = np.zeros(len(live), blocks[0].dtype)
     d = 0
     for block in blocks:
         rows = block if len(live) == block.shape[1] else block[:, live]
@@ -183,7 +200,7 @@ def _search_group(shared, dims: int, k: int, epsilon: float):
         index: Index = shared.value
         if not candidates.num_rows or not queries.num_rows:
             return _FOUND.empty_table()
-        x = np.frombuffer(b"".join(candidates["vector"].to_pylist()), np.float32).reshape(-1, dims)
+        x = np.frombuffer(b"".join(candidates["vector"].to_pylist()), index.kind).reshape(-1, dims)
         ids, cell = candidates["vec_id"].to_numpy(), candidates["cell"].to_numpy()
         order = np.argsort(cell, kind="stable")
         turned = rotate(x, index.rotation)
@@ -195,7 +212,7 @@ def _search_group(shared, dims: int, k: int, epsilon: float):
         by_list: dict[int, list[int]] = {}
         for c in cells:
             by_list.setdefault(int(list_of[c]), []).append(c)
-        q = np.frombuffer(b"".join(queries["vector"].to_pylist()), np.float32).reshape(-1, dims)
+        q = np.frombuffer(b"".join(queries["vector"].to_pylist()), index.kind).reshape(-1, dims)
         q_turned = rotate(q, index.rotation)
         probed = index.lists(q_turned, index.probes)
         out_ids, out_scores = [], []
@@ -223,11 +240,12 @@ def _search_group(shared, dims: int, k: int, epsilon: float):
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding of the rows that take part."""
-    e = F.col("embedding")
+    """vec_id and embedding of the rows that take part; components are floats, or doubles where they are of another type."""
+    kind = "float" if dict(vectors.dtypes)["embedding"] == "array<float>" else "double"
+    e = F.col("embedding").cast(f"array<{kind}>")
     bad = F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
     ok = F.col("vec_id").isNotNull() & (F.size(e) > 0) & ~bad & F.exists(e, lambda v: v != 0)
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<float>").alias("embedding")).filter(ok)
+    return vectors.filter(ok).select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("embedding"))
 
 
 RESULT = "query_id long, rank int, vec_id long, score double"
@@ -240,20 +258,26 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, recall: float =
     Rows with the query's vec_id are its own and no candidates. ``recall`` sets how many lists are probed,
     ``epsilon`` how sure a test must be to abandon a candidate.
 
-    Null, empty and zero vectors, those with a null or non-finite component, rows without vec_id, and vectors of
-    another length than the most frequent one take no part. Repeated rows count once as candidates. No usable row
-    gives an empty result. Other columns are not read.
+    Null, empty and zero vectors, those with a null or non-finite component, and rows without vec_id take no part. A
+    query is held against vectors of its own length; each length has its index. Repeated rows count once as
+    candidates. No usable row gives an empty result. Other columns are not read.
     """
-    spark: SparkSession = vectors.sparkSession
-    all_rows = usable(vectors)
-    lengths = all_rows.groupBy(F.size("embedding").alias("dims")).count().orderBy(F.desc("count"), "dims").limit(1).collect()
-    if not lengths:
-        return spark.createDataFrame([], RESULT)
-    dims, total = lengths[0]["dims"], lengths[0]["count"]
-    all_rows = all_rows.filter(F.size("embedding") == dims)
-    asked = usable(queries).filter(F.size("embedding") == dims)
+    rows, asked = usable(vectors), usable(queries)
+    if rows.schema["embedding"].dataType != asked.schema["embedding"].dataType:
+        rows, asked = (d.withColumn("embedding", F.col("embedding").cast("array<double>")) for d in (rows, asked))
+    size = F.size("embedding")
+    wanted = asked.select(size.alias("dims")).distinct()
+    lengths = rows.groupBy(size.alias("dims")).count().join(wanted, "dims").orderBy("dims").collect()  # a row for each length
+    parts = [_search_length(rows.filter(size == n["dims"]), asked.filter(size == n["dims"]), n["dims"], n["count"], k, recall, epsilon) for n in lengths]
+    return reduce(DataFrame.unionByName, parts) if parts else vectors.sparkSession.createDataFrame([], RESULT)
+
+
+def _search_length(all_rows: DataFrame, asked: DataFrame, dims: int, total: int, k: int, recall: float, epsilon: float) -> DataFrame:
+    """search() for vectors of one length."""
+    spark: SparkSession = all_rows.sparkSession
+    kind = np.float32 if dict(all_rows.dtypes)["embedding"] == "array<float>" else np.float64
     sample = all_rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()
-    index = fit(_matrix(sample["embedding"].combine_chunks(), dims), total, k, recall)
+    index = fit(_matrix(sample["embedding"].combine_chunks(), dims, kind), total, k, recall)
     shared = spark.sparkContext.broadcast(index)
 
     wanted = k + 1  # a query finds itself

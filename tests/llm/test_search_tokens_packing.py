@@ -208,6 +208,41 @@ def test_search_against_brute_force(spark):
     assert found >= 0.9 * 10 * len(want)
 
 
+def test_lengths_and_doubles_are_searched_exactly(spark):
+    """Doubles that are no floats, components beyond the range of floats, and two lengths, each by itself."""
+    rnd = np.random.default_rng(6)
+    rows = [(i, (rnd.standard_normal(12) * (1e100 if i < 300 else 1)).tolist()) for i in range(700)]
+    rows += [(1000 + i, rnd.standard_normal(5).tolist()) for i in range(300)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, score int")
+    got = defaultdict(list)
+    for r in A.search(df, df.filter(F.col("vec_id") % 100 == 0)).collect():
+        got[r.query_id].append((r.rank, r.score, r.vec_id))
+    of, found = dict(rows), 0
+    assert set(got) == {i for i in of if i % 100 == 0}
+    for q, hits in got.items():
+        hits.sort()
+        same = [i for i in of if len(of[i]) == len(of[q]) and i != q]
+        d = {i: float(np.sqrt(((np.array(of[i]) - np.array(of[q])) ** 2).sum())) for i in same}
+        want = sorted(same, key=lambda i: (d[i], i))[:10]
+        assert all(s == pytest.approx(d[v], rel=1e-14) for _, s, v in hits) and len(hits) == 10
+        found += len({v for _, _, v in hits} & set(want))
+    assert found >= 9 * len(got)
+
+
+def test_queries_travel_to_few_groups():
+    """Lists that are near each other share groups: a query of a clustered table is dealt to a small part of them."""
+    rnd = np.random.default_rng(7)
+    centres = rnd.standard_normal((60, 16)).astype(np.float32) * 5
+    x = (centres[rnd.integers(0, 60, 8000)] + rnd.standard_normal((8000, 16)) * 0.3).astype(np.float32)
+    index = A.fit(x, 2_000_000, 11, 0.985)
+    assert index.group.max() + 1 == 100 and (np.diff(index.group) >= 0).all()
+    probed = index.lists(A.rotate(x[:200], index.rotation), index.probes)
+    dealt = [len(np.unique(np.concatenate([index.group[index.first_cell[a] : index.first_cell[a] + index.cells[a]] for a in lists]))) for lists in probed]
+    assert np.mean(dealt) < 25
+    load = np.bincount(index.group, weights=np.repeat(np.bincount(index.lists(A.rotate(x, index.rotation), 1)[:, 0], minlength=len(index.cells)) / index.cells, index.cells))
+    assert load.max() < 3 * load.mean()
+
+
 def test_search_of_few(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.0], 0)], VECTORS)
     got = sorted(tuple(r) for r in A.search(df, df.filter("vec_id = 0")).collect())
