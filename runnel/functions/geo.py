@@ -127,23 +127,86 @@ def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column,
     return F.sqrt(ex * ex + ey * ey)
 
 
+def segments(part: Column) -> Column:
+    """array<struct<ax,ay,bx,by>> of a line or a closed ring."""
+    n = F.greatest(F.size(part) - 1, F.lit(0))
+    return F.zip_with(
+        F.slice(part, F.lit(1), n), F.slice(part, F.lit(2), n),
+        lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")),
+    )
+
+
 def midpoint(part: Column) -> Column:
-    """The point half way along a line."""
+    """The point half way along a line; null for a line without points."""
+
+    def step(s: Column, e: Column) -> Column:
+        d = F.sqrt((e["bx"] - e["ax"]) * (e["bx"] - e["ax"]) + (e["by"] - e["ay"]) * (e["by"] - e["ay"]))
+        done, here = s["rest"] < 0, s["rest"] <= d
+        t = F.coalesce(F.try_divide(s["rest"], d), F.lit(0.0))
+        rest = F.when(done, s["rest"]).when(here, -1.0).otherwise(s["rest"] - d)
+        at = [F.when(done, s[k]).when(here, e["a" + k] + (e["b" + k] - e["a" + k]) * t).otherwise(e["b" + k]).alias(k) for k in ("x", "y")]
+        return F.struct(rest.alias("rest"), *at)
+
+    first = F.try_element_at(part, F.lit(1))
+    start = F.struct((part_length(part) / 2).alias("rest"), first["x"].alias("x"), first["y"].alias("y"))
+    return F.when(F.size(part) > 0, F.aggregate(segments(part), start, step, lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y"))))
+
+
+def segments_meet(p: Column, q: Column) -> Column:
+    """Whether two segments have a point in common, ends included."""
+
+    def side(a: Column, x: Column, y: Column) -> Column:
+        return (a["bx"] - a["ax"]) * (y - a["ay"]) - (a["by"] - a["ay"]) * (x - a["ax"])
+
+    def apart(k: str) -> Column:
+        a, b = (F.struct(F.least(s["a" + k], s["b" + k]).alias("low"), F.greatest(s["a" + k], s["b" + k]).alias("high")) for s in (p, q))
+        return (a["high"] < b["low"]) | (b["high"] < a["low"])
+
+    across = (side(p, q["ax"], q["ay"]) * side(p, q["bx"], q["by"]) <= 0) & (side(q, p["ax"], p["ay"]) * side(q, p["bx"], p["by"]) <= 0)
+    return ~apart("x") & ~apart("y") & across
+
+
+def in_parts(x: Column, y: Column, parts: Column) -> Column:
+    """Inside an odd number of rings."""
+    return F.size(F.filter(parts, lambda ring: in_ring(x, y, ring))) % 2 == 1
+
+
+def parts_meet(a: Column, b: Column) -> Column:
+    """Whether two polygons, each an array of rings, have a point in common: edges meet, or one lies in the other."""
+    edges_a, edges_b = (F.flatten(F.transform(parts, segments)) for parts in (a, b))
+    crossing = F.exists(edges_a, lambda p: F.exists(edges_b, lambda q: segments_meet(p, q)))
+
+    def inner(inside: Column, outside: Column) -> Column:
+        return F.exists(inside, lambda ring: F.coalesce(in_parts(ring[0]["x"], ring[0]["y"], outside), F.lit(False)))
+
+    return crossing | inner(a, b) | inner(b, a)
+
+
+def leaves_ring(part: Column, ring: list[tuple[float, float]], tolerance: float) -> Column:
+    """Whether any piece of a line lies outside a ring by more than ``tolerance``, vertices and what lies between them.
+
+    A segment is cut where it crosses the ring; a piece between two cuts is wholly inside or wholly outside.
+    """
+    corners = F.array(*[point(F.lit(x), F.lit(y)) for x, y in ring])
+    edges = list(zip(ring[:-1], ring[1:], strict=True))
+
+    def outside(x: Column, y: Column) -> Column:
+        near = [segment_distance(x, y, F.lit(a[0]), F.lit(a[1]), F.lit(b[0]), F.lit(b[1])) for a, b in edges]
+        return ~in_ring(x, y, corners) & (F.least(*near) > tolerance if len(near) > 1 else near[0] > tolerance)
+
+    def strays(s: Column) -> Column:
+        dx, dy = s["bx"] - s["ax"], s["by"] - s["ay"]
 
-    def walk(points: list) -> dict | None:
-        p = np.array([(q["x"], q["y"]) for q in points], float).reshape(-1, 2)
-        if not len(p):
-            return None
-        step = np.hypot(*np.diff(p, axis=0).T)
-        half, upto = step.sum() / 2, np.r_[0.0, np.cumsum(step)]
-        return {"x": float(np.interp(half, upto, p[:, 0])), "y": float(np.interp(half, upto, p[:, 1]))}
+        def cut(e: Column) -> Column:
+            ex, ey = e["bx"] - e["ax"], e["by"] - e["ay"]
+            return F.try_divide((e["ax"] - s["ax"]) * ey - (e["ay"] - s["ay"]) * ex, dx * ey - dy * ex)
 
-    @F.pandas_udf(POINT)
-    def run(parts: pd.Series) -> pd.DataFrame:
-        found = [walk(p) if p is not None else None for p in parts]
-        return pd.DataFrame({k: [f[k] if f else None for f in found] for k in ("x", "y")}, dtype=float)
+        cuts = F.filter(F.transform(segments(corners), cut), lambda t: (t > 0) & (t < 1))
+        ts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts))
+        mids = F.zip_with(F.slice(ts, F.lit(1), F.size(ts) - 1), F.slice(ts, F.lit(2), F.size(ts) - 1), lambda a, b: (a + b) / 2)
+        return F.exists(F.concat(ts, mids), lambda t: outside(s["ax"] + dx * t, s["ay"] + dy * t))
 
-    return run(part)
+    return F.exists(segments(part), strays)
 
 
 def clip_line(part: np.ndarray, ring: np.ndarray) -> list[np.ndarray]:
@@ -196,25 +259,20 @@ def clipped(geometry: Column, ring: list[tuple[float, float]]) -> Column:
 
 
 def touched_cells(part: Column, x0: float, y0: float, dx: float, dy: float) -> Column:
-    """array<struct<row,col>> of all cells a line touches, by walking from one cell border to the next."""
-
-    def walk(points: list) -> list[dict]:
-        seen: dict[tuple[int, int], None] = {}
-        at = [((q["x"] - x0) / dx, (y0 - q["y"]) / dy) for q in points]
-        for (ax, ay), (bx, by) in zip(at, at[1:] or at, strict=False):
-            ts = [0.0, 1.0]
-            for u, v in ((ax, bx), (ay, by)):
-                if u != v:
-                    low, high = sorted((u, v))
-                    ts += [(k - u) / (v - u) for k in range(math.ceil(low), math.floor(high) + 1)]
-            ts = sorted(t for t in set(ts) if 0 <= t <= 1)
-            for s, f in zip(ts, ts[1:] or ts, strict=False):
-                m = (s + f) / 2
-                seen[math.floor(ay + (by - ay) * m), math.floor(ax + (bx - ax) * m)] = None
-        return [{"row": r, "col": c} for r, c in seen]
-
-    @F.pandas_udf("array<struct<row:int,col:int>>")
-    def run(parts: pd.Series) -> pd.Series:
-        return pd.Series([walk(p) if p is not None else [] for p in parts])
-
-    return run(part)
+    """array<struct<row,col>> of all cells a line touches: each segment is cut at the cell borders it crosses."""
+
+    def borders(u: Column, v: Column) -> Column:
+        low, high = F.ceil(F.least(u, v)), F.floor(F.greatest(u, v))
+        some = (u != v) & (low <= high)
+        between = F.sequence(F.when(some, low).otherwise(0), F.when(some, high).otherwise(0))
+        return F.when(some, F.transform(between, lambda k: (k - u) / (v - u))).otherwise(F.array().cast("array<double>"))
+
+    def cells(s: Column) -> Column:
+        ax, ay, bx, by = (s["ax"] - x0) / dx, (y0 - s["ay"]) / dy, (s["bx"] - x0) / dx, (y0 - s["by"]) / dy
+        cuts = F.filter(F.concat(F.array(F.lit(0.0), F.lit(1.0)), borders(ax, bx), borders(ay, by)), lambda t: (t >= 0) & (t <= 1))
+        ts = F.array_sort(F.array_distinct(cuts))
+        mids = F.zip_with(F.slice(ts, F.lit(1), F.size(ts) - 1), F.slice(ts, F.lit(2), F.size(ts) - 1), lambda a, b: (a + b) / 2)
+        return F.transform(mids, lambda t: F.struct(F.floor(ay + (by - ay) * t).cast("int").alias("row"), F.floor(ax + (bx - ax) * t).cast("int").alias("col")))
+
+    line = F.when(F.size(part) == 1, F.concat(part, part)).otherwise(part)
+    return F.coalesce(F.array_distinct(F.flatten(F.transform(segments(line), cells))), F.array().cast("array<struct<row:int,col:int>>"))

@@ -13,6 +13,7 @@ from runnel.operators import graph, grid
 from runnel.operators import relational as R
 from runnel.operators.spatial import MAPPING_STATUS
 from runnel.schema import PROVENANCE, require_columns
+from runnel.staging import materialize
 
 
 def report(df: DataFrame, metrics: list[tuple[str, Column, str]]) -> DataFrame:
@@ -83,12 +84,31 @@ def alignment(meta: DataFrame, tolerance: float = 1e-6) -> DataFrame:
 
 
 def surface_features(features: DataFrame, aoi: DataFrame) -> DataFrame:
-    """V5: usable, area, and features whose bounds miss the area's."""
-    box = aoi.select(G.bounds(F.col("geometry")).alias("a")).agg(F.min("a.min_x").alias("x0"), F.min("a.min_y").alias("y0"), F.max("a.max_x").alias("x1"), F.max("a.max_y").alias("y1"))
-    b = G.bounds(F.col("geometry"))
-    misses = (b["max_x"] < F.col("x0")) | (b["min_x"] > F.col("x1")) | (b["max_y"] < F.col("y0")) | (b["min_y"] > F.col("y1"))
+    """V5: usable, area, and features that have no point in common with any polygon of the area (not with its bounds).
+
+    An area has few polygons; a feature meets only those whose bounds meet its own, by tiles of the area's mean size.
+    """
+    areas = aoi.filter("geometry is not null").select(F.col("geometry.parts").alias("area"), G.bounds(F.col("geometry")).alias("a"))
+    span = F.greatest(F.avg(F.col("a.max_x") - F.col("a.min_x")), F.avg(F.col("a.max_y") - F.col("a.min_y")), F.lit(1e-9))
+    size = areas.agg(span.alias("side"))
+
+    def tiles(rows: DataFrame, box: str) -> DataFrame:
+        at = rows.crossJoin(F.broadcast(size))
+        for k, axis in (("tx", "x"), ("ty", "y")):
+            ends = [F.floor(F.col(f"{box}.{end}_{axis}") / F.col("side")) for end in ("min", "max")]
+            at = at.withColumn(k, F.explode(F.sequence(*ends)))
+        return at.drop("side")
+
+    marked = features.withColumn("_id", F.monotonically_increasing_id())
+    marked = materialize(marked, "features")
+    own = marked.filter("geometry is not null").select("_id", F.col("geometry.parts").alias("own"), G.bounds(F.col("geometry")).alias("b"))
+    pairs = tiles(own, "b").join(tiles(areas, "a"), ["tx", "ty"])
+    meet = (F.col("a.min_x") <= F.col("b.max_x")) & (F.col("b.min_x") <= F.col("a.max_x")) & (F.col("a.min_y") <= F.col("b.max_y")) & (F.col("b.min_y") <= F.col("a.max_y"))
+    hits = pairs.filter(meet).filter(G.parts_meet(F.col("own"), F.col("area"))).select("_id", F.lit(True).alias("_in")).distinct()
+    marked = marked.join(hits, "_id", "left")
+    misses = F.col("geometry").isNotNull() & F.col("_in").isNull()
     ring = F.aggregate(F.transform("geometry.parts", G.ring_area), F.lit(0.0), lambda s, d: s + d)
-    return report(features.crossJoin(F.broadcast(box)), [
+    return report(marked, [
         ("features", F.count(F.lit(1)), "v > 0"), ("unusable_geometry", _none(~G.is_usable(F.col("geometry"))), "v = 0"),
         ("outside", F.count_if(misses), "v = 0"), ("area", F.sum(ring), ""),
     ])
@@ -146,14 +166,7 @@ def lines(df: DataFrame, key: str, needed: list[str], ring: list[tuple[float, fl
         ("length_differs", _none(F.abs(G.length(F.col("geometry")) - F.col("length_m")) > 1.0), "v = 0"),
     ]
     if ring:
-        points = F.array(*[G.point(F.lit(x), F.lit(y)) for x, y in ring])
-
-        def outside(p: Column) -> Column:
-            edges = zip(ring[:-1], ring[1:], strict=True)
-            near = F.least(*[G.segment_distance(p["x"], p["y"], F.lit(a[0]), F.lit(a[1]), F.lit(b[0]), F.lit(b[1])) for a, b in edges])
-            return ~G.in_ring(p["x"], p["y"], points) & (near > tolerance)
-
-        rows.append(("outside_area", F.count_if(F.exists(F.flatten("geometry.parts"), outside)), "v = 0"))
+        rows.append(("outside_area", F.count_if(F.exists("geometry.parts", lambda part: G.leaves_ring(part, ring, tolerance))), "v = 0"))
     return report(once, rows)
 
 

@@ -65,6 +65,9 @@ LOTS_SQL = f"""WITH {GRID_SQL}, lots AS (SELECT cell, p_size, 30.0 * col AS x0,
 ok AS (SELECT *, CASE WHEN has THEN x0 END AS gx0, CASE WHEN has THEN y0 END AS gy0, CASE WHEN has THEN CASE WHEN wide THEN x1 ELSE x0 END END AS gx1, CASE WHEN has THEN CASE WHEN wide THEN y1 ELSE y0 END END AS gy1 FROM lots)"""
 
 
+AREAS_SQL = "SELECT 30.0 * col - 10 AS a, 30.0 * col + 65 AS c, -30.0 * row - 10 AS b, -30.0 * row + 40 AS d FROM grid WHERE p_size = 50"
+
+
 def lots(spark, sf_dir) -> DataFrame:
     cells = grid.grid_from_parts(spark, sf_dir).join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("cell"), "p_size"), "cell")
     x0, y0 = F.col("col") * 30.0, F.col("row") * -30.0
@@ -82,14 +85,17 @@ def v02_area(spark, sf_dir):
     return shown(checks.area(lots(spark, sf_dir)))
 
 
-@query(metrics_sql(LOTS_SQL + ", box AS (SELECT min(gx0) AS a, min(gy0) AS b, max(gx1) AS c, max(gy1) AS d FROM ok WHERE p_size = 50)", "ok, box", [
+@query(metrics_sql(LOTS_SQL + f", areas AS ({AREAS_SQL})", "ok", [
     ("features", "count(*)", SOME), ("unusable_geometry", "count(*) FILTER (NOT has OR NOT wide)", NONE),
-    ("outside", "count(*) FILTER (gx1 < a OR gx0 > c OR gy1 < b OR gy0 > d)", NONE), ("area", "sum((gx1 - gx0) * (gy1 - gy0))", ""),
+    ("outside", "count(*) FILTER (has AND NOT EXISTS (SELECT 1 FROM areas WHERE gx0 <= c AND gx1 >= a AND gy0 <= d AND gy1 >= b))", NONE), ("area", "sum((gx1 - gx0) * (gy1 - gy0))", ""),
 ]))
 def v05_surface_features(spark, sf_dir):
-    """Against the bounds of the lots of the largest parts."""
-    all_lots = lots(spark, sf_dir)
-    return shown(checks.surface_features(all_lots, all_lots.filter("p_size = 50")))
+    """Against a block of three by two cells for each of the largest parts."""
+    x0, y0 = F.col("col") * 30.0 - 10, F.col("row") * -30.0 - 10
+    ring = F.array(G.point(x0, y0), G.point(x0 + 75, y0), G.point(x0 + 75, y0 + 50), G.point(x0, y0 + 50), G.point(x0, y0))
+    cells = grid.grid_from_parts(spark, sf_dir).join(table(spark, sf_dir, "part").filter("p_size = 50").select(F.col("p_partkey").alias("cell")), "cell")
+    areas = cells.select(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("parts")).alias("geometry"))
+    return shown(checks.surface_features(lots(spark, sf_dir), areas))
 
 
 # --- V3, V4: rasters ---

@@ -1,5 +1,7 @@
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +96,47 @@ def test_polygon_with_hole(spark):
     g = F.struct(F.lit("Polygon").alias("type"), F.array(ring(0, 10), ring(4, 6)).alias("parts"))
     r = one(spark, a=G.in_polygon(F.lit(1.0), F.lit(1.0), g), b=G.in_polygon(F.lit(5.0), F.lit(5.0), g), c=G.in_polygon(F.lit(11.0), F.lit(1.0), g), s=G.ring_area(g["parts"][0]))
     assert tuple(r) == (True, False, False, 100.0)
+
+
+def test_midpoints_and_cells_of_odd_lines(spark):
+    rnd = random.Random(9)
+    rows = [(i, [(rnd.uniform(-50, 50), rnd.uniform(-50, 50)) for _ in range(rnd.randrange(1, 6))]) for i in range(60)]
+    rows += [(100, [(3.0, 4.0), (3.0, 4.0)]), (101, []), (102, None), (103, [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0)]), (104, [(-5.0, 5.0), (5.0, 5.0)])]
+    df = spark.createDataFrame(rows, "id long, part array<struct<x:double,y:double>>")
+    got = {r.id: r for r in df.select("id", G.midpoint(F.col("part")).alias("mid"), G.touched_cells(F.col("part"), -60.0, 60.0, 7.0, 5.0).alias("cells")).collect()}
+    for i, points in rows:
+        if not points:
+            assert got[i].mid is None and got[i].cells == []
+            continue
+        p = np.array(points, float)
+        step = np.r_[0.0, np.cumsum(np.hypot(*np.diff(p, axis=0).T))] if len(p) > 1 else np.zeros(1)
+        want = [np.interp(step[-1] / 2, step, p[:, k]) for k in (0, 1)] if step[-1] else p[0]
+        assert np.allclose([got[i].mid.x, got[i].mid.y], want), i
+        cells = {(c.row, c.col) for c in got[i].cells}
+        for t in np.linspace(0.0005, 0.9995, 800):
+            x, y = (np.interp(t * step[-1], step, p[:, k]) if step[-1] else p[0, k] for k in (0, 1))
+            assert (int(np.floor((60 - y) / 5)), int(np.floor((x + 60) / 7))) in cells
+        assert len(cells) <= 4 * (abs(np.diff(p, axis=0)).sum() / 5 + len(p))
+
+
+def test_lines_that_leave_a_concave_area(spark):
+    """All vertices lie in the U, but one line crosses its notch; another strays by less than the tolerance."""
+    ring = [(0, 0), (30, 0), (30, 30), (20, 30), (20, 10), (10, 10), (10, 30), (0, 30), (0, 0)]
+    lines = {"in": [(5, 5), (25, 5)], "notch": [(5, 25), (25, 25)], "rim": [(5, -0.04), (25, -0.04)], "out": [(5, 5), (5, 40)], "round": [(5, 25), (5, 5), (25, 5), (25, 25)]}
+    df = spark.createDataFrame([(k, [(float(x), float(y)) for x, y in v]) for k, v in lines.items()], "id string, part array<struct<x:double,y:double>>")
+    got = {r.id: r.gone for r in df.select("id", G.leaves_ring(F.col("part"), ring, 0.05).alias("gone")).collect()}
+    assert got == {"in": False, "notch": True, "rim": False, "out": True, "round": False}
+
+
+def test_polygons_that_meet(spark):
+    box = lambda x, y, w, h: [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]
+    area = [box(0, 0, 30, 30), box(10, 10, 10, 10)]  # the second ring is a hole
+    cases = {"inside": (box(2, 2, 3, 3), True), "in the hole": (box(12, 12, 3, 3), False), "across the hole": (box(8, 12, 4, 2), True), "around": (box(-5, -5, 50, 50), True), "beside": (box(31, 0, 5, 5), False), "touches": (box(30, 5, 5, 5), True)}
+    corner = [(40, -20), (60, 5), (29, 40), (60, 60), (40, -20)]  # its bounds meet the area's, it does not
+    cases["bounds only"] = ([(28, 45), (45, 28), (45, 45), (28, 45)], False)
+    cases["crosses by edges"] = (corner, False)
+    schema = "id string, a array<array<struct<x:double,y:double>>>, b array<array<struct<x:double,y:double>>>"
+    real = lambda rings: [[(float(x), float(y)) for x, y in r] for r in rings]
+    df = spark.createDataFrame([(k, real([r]), real(area)) for k, (r, _) in cases.items()], schema)
+    got = {r.id: (r.m, r.n) for r in df.select("id", G.parts_meet(F.col("a"), F.col("b")).alias("m"), G.parts_meet(F.col("b"), F.col("a")).alias("n")).collect()}
+    assert got == {k: (want, want) for k, (_, want) in cases.items()}
