@@ -10,10 +10,10 @@ from dataclasses import dataclass, field
 BLOCK = frozenset(
     "address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p "
-    "pre search section summary table tbody td tfoot th thead title tr ul".split()
+    "pre search section summary table tbody td tfoot th thead title tr ul xmp".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe noembed noframes svg math object canvas audio video textarea select xmp".split())
+RAW = frozenset("script style noscript template iframe noembed noframes svg object canvas audio video textarea select annotation annotation-xml".split())
 #: A start tag of the key closes an open element of these names, up to the nearest of the others.
 _P_ENDS = frozenset(("p",))
 CLOSES = {
@@ -64,8 +64,8 @@ def _names(attributes: str) -> frozenset[str]:
 def blocks(page: str) -> list[Block]:
     """All leaf blocks in page order. References are decoded, white space inside a block is one space, empty ones go.
 
-    Comments, declarations and the content of scripts, styles, embedded objects and form fields are no text. Missing
-    end tags are put in where the standard does (p, li, dt, dd, tr, td, th, option); a stray end tag is passed over.
+    Comments, declarations and the content of scripts, styles, embedded objects, form fields and noscript (which a
+    browser does not show) are no text; the symbols of math are, and xmp holds text as it stands. Missing end tags are put in where the standard does (p, li, dt, dd, tr, td, th, option); a stray end tag is passed over.
     """
     out: list[Block] = []
     stack: list[_Open] = []
@@ -137,6 +137,14 @@ def blocks(page: str) -> list[Block]:
             close(_P_ENDS, ("td", "th", "table", "body"))
         if tag in CLOSES:
             close(*CLOSES[tag])
+        if tag == "xmp":
+            stop = re.compile(r"</xmp\b[^>]*>", re.I).search(page, at)
+            parts.append(page[at : stop.start() if stop else n])
+            stack.append(_Open(tag, _names(m[3])))
+            flush()
+            stack.pop()
+            at = stop.end() if stop else n
+            continue
         if tag not in VOID and not (tag in ("html", "body") and any(e.tag == tag for e in stack)):
             stack.append(_Open(tag, _names(m[3])))
     flush()

@@ -17,7 +17,10 @@ from pyspark.sql import DataFrame
 
 from runnel.llm.html_blocks import HEADINGS, Block, blocks
 from runnel.llm.html_pages import labelled_pages
+from runnel.llm.text_arrays import pieces
 
+#: Bytes of pages that a Python worker holds as text at once.
+PIECE = 8 << 20
 #: Pages that the field is fitted on, and passes over them.
 TRAIN_PAGES, PASSES = 1400, 8
 
@@ -146,7 +149,7 @@ def extract(pages: DataFrame, crf: Field | None = None) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, PIECE, "html"):
             texts = [main_text(h, shared.value) if h else "" for h in batch["html"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
