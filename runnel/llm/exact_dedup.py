@@ -213,12 +213,19 @@ def exact_dedup(documents: DataFrame, history_upto: int | None = None) -> DataFr
 
 
 def survivors(documents: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns: per text the row with the largest doc_id.
+    """The documents that stay, with all their columns: one row of each text, that with the largest doc_id.
 
-    doc_id is taken to name a document; rows without one always stay.
+    Rows are told apart by doc_id and text, so of two texts under one doc_id each is judged by itself. Of rows that
+    repeat both, and of a text whose rows have no doc_id at all, one row stays; which one is open where other columns differ.
     """
-    gone = exact_dedup(documents).filter("not kept").select("doc_id")
-    return documents.join(gone, "doc_id", "left_anti").select(documents.columns)
+    columns = documents.columns
+    judged = exact_dedup(documents).filter("group_size > 1").groupBy("text_sha256").agg(F.max("keep_id").alias("keep_id"))
+    judged = judged.select(F.col("text_sha256").alias("_sha"), F.struct(F.col("keep_id").alias("id")).alias("_keep"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    rows = documents.select(F.struct(*columns).alias("_row"), digest.alias("_sha")).join(judged, "_sha", "left")
+    single = rows.filter("_keep is null").select("_row.*")
+    rest = rows.filter(F.col("_keep").isNotNull() & F.col("_keep.id").eqNullSafe(F.col("_row.doc_id")))
+    return single.unionByName(rest.groupBy("_sha").agg(F.first("_row").alias("_row")).select("_row.*"))
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -46,6 +46,15 @@ def test_exact_dedup_of_nothing_and_survivors(spark):
     assert sorted(tuple(r) for r in D.survivors(df).collect()) == [(2, "a", 5), (3, "b", 6)]
 
 
+def test_survivors_are_told_apart_by_id_and_text(spark):
+    """Two texts under one id, repeated rows, rows without id or text, columns that clash with those of the plan."""
+    rows = [(1, "a", 4), (1, "b", 5), (2, "b", 6), (7, "c", 7), (7, "c", 7), (None, "c", 8), (None, "d", 9), (None, "d", 9), (None, None, 1), (4, "", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _sha int")
+    got = sorted((tuple(r) for r in D.survivors(df).collect()), key=str)
+    assert got == sorted([(1, "a", 4), (2, "b", 6), (7, "c", 7), (None, "d", 9), (4, "", 2)], key=str)
+    assert D.survivors(df).columns == df.columns and D.survivors(df.limit(0)).count() == 0
+
+
 CHAT = "conv_id long, turn long, role string, text string, formatted int"
 
 
@@ -91,6 +100,41 @@ def test_weights_make_inclusion_unequal(spark):
     assert taken[3.0] > 2 * taken[0.5] > 0 and taken[None] == taken[-1.0] == 0
 
 
+def test_levels_meet_the_target_under_the_cap(spark):
+    """Heavy documents reach the cap, the others share the rest; words come near the target all the same."""
+    rows = [(i, "ab"[i % 2], "w " * (i % 7 + 1), 0, float(2 ** (i % 5))) for i in range(900)] + [(1000, "a", None, 0, 1.0), (1001, "a", "", 0, None)]
+    df = spark.createDataFrame(rows, MIX)
+    for share in (0.3, 1.2, 1.9, 2.0):
+        got = M.mix_sources(df, weights=(1, 1), share=share, document_weight="w").collect()
+        for source in "ab":
+            mine = [r for r in got if r.source == source]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= 3.5 + 1e-9
+            full = [r for r in mine if r.size]
+            per = [sum(r.taken for r in full if rows[r.doc_id][4] == w) / sum(r.size for r in full if rows[r.doc_id][4] == w) for w in (1.0, 4.0, 16.0)]
+            assert per == sorted(per) and (per[0] < per[2] or share == 2.0) and per[2] <= 2
+
+
+def test_pareto_ranks_take_by_odds(spark):
+    """The documents taken are those of the smallest u / (1 - u) * (1 - p) / p, as sorted here."""
+    rows = [(i, "a", "w " * 10, 0, [1.0, 2.0, 4.0][i % 3]) for i in range(300)]
+    got = {r.doc_id: r.copies for r in M.mix_sources(spark.createDataFrame(rows, MIX), share=0.4, weights=(1,), document_weight="w").collect()}
+    mean = sum(r[4] for r in rows) / 300
+    rank = {}
+    for i, _, _, _, w in rows:
+        u = int(hashlib.md5(f"mix|{i}".encode()).hexdigest()[:13], 16) / 2**52
+        p = 0.4 * w / mean
+        rank[i] = u / (1 - u) * (1 - p) / p
+    assert {i for i, c in got.items() if c} == set(sorted(rank, key=rank.get)[:120]) and max(got.values()) == 1
+
+
+def test_many_sources_are_joined_on_salts(spark, monkeypatch):
+    rows = [(i, [None, "a", "b", "c"][i % 4], "w " * (i % 9), 0, 1.0) for i in range(400)]
+    df = spark.createDataFrame(rows, MIX)
+    want = sorted(map(str, M.mix_sources(df).collect()))
+    monkeypatch.setattr(M, "BROADCAST_SOURCES", 2)
+    assert sorted(map(str, M.mix_sources(df).collect())) == want
+
+
 def test_mix_of_nothing_and_documents(spark):
     assert M.mix_sources(spark.createDataFrame([], MIX)).count() == 0
     df = spark.createDataFrame([(i, "a", "w " * 10, i, 1.0) for i in range(20)], MIX)
