@@ -48,20 +48,63 @@ def accumulate(cells: DataFrame, values: list[str], key: str = "cell", down: str
     return state.select(F.col("k").alias(key), *values)
 
 
-def roots(cells: DataFrame, key: str = "cell", down: str = "down") -> DataFrame:
-    """(key, root, depth): the outlet each cell drains to and the number of steps to it."""
-    state = cells.select(F.col(key).alias("k"), F.col(down).alias("j"))
-    state = materialize(state.select("k", F.coalesce("j", "k").alias("r"), F.col("j").isNotNull().cast("long").alias("d")), "roots")
+def roots(cells: DataFrame, key: str = "cell", down: str = "down", length: str | None = None) -> DataFrame:
+    """(key, root, depth): the outlet each cell drains to and the number of steps to it, with ``length`` its length too.
+
+    ``length`` is the column of a step's length. Cells that have reached their outlet are set aside: a round writes the
+    others only.
+    """
+    size = F.coalesce(F.col(length).cast("double"), F.lit(0.0)) if length else F.lit(0.0)
+    state = cells.select(F.col(key).alias("k"), F.col(down).alias("j"), size.alias("l"))
+    state = state.select("k", F.coalesce("j", "k").alias("r"), F.col("j").isNotNull().cast("long").alias("d"), F.when(F.col("j").isNotNull(), F.col("l")).otherwise(0.0).alias("l"))
+    state = materialize(state, "roots")
+    done, active = state.filter("d = 0"), state.filter("d > 0")
     for _ in range(_rounds(state.count())):
-        up = state.select(F.col("k").alias("r"), F.col("r").alias("rr"), F.col("d").alias("dd"))
-        moved = state.join(up, "r").select("k", F.col("rr").alias("r"), (F.col("d") + F.col("dd")).alias("d"), (F.col("dd") > 0).alias("m"))
+        if active.isEmpty():
+            out = [F.col("k").alias(key), F.col("r").alias("root"), F.col("d").alias("depth")]
+            return done.select(*out, *([F.col("l").alias(length)] if length else []))
+        up = done.union(active).select(F.col("k").alias("r"), F.col("r").alias("rr"), F.col("d").alias("dd"), F.col("l").alias("ll"))
+        moved = active.join(up, "r").select("k", F.col("rr").alias("r"), (F.col("d") + F.col("dd")).alias("d"), (F.col("l") + F.col("ll")).alias("l"), (F.col("dd") > 0).alias("m"))
         moved = materialize(moved, "roots")
-        state = moved.select("k", "r", "d")
-        if moved.filter("m").isEmpty():
-            return state.select(F.col("k").alias(key), F.col("r").alias("root"), F.col("d").alias("depth"))
+        done, active = done.union(moved.filter("not m").drop("m")), moved.filter("m").drop("m")
     raise CycleError(cycle_cells(cells, key, down).count())
 
 
+def longest_flow_path(edges: DataFrame) -> DataFrame:
+    """(source, sink, length): the longest way down a drainage forest, from a source to its sink; one row, none if empty.
+
+    edges: src, dst, length; a node has one edge down at most, the shortest of parallel ones counts. Among equals the
+    first source by name is taken.
+    """
+    one = edges.groupBy("src", "dst").agg(F.min("length").alias("length"))
+    nodes = one.select(F.col("src").alias("id")).union(one.select("dst")).distinct()
+    tree = materialize(nodes.join(one.select(F.col("src").alias("id"), F.col("dst").alias("down"), "length"), "id", "left"), "tree")
+    sources = one.select(F.col("src").alias("id")).distinct().join(one.select(F.col("dst").alias("id")).distinct(), "id", "left_anti")
+    found = roots(tree, "id", "down", "length").join(sources, "id")
+    longest = found.agg(F.max("length").alias("length"))
+    ends = found.join(F.broadcast(longest), "length").select(F.col("id").alias("source"), F.col("root").alias("sink"), "length")
+    return ends.agg(F.min(F.struct("source", "sink", "length")).alias("m")).filter("m is not null").select("m.*")
+
+
+def flow_path(tree: DataFrame, start, key: str = "id", down: str = "down") -> DataFrame:
+    """(key, step) of the nodes from ``start`` down to its outlet, by doubling: log2 of the path's length rounds."""
+    hop = materialize(tree.select(F.col(key).alias("k"), F.col(down).alias("j")), "hops")
+    kind = dict(tree.dtypes)[key]
+    seen = materialize(tree.sparkSession.range(1).select(F.lit(start).cast(kind).alias("k"), F.lit(0).cast("long").alias("step")), "path")
+    span = 1
+    while True:
+        new = seen.join(hop.filter("j is not null"), "k").select(F.col("j").alias("k"), (F.col("step") + span).alias("step"))
+        new = materialize(new, "path")
+        if new.isEmpty():
+            return seen.select(F.col("k").alias(key), "step")
+        if span > 1 << 62:
+            raise CycleError(cycle_cells(tree, key, down).count())
+        seen = materialize(seen.union(new), "path")
+        span *= 2
+        next_hop = hop.select(F.col("k").alias("j"), F.col("j").alias("jj"))
+        hop = materialize(hop.join(next_hop, "j", "left").select("k", F.col("jj").alias("j")), "hops")
+
+
 def cycle_cells(cells: DataFrame, key: str = "cell", down: str = "down") -> DataFrame:
     """The cells on cycles: jumps that are left after more steps than there are cells."""
     state = materialize(cells.select(F.col(key).alias("k"), F.col(down).alias("j")), "jumps")

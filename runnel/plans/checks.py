@@ -226,6 +226,34 @@ def capacity(edges: DataFrame) -> DataFrame:
     ])
 
 
+def capacity_matches(layer: DataFrame, edges: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """Every line of the layer has an edge of its name in the graph, with the same order and capacity."""
+    there = edges.groupBy("drain_id").agg(F.last("strahler_order").alias("o"), F.last("capacity_m3s").alias("c"), F.lit(True).alias("in_graph"))
+    j = layer.select("drain_id", "strahler_order", "capacity_m3s").join(there, "drain_id", "left")
+    differs = (F.col("o").cast("int") != F.col("strahler_order").cast("int")) | (F.abs(F.col("c") - F.col("capacity_m3s")) > tolerance)
+    return report(j, [
+        ("lines", F.count(F.lit(1)), "v > 0"), ("missing_in_graph", F.count_if(F.col("in_graph").isNull()), "v = 0"),
+        ("graph_differs", F.count_if(F.col("in_graph").isNotNull() & F.coalesce(differs, F.lit(True))), "v = 0"),
+    ])
+
+
+def inlet_graph(df: DataFrame, nodes: DataFrame, edges: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Degrees of the inlets' nodes, and drain, accumulation and area of their outgoing edge of largest accumulation."""
+    degree = graph.degrees(nodes.select(F.col("node_id").alias("id")), edges).withColumnRenamed("id", "drain_node_id")
+    top = edges.groupBy(F.col("src").alias("drain_node_id")).agg(
+        F.max(F.struct(F.col("acc_cells").cast("double").alias("a"), "drain_id", "upstream_area_m2")).alias("top")
+    )
+    j = df.join(degree, "drain_node_id").join(top, "drain_node_id", "left")
+    has = F.col("top").isNotNull()
+    return report(j, [
+        ("sinks_used", F.count_if(F.col("out_degree") <= 0), "v = 0"),
+        ("degrees", _none((F.col("graph_in_degree") != F.col("in_degree")) | (F.col("graph_out_degree") != F.col("out_degree"))), "v = 0"),
+        ("drain", F.count_if(has & F.coalesce(F.col("drain_id") != F.col("top.drain_id"), F.lit(True))), "v = 0"),
+        ("accumulation", F.count_if(has & F.coalesce(F.col("acc_cells").cast("int") != F.col("top.a").cast("int"), F.lit(True))), "v = 0"),
+        ("area", F.count_if(has & F.coalesce(F.abs(F.col("upstream_area_m2") - F.col("top.upstream_area_m2")) > tolerance, F.lit(True))), "v = 0"),
+    ])
+
+
 def inlets(df: DataFrame, nodes: DataFrame, edges: DataFrame, roads: DataFrame) -> DataFrame:
     """Ids, distances, methods, provenance, and references to nodes, edges and roads."""
     n = nodes.select(F.col("node_id").alias("drain_node_id"), F.col("x").alias("nx"), F.col("y").alias("ny"), F.lit(True).alias("n_ok"))

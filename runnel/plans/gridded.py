@@ -342,6 +342,25 @@ def longest_flow_path(spark, sf_dir):
     return best.select((-F.col("m.c")).alias("source"), F.col("m.root").alias("sink"), F.col("m.depth").alias("depth"))
 
 
+@query(f"""WITH RECURSIVE {CHANNEL_SQL}, lengths AS (SELECT e.src, e.dst, sqrt(((a.row - b.row) * (a.row - b.row) + (a.col - b.col) * (a.col - b.col))::DOUBLE) * 30 AS l
+  FROM edges e JOIN grid a ON a.cell = e.src JOIN grid b ON b.cell = e.dst),
+walk(source, here, l, k) AS (SELECT src, src, 0::DOUBLE, 0 FROM lengths WHERE src NOT IN (SELECT dst FROM lengths) UNION ALL SELECT w.source, n.dst, w.l + n.l, k + 1 FROM walk w JOIN lengths n ON n.src = w.here),
+best AS (SELECT source, here AS sink, l FROM walk WHERE here NOT IN (SELECT src FROM lengths) ORDER BY round(l, 6) DESC, source LIMIT 1)
+SELECT w.k AS step, w.here AS id, b.source, b.sink, round(b.l, 6) AS length_m FROM best b JOIN walk w ON w.source = b.source""")
+def longest_channel(spark, sf_dir):
+    """The longest way down the channels in metres, node by node."""
+    cells = materialize(flow(spark, sf_dir), "flow")
+    to = cells.select(F.col("cell").alias("down"), F.col("row").alias("r1"), F.col("col").alias("c1"))
+    d = E.distance(F.col("row").cast("double"), F.col("col").cast("double"), F.col("r1").cast("double"), F.col("c1").cast("double")) * 30
+    edges = cells.filter(F.col("n") >= CHANNEL_CELLS).join(to, "down").select(F.col("cell").alias("src"), F.col("down").alias("dst"), F.round(d, 9).alias("length"))
+    edges = materialize(edges, "edges")
+    best = graph.longest_flow_path(edges)
+    tree = channel_nodes(edges).join(edges.select(F.col("src").alias("id"), F.col("dst").alias("down")), "id", "left")
+    found = best.first()
+    path = graph.flow_path(tree, found["source"] if found else None)
+    return path.crossJoin(F.broadcast(best)).select("step", "id", "source", "sink", F.round("length", 6).alias("length_m"))
+
+
 ROADS_SQL = """roads AS (SELECT c_nationkey AS a, s_nationkey AS b, min(l_quantity + l_linenumber / 8.0 + l_tax)::DOUBLE AS w FROM lineitem JOIN orders ON o_orderkey = l_orderkey
   JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey WHERE abs(c_nationkey - s_nationkey) BETWEEN 1 AND 3 GROUP BY 1, 2),
 hops AS (SELECT a, b, min(w) AS w FROM (SELECT a, b, w FROM roads UNION ALL SELECT b, a, w FROM roads) GROUP BY 1, 2)"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from runnel.functions import exprs as E
 from runnel.functions import geo as G
-from runnel.operators import grid
+from runnel.operators import graph, grid
 from runnel.plans import checks
 from runnel.plans.gridded import CHANNEL_SQL, DOWN_SQL, GRID_SQL, ROADS_SQL, SPREAD_SQL, channel_edges, channel_nodes, roads, spill_sources, spilled
 from runnel.plans.relational import PART_COEF_SQL, part_coefficient, query, table
@@ -302,6 +302,38 @@ def v16_capacity(spark, sf_dir):
     return shown(checks.capacity(rows.withColumn("capacity_m3s", again + flag(k % 14 == 0) * 0.001)))
 
 
+@query(metrics_sql("""WITH layer AS (SELECT o_orderkey % 220 AS id, o_orderkey % 4 + 1 AS o, o_totalprice / 1000 AS c FROM orders),
+j AS (SELECT o, c, p_partkey, p_size % 4 + 1 AS po, p_retailprice AS pc FROM layer LEFT JOIN part ON p_partkey = id)""", "j", [
+    ("lines", "count(*)", SOME), ("missing_in_graph", "count(*) FILTER (p_partkey IS NULL)", NONE),
+    ("graph_differs", "count(*) FILTER (p_partkey IS NOT NULL AND (o <> po OR abs(c - pc) > 1e-6))", NONE),
+]))
+def v16_capacity_matches(spark, sf_dir):
+    """Orders as lines of the layer, parts as edges of the graph."""
+    k = F.col("o_orderkey")
+    layer = table(spark, sf_dir, "orders").select((k % 220).alias("drain_id"), (k % 4 + 1).alias("strahler_order"), (F.col("o_totalprice") / 1000).alias("capacity_m3s"))
+    edges = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("drain_id"), (F.col("p_size") % 4 + 1).alias("strahler_order"), F.col("p_retailprice").alias("capacity_m3s"))
+    return shown(checks.capacity_matches(layer, edges))
+
+
+@query(metrics_sql(f"""WITH RECURSIVE {CHANNEL_SQL}, ids AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges),
+i AS (SELECT id, (SELECT count(*) FROM edges WHERE dst = id) AS ins, (SELECT count(*) FROM edges WHERE src = id) AS outs, src, acc, id % 7 = 0 AS w7, id % 5 = 0 AS w5, id % 3 = 0 AS w3 FROM ids LEFT JOIN edges ON src = id)""", "i", [
+    ("sinks_used", "count(*) FILTER (outs = 0)", NONE), ("degrees", "count(*) FILTER (w7)", NONE), ("drain", "count(*) FILTER (outs > 0 AND w5)", NONE),
+    ("accumulation", "count(*) FILTER (outs > 0 AND w3)", NONE), ("area", "count(*) FILTER (outs > 0 AND w7)", NONE),
+]))
+def v17_inlet_graph(spark, sf_dir):
+    """An inlet at every channel node, with degrees, drains, accumulations and areas that are wrong for some."""
+    edges = materialize(channel_edges(spark, sf_dir), "edges").select("src", "dst", F.col("src").alias("drain_id"), F.col("acc").alias("acc_cells"), (F.col("acc") * 900.0).alias("upstream_area_m2"))
+    nodes = channel_nodes(edges).withColumnRenamed("id", "node_id")
+    known = nodes.select(F.col("node_id").alias("id"))
+    degree = graph.degrees(known, edges).join(edges.select(F.col("src").alias("id"), F.col("acc_cells").alias("acc")), "id", "left")
+    i = F.col("id")
+    rows = degree.select(
+        i.alias("drain_node_id"), (F.col("in_degree") + flag(i % 7 == 0)).alias("graph_in_degree"), F.col("out_degree").alias("graph_out_degree"), (i + flag(i % 5 == 0)).alias("drain_id"),
+        (F.col("acc") + flag(i % 3 == 0)).alias("acc_cells"), (F.col("acc") * 900.0 + flag(i % 7 == 0) * 0.5).alias("upstream_area_m2"),
+    )
+    return shown(checks.inlet_graph(rows, nodes, edges))
+
+
 # --- V17, V18: inlets ---
 
 INLET_ROWS_SQL = """WITH i AS (SELECT o_orderkey // 2 * 2 + (o_orderkey % 50 <> 1)::INT * (o_orderkey % 2) AS inlet_id, o_custkey AS node, o_orderkey % 30 AS drain, o_orderkey % 130 AS road, o_totalprice / 10000 AS d, o_orderkey FROM orders),

@@ -114,3 +114,23 @@ def test_network_names_by_place(spark):
     nodes, edges = graph.network(lines, "N")
     assert [r.node_id for r in nodes.orderBy("x").collect()] == ["N_00001", "N_00002", "N_00003"]
     assert sorted((r.edge_id, r.src, r.dst, r.key) for r in edges.collect()) == [("L1_1", "N_00001", "N_00002", 0), ("L1_2", "N_00002", "N_00003", 0), ("L2", "N_00001", "N_00002", 1)]
+
+
+def test_longest_way_by_length_and_its_path(spark):
+    """Few long steps beat many short ones; of parallel edges the shorter counts; names break ties."""
+    edges = [("a", "b", 1.0), ("b", "c", 1.0), ("c", "z", 1.0), ("p", "q", 50.0), ("q", "z", 5.0), ("q", "z", 9.0), ("m", "n", 55.0), ("s", "s2", None)]
+    df = spark.createDataFrame(edges, "src string, dst string, length double")
+    assert tuple(graph.longest_flow_path(df).first()) == ("m", "n", 55.0)
+    assert graph.longest_flow_path(df.limit(0)).count() == 0
+    rnd = random.Random(4)
+    down = {i: rnd.randrange(max(0, i - 3), i) for i in range(1, 400)} | {0: None}
+    tree = spark.createDataFrame([(i, d, rnd.random()) for i, d in down.items()], "id long, down long, length double")
+    want, at = [], 399
+    while at is not None:
+        want.append(at)
+        at = down[at]
+    assert [r.id for r in graph.flow_path(tree, 399).orderBy("step").collect()] == want
+    length = {r.id: r.length for r in tree.collect()}
+    got = {r.id: (r.root, r.depth, r.length) for r in graph.roots(tree, "id", "down", "length").collect()}
+    assert got[399][:2] == (0, len(want) - 1) and abs(got[399][2] - sum(length[i] for i in want[:-1])) < 1e-9 and got[0] == (0, 0, 0.0)
+    assert graph.flow_path(tree, None).count() <= 1
