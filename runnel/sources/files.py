@@ -10,6 +10,7 @@ import sqlite3
 import struct
 import zlib
 from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import numpy as np
 import pyarrow as pa
@@ -183,31 +184,76 @@ def _tags(data: bytes) -> dict[int, tuple]:
     return out
 
 
+def _unpredict(block: np.ndarray, predictor: int) -> np.ndarray:
+    """Undo horizontal differences (2), or differences of the bytes of floats, most significant first (3)."""
+    if predictor == 2:
+        block = block.astype(block.dtype.newbyteorder("="))
+        return np.cumsum(block, axis=1, dtype=block.dtype)
+    rows, width, size = *block.shape, block.dtype.itemsize
+    planes = np.cumsum(np.ascontiguousarray(block).view(np.uint8).reshape(rows, width * size), axis=1, dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(rows, size, width).transpose(0, 2, 1)).view(f">f{size}")[:, :, 0]
+
+
+def _srid(t: dict) -> int | None:
+    """EPSG code out of the key directory: of the projected system (3072), else of the geographic one (2048)."""
+    keys = t.get(34735, ())
+    found = {keys[i]: keys[i + 3] for i in range(4, len(keys) - 3, 4) if keys[i + 1] == 0}
+    code = found.get(3072, found.get(2048))
+    return None if code in (None, 0, 32767) else int(code)
+
+
 def parse_tiff(data: bytes) -> tuple[np.ndarray, dict]:
-    """First band and meta (width, height, x0, y0, dx, dy, nodata, tags) of a strip GeoTIFF, plain or deflate."""
+    """First band and meta (width, height, x0, y0, dx, dy, nodata, srid, tags) of a GeoTIFF.
+
+    Strips or tiles, plain or deflate, with or without a predictor, one band or several that lie apart or together.
+    Tags are the items of GDAL's metadata (42112) of the whole file, and the JSON of an image description.
+    """
     t = _tags(data)
     end, width, height = t[0][0], t[256][0], t[257][0]
-    kind = {(32, 3): "f4", (64, 3): "f8", (8, 1): "u1", (16, 1): "u2", (32, 1): "u4", (16, 2): "i2", (32, 2): "i4"}[t.get(258, (1,))[0], t.get(339, (1,))[0]]
-    packed = t.get(259, (1,))[0]
-    if packed not in (1, 8, 32946) or t.get(317, (1,))[0] != 1:
-        raise ValueError("only plain or deflate strips without a predictor can be read")
-    strips = [data[o : o + n] for o, n in zip(t[273], t[279], strict=True)]
-    raw = b"".join(zlib.decompress(s) if packed != 1 else s for s in strips)
-    band = np.frombuffer(raw, end + kind, width * height).reshape(height, width)
+    bits, bands = t.get(258, (1,))[0], t.get(277, (1,))[0]
+    kind = {(32, 3): "f4", (64, 3): "f8", (8, 1): "u1", (16, 1): "u2", (32, 1): "u4", (8, 2): "i1", (16, 2): "i2", (32, 2): "i4"}[bits, t.get(339, (1,))[0]]
+    packed, predictor = t.get(259, (1,))[0], t.get(317, (1,))[0]
+    if packed not in (1, 8, 32946) or predictor not in (1, 2, 3):
+        raise ValueError(f"compression {packed} with predictor {predictor} cannot be read")
+    together = bands if t.get(284, (1,))[0] == 1 else 1
+    tiled = 322 in t
+    wide, high = (t[322][0], t[323][0]) if tiled else (width, min(height, t.get(278, (height,))[0]))
+    across, down = -(-width // wide), -(-height // high)
+    places = list(zip(t[324] if tiled else t[273], t[325] if tiled else t[279], strict=True))[: across * down]  # of the first band
+    band = np.zeros((height, width), np.dtype(end + kind).newbyteorder("="))
+    for i, (offset, size) in enumerate(places):
+        r, c = i // across * high, i % across * wide
+        rows = high if tiled else min(high, height - r)
+        raw = data[offset : offset + size]
+        block = np.frombuffer(zlib.decompress(raw) if packed != 1 else raw, end + kind, rows * wide * together).reshape(rows, wide, together)
+        if predictor > 1 and together > 1:
+            raise ValueError("a predictor over bands that lie together cannot be read")
+        block = _unpredict(block[:, :, 0], predictor) if predictor > 1 else block[:, :, 0]
+        band[r : r + rows, c : c + wide] = block[: height - r, : width - c]
     scale, tie = t.get(33550, (1.0, 1.0, 0.0)), t.get(33922, (0, 0, 0, 0.0, 0.0, 0.0))
     meta = {"width": width, "height": height, "x0": tie[3] - tie[0] * scale[0], "y0": tie[4] + tie[1] * scale[1], "dx": scale[0], "dy": -scale[1]}
     meta["nodata"] = float(t[42113][0]) if 42113 in t else None
-    meta["tags"] = json.loads(t[270][0]) if 270 in t and t[270][0].startswith("{") else {}
+    meta["srid"] = _srid(t)
+    tags = json.loads(t[270][0]) if 270 in t and t[270][0].startswith("{") else {}
+    if 42112 in t:
+        tags |= {i.get("name"): i.text or "" for i in ElementTree.fromstring(t[42112][0]).iter("Item") if i.get("sample") is None}
+    meta["tags"] = tags
     return band, meta
 
 
-def tiff_bytes(band: np.ndarray, x0: float, y0: float, dx: float, dy: float, nodata: float = E.NODATA, tags: dict | None = None) -> bytes:
-    """A float32 deflate GeoTIFF of one strip; tags travel as JSON in the image description."""
+def tiff_bytes(band: np.ndarray, x0: float, y0: float, dx: float, dy: float, nodata: float = E.NODATA, tags: dict | None = None, srid: int | None = None) -> bytes:
+    """A float32 deflate GeoTIFF of one strip, with its projected system; tags are GDAL metadata items."""
     height, width = band.shape
     body = zlib.compress(band.astype("<f4").tobytes(), 6)
-    text = json.dumps(tags or {}, sort_keys=True).encode() + b"\0"
     none = f"{nodata:g}".encode() + b"\0"
-    extra = [(33550, 12, struct.pack("<3d", dx, abs(dy), 0.0)), (33922, 12, struct.pack("<6d", 0, 0, 0, x0, y0, 0)), (270, 2, text), (42113, 2, none)]
+    extra = [(33550, 12, struct.pack("<3d", dx, abs(dy), 0.0)), (33922, 12, struct.pack("<6d", 0, 0, 0, x0, y0, 0)), (42113, 2, none)]
+    if tags:
+        root = ElementTree.Element("GDALMetadata")
+        for name, value in sorted(tags.items()):
+            ElementTree.SubElement(root, "Item", name=str(name)).text = str(value)
+        extra.append((42112, 2, ElementTree.tostring(root) + b"\0"))
+    if srid is not None:
+        extra.append((34735, 3, struct.pack("<16H", 1, 1, 0, 3, 1024, 0, 1, 1, 1025, 0, 1, 1, 3072, 0, 1, srid)))
     plain = [(256, 4, width), (257, 4, height), (258, 3, 32), (259, 3, 8), (262, 3, 1), (277, 3, 1), (278, 4, height), (279, 4, len(body)), (339, 3, 3)]
     entries, blob = [], b""
     n = len(extra) + len(plain) + 1
@@ -218,14 +264,44 @@ def tiff_bytes(band: np.ndarray, x0: float, y0: float, dx: float, dy: float, nod
             entries.append((tag, struct.pack("<HHI", tag, kind, count) + value.ljust(4, b"\0")))
         else:
             entries.append((tag, struct.pack("<HHII", tag, kind, count, start + len(blob))))
-            blob += value
+            blob += value + b"\0" * (len(value) % 2)  # values begin at even places
     entries += [(tag, struct.pack("<HHI", tag, kind, 1) + (struct.pack("<HH", v, 0) if kind == 3 else struct.pack("<I", v))) for tag, kind, v in plain]
     entries.append((273, struct.pack("<HHII", 273, 4, 1, start + len(blob))))
     return b"II*\0" + struct.pack("<IH", 8, n) + b"".join(e for _, e in sorted(entries)) + b"\0\0\0\0" + blob + body
 
 
+def write_tiffs(cells: DataFrame, name: str, value: str, meta: dict, tags: list[str] | None = None) -> DataFrame:
+    """(name, content): a GeoTIFF for each value of the column ``name``, from rows (row, col, value), made on the executors.
+
+    meta: width, height, x0, y0, dx, dy, and srid if known. ``tags`` are columns that are the same in all rows of a file.
+    Cells without a row, or with null, hold NODATA. A file is one task's unit, as it is when it is read.
+    """
+    tags = tags or []
+
+    def run(table: pa.Table) -> pa.Table:
+        band = np.full((meta["height"], meta["width"]), E.NODATA, np.float32)
+        v = table[value].cast(pa.float64()).fill_null(E.NODATA).to_numpy()
+        band[table["row"].to_numpy(), table["col"].to_numpy()] = v
+        items = {t: table[t][0].as_py() for t in tags}
+        data = tiff_bytes(band, meta["x0"], meta["y0"], meta["dx"], meta["dy"], tags=items, srid=meta.get("srid"))
+        return pa.table([pa.array([str(table[name][0].as_py())]), pa.array([data], pa.binary())], names=["name", "content"])
+
+    return cells.select(name, "row", "col", value, *tags).groupBy(name).applyInArrow(run, "name string, content binary")
+
+
+def save_tiffs(made: DataFrame, path: str) -> None:
+    """Write the files of write_tiffs under ``path``, through the cluster's file system."""
+    spark = made.sparkSession
+    for row in made.toLocalIterator():  # one file at a time
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{row['name']}.tif")
+        out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+        out.write(bytearray(row["content"]))
+        out.close()
+
+
 _CELLS = "path string, row int, col int, value double"
-_META = "path string, width int, height int, x0 double, y0 double, dx double, dy double, nodata double, tags map<string,string>"
+_META = "path string, srid int, width int, height int, x0 double, y0 double, dx double, dy double, nodata double, tags map<string,string>"
 
 
 def read_tiff(spark: SparkSession, path: str) -> DataFrame:
@@ -254,7 +330,7 @@ def read_tiff_meta(spark: SparkSession, path: str) -> DataFrame:
             for name, data in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
                 meta = parse_tiff(data)[1]
                 rows.append({"path": name} | meta | {"tags": [(k, str(v)) for k, v in meta["tags"].items()]})
-            kinds = [("path", pa.string()), ("width", pa.int32()), ("height", pa.int32())] + [(c, pa.float64()) for c in ("x0", "y0", "dx", "dy", "nodata")]
+            kinds = [("path", pa.string()), ("srid", pa.int32()), ("width", pa.int32()), ("height", pa.int32())] + [(c, pa.float64()) for c in ("x0", "y0", "dx", "dy", "nodata")]
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([*kinds, ("tags", pa.map_(pa.string(), pa.string()))]))
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _META)

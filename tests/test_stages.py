@@ -194,7 +194,78 @@ def test_files_round_trip(spark, tmp_path):
     assert {(r.row, r.col): r.value for r in got} == {(r, c): float(band[r, c]) for r in range(5) for c in range(7) if band[r, c] != -9999}
     assert {r.interval_id for r in got} == {"000_030"}
     meta = files.read_tiff_meta(spark, str(tmp_path / "*.tif")).first()
-    assert (meta.width, meta.x0, meta.dy, meta.nodata, meta.tags) == (7, 1000.0, -30.0, -9999.0, {"units": "m3"})
+    assert (meta.width, meta.x0, meta.dy, meta.nodata, meta.tags, meta.srid) == (7, 1000.0, -30.0, -9999.0, {"units": "m3"}, None)
+
+
+def gdal_tiff(band, end="<", tile=None, predictor=1, packed=8, bands=1):
+    """A file as the common raster library lays it out: header, values, blocks, and the directory last, in either byte order."""
+    import struct
+    import zlib
+
+    height, width = band.shape
+    wide, high = tile or (width, 3)
+    blocks = []
+    for r in range(0, height, high):
+        for c in range(0, width, wide):
+            part = band[r : r + high, c : c + wide]
+            if tile:
+                part = np.pad(part, ((0, high - part.shape[0]), (0, wide - part.shape[1])))
+            if predictor == 2:
+                part = np.diff(part, axis=1, prepend=part.dtype.type(0))
+            raw = part.astype(part.dtype.newbyteorder(end))
+            if predictor == 3:
+                size = part.itemsize
+                planes = part.astype(f">f{size}").view(np.uint8).reshape(*part.shape, size).transpose(0, 2, 1).reshape(part.shape[0], -1)
+                raw = np.diff(planes, axis=1, prepend=np.uint8(0))
+            blocks.append(zlib.compress(raw.tobytes()) if packed != 1 else raw.tobytes())
+    sample = {"f": 3, "u": 1, "i": 2}[band.dtype.kind]
+    metadata = b'<GDALMetadata>\n  <Item name="units">m3_per_cell</Item>\n  <Item name="start_minutes">30</Item>\n  <Item name="end_minutes">60</Item>\n  <Item name="S" sample="0">x</Item>\n</GDALMetadata>\n\0'
+    keys = (1, 1, 0, 4, 1024, 0, 1, 1, 1025, 0, 1, 1, 2048, 0, 1, 4326, 3072, 0, 1, 32643)
+    tags = {256: (3, [width]), 257: (3, [height]), 258: (3, [band.itemsize * 8] * bands), 259: (3, [packed]), 262: (3, [1]), 277: (3, [bands]), 284: (3, [2]), 339: (3, [sample] * bands), 317: (3, [predictor])}
+    tags |= {322: (3, [wide]), 323: (3, [high])} if tile else {278: (3, [high])}
+    tags |= {33550: (12, [30.0, 30.0, 0.0]), 33922: (12, [0.0, 0.0, 0.0, 1000.0, 2000.0, 0.0]), 34735: (3, list(keys)), 42112: (2, metadata), 42113: (2, b"-9999\0")}
+    out = bytearray((b"II" if end == "<" else b"MM") + struct.pack(end + "HI", 42, 0))
+    offsets = []
+    for b in blocks * bands:
+        offsets.append(len(out))
+        out += b + b"\0" * (len(b) % 2)
+    tags |= {324 if tile else 273: (4, offsets), 325 if tile else 279: (4, [len(b) for b in blocks * bands])}
+    entries = b""
+    for tag in sorted(tags):
+        kind, values = tags[tag]
+        data = values if kind == 2 else struct.pack(f"{end}{len(values)}{ {3: 'H', 4: 'I', 12: 'd'}[kind]}", *values)
+        if len(data) > 4:
+            entries += struct.pack(end + "HHII", tag, kind, len(values), len(out))
+            out += data + b"\0" * (len(data) % 2)
+        else:
+            entries += struct.pack(end + "HHI", tag, kind, len(values)) + data.ljust(4, b"\0")
+    struct.pack_into(end + "I", out, 4, len(out))
+    return bytes(out + struct.pack(end + "H", len(tags)) + entries + b"\0\0\0\0")
+
+
+@pytest.mark.parametrize("end", ["<", ">"])
+@pytest.mark.parametrize("kind,predictor", [("f4", 1), ("f4", 3), ("f8", 3), ("u1", 2), ("i2", 2), ("u2", 1)])
+@pytest.mark.parametrize("tile", [None, (16, 16)])
+def test_rasters_as_common_libraries_write_them(end, kind, predictor, tile):
+    rnd = np.random.default_rng(3)
+    band = (rnd.random((21, 37)) * 200).astype(kind)
+    got, meta = files.parse_tiff(gdal_tiff(band, end, tile, predictor, packed=8 if predictor > 1 or tile else 1, bands=2))
+    assert (got == band).all() and got.dtype == np.dtype(kind)
+    assert (meta["srid"], meta["nodata"], meta["x0"], meta["y0"], meta["dx"], meta["dy"]) == (32643, -9999.0, 1000.0, 2000.0, 30.0, -30.0)
+    assert meta["tags"] == {"units": "m3_per_cell", "start_minutes": "30", "end_minutes": "60"}
+
+
+def test_rasters_from_rows_and_back(spark, tmp_path):
+    rows = [(k, r, c, float(r * 10 + c + len(k)), "m3", s) for k, s in (("v_a", 0), ("v_b", 30)) for r in range(10) for c in range(12) if (r + c) % 4]
+    df = spark.createDataFrame(rows, "name string, row int, col int, depth double, units string, start_minutes int").repartition(3)
+    files.save_tiffs(files.write_tiffs(df, "name", "depth", META, ["units", "start_minutes"]), f"file://{tmp_path}/out")
+    got = {(r.path.split("/")[-1], r.row, r.col): r.value for r in files.read_tiff(spark, f"{tmp_path}/out/*.tif").collect()}
+    assert got == {(f"{k}.tif", r, c): v for k, r, c, v, _, _ in rows}
+    meta = files.read_tiff_meta(spark, f"{tmp_path}/out/*.tif")
+    assert {(r.srid, r.tags["units"], r.tags["start_minutes"]) for r in meta.collect()} == {(32643, "m3", "0"), (32643, "m3", "30")}
+    assert checks.passed(checks.alignment(meta))
+    (tmp_path / "other.tif").write_bytes(gdal_tiff(np.zeros((10, 13), np.float32)))
+    assert not checks.passed(checks.alignment(meta.union(files.read_tiff_meta(spark, f"{tmp_path}/other.tif"))))
 
 
 def test_geopackage(spark, tmp_path):
