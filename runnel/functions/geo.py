@@ -182,17 +182,18 @@ def parts_meet(a: Column, b: Column) -> Column:
     return crossing | inner(a, b) | inner(b, a)
 
 
-def leaves_ring(part: Column, ring: list[tuple[float, float]], tolerance: float) -> Column:
-    """Whether any piece of a line lies outside a ring by more than ``tolerance``, vertices and what lies between them.
+def leaves_area(part: Column, area: list[list[list[tuple[float, float]]]], tolerance: float) -> Column:
+    """Whether any piece of a line lies outside the union of polygons, grown by ``tolerance``.
 
-    A segment is cut where it crosses the ring; a piece between two cuts is wholly inside or wholly outside.
+    area: polygons, each a list of rings, holes among them. A segment is cut where it crosses an edge; a piece between
+    two cuts is wholly inside or wholly outside, so its ends and its middle tell.
     """
-    corners = F.array(*[point(F.lit(x), F.lit(y)) for x, y in ring])
-    edges = list(zip(ring[:-1], ring[1:], strict=True))
+    literal = F.array(*[F.array(*[F.array(*[point(F.lit(x), F.lit(y)) for x, y in ring]) for ring in polygon]) for polygon in area])
+    edges = F.flatten(F.transform(F.flatten(literal), segments))
 
     def outside(x: Column, y: Column) -> Column:
-        near = [segment_distance(x, y, F.lit(a[0]), F.lit(a[1]), F.lit(b[0]), F.lit(b[1])) for a, b in edges]
-        return ~in_ring(x, y, corners) & (F.least(*near) > tolerance if len(near) > 1 else near[0] > tolerance)
+        inside = F.exists(literal, lambda rings: F.coalesce(in_parts(x, y, rings), F.lit(False)))
+        return ~inside & F.forall(edges, lambda e: segment_distance(x, y, e["ax"], e["ay"], e["bx"], e["by"]) > tolerance)
 
     def strays(s: Column) -> Column:
         dx, dy = s["bx"] - s["ax"], s["by"] - s["ay"]
@@ -201,7 +202,7 @@ def leaves_ring(part: Column, ring: list[tuple[float, float]], tolerance: float)
             ex, ey = e["bx"] - e["ax"], e["by"] - e["ay"]
             return F.try_divide((e["ax"] - s["ax"]) * ey - (e["ay"] - s["ay"]) * ex, dx * ey - dy * ex)
 
-        cuts = F.filter(F.transform(segments(corners), cut), lambda t: (t > 0) & (t < 1))
+        cuts = F.filter(F.transform(edges, cut), lambda t: (t > 0) & (t < 1))
         ts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts))
         mids = F.zip_with(F.slice(ts, F.lit(1), F.size(ts) - 1), F.slice(ts, F.lit(2), F.size(ts) - 1), lambda a, b: (a + b) / 2)
         return F.exists(F.concat(ts, mids), lambda t: outside(s["ax"] + dx * t, s["ay"] + dy * t))
@@ -269,8 +270,8 @@ def touched_cells(part: Column, x0: float, y0: float, dx: float, dy: float) -> C
 
     def cells(s: Column) -> Column:
         ax, ay, bx, by = (s["ax"] - x0) / dx, (y0 - s["ay"]) / dy, (s["bx"] - x0) / dx, (y0 - s["by"]) / dy
-        cuts = F.filter(F.concat(F.array(F.lit(0.0), F.lit(1.0)), borders(ax, bx), borders(ay, by)), lambda t: (t >= 0) & (t <= 1))
-        ts = F.array_sort(F.array_distinct(cuts))
+        cuts = F.filter(F.concat(borders(ax, bx), borders(ay, by)), lambda t: (t > 0) & (t < 1))
+        ts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts)))
         mids = F.zip_with(F.slice(ts, F.lit(1), F.size(ts) - 1), F.slice(ts, F.lit(2), F.size(ts) - 1), lambda a, b: (a + b) / 2)
         return F.transform(mids, lambda t: F.struct(F.floor(ay + (by - ay) * t).cast("int").alias("row"), F.floor(ax + (bx - ax) * t).cast("int").alias("col")))
 

@@ -156,8 +156,9 @@ def flow_direction(cells: DataFrame, tolerance: float = 0.01) -> DataFrame:
     ])
 
 
-def lines(df: DataFrame, key: str, needed: list[str], ring: list[tuple[float, float]] | None = None, tolerance: float = 0.05) -> DataFrame:
-    """Columns, geometry, ids, lengths as recomputed, and cover by the area grown by ``tolerance``."""
+def lines(df: DataFrame, key: str, needed: list[str], area: list | None = None, tolerance: float = 0.05) -> DataFrame:
+    """Columns, geometry, ids, lengths as recomputed, and cover by the union of the area's polygons (lists of
+    rings) grown by ``tolerance``."""
     require_columns(df, needed, key)
     once = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first("geometry").alias("geometry"), F.first("length_m").alias("length_m"))
     rows = [
@@ -165,8 +166,8 @@ def lines(df: DataFrame, key: str, needed: list[str], ring: list[tuple[float, fl
         ("unusable_geometry", _none(~G.is_usable(F.col("geometry"))), "v = 0"), ("no_length", _none(F.col("length_m") <= 0), "v = 0"),
         ("length_differs", _none(F.abs(G.length(F.col("geometry")) - F.col("length_m")) > 1.0), "v = 0"),
     ]
-    if ring:
-        rows.append(("outside_area", F.count_if(F.exists("geometry.parts", lambda part: G.leaves_ring(part, ring, tolerance))), "v = 0"))
+    if area:
+        rows.append(("outside_area", F.count_if(F.exists("geometry.parts", lambda part: G.leaves_area(part, area, tolerance))), "v = 0"))
     return report(once, rows)
 
 

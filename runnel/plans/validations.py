@@ -202,8 +202,60 @@ def v11_v13_lines(spark, sf_dir):
     """Against the quarter of the grid that holds the first cells, half a metre wider."""
     width = int(table(spark, sf_dir, "part").agg(F.ceil(F.sqrt(F.count(F.lit(1)))).cast("int")).first()[0])
     half = width * 15 + 0.5
-    ring = [(-0.5, 0.5), (half, 0.5), (half, -half), (-0.5, -half), (-0.5, 0.5)]
-    return shown(checks.lines(paths(spark, sf_dir), "cell", ["geometry", "length_m"], ring, 0.05))
+    cut = half // 2 + 0.25  # two polygons that overlap make up the area
+    west, east = ([(a, 0.5), (b, 0.5), (b, -half), (a, -half), (a, 0.5)] for a, b in ((-0.5, cut + 3), (cut, half)))
+    return shown(checks.lines(paths(spark, sf_dir), "cell", ["geometry", "length_m"], [[west], [east]], 0.05))
+
+
+@query(f"""{PATHS_SQL},
+seg AS (SELECT cell, x0 AS ax, y0 AS ay, x1 AS bx, y1 AS by_ FROM paths UNION ALL SELECT cell, x1, y1, x2, y1 FROM paths),
+t AS (SELECT cell, ax, ay, bx, by_, greatest(0, CASE WHEN bx > ax THEN (4.25 - ax) / (bx - ax) WHEN ax >= 4.25 THEN 0 ELSE 2 END, CASE WHEN by_ > ay THEN (-100.5 - ay) / (by_ - ay) WHEN ay >= -100.5 THEN 0 ELSE 2 END) AS t0,
+  least(1, CASE WHEN bx > ax THEN (70.75 - ax) / (bx - ax) WHEN ax <= 70.75 THEN 1 ELSE -1 END, CASE WHEN by_ > ay THEN (1.25 - ay) / (by_ - ay) WHEN ay <= 1.25 THEN 1 ELSE -1 END) AS t1 FROM seg)
+SELECT cell, round(sum((t1 - t0) * sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay))), 6) AS length_m FROM t WHERE t1 > t0 AND (bx <> ax OR by_ <> ay) GROUP BY 1""")
+def clip_lines(spark, sf_dir):
+    """What lies of each line in a rectangle."""
+    ring = [(4.25, -100.5), (70.75, -100.5), (70.75, 1.25), (4.25, 1.25), (4.25, -100.5)]
+    inside = paths(spark, sf_dir).select("cell", G.clipped(F.col("geometry"), ring).alias("geometry")).filter(F.size("geometry.parts") > 0)
+    return inside.select("cell", F.round(G.length(F.col("geometry")), 6).alias("length_m")).filter("length_m > 0")
+
+
+_BURN = {"x0": 0.0, "y0": 0.0, "dx": 2.0, "dy": -2.0}
+
+
+@query(f"""{PATHS_SQL}, seg AS (SELECT x0 / 2 AS ax, -y0 / 2 AS ay, x1 / 2 AS bx, -y1 / 2 AS by_ FROM paths UNION ALL SELECT x1 / 2, -y1 / 2, x2 / 2, -y1 / 2 FROM paths),
+cuts AS (SELECT ax, ay, bx, by_, list_sort(list_distinct(list_filter(list_concat([0::DOUBLE, 1::DOUBLE], list_concat(
+  CASE WHEN ax <> bx THEN list_transform(range(ceil(least(ax, bx))::BIGINT, floor(greatest(ax, bx))::BIGINT + 1), lambda k: (k - ax) / (bx - ax)) ELSE [] END,
+  CASE WHEN ay <> by_ THEN list_transform(range(ceil(least(ay, by_))::BIGINT, floor(greatest(ay, by_))::BIGINT + 1), lambda k: (k - ay) / (by_ - ay)) ELSE [] END)), lambda t: t >= 0 AND t <= 1))) AS ts FROM seg),
+mids AS (SELECT *, unnest(list_transform(range(1, len(ts)), lambda i: (ts[i] + ts[i + 1]) / 2)) AS m FROM cuts)
+SELECT DISTINCT floor(ay + (by_ - ay) * m)::INT AS row, floor(ax + (bx - ax) * m)::INT AS col FROM mids""")
+def burn_lines(spark, sf_dir):
+    """Cells of two metres that the lines touch."""
+    return grid.cells_on_lines(paths(spark, sf_dir), _BURN)
+
+
+@query(f"""{LOTS_SQL}, fine AS (SELECT a.r AS row, b.c AS col, 10.0 * b.c + 5 AS x, -10.0 * a.r + 2 AS y FROM range(0, (SELECT 3 * w FROM w)) a(r), range(0, (SELECT 3 * w FROM w)) b(c))
+SELECT DISTINCT row::INT AS row, col::INT AS col FROM fine JOIN ok ON x > gx0 AND x < gx1 AND y > gy0 AND y < gy1 WHERE wide""")
+def burn_polygons(spark, sf_dir):
+    """Cells of ten metres whose centre lies in a lot."""
+    meta = {"x0": 0.0, "y0": 7.0, "dx": 10.0, "dy": -10.0}
+    cells = grid.grid_from_parts(spark, sf_dir).select("row", "col")
+    step = F.explode(F.array(*[F.lit(i) for i in range(3)]))
+    fine = cells.select((F.col("row") * 3).alias("row"), (F.col("col") * 3).alias("col")).withColumn("i", step).withColumn("j", step)
+    fine = fine.select((F.col("row") + F.col("i")).cast("int").alias("row"), (F.col("col") + F.col("j")).cast("int").alias("col"))
+    return grid.cells_in_polygons(fine, lots(spark, sf_dir).filter("geometry is not null"), meta)
+
+
+@query("""WITH p AS (SELECT s_suppkey, 72 + s_acctbal / 2000 AS lon, 8 + s_nationkey * 0.75 AS lat FROM supplier), c AS (SELECT 1 / 298.257223563::DOUBLE AS f),
+k AS (SELECT f / (2 - f) AS n FROM c), s AS (SELECT n, 6378137.0 / (1 + n) * (1 + n * n / 4 + n * n * n * n / 64) AS a, 2 * sqrt(n) / (1 + n) AS e,
+  n / 2 - 2 * n * n / 3 + 5 * n * n * n / 16 AS a1, 13 * n * n / 48 - 3 * n * n * n / 5 AS a2, 61 * n * n * n / 240 AS a3 FROM k),
+t AS (SELECT *, sinh(atanh(sin(radians(lat))) - e * atanh(e * sin(radians(lat)))) AS t, radians(lon - 75) AS l FROM p, s),
+x AS (SELECT *, atan2(t, cos(l)) AS xi, atanh(sin(l) / sqrt(1 + t * t)) AS eta FROM t)
+SELECT s_suppkey, round(500000 + 0.9996 * a * (eta + a1 * cos(2 * xi) * sinh(2 * eta) + a2 * cos(4 * xi) * sinh(4 * eta) + a3 * cos(6 * xi) * sinh(6 * eta)), 4) AS east,
+  round(0.9996 * a * (xi + a1 * sin(2 * xi) * cosh(2 * eta) + a2 * sin(4 * xi) * cosh(4 * eta) + a3 * sin(6 * xi) * cosh(6 * eta)), 4) AS north FROM x""")
+def utm_forward(spark, sf_dir):
+    lon, lat = F.col("s_acctbal") / 2000 + 72, F.col("s_nationkey") * 0.75 + 8
+    east, north = G.tm_forward(lon, lat)
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.round(east, 4).alias("east"), F.round(north, 4).alias("north"))
 
 
 @query("""WITH {grid}, lots AS (SELECT p_size % 11 AS k, 30.0 * col AS x, -30.0 * row AS y FROM grid) SELECT count(*) AS lines, sum(5.0 * k + 12) AS length_m,

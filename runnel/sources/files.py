@@ -19,6 +19,40 @@ from pyspark.sql import functions as F
 
 from runnel import schema
 from runnel.functions import exprs as E
+from runnel.staging import exists, materialize
+
+# --- paths ---
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a glob names, in order."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def first_existing(spark: SparkSession, paths: list[str]) -> str:
+    """The first of several places at which there is something; FileNotFoundError if none has it."""
+    for path in paths:
+        if exists(spark, path):
+            return path
+    raise FileNotFoundError(f"none of {', '.join(paths)}")
+
+
+def overwrite(df: DataFrame, path: str) -> None:
+    """Replace a Parquet table by a frame that may read it: the rows are complete elsewhere before the old ones go."""
+    materialize(df, "overwrite").write.mode("overwrite").parquet(path)
+
+
+def save_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write one file through the cluster's file system."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(content))
+    out.close()
+
 
 # --- scenario and CSV ---
 
@@ -139,6 +173,23 @@ def read_graphml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def typed(rows: DataFrame, columns: str) -> DataFrame:
+    """The attributes in ``data`` as columns of a schema; text that is no number is 0, no truth false, absent text empty."""
+    from pyspark.sql import types as T
+
+    def cast(f: T.StructField) -> Column:
+        text = F.try_element_at("data", F.lit(f.name))
+        kind = f.dataType.simpleString()
+        if kind in ("double", "float"):
+            return E.safe_double(text).cast(kind)
+        if kind in ("int", "bigint"):
+            return E.safe_int(text).cast(kind)
+        return E.yes_no(text) if kind == "boolean" else E.safe_string(text)
+
+    fields = T._parse_datatype_string(columns).fields
+    return rows.select(*[c for c in rows.columns if c != "data"], *[cast(f).alias(f.name) for f in fields])
+
+
 def _xml(c: Column) -> Column:
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         c = F.replace(c, F.lit(a), F.lit(b))
@@ -291,13 +342,8 @@ def write_tiffs(cells: DataFrame, name: str, value: str, meta: dict, tags: list[
 
 def save_tiffs(made: DataFrame, path: str) -> None:
     """Write the files of write_tiffs under ``path``, through the cluster's file system."""
-    spark = made.sparkSession
     for row in made.toLocalIterator():  # one file at a time
-        jvm = spark.sparkContext._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{row['name']}.tif")
-        out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
-        out.write(bytearray(row["content"]))
-        out.close()
+        save_bytes(made.sparkSession, f"{path.rstrip('/')}/{row['name']}.tif", row["content"])
 
 
 _CELLS = "path string, row int, col int, value double"
@@ -377,6 +423,57 @@ def gpkg_geometry(blob: bytes) -> dict | None:
     return {"type": kind, "parts": parts}
 
 
+def _blob(kind: str, parts: list, srid: int) -> bytes:
+    """A GeoPackage geometry: header without bounds, then well-known binary of points, lines or one polygon's rings."""
+    codes = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6}
+    head = b"GP\0\x01" + struct.pack("<i", srid)
+
+    def points(part: list) -> bytes:
+        return b"".join(struct.pack("<2d", p["x"], p["y"]) for p in part)
+
+    def one(code: int, part: list) -> bytes:
+        start = struct.pack("<BI", 1, code)
+        return start + points(part) if code == 1 else start + (struct.pack("<I", 1) if code == 3 else b"") + struct.pack("<I", len(part)) + points(part)
+
+    code = codes[kind]
+    if code in (1, 2):
+        return head + one(code, parts[0])
+    if code == 3:
+        return head + struct.pack("<BII", 1, 3, len(parts)) + b"".join(struct.pack("<I", len(p)) + points(p) for p in parts)
+    if code == 4:
+        parts = [[p] for part in parts for p in part]
+    return head + struct.pack("<BII", 1, code, len(parts)) + b"".join(one(code - 3, p) for p in parts)
+
+
+def write_gpkg(df: DataFrame, path: str, layer: str, srid: int, geometry: str = "geom") -> None:
+    """A GeoPackage of one layer. It is one database file, so its rows pass through the driver, a partition at a time.
+
+    A ring of a multipolygon is written as a polygon of its own.
+    """
+    kinds = {"bigint": "INTEGER", "int": "INTEGER", "double": "REAL", "float": "REAL", "boolean": "BOOLEAN"}
+    attrs = [c for c in df.columns if c != "geometry"]
+    base = sqlite3.connect(":memory:")
+    base.execute("PRAGMA application_id = 1196444487")
+    base.execute("PRAGMA user_version = 10300")
+    base.execute("CREATE TABLE gpkg_spatial_ref_sys (srs_name TEXT NOT NULL, srs_id INTEGER PRIMARY KEY, organization TEXT NOT NULL, organization_coordsys_id INTEGER NOT NULL, definition TEXT NOT NULL, description TEXT)")
+    systems = [("undefined", -1, "NONE", -1, "undefined", None), ("undefined", 0, "NONE", 0, "undefined", None), (f"EPSG:{srid}", srid, "EPSG", srid, "undefined", None)]
+    base.executemany("INSERT INTO gpkg_spatial_ref_sys VALUES (?, ?, ?, ?, ?, ?)", systems)
+    base.execute("CREATE TABLE gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT NOT NULL, identifier TEXT UNIQUE, description TEXT, last_change TEXT, min_x DOUBLE, min_y DOUBLE, max_x DOUBLE, max_y DOUBLE, srs_id INTEGER)")
+    base.execute("CREATE TABLE gpkg_geometry_columns (table_name TEXT NOT NULL, column_name TEXT NOT NULL, geometry_type_name TEXT NOT NULL, srs_id INTEGER NOT NULL, z TINYINT NOT NULL, m TINYINT NOT NULL, PRIMARY KEY (table_name, column_name))")
+    columns = ", ".join(f'"{c}" {kinds.get(dict(df.dtypes)[c], "TEXT")}' for c in attrs)
+    base.execute(f'CREATE TABLE "{layer}" (fid INTEGER PRIMARY KEY AUTOINCREMENT, "{geometry}" BLOB{", " + columns if columns else ""})')
+    names = ", ".join(f'"{c}"' for c in [geometry, *attrs])
+    marks = ", ".join("?" * (1 + len(attrs)))
+    plain = df.select("geometry", *[F.col(c) if dict(df.dtypes)[c] in kinds else F.col(c).cast("string").alias(c) for c in attrs])
+    for r in plain.toLocalIterator():
+        g = r["geometry"]
+        base.execute(f'INSERT INTO "{layer}" ({names}) VALUES ({marks})', [None if g is None else _blob(g["type"], g["parts"], srid), *[r[c] for c in attrs]])
+    base.execute("INSERT INTO gpkg_contents VALUES (?, 'features', ?, '', '2024-01-01T00:00:00.000Z', NULL, NULL, NULL, NULL, ?)", (layer, layer, srid))
+    base.execute("INSERT INTO gpkg_geometry_columns VALUES (?, ?, 'GEOMETRY', ?, 0, 0)", (layer, geometry, srid))
+    base.commit()
+    save_bytes(df.sparkSession, path, base.serialize())
+
+
 def read_gpkg(spark: SparkSession, path: str, layer: str, columns: str, geometry: str = "geom") -> DataFrame:
     """Columns (a schema) and geometry of a layer. A GeoPackage is one database, read by one task in memory."""
     from pyspark.sql import types as T

@@ -119,13 +119,25 @@ def test_midpoints_and_cells_of_odd_lines(spark):
         assert len(cells) <= 4 * (abs(np.diff(p, axis=0)).sum() / 5 + len(p))
 
 
+def test_a_line_from_a_corner_does_not_touch_the_cell_behind_it(spark):
+    cells = G.touched_cells(F.array(G.point(F.lit(0.0), F.lit(-0.0)), G.point(F.lit(6.0), F.lit(8.0))), 0.0, 0.0, 2.0, 2.0)
+    got = one(spark, cells=cells).cells
+    assert {(c.row, c.col) for c in got} == {(-1, 0), (-2, 0), (-2, 1), (-3, 1), (-3, 2), (-4, 2)}
+
+
 def test_lines_that_leave_a_concave_area(spark):
     """All vertices lie in the U, but one line crosses its notch; another strays by less than the tolerance."""
     ring = [(0, 0), (30, 0), (30, 30), (20, 30), (20, 10), (10, 10), (10, 30), (0, 30), (0, 0)]
     lines = {"in": [(5, 5), (25, 5)], "notch": [(5, 25), (25, 25)], "rim": [(5, -0.04), (25, -0.04)], "out": [(5, 5), (5, 40)], "round": [(5, 25), (5, 5), (25, 5), (25, 25)]}
     df = spark.createDataFrame([(k, [(float(x), float(y)) for x, y in v]) for k, v in lines.items()], "id string, part array<struct<x:double,y:double>>")
-    got = {r.id: r.gone for r in df.select("id", G.leaves_ring(F.col("part"), ring, 0.05).alias("gone")).collect()}
+    got = {r.id: r.gone for r in df.select("id", G.leaves_area(F.col("part"), [[ring]], 0.05).alias("gone")).collect()}
     assert got == {"in": False, "notch": True, "rim": False, "out": True, "round": False}
+    # A second polygon fills the notch but for its own hole and a gap of 0.08, which the tolerance of both sides bridges.
+    plug = [[(10.08, 9), (21, 9), (21, 31), (10.08, 31), (10.08, 9)], [(14, 20), (16, 20), (16, 22), (14, 22), (14, 20)]]
+    more = {"notch": False, "hole": True}
+    df = df.union(spark.createDataFrame([("hole", [(5.0, 21.0), (25.0, 21.0)])], df.schema))
+    got = {r.id: r.gone for r in df.select("id", G.leaves_area(F.col("part"), [[ring], plug], 0.05).alias("gone")).collect()}
+    assert got == {"in": False, "rim": False, "out": True, "round": False} | more
 
 
 def test_polygons_that_meet(spark):

@@ -282,6 +282,31 @@ def test_geopackage(spark, tmp_path):
     assert got["r2"] is None and [tuple(p) for p in got["r1"].parts[0]] == [(0, 0), (3, 4)]
 
 
+def test_geopackage_round_trip(spark, tmp_path):
+    shapes = [("Point", [[(1.0, 2.0)]]), ("LineString", [[(0.0, 0.0), (1.0, 5.0)]]), ("Polygon", [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 0.0)], [(1.0, 0.5), (2.0, 0.5), (2.0, 1.0), (1.0, 0.5)]])]
+    shapes += [("MultiLineString", [[(0.0, 0.0), (1.0, 1.0)], [(2.0, 2.0), (3.0, 3.0), (4.0, 2.0)]]), ("MultiPolygon", [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]]), None]
+    df = spark.createDataFrame([(f"n{i}", i, i / 4, i % 2 == 0, g) for i, g in enumerate(shapes)], "name string, k long, v double, b boolean, geometry struct<type:string,parts:array<array<struct<x:double,y:double>>>>")
+    files.write_gpkg(df, f"file://{tmp_path}/out.gpkg", "layer one", 32643)
+    got = files.read_gpkg(spark, f"{tmp_path}/out.gpkg", "layer one", "name string, k long, v double")
+    assert sorted(got.collect(), key=str) == sorted(df.drop("b").collect(), key=str)
+
+
+def test_paths_overwrite_and_types(spark, tmp_path):
+    for n in ("b_1.txt", "a_2.txt", "c.csv"):
+        (tmp_path / n).write_text("x")
+    assert [p.split("/")[-1] for p in files.matching(spark, f"file://{tmp_path}/*.txt")] == ["a_2.txt", "b_1.txt"]
+    assert files.first_existing(spark, [f"file://{tmp_path}/none", f"file://{tmp_path}/c.csv"]).endswith("c.csv")
+    with pytest.raises(FileNotFoundError):
+        files.first_existing(spark, [f"file://{tmp_path}/none"])
+    path = f"file://{tmp_path}/t"
+    spark.range(5).write.parquet(path)
+    files.overwrite(spark.read.parquet(path).filter("id > 2"), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 4]
+    rows = spark.createDataFrame([("n", {"x": "1.5", "k": "7", "ok": "True"}), ("m", {"x": "nan", "k": "?"})], "id string, data map<string,string>")
+    got = [tuple(r) for r in files.typed(rows, "x double, k int, ok boolean, name string").orderBy("id").collect()]
+    assert got == [("m", 0.0, 0, False, ""), ("n", 1.5, 7, True, "")]
+
+
 def test_stream_gives_interval_depths(spark, tmp_path):
     from runnel.streaming import rain
 
