@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from runnel.staging import materialize
+from runnel.staging import discard, materialize, new_path
+
+#: Rounds of shortest paths whose improvements are kept apart before they are merged.
+LOGS = 16
 
 
 def _rounds(n: int) -> int:
@@ -134,25 +138,50 @@ def degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return out.select("id", F.coalesce("i", F.lit(0)).cast("long").alias("in_degree"), F.coalesce("o", F.lit(0)).cast("long").alias("out_degree"))
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, component): smallest id reachable without regard to direction. Least-label hooking with pointer jumps."""
-    labels = materialize(nodes.select("id", F.col("id").alias("component")), "labels")
-    pairs = edges.select("src", "dst").union(edges.select("dst", "src")).filter("src <> dst").distinct()
-    pairs = materialize(pairs, "pairs")
-    for _ in range(2 * _rounds(labels.count()) + 2):
-        near = pairs.join(labels.select(F.col("id").alias("dst"), "component"), "dst").groupBy(F.col("src").alias("id")).agg(F.min("component").alias("m"))
-        hooked = labels.join(near, "id", "left").select("id", "component", F.least("component", "m").alias("n"))
-        # A root takes the least label any of its members has seen; then everyone steps to its label's label.
-        best = hooked.groupBy(F.col("component").alias("id")).agg(F.min("n").alias("b"))
-        roots_of = hooked.join(best, "id", "left").select("id", "component", F.least("n", "b").alias("n"))
-        jump = roots_of.select(F.col("id").alias("n"), F.col("n").alias("nn"))
-        moved = materialize(roots_of.join(jump, "n").select("id", F.col("nn").alias("component"), (F.col("nn") < F.col("component")).alias("m")), "labels")
-        labels = moved.select("id", "component")
-        if moved.filter("m").isEmpty():
+def connected(edges: DataFrame) -> DataFrame:
+    """(id, component) of every id in ``edges`` (a, b): the smallest id that is connected to it.
+
+    In a round each vertex points to its smallest neighbour if that is smaller, the pointers are followed to their
+    ends by doubling, the graph is contracted to these ends, and edges inside a vertex go. An end that is one in the
+    next round too has taken in all its neighbours, at least one: so two rounds halve the vertices, however their ids
+    lie, and a round doubles at most log2 of the vertices times. Edges and labels stay distributed; a round's tables
+    lie in the shared folder until those that follow are written.
+    """
+    spark = edges.sparkSession
+    edges = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges_path, labels_path = new_path(spark, "edges"), None
+    edges = materialize(edges, "edges", edges_path)
+    labels = None
+    for _ in range(2 * (2 * edges.count()).bit_length() + 1):  # an edge has two vertices at most
+        both = edges.union(edges.select("b", "a"))
+        near = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m"))
+        # A vertex that is smaller than all its neighbours is an end.
+        ends = roots(near.select("v", F.when(F.col("m") < F.col("v"), F.col("m")).alias("p")), "v", "p").select("v", F.col("root").alias("p"))
+        if labels is None:
+            labels = ends.select(F.col("v").alias("id"), F.col("p").alias("component"))
+        else:
+            step = ends.select(F.col("v").alias("component"), F.col("p").alias("next"))
+            labels = labels.join(step, "component", "left").select("id", F.coalesce("next", "component").alias("component"))
+        old, labels_path = [edges_path, labels_path], new_path(spark, "labels")
+        labels = materialize(labels, "labels", labels_path)
+        left = edges.join(ends.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a")
+        left = left.join(ends.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b").filter("pa <> pb")
+        left = left.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
+        edges_path = new_path(spark, "edges")
+        edges = materialize(left, "edges", edges_path)
+        for path in filter(None, old):  # both successors are written
+            discard(spark, path)
+        if edges.isEmpty():
             return labels
     raise RuntimeError("components did not converge")
 
 
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, component): smallest id reachable without regard to direction; a node without edges is its own component."""
+    found = connected(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).filter("a is not null and b is not null"))
+    return nodes.select("id").join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
 def topological_levels(edges: DataFrame) -> dict:
     """Peel sources off: {'levels', 'unresolved'}; unresolved > 0 means a directed cycle. One round per level."""
     left = materialize(edges.select("src", "dst").filter("src is not null and dst is not null").distinct(), "peel")
@@ -271,32 +300,27 @@ def shortest_paths(edges: DataFrame, source, directed: bool = False, most_rounds
         pairs = pairs.union(edges.select("dst", "src", "weight"))
     pairs = materialize(pairs.groupBy("src", "dst").agg(F.min("weight").cast("double").alias("weight")), "edges")
     spark, kind = edges.sparkSession, dict(edges.dtypes)["src"]
-    best = spark.range(1).select(F.lit(source).cast(kind).alias("id"), F.lit(0.0).alias("distance"), F.lit(None).cast(kind).alias("previous"))
-    best = materialize(best, "paths")
-    front = best
+    start = spark.range(1).select(F.lit(source).cast(kind).alias("id"), F.lit(0.0).alias("distance"), F.lit(None).cast(kind).alias("previous"))
+    front = materialize(start, "paths")
+    found = [front]  # what each round improved; a node's last row has its least distance
+
+    def best() -> DataFrame:
+        one = reduce(DataFrame.union, found).groupBy("id").agg(F.min(F.struct("distance", "previous")).alias("o"))
+        return one.select("id", "o.distance", "o.previous")
+
     for _ in range(most_rounds):
-        offer = front.join(pairs, front["id"] == pairs["src"]).select(
-            F.col("dst").alias("id"), F.struct((F.col("distance") + F.col("weight")).alias("distance"), F.col("src").alias("previous")).alias("o")
-        )
-        offer = offer.groupBy("id").agg(F.min("o").alias("o"))
-        merged = best.join(offer, "id", "full").select(
-            "id",
-            (F.col("o.distance") < F.coalesce("distance", F.lit(float("inf")))).alias("m"),
-            "distance", "previous", "o",
-        )
-        better = F.coalesce("m", F.lit(False))
-        merged = materialize(
-            merged.select(
-                "id",
-                F.when(better, F.col("o.distance")).otherwise(F.col("distance")).alias("distance"),
-                F.when(better, F.col("o.previous")).otherwise(F.col("previous")).alias("previous"),
-                better.alias("m"),
-            ),
-            "paths",
+        offer = front.join(pairs, front["id"] == pairs["src"]).groupBy(F.col("dst").alias("id")).agg(
+            F.min(F.struct((F.col("distance") + F.col("weight")).alias("distance"), F.col("src").alias("previous"))).alias("o")
         )
-        best, front = merged.select("id", "distance", "previous"), merged.filter("m").select("id", "distance")
+        offer = materialize(offer.select("id", "o.distance", "o.previous"), "offers")
+        # Only nodes with an offer are looked up: a frontier is small beside all paths.
+        old = reduce(DataFrame.union, found).join(offer.select("id"), "id", "left_semi").groupBy("id").agg(F.min("distance").alias("_d"))
+        front = materialize(offer.join(old, "id", "left").filter("_d is null or distance < _d").drop("_d"), "paths")
         if front.isEmpty():
-            return best
+            return best()
+        found.append(front)
+        if len(found) > LOGS:
+            found[:] = [materialize(best(), "paths")]
     raise RuntimeError("shortest paths did not settle")
 
 

@@ -134,3 +134,25 @@ def test_longest_way_by_length_and_its_path(spark):
     got = {r.id: (r.root, r.depth, r.length) for r in graph.roots(tree, "id", "down", "length").collect()}
     assert got[399][:2] == (0, len(want) - 1) and abs(got[399][2] - sum(length[i] for i in want[:-1])) < 1e-9 and got[0] == (0, 0, 0.0)
     assert graph.flow_path(tree, None).count() <= 1
+
+
+@pytest.mark.parametrize("logs", [1, 16])
+def test_shortest_paths_of_random_roads(spark, monkeypatch, logs):
+    """Against relaxation of all edges, with parallel edges, a part out of reach, and late improvements."""
+    monkeypatch.setattr(graph, "LOGS", logs)
+    rnd = random.Random(6)
+    edges = [(i, i + 1, 10.0) for i in range(30)] + [(rnd.randrange(60), rnd.randrange(60), float(rnd.randrange(1, 200))) for _ in range(90)] + [(100, 101, 1.0)]
+    want = {0: 0.0}
+    for _ in range(100):
+        for a, b, w in edges:
+            for x, y in ((a, b), (b, a)):
+                if x in want and want[x] + w < want.get(y, float("inf")):
+                    want[y] = want[x] + w
+    rows = graph.shortest_paths(spark.createDataFrame(edges, "src long, dst long, weight double"), 0).collect()
+    got = {r.id: r.distance for r in rows}
+    assert got == want and len(rows) == len(want) and 100 not in got
+    light = {}
+    for a, b, w in edges:
+        for k in ((a, b), (b, a)):
+            light[k] = min(w, light.get(k, w))
+    assert all(r.previous is None and r.id == 0 or got[r.previous] + light[r.previous, r.id] == r.distance for r in rows)
