@@ -8,12 +8,15 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from runnel.operators.contraction import fold, strahler_orders, sums_under_limits
 from runnel.staging import discard, materialize, new_path
 
+#: Rows of a tree that one task walks.
+WALK_ROWS = 500_000
 #: Rounds of shortest paths whose improvements are kept apart before they are merged.
 LOGS = 16
 
@@ -63,7 +66,7 @@ def roots(cells: DataFrame, key: str = "cell", down: str = "down", length: str |
     state = state.select("k", F.coalesce("j", "k").alias("r"), F.col("j").isNotNull().cast("long").alias("d"), F.when(F.col("j").isNotNull(), F.col("l")).otherwise(0.0).alias("l"))
     state = materialize(state, "roots")
     done, active = state.filter("d = 0"), state.filter("d > 0")
-    for _ in range(_rounds(state.count())):
+    for _ in range(_rounds(state.count()) + 1):  # the last one finds that none is left
         if active.isEmpty():
             out = [F.col("k").alias(key), F.col("r").alias("root"), F.col("d").alias("depth")]
             return done.select(*out, *([F.col("l").alias(length)] if length else []))
@@ -211,9 +214,13 @@ def descendants(edges: DataFrame, start: list) -> DataFrame:
 def strahler(edges: DataFrame, roots_of: DataFrame) -> DataFrame:
     """(id, order) of the nodes of a forest; edges (src, dst) point downstream, roots_of has (id, root).
 
-    A source has order 1; else the largest order above, one more if two distinct nodes above have it. Trees are
-    independent, so each is walked once in its own group.
+    A source has order 1; else the largest order above, one more if two distinct nodes above have it. A tree of up to
+    WALK_ROWS edges is walked in a task; larger ones are contracted.
     """
+    edges = edges.select("src", "dst").distinct()
+    rows = edges.join(roots_of.select(F.col("id").alias("src"), "root"), "src")
+    small, large = _by_size(rows, ["root"])
+    kind = dict(edges.dtypes)["src"]
 
     def walk(tree: pd.DataFrame) -> pd.DataFrame:
         above, below = defaultdict(set), {}
@@ -236,8 +243,15 @@ def strahler(edges: DataFrame, roots_of: DataFrame) -> DataFrame:
             raise CycleError(len(nodes) - len(order))
         return pd.DataFrame({"id": list(order), "order": list(order.values())})
 
-    rows = edges.join(roots_of.select(F.col("id").alias("src"), "root"), "src")
-    return rows.groupBy("root").applyInPandas(walk, f"id {dict(edges.dtypes)['src']}, order int").distinct()
+    walked = small.groupBy("root").applyInPandas(walk, f"id {kind}, order int").distinct()
+    if large is None:
+        return walked
+    ids = large.select(F.col("src").alias("k")).union(large.select("dst")).filter("k is not null").distinct()
+    nodes = ids.join(large.filter("dst is not null").select(F.col("src").alias("k"), F.col("dst").alias("p")), "k", "left")
+    nodes = nodes.select("k", "p", F.struct(F.lit(0).alias("m"), F.lit(False).alias("twice")).alias("state"))
+    most = nodes.count().bit_length() + 1
+    nodes = nodes.withColumn("way", F.sequence(F.lit(1), F.lit(most)))
+    return walked.union(fold(nodes, strahler_orders()).select(F.col("k").alias("id"), F.col("value").cast("int").alias("order")))
 
 
 def capacity_route(nodes: DataFrame, by: list[str] | None = None, chunks: int = 16) -> DataFrame:
@@ -245,7 +259,8 @@ def capacity_route(nodes: DataFrame, by: list[str] | None = None, chunks: int =
 
     nodes: id, down (null at sinks), capacity (of the edge to down), local (own inflow), root, and the columns ``by``
     (such as interval_id). A node passes on min(total, capacity); the rest overflows there and leaves the network. A
-    sink exports all. A group is a tree with a share of the intervals: it is walked once, with a vector of intervals.
+    sink exports all. A tree with a share of the intervals is walked in a task, with a vector of intervals, if that has
+    up to WALK_ROWS rows; larger trees are contracted.
     """
     by = by or []
     kinds = dict(nodes.dtypes)
@@ -287,7 +302,35 @@ def capacity_route(nodes: DataFrame, by: list[str] | None = None, chunks: int =
 
     schema = ", ".join([f"{c} {kinds[c]}" for c in [*by, "id"]]) + ", local double, upstream double, conveyed double, overflow double, export double, total double"
     chunk = F.pmod(F.xxhash64(*by), F.lit(chunks)) if by else F.lit(0)
-    return nodes.withColumn("_chunk", chunk).groupBy("root", "_chunk").applyInPandas(walk, schema)
+    small, large = _by_size(nodes.withColumn("_chunk", chunk), ["root", "_chunk"])
+    walked = small.groupBy("root", "_chunk").applyInPandas(walk, schema)
+    if large is None:
+        return walked
+
+    def key(c: str) -> Column:
+        return F.struct(*by, F.col(c).alias("id"))
+
+    at = large.select("*", key("id").alias("k"), F.when(F.col("down").isNotNull(), key("down")).alias("p"), F.coalesce(F.col("local").cast("double"), F.lit(0.0)).alias("_own"))
+    limit = F.coalesce(F.col("capacity").cast("double"), F.lit(float("inf")))
+    way = F.struct(F.lit(0.0).alias("plus"), limit.alias("limit"))
+    total = fold(at.select("k", "p", F.col("_own").alias("state"), way.alias("way")), sums_under_limits()).withColumnRenamed("value", "total")
+    sink, t = F.col("down").isNull(), F.col("total")
+    passed = F.when(sink, 0.0).otherwise(F.least(t, limit))
+    rest = F.when(sink, 0.0).otherwise(F.greatest(F.lit(0.0), t - F.least(t, limit)))
+    flows = at.join(total, "k").select(
+        *by, "id", F.col("_own").alias("local"), (t - F.col("_own")).alias("upstream"), passed.alias("conveyed"), rest.alias("overflow"),
+        F.when(sink, t).otherwise(0.0).alias("export"), t.alias("total"),
+    )
+    return walked.union(flows)
+
+
+def _by_size(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the groups of up to WALK_ROWS rows, and those of larger ones (None if there are none)."""
+    rows = materialize(rows, "trees")
+    big = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > WALK_ROWS).drop("_n"), "large")
+    if big.isEmpty():
+        return rows, None
+    return rows.join(big, keys, "left_anti"), rows.join(big, keys, "left_semi")
 
 
 def shortest_paths(edges: DataFrame, source, directed: bool = False, most_rounds: int = 10_000) -> DataFrame:

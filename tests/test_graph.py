@@ -156,3 +156,36 @@ def test_shortest_paths_of_random_roads(spark, monkeypatch, logs):
         for k in ((a, b), (b, a)):
             light[k] = min(w, light.get(k, w))
     assert all(r.previous is None and r.id == 0 or got[r.previous] + light[r.previous, r.id] == r.distance for r in rows)
+
+
+@pytest.mark.parametrize("shape", ["chain", "random", "star", "comb"])
+def test_large_trees_are_contracted(spark, monkeypatch, shape):
+    """Orders and flows of contracted trees equal those of the walk, which is told to take no tree."""
+    rnd = random.Random(11)
+    down = {
+        "chain": {i: i - 1 for i in range(1, 24)} | {0: None},
+        "random": {i: rnd.randrange(max(0, i - 6), i) for i in range(1, 60)} | {0: None},
+        "star": {i: 0 for i in range(1, 30)} | {0: None, 100: 101, 101: None},
+        "comb": {i: i - 2 if i % 2 == 0 else i - 1 for i in range(1, 40)} | {0: None},
+    }[shape]
+    edges = spark.createDataFrame([(i, d) for i, d in down.items() if d is not None], "src long, dst long")
+    tree = spark.createDataFrame(list(down.items()), "id long, down long")
+    roots = graph.roots(tree, "id", "down")
+    rows = [(s, i, d, rnd.uniform(1, 15) if d is not None else None, rnd.choice((None, 0.0, rnd.random() * 5))) for i, d in down.items() for s in (0, 30)]
+    nodes = spark.createDataFrame(rows, "step int, id long, down long, capacity double, local double").join(roots.select("id", "root"), "id")
+    want_orders = {r.id: r.order for r in graph.strahler(edges, roots).collect()}
+    want = {(r.step, r.id): r for r in graph.capacity_route(nodes, ["step"]).collect()}
+    monkeypatch.setattr(graph, "WALK_ROWS", 0)
+    assert {r.id: r.order for r in graph.strahler(edges, roots).collect()} == want_orders
+    got = {(r.step, r.id): r for r in graph.capacity_route(nodes, ["step"]).collect()}
+    assert set(got) == set(want)
+    for k, r in got.items():
+        assert all(abs(a - b) < 1e-9 for a, b in zip(r[2:], want[k][2:], strict=True)), (k, r, want[k])
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 9, 64])
+def test_a_chain_of_any_length_has_one_root(spark, n):
+    """The chain is the whole table, so no other rows lend it rounds."""
+    tree = spark.createDataFrame([(i, i - 1 if i else None) for i in range(n)], "cell long, down long")
+    assert {r.cell: (r.root, r.depth) for r in graph.roots(tree).collect()} == {i: (0, i) for i in range(n)}
+    assert {r.id: r.component for r in graph.connected(tree.filter("down is not null").toDF("a", "b")).collect()} == {i: 0 for i in range(n) if n > 1}
