@@ -1,47 +1,7 @@
-"""Connected components of an edge table, by contraction."""
+"""Connected components of an edge table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from runnel.operators.graph import connected as components
 
-from runnel.llm.storage import discard, materialize, new_path
-from runnel.operators.graph import roots
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(id, component) of every id in ``edges`` (a, b): the smallest id that is connected to it.
-
-    In a round each vertex points to its smallest neighbour if that is smaller, the pointers are followed to their
-    ends by doubling, the graph is contracted to these ends, and edges inside a vertex go. An end that is one in the
-    next round too has taken in all its neighbours, at least one: so two rounds halve the vertices, however their ids
-    lie, and a round doubles at most log2 of the vertices times. Edges and labels stay distributed; a round's tables
-    lie in the shared folder.
-    """
-    spark = edges.sparkSession
-    edges = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges_path, labels_path = new_path(spark, "edges"), None
-    edges = materialize(edges, "edges", edges_path)
-    labels = None
-    for _ in range(2 * (2 * edges.count()).bit_length() + 1):  # an edge has two vertices at most
-        both = edges.union(edges.select("b", "a"))
-        near = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m"))
-        # A vertex that is smaller than all its neighbours is an end.
-        ends = roots(near.select("v", F.when(F.col("m") < F.col("v"), F.col("m")).alias("p")), "v", "p").select("v", F.col("root").alias("p"))
-        if labels is None:
-            labels = ends.select(F.col("v").alias("id"), F.col("p").alias("component"))
-        else:
-            step = ends.select(F.col("v").alias("component"), F.col("p").alias("next"))
-            labels = labels.join(step, "component", "left").select("id", F.coalesce("next", "component").alias("component"))
-        old, labels_path = [edges_path, labels_path], new_path(spark, "labels")
-        labels = materialize(labels, "labels", labels_path)
-        left = edges.join(ends.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a")
-        left = left.join(ends.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b").filter("pa <> pb")
-        left = left.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
-        edges_path = new_path(spark, "edges")
-        edges = materialize(left, "edges", edges_path)
-        for path in filter(None, old):  # both successors are written
-            discard(spark, path)
-        if edges.isEmpty():
-            return labels
-    raise RuntimeError("components did not converge")
+__all__ = ["components"]
