@@ -22,8 +22,9 @@ import regex
 
 from runnel.llm.text_arrays import SPACE, gather, strings, utf8
 
-#: Bytes of pieces that a worker remembers, each counted with PIECE_COST more than its text; beyond it the memory starts anew.
-MOST_BYTES, PIECE_COST = 160 << 20, 200
+#: Bytes of pieces that a worker remembers, each counted with PIECE_COST more than its text; beyond it, those that only one
+#: batch has used are forgotten, or all if that frees less than half.
+MOST_BYTES, PIECE_COST = 112 << 20, 200
 
 # Fixed value: the split pattern of byte-level tokenizers that name none.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -89,6 +90,17 @@ class ChunkTokenizer:
         self.held = 0
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.uses = np.zeros(1 << 14, np.uint32)
+
+    def _shrink(self) -> None:
+        """Forget the pieces that one batch alone has used."""
+        old = [p for p, u in zip(self.known, self.uses[: len(self.known)].tolist(), strict=True) if u > 1]  # in the order of places
+        kept = np.flatnonzero(self.uses[: len(self.known)] > 1)
+        flat, start, length = self.flat, self.start[kept], self.length[kept]
+        self.forget()
+        if sum(map(len, old)) + PIECE_COST * len(old) + 4 * int(length.sum()) < MOST_BYTES // 2:
+            self._remember(old, gather(flat, start, length), length)
+            self.uses[: len(old)] = 1
 
     def _split(self, chunk: str) -> list[str] | None:
         """Pieces of a chunk by the pattern, None where the library must see the chunk as a text."""
@@ -109,13 +121,16 @@ class ChunkTokenizer:
         asked = (e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False))
         ids = [next(asked) if s is None else encode(s[0]) if len(s) == 1 else [i for p in s for i in encode(p)] for s in split]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(lengths.sum()))
+        self._remember(new, np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths)
+
+    def _remember(self, new: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         n, k = len(self.known), len(new)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while n + k > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         self.flat[self.used : self.used + len(flat)] = flat
         self.start[n : n + k] = self.used + np.cumsum(lengths) - lengths
         self.length[n : n + k] = lengths
@@ -126,13 +141,15 @@ class ChunkTokenizer:
     def _places(self, distinct: list[str], whole: np.ndarray) -> np.ndarray:
         """Which of the remembered pieces and chunks each of these is."""
         if self.held > MOST_BYTES:
-            self.forget()
+            self._shrink()
         known = self.known
         at = [i for i, c in enumerate(distinct) if c not in known]
         for i in range(0, len(at), 20_000):
             some = at[i : i + 20_000]
             self._learn([distinct[j] for j in some], whole[some].tolist())
-        return np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        place = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        self.uses[place] += 1
+        return place
 
     def _cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
         """The bytes, in lower case where that is what the tokenizer does; and of each byte: whether a piece or whole chunk

@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runnel.llm.chunk_tokenizer import tokenizer
-from runnel.llm.text_arrays import pieces, strings, utf8
+from runnel.llm.text_arrays import pieces, strings, tidy, utf8
 
 WINDOW = 2048
 #: Bytes of text that a Python worker encodes at once.
-PIECE = 4 << 20
+PIECE = 2 << 20
 #: sequence_id = partition * SEQUENCES + number in the partition.
 SEQUENCES = 1 << 36
 
@@ -160,6 +160,7 @@ def _encode_spans(path: str, texts: pa.Array, spans: pa.Array) -> tuple[np.ndarr
 
 
 def _pack_documents(path: str, end_id: int, limits: tuple[int, int, int]):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() * SEQUENCES, limits)
         known: dict[int, tuple] = {}  # of examples that still wait

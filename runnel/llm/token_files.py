@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from runnel.llm.chunk_tokenizer import tokenizer
 from runnel.llm.storage import new_path
-from runnel.llm.text_arrays import pieces
+from runnel.llm.text_arrays import pieces, tidy
 
 SEGMENT_TOKENS, BLOCK_TOKENS, LANES = 4 << 20, 1 << 15, 64
 SCALE, LOW = 18, np.uint64(1 << 31)
@@ -156,6 +156,7 @@ def decode_ids(row: dict, first_block: int = 0, n_blocks: int | None = None) ->
 
 
 def _write_segments(path: str, end_id: int, segment_tokens: int):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, segment = TaskContext.get().partitionId(), 0
         held, docs, lengths, size = [], [], [], 0
@@ -198,6 +199,7 @@ def write_token_files(
     ).parquet(path)
 
 
+@tidy
 def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():

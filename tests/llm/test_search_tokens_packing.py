@@ -50,15 +50,18 @@ def test_pieces_cut_on_bytes_give_the_library_ids(name, monkeypatch):
     """Letters with and without marks, signs, digits, blanks of all kinds; also when a worker forgets between batches."""
     path = public_tokenizers.path(name)
     fresh, c, rnd = Tokenizer.from_file(path), ChunkTokenizer(path), random.Random(3)
-    monkeypatch.setattr(CT, "MOST_BYTES", 50_000)
+    monkeypatch.setattr(CT, "MOST_BYTES", 150_000)
+    shrunk = []
+    monkeypatch.setattr(CT.ChunkTokenizer, "_shrink", lambda self, was=CT.ChunkTokenizer._shrink: (was(self), shrunk.append(len(self.known))))
     bits = [" ", "  ", "\n", "\t", "a", "B", "xyz", "É", "ß", "ÿ", "À", "×", "÷", "1", "23", ".", ",", "'", "'s", "’", "<", "|", "-", "_", "´", "e", "h"]
     bits += ["\u0301", "\u0331", "日", "\u3000", "\xa0", "\x1c", "\x85", "\x7f", "\x00", "ﬁ", "İ", "²", "Σ"]
-    for _ in range(4):
-        texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(12))) for _ in range(700)]
+    for _ in range(12):
+        texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(12))) for _ in range(300)]
         ids, n = c.encode(pa.array(texts))
         ends = np.cumsum(n)
         for t, a, b in zip(texts, ends - n, ends, strict=True):
             assert ids[a:b].tolist() == fresh.encode(t, add_special_tokens=False).ids, repr(t)
+    assert len(shrunk) > 1 and max(shrunk) > 10  # some pieces are forgotten, those in use are not
 
 
 @settings(deadline=None, max_examples=40)
