@@ -218,14 +218,16 @@ def survivors(documents: DataFrame) -> DataFrame:
     Rows are told apart by doc_id and text, so of two texts under one doc_id each is judged by itself. Of rows that
     repeat both, and of a text whose rows have no doc_id at all, one row stays; which one is open where other columns differ.
     """
-    columns = documents.columns
-    judged = exact_dedup(documents).filter("group_size > 1").groupBy("text_sha256").agg(F.max("keep_id").alias("keep_id"))
-    judged = judged.select(F.col("text_sha256").alias("_sha"), F.struct(F.col("keep_id").alias("id")).alias("_keep"))
+    judged = exact_dedup(documents).filter("group_size > 1").groupBy("text_sha256")
+    judged = judged.agg(F.max("keep_id").alias("_keep"), F.count_if("kept").alias("_ties"))
+    judged = materialize(judged.withColumnRenamed("text_sha256", "_sha"), "judged")
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    rows = documents.select(F.struct(*columns).alias("_row"), digest.alias("_sha")).join(judged, "_sha", "left")
-    single = rows.filter("_keep is null").select("_row.*")
-    rest = rows.filter(F.col("_keep").isNotNull() & F.col("_keep.id").eqNullSafe(F.col("_row.doc_id")))
-    return single.unionByName(rest.groupBy("_sha").agg(F.first("_row").alias("_row")).select("_row.*"))
+    rows = documents.select(F.struct(*documents.columns).alias("_row"), digest.alias("_sha")).join(judged, "_sha", "left")
+    rows = rows.filter(F.col("_ties").isNull() | F.col("_keep").eqNullSafe(F.col("_row.doc_id")))
+    if judged.filter("_ties > 1").isEmpty():
+        return rows.select("_row.*")
+    one = rows.filter("_ties > 1").groupBy("_sha").agg(F.first("_row").alias("_row"))
+    return rows.filter("_ties is null or _ties = 1").select("_row.*").unionByName(one.select("_row.*"))
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:
