@@ -1,12 +1,12 @@
 """Language identification by a linear-chain conditional random field over words.
 
 Every word has the sum of the weights of its features as its score for each language: byte n-grams, prefixes and
-suffixes (all hashed to FEATURES places), and itself if it is in the lexicon of the training sample. Transition
+suffixes (all hashed to up to FEATURES places), and itself if it is in the lexicon of the training sample. Transition
 weights tie the languages of neighbouring words. Forward-backward gives each word its distribution over the
 languages given the whole text, so a text that switches languages is labelled word by word; the shares of a
 document are the means over its words that have a letter.
 
-The weights are fitted on a bounded sample of labelled documents (TRAIN_DOCS a language, TRAIN_WORDS words of each),
+The weights are fitted on a bounded sample of labelled documents (TRAIN_DOCS a language, TRAIN_WORDS words of each; every language that has a label is learned),
 joined to sequences that also switch languages, by full-batch gradient steps on the likelihood. Distinct words are
 scored once a batch, and the recursions run over all documents of a batch at once.
 """
@@ -23,25 +23,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runnel.llm.shingles import factors, mix
-from runnel.llm.source_mix import uniform
-from runnel.llm.text_arrays import pieces, utf8, words
-
-#: Bounds of the training sample: documents a language (about), words of each, languages (the most frequent).
-TRAIN_DOCS, TRAIN_WORDS, MOST_LANGUAGES = 300, 120, 256
-FEATURES = 1 << 16
+from runnel.llm.text_arrays import pieces, tidy, utf8, words
+
+#: Bounds of the training sample: documents a language (about, and three times as many at most), and words of each.
+TRAIN_DOCS, TRAIN_WORDS = 300, 120
+#: Bytes of text that a Python worker labels at once.
+PIECE = 2 << 20
+#: Places that features are hashed to, and weights of a model at most (64 MB); more languages have fewer places.
+FEATURES, MOST_WEIGHTS, LEAST_FEATURES = 1 << 16, 1 << 24, 1 << 10
 SEQUENCE, STEPS = 40, 30
+#: Words of a long text that the recursions take as one run.
+RUN = 128
 UNKNOWN = "und"
 
 
 @dataclass
 class Model:
     languages: list[str]
-    weights: np.ndarray  # (FEATURES + 1, languages); the last row stays 0
+    weights: np.ndarray  # (features + 1, languages); the last row stays 0
     transitions: np.ndarray
     lexicon: np.ndarray  # sorted hashes of words
 
 
-def word_features(distinct: pa.LargeStringArray, lexicon: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def feature_count(languages: int) -> int:
+    """The largest power of two up to FEATURES with which the weights stay within MOST_WEIGHTS."""
+    places = min(FEATURES, 1 << (MOST_WEIGHTS // languages).bit_length() - 1) if languages <= MOST_WEIGHTS else 0
+    if places < LEAST_FEATURES:
+        raise ValueError(f"{languages} languages are more than a model of {MOST_WEIGHTS} weights can tell apart")
+    return places
+
+
+def word_features(distinct: pa.LargeStringArray, lexicon: np.ndarray | None, places: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of all words one after another, where each word's begin, and the hashes of the words."""
     data, offsets = utf8(pc.utf8_lower(distinct))
     n = len(offsets) - 1
@@ -71,10 +83,10 @@ def word_features(distinct: pa.LargeStringArray, lexicon: np.ndarray | None) ->
     position = mix(padded + by[2] * (np.arange(len(padded), dtype=np.int64) - np.repeat(begin, size + 2)).astype(np.uint64))
     total = np.r_[np.uint64(0), np.cumsum(position)]
     whole = mix(total[ends] - total[begin]) if n else np.zeros(0, np.uint64)
-    place = [k % np.uint64(FEATURES) for k in keys]
+    place = [k % np.uint64(places) for k in keys]
     if lexicon is not None and len(lexicon):
         known = np.flatnonzero(lexicon[np.minimum(np.searchsorted(lexicon, whole), len(lexicon) - 1)] == whole)
-        place.append((whole[known] ^ by[5]) % np.uint64(FEATURES))
+        place.append((whole[known] ^ by[5]) % np.uint64(places))
         owner.append(known)
     owner_all = np.concatenate(owner)
     order = np.argsort(owner_all, kind="stable")
@@ -90,41 +102,83 @@ def _scores(weights: np.ndarray, features: np.ndarray, begins: np.ndarray) -> np
     return np.add.reduceat(weights[features], begins, axis=0) / np.sqrt(counts)[:, None].astype(np.float32)
 
 
+def _passages(local: np.ndarray, first: np.ndarray, size: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """(runs, languages, languages): from the message that enters a run to the state of its last word, up to a factor."""
+    order = np.argsort(-size, kind="stable")
+    at, size = first[order], size[order]
+    out = np.eye(len(move))[None] * local[at][:, :, None]
+    for t in range(1, int(size[0])):
+        n = len(size) - int(np.searchsorted(size[::-1], t, side="right"))
+        step = (out[:n] @ move) * local[at[:n] + t][:, None, :]
+        out[:n] = step / step.max(axis=(1, 2), keepdims=True)
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def _runs_of_texts(local: np.ndarray, bounds: np.ndarray, move: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts cut into runs of up to ``run`` words: begins, sizes, and the messages that enter from before and from behind.
+
+    The recursions take as many steps as the longest text has words; a message crosses a whole run in one step.
+    """
+    size = np.diff(bounds)
+    runs = -(-size // run)
+    of = np.repeat(np.arange(len(size)), runs)
+    turn = np.arange(len(of)) - np.repeat(np.cumsum(runs) - runs, runs)
+    first = bounds[:-1][of] + turn * run
+    length = np.minimum(run, bounds[1:][of] - first)
+    enter, leave = np.ones((len(of), len(move))), np.ones((len(of), len(move)))
+    several = np.flatnonzero(runs[of] > 1)
+    if len(several):
+        passage = np.zeros((len(of), *move.shape))
+        passage[several] = _passages(local, first[several], length[several], move)
+        for k in range(1, int(runs.max())):
+            here = np.flatnonzero(turn == k)
+            message = (enter[here - 1][:, None, :] @ passage[here - 1])[:, 0] @ move
+            enter[here] = message / message.sum(axis=1, keepdims=True)
+        for k in range(int(runs.max()) - 1, 0, -1):
+            here = np.flatnonzero(turn == k)
+            message = (passage[here] @ leave[here][:, :, None])[:, :, 0] @ move.T
+            leave[here - 1] = message / message.sum(axis=1, keepdims=True)
+    return first, length, enter, leave
+
+
 def marginals(scores: np.ndarray, bounds: np.ndarray, transitions: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
     """Distribution of each word over the languages by forward-backward, all texts at once.
 
-    To ``pairs`` the expected number of times that language j follows language i is added.
+    To ``pairs`` the expected number of times that language j follows language i is added; then texts are not cut.
     """
-    size = np.diff(bounds)
-    order = np.argsort(-size, kind="stable")
-    begin, size = bounds[:-1][order], size[order]
-    steps = int(size[0]) if len(size) else 0
-    active = len(size) - np.searchsorted(size[::-1], np.arange(steps), side="right")
     top = scores.max(axis=1, keepdims=True) if len(scores) else scores
     local = np.exp(scores - top).astype(np.float32)
     move = np.exp(transitions).astype(np.float32)
+    whole = int(np.diff(bounds).max(initial=1))
+    begin, size, enter, leave = _runs_of_texts(local, bounds, move, RUN if pairs is None else max(1, whole))
+    order = np.argsort(-size, kind="stable")
+    begin, size, enter, leave = begin[order], size[order], enter[order].astype(np.float32), leave[order].astype(np.float32)
+    steps = int(size[0]) if len(size) else 0
+    ones = np.ones((len(move), 1), np.float32)  # sums over languages
+    active = len(size) - np.searchsorted(size[::-1], np.arange(steps), side="right")
     forward = np.empty_like(local)
     state = None
     for t in range(steps):
         at = begin[: active[t]] + t
-        state = local[at] if t == 0 else (state[: active[t]] @ move) * local[at]
-        norm = state.sum(axis=1, keepdims=True)
-        state = state / norm
+        state = enter * local[at] if t == 0 else (state[: active[t]] @ move) * local[at]
+        state = state / (state @ ones)
         forward[at] = state
-    back = np.ones((0, local.shape[1]), np.float32)
+    back = leave[:0]
     for t in range(steps - 1, -1, -1):
         n = active[t]
         at = begin[:n] + t
         if len(back) < n:
-            back = np.concatenate([back, np.ones((n - len(back), local.shape[1]), np.float32)])
+            back = np.concatenate([back, leave[len(back) : n]])
         joint = forward[at] * back
-        forward[at] = joint / joint.sum(axis=1, keepdims=True)
+        forward[at] = joint / (joint @ ones)
         ahead = local[at] * back
         if pairs is not None and t:
             both = forward[at - 1][:, :, None] * move[None] * ahead[:, None, :]
             pairs += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         back = ahead @ move.T
-        back /= back.sum(axis=1, keepdims=True)
+        back /= back @ ones
     return forward
 
 
@@ -137,9 +191,10 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 3) -> Model:
     text = pa.array([w for _, ws in samples for w in ws], pa.large_string())
     coded = text.dictionary_encode()
     code, label = coded.indices.to_numpy(), np.repeat([of[lang] for lang, _ in samples], [len(ws) for _, ws in samples])
-    _, _, whole = word_features(coded.dictionary, None)
+    places = feature_count(n)
+    _, _, whole = word_features(coded.dictionary, None, places)
     lexicon = np.unique(whole[np.bincount(code, minlength=len(whole)) >= 3])
-    features, begins, _ = word_features(coded.dictionary, lexicon)
+    features, begins, _ = word_features(coded.dictionary, lexicon, places)
     counts = np.diff(np.r_[begins, len(features)])
     owner, share = np.repeat(np.arange(len(begins)), counts), 1 / np.sqrt(np.repeat(counts, counts))
     # Runs of one language of 4 to SEQUENCE words, dealt into sequences at random: most switch now and then.
@@ -157,7 +212,7 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 3) -> Model:
     inside = np.ones(len(code), bool)
     inside[bounds[:-1]] = False
     second = np.flatnonzero(inside)
-    w, t = np.zeros((FEATURES + 1, n), np.float32), np.zeros((n, n))
+    w, t = np.zeros((places + 1, n), np.float32), np.zeros((n, n))
     seen_t = np.zeros((n, n))
     np.add.at(seen_t, (label[second - 1], label[second]), 1)
     seen = np.zeros((len(code), n), np.float32)
@@ -169,7 +224,7 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 3) -> Model:
         p = marginals(scores, bounds, t, pair)
         off = seen - p
         by_word = np.stack([np.bincount(code, off[:, i], len(begins)) for i in range(n)], axis=1)
-        grad = np.stack([np.bincount(features, by_word[owner, i] * share, FEATURES + 1) for i in range(n)], axis=1) - 0.02 * w
+        grad = np.stack([np.bincount(features, by_word[owner, i] * share, places + 1) for i in range(n)], axis=1) - 0.02 * w
         grad_t = (seen_t - pair) / len(code) * 50 - 0.02 * t
         for x, g, m, v in ((w, grad, moments[0], moments[1]), (t, grad_t, moments[2], moments[3])):
             m += 0.1 * (g - m)
@@ -183,6 +238,7 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+@tidy
 def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
         data, offsets = utf8(batch["text"])
@@ -191,18 +247,31 @@ def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             first = a + max(0, (b - a - TRAIN_WORDS) // 2)
             out.append(all_words.slice(first, min(b, first + TRAIN_WORDS) - first).to_pylist())
-        yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(out, pa.list_(pa.string()))], names=["lang", "words"])
+        columns = [batch["turn"], batch["lang"], pa.array(out, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["turn", "lang", "words"])
 
 
 def fit(labelled: DataFrame) -> Model | None:
-    """The model of rows (doc_id, text, lang): a sample by a hash of doc_id of about TRAIN_DOCS documents a language."""
+    """The model of rows (doc_id, text, lang), all of whose languages are learned.
+
+    It is fitted on a sample by a hash of doc_id and text: about TRAIN_DOCS documents a language, of each TRAIN_WORDS
+    words. Rows that are equal are drawn together, so the sample is also cut at three times its expected size, in the
+    order of the hash. More languages than a model has weights for (16,384) are an error. None if nothing is labelled.
+    """
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not counts:
+    most = MOST_WEIGHTS // LEAST_FEATURES
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    n = counts.count()
+    if not n:
         return None
-    rate = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, TRAIN_DOCS / r["count"]))) for r in counts])
-    drawn = rows.filter(uniform("language", F.col("doc_id")) < rate).select("doc_id", "text", "lang")
-    got = drawn.select("text", "lang").mapInArrow(_sample_words, "lang string, words array<string>").toArrow().to_pylist()
+    if n > most:
+        raise ValueError(f"{n} languages are more than the {most} that a model can tell apart")
+    rates = counts.select(F.col("lang").alias("_lang"), F.least(F.lit(1.0), TRAIN_DOCS / F.col("n")).alias("rate"))
+    u = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    drawn = rows.select("text", "lang", u.alias("u")).join(F.broadcast(rates), F.col("lang") == F.col("_lang")).filter("u < rate")
+    drawn = drawn.select((F.col("u") / F.col("rate")).alias("turn"), "lang", "text")
+    some = drawn.mapInArrow(_sample_words, "turn double, lang string, words array<string>")
+    got = some.orderBy("turn", "lang", "words").limit(3 * TRAIN_DOCS * n).toArrow().to_pylist()
     samples = sorted((r["lang"], r["words"]) for r in got if r["words"])
     return train(samples) if samples else None
 
@@ -213,7 +282,7 @@ def _label(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray,
     data, offsets = utf8(batch["text"])
     all_words, bounds = words(data, offsets)
     coded = all_words.dictionary_encode()
-    features, begins, _ = word_features(coded.dictionary, model.lexicon)
+    features, begins, _ = word_features(coded.dictionary, model.lexicon, len(model.weights) - 1)
     letter = pc.match_substring_regex(coded.dictionary, r"\p{L}").to_numpy(zero_copy_only=False)
     scores = _scores(model.weights, features, begins)
     scores[~letter] = 0
@@ -239,9 +308,10 @@ def _runs(model: Model, of_words: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def _predict(shared, spans: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for batch in pieces(batches, most_bytes=4 << 20):
+        for batch in pieces(batches, PIECE):
             pred, score, of_words, bounds = _label(model, batch)
             columns = [batch["doc_id"], pa.array(pred, pa.string()), pa.array(score)]
             if spans:
@@ -264,8 +334,9 @@ def keep_identified(documents: DataFrame, model: Model | None, least_score: floa
         return documents
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, most_bytes=4 << 20):
+        for batch in pieces(batches, PIECE):
             pred, score, _, _ = _label(shared.value, batch)
             yield batch.filter(pa.array((pred != UNKNOWN) & (score >= least_score)))
 
@@ -285,7 +356,7 @@ def identify(documents: DataFrame, model: Model | None, spans: bool = False) ->
     if model is None:
         out = rows.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
         return out.withColumn("spans", F.lit(None).cast("array<struct<first:int,words:int,lang:string>>")) if spans else out
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # FEATURES x MOST_LANGUAGES weights at most
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # MOST_WEIGHTS weights at most
     return rows.mapInArrow(_predict(shared, spans), f"doc_id {kind}, lang_pred string, score double{extra}")
 
 

@@ -1,5 +1,7 @@
+import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +55,56 @@ def test_held_out_accuracy(spark, sf_dir):
     assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.97
 
 
+def test_marginals_equal_enumeration():
+    """Forward-backward against the sum over all labellings, texts of different lengths at once."""
+    rnd = np.random.default_rng(4)
+    bounds, moves = np.array([0, 4, 4, 5, 11]), rnd.normal(size=(3, 3))
+    scores, pairs = rnd.normal(size=(11, 3)) * 2, np.zeros((3, 3))
+    got = L.marginals(scores, bounds, moves, pairs)
+    want_pairs = np.zeros((3, 3))
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        n = b - a
+        total, mass, moved = 0.0, np.zeros((n, 3)), np.zeros((3, 3))
+        for y in itertools.product(range(3), repeat=n):
+            v = np.exp(sum(scores[a + i, k] for i, k in enumerate(y)) + sum(moves[i, j] for i, j in zip(y, y[1:], strict=False)))
+            total += v
+            for i, k in enumerate(y):
+                mass[i, k] += v
+            for i, j in zip(y, y[1:], strict=False):
+                moved[i, j] += v
+        assert np.allclose(got[a:b], mass / total, atol=1e-5)
+        want_pairs += moved / total if n else 0
+    assert np.allclose(pairs, want_pairs, atol=1e-4)
+
+
+@pytest.mark.parametrize("run", [1, 2, 7, 128])
+def test_long_texts_in_runs_have_the_same_marginals(monkeypatch, run):
+    rnd = np.random.default_rng(8)
+    bounds, moves = np.array([0, 1, 1, 500, 503, 516, 1300]), rnd.normal(size=(4, 4)) * 2
+    scores = rnd.normal(size=(1300, 4)) * 5
+    scores[600:900] = [0, 30, -40, 5]
+    want = L.marginals(scores, bounds, moves, np.zeros((4, 4)))
+    monkeypatch.setattr(L, "RUN", run)
+    assert np.allclose(L.marginals(scores, bounds, moves), want, atol=1e-5)
+    assert L.marginals(scores[:0], np.array([0, 0]), moves).shape == (0, 4)
+
+
+def test_all_languages_are_learned_from_a_bounded_sample(spark, monkeypatch):
+    """300 languages, one of which has a third of all rows, repeated under one id or none."""
+    rnd = random.Random(5)
+    stems = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}q{chr(97 + i * 7 % 26)}" for i in range(300)]
+    text = lambda i: " ".join(stems[i] + rnd.choice("aeiou") for _ in range(20))
+    rows = [(i * 10 + k, text(i), f"l{i}", 0) for i in range(300) for k in range(3)] + [(None, text(0), "l0", 0)] * 200 + [(5, text(0), "l0", 0)] * 200
+    monkeypatch.setattr(L, "TRAIN_DOCS", 2)
+    seen = []
+    monkeypatch.setattr(L, "train", lambda samples: seen.extend(samples) or "model")
+    assert L.fit(spark.createDataFrame(rows, DOCS)) == "model"
+    assert 300 <= len(seen) <= 3 * 2 * 300 and len({lang for lang, _ in seen}) > 200
+    assert L.feature_count(4) == L.FEATURES and L.feature_count(300) == 1 << 15 and L.feature_count(1 << 14) == 1 << 10
+    with pytest.raises(ValueError, match="more than"):
+        L.feature_count((1 << 14) + 1)
+
+
 def test_held_out_is_by_crc(spark):
     import zlib
 
@@ -110,7 +162,64 @@ def test_pages(spark, crf):
     assert H.extract(df.limit(0), crf).count() == 0
 
 
-@pytest.mark.parametrize("page", ["<", "<p", "</p></div>", "<a href='", "<!--", "<script>", "<p>a</b></i><td>x", "a<b<c>d", "<ul><li>a<li>b</ul>", "\0", "<style>x"])
+# Written by hand, in the manner of a news site, a wiki and a weblog; lines of the article are those to be found.
+NEWS = """<!DOCTYPE html><html lang="en"><head><title>Rail line reopens - The Post</title><meta name="x" content="y"><style>p{color:red}</style></head>
+<body class="article-page"><div id="top-bar"><a href="/login">Log in</a> <a href="/subscribe">Subscribe</a></div>
+<header class="masthead"><h2><a href="/">The Post</a></h2><nav role="navigation"><ul><li><a href="/w">World</a></li><li><a href="/s">Sport</a></li></ul></nav></header>
+<div class="container"><main><article><h1>Rail line reopens after forty years</h1>
+<p>Trains ran again on Monday between the two valley towns, four decades after the line was closed to passengers.</p>
+<p>The first service left at six, with <a href="/mayor">the mayor</a> on board and several hundred people along the platform.</p>
+<div class="advert">Advertisement: save on your holiday today</div>
+<blockquote><p>&ldquo;We waited a long time for this morning,&rdquo; said the driver, who learned the route as an apprentice.</p></blockquote>
+<p>Fares stay at 2005 levels until the summer, the operator said.</p></article>
+<aside class="sidebar"><h3>Most read</h3><ol><li><a href="/a">Storm warning for the coast</a></li><li><a href="/b">Cup final tickets</a></li></ol></aside></main></div>
+<section class="comments"><h3>3 comments</h3><div class="comment"><p>About time, if you ask me.</p></div></section>
+<footer><p>&copy; The Post 2024. All rights reserved.</p></footer><script>track("x")</script></body></html>"""
+NEWS_LINES = [
+    "Rail line reopens after forty years", "Trains ran again on Monday between the two valley towns, four decades after the line was closed to passengers.",
+    "The first service left at six, with the mayor on board and several hundred people along the platform.",
+    "“We waited a long time for this morning,” said the driver, who learned the route as an apprentice.", "Fares stay at 2005 levels until the summer, the operator said.",
+]
+WIKI = """<html><body><div id="mw-navigation"><ul class="menu"><li><a href="/m">Main page</a><li><a href="/r">Random article</a></ul><form><input name=q><button>Search</button></form></div>
+<div id="content" class="body"><h1 id="firstHeading">Harmonic mean</h1><div id="bodyContent"><p>The <b>harmonic mean</b> is one of several kinds of average, used for rates and ratios.</p>
+<p>For two numbers it is <math><mi>H</mi><mo>=</mo><mn>2</mn><mi>a</mi><mi>b</mi><annotation encoding="tex">H=2ab</annotation></math> over their sum, and it never exceeds the geometric mean.</p>
+<h2>Use</h2><p>Speeds over equal distances are averaged in this way, as are the resistances of parallel resistors.</p>
+<xmp>mean = n / sum(1 / x for x in values if x > 0 and x < limit)</xmp>
+<p>Outliers at the lower end pull it down strongly, which makes it a cautious figure.</p></div></div>
+<div id="footer"><ul><li>Privacy policy</li><li>Terms of use</li></ul></div></body></html>"""
+WIKI_LINES = [
+    "Harmonic mean", "The harmonic mean is one of several kinds of average, used for rates and ratios.", "For two numbers it is H=2ab over their sum, and it never exceeds the geometric mean.",
+    "Use", "Speeds over equal distances are averaged in this way, as are the resistances of parallel resistors.", "mean = n / sum(1 / x for x in values if x > 0 and x < limit)",
+    "Outliers at the lower end pull it down strongly, which makes it a cautious figure.",
+]
+BLOG = """<html><body><div class=header><a href=/>my garden notes</a></div><div class=cookie-banner><p>This site uses cookies. <button>Accept</button></p></div>
+<div class=post><h2 class=post-title>Pruning the old pear</h2><div class=post-body>The tree was planted before we moved here, and nobody had cut it for years.<br>So I began at the top, taking out what crossed.
+<ul><li>Dead wood first, down to the collar.<li>Then one branch of every pair that rubs.</ul><p>After two winters it carries fruit again, smaller than I hoped but sweet enough for the table.</div></div>
+<div class=share><a>Share</a> <a>Tweet</a></div><div class=related><h4>Related posts</h4><a href=/1>Making compost</a></div><div class=footer>Copyright 2023</div></body></html>"""
+BLOG_LINES = [
+    "Pruning the old pear", "The tree was planted before we moved here, and nobody had cut it for years. So I began at the top, taking out what crossed.",
+    "Dead wood first, down to the collar.", "Then one branch of every pair that rubs.", "After two winters it carries fruit again, smaller than I hoped but sweet enough for the table.",
+]
+
+
+def test_pages_that_were_written_by_hand(crf):
+    good = extra = missed = 0
+    for page, want in ((NEWS, NEWS_LINES), (WIKI, WIKI_LINES), (BLOG, BLOG_LINES)):
+        assert {b.text for b in blocks(page)} >= set(want)
+        got = H.main_text(page, crf).split("\n")
+        good, extra, missed = good + len(set(got) & set(want)), extra + len(set(got) - set(want)), missed + len(set(want) - set(got))
+    assert good / (good + extra) >= 0.85 and good / (good + missed) >= 0.85, (good, extra, missed)
+
+
+def test_a_very_long_page_and_batches_of_bytes(spark, crf, monkeypatch):
+    monkeypatch.setattr(H, "PIECE", 1000)
+    body = "".join(f"<p>Sentence number {i} of a very long article that goes on and on.</p>" for i in range(3000))
+    rows = [(1, "u", f"<article>{body}</article><footer>(c)</footer>", 0), *[(i, "u", "<p>short</p>", 0) for i in range(2, 40)]]
+    got = {r.page_id: r for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int"), crf).collect()}
+    assert len(got) == 39 and got[1].text.count("\n") == 2999 and got[1].n_chars == len(got[1].text)
+
+
+@pytest.mark.parametrize("page", ["<xmp>", "<math><mi>x", "<", "<p", "</p></div>", "<a href='", "<!--", "<script>", "<p>a</b></i><td>x", "a<b<c>d", "<ul><li>a<li>b</ul>", "\0", "<style>x"])
 def test_broken_pages_parse(page):
     blocks(page)
 
