@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from runnel.llm.components import components
 from runnel.llm.shingles import factors, mix, shingle_sets
 from runnel.llm.storage import join_groups, materialize
-from runnel.llm.text_arrays import pieces
+from runnel.llm.text_arrays import pieces, tidy
 
 SAMPLES, ROWS, BITS = 128, 4, 512
 WORDS = BITS // 64
@@ -86,6 +86,7 @@ def band_keys(minima: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return mix(mix(key) + np.arange(bands, dtype=np.uint64)[:, None] * by[rows]).T.view(np.int64)
 
 
+@tidy
 def _signatures(batches):
     for batch in pieces(batches):
         sets, bounds = shingle_sets(batch["text"])
@@ -104,6 +105,7 @@ def _signatures(batches):
         )
 
 
+@tidy
 def _sets(batches):
     for batch in pieces(batches):
         sets, bounds = shingle_sets(batch["text"])
@@ -126,12 +128,19 @@ def _passes(n_a: Column, n_b: Column, est: Column) -> Column:
 def check_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough. Many pairs may have the same a, the leader."""
     pairs = materialize(pairs.select("a", "b"), "pairs")
-    sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")).withColumn("copies", F.ceil(F.col("m") / SPREAD))
-    dealt = join_groups(pairs, sizes, "a", "m", pairs.count()).withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")))
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
-    with_a = sets.join(sizes.withColumnRenamed("a", "id"), "id").select(F.col("id").alias("a"), F.col("shingles").alias("sa"), copies)
-    with_b = dealt.select("a", "b", "copy").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = with_b.join(with_a, ["a", "copy"])
+    sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > SPREAD)
+    hot = materialize(sizes.withColumn("copies", F.ceil(F.col("m") / SPREAD)), "leaders")
+    of_b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    of_a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    if hot.isEmpty():
+        both = pairs.join(of_b, "b").join(of_a, "a")
+    else:  # of hot leaders the pairs are dealt to copies of the set
+        dealt = join_groups(pairs, hot, "a", "m", pairs.count()).join(of_b, "b")
+        both = dealt.filter("copies is null").join(of_a, "a").select("a", "b", "sa", "sb")
+        copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
+        copies = of_a.join(hot, "a").select("a", "sa", copy)
+        warm = dealt.filter("copies is not null").withColumn("copy", F.pmod(F.xxhash64("b"), F.col("copies")))
+        both = both.union(warm.join(copies, ["a", "copy"]).select("a", "b", "sa", "sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     return both.select("a", "b", common.alias("k"), (F.size("sa") + F.size("sb")).alias("s")).filter(
         100 * F.col("k") >= SHARE * (F.col("s") - F.col("k"))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from runnel.llm.shingles import factors, mix, word_codes, word_hashes
 from runnel.llm.storage import exists, join_groups, materialize, new_path
-from runnel.llm.text_arrays import pieces
+from runnel.llm.text_arrays import pieces, tidy
 
 WINDOW, GRAM = 50, 16
 #: Batches the query deals the table into, and runs of a level that an index compacts into one of the next.
@@ -100,6 +100,7 @@ def row_keys(digests: list[bytes]) -> np.ndarray:
 PRINTS = "doc_id long, n_words long, row_key long, digest binary, prints array<long>"
 
 
+@tidy
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A document's word count, the digest of all its words, and its window hashes."""
     for batch in pieces(batches, PIECE):
@@ -209,6 +210,7 @@ class FingerprintIndex:
 WINDOWS = "doc_id long, row_key long, pos int, len int, w1 long, w2 long, decided boolean"
 
 
+@tidy
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate windows with their digests; of those with one digest, all but the smallest document's are decided."""
     for batch in pieces(batches, PIECE):
@@ -265,6 +267,7 @@ def removed_mask(n_words: int, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return np.cumsum(step[:-1]) > 0
 
 
+@tidy
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, PIECE):
         rows, texts = batch.to_pylist(), []
@@ -349,6 +352,7 @@ def substring_dedup(documents: DataFrame, with_text: bool = False) -> DataFrame:
     return rows.select(*out)
 
 
+@tidy
 def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The row's key beside its text: rows of one doc_id are cut each by its own windows."""
     for batch in pieces(batches, PIECE):
