@@ -9,6 +9,7 @@ from runnel.llm.html_extract import op5_html_extract
 from runnel.llm.language_id import op4_language_id
 from runnel.llm.near_dedup import OP8_SQL, op8_near_dedup
 from runnel.llm.packing import op10_pack
+from runnel.llm.source_divergence import OP11_SQL, op11_source_divergence
 from runnel.llm.source_mix import OP6_SQL, op6_source_mix
 from runnel.llm.substring_dedup import OP2_SQL, op2_substring_dedup
 from runnel.llm.token_files import op9_token_files
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_files": op9_token_files,
     "op10_pack": op10_pack,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLES = {
@@ -32,4 +34,5 @@ ORACLES = {
     "op3_chat_format": OP3_SQL,
     "op6_source_mix": OP6_SQL,
     "op8_near_dedup": OP8_SQL,
+    "op11_source_divergence": OP11_SQL,
 }
