@@ -6,6 +6,7 @@ from runnel.llm.ann_search import op7_ann_search
 from runnel.llm.chat_format import OP3_SQL, op3_chat_format
 from runnel.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from runnel.llm.html_extract import op5_html_extract
+from runnel.llm.importance_resampling import OP12_SQL, op12_importance_resampling
 from runnel.llm.language_id import op4_language_id
 from runnel.llm.near_dedup import OP8_SQL, op8_near_dedup
 from runnel.llm.packing import op10_pack
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_pack": op10_pack,
     "op11_source_divergence": op11_source_divergence,
+    "op12_importance_resampling": op12_importance_resampling,
 }
 
 ORACLES = {
@@ -35,4 +37,5 @@ ORACLES = {
     "op6_source_mix": OP6_SQL,
     "op8_near_dedup": OP8_SQL,
     "op11_source_divergence": OP11_SQL,
+    "op12_importance_resampling": OP12_SQL,
 }

@@ -1,13 +1,16 @@
 """Source divergence, importance resampling and toxicity against plain versions."""
 
+import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from runnel.llm import importance_resampling as I
 from runnel.llm import source_divergence as D
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n long, value string"
@@ -85,3 +88,67 @@ def test_shares_are_exact_beyond_products_of_64_bits(spark):
 
 def test_divergence_query_equals_its_sql(matches):
     matches(D.op11_source_divergence, D.OP11_SQL)
+
+
+def plain_resample(rows, target, lo, hi, buckets, least, percent):
+    def grams(text):
+        ws = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+        return len(ws), Counter(" ".join(ws[i : i + n]) for n in range(lo, hi + 1) for i in range(len(ws) - n + 1))
+
+    docs = [(i, *grams(text)) for i, text, _, _ in rows]
+    s, t = Counter(), Counter()
+    for into, counts in [(s, c) for _, _, c in docs] + [(t, grams(text)[1]) for text in target]:
+        for f, n in counts.items():
+            into[zlib.crc32(f.encode()) % buckets] += n
+    S, T = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log(float(t[b] + 1) * float(S + buckets) / (float(s[b] + 1) * float(T + buckets)))) for b in range(buckets)}
+    out = []
+    for i, words, c in docs:
+        n = sum(c.values())
+        weight = sum(k * gain[zlib.crc32(f.encode()) % buckets] for f, k in c.items()) // n if n else 0
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append((i, n, weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32))), words))
+    able = sorted((r for r in out if r[4] >= least), key=lambda r: (-r[3], r[0] is None, r[0]))
+    drawn = [(*r[:4], k + 1) for k, r in enumerate(able[: len(able) * percent // 100])]
+    return drawn, Counter(r[:4] for r in out)
+
+
+@pytest.mark.parametrize("lo,hi,buckets,percent", [(1, 1, 10_000, 10), (1, 3, 50, 60), (2, 2, 7, 100)])
+def test_resampling_equals_the_plain_version(spark, lo, hi, buckets, percent):
+    rows = [r for r in some_documents(2, 200)]
+    rows += [(None, "tea of the " * 30, "xx", "a"), (None, "w", None, None)]
+    target = ["The TEA rot-weiß", None, "", "wa wb wc 12 x1y élan " * 5]
+    texts = spark.createDataFrame([(t, 1) for t in target], "text string, doc_id int")
+    got = I.resample(frame(spark, rows), texts, lo, hi, buckets, 20, percent)
+    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    got = [tuple(r) for r in got.collect()]
+    drawn, every = plain_resample(rows, target, lo, hi, buckets, 20, percent)
+    assert Counter(r[:4] for r in got) == every
+    assert sorted((r for r in got if r[4] is not None), key=lambda r: r[4]) == drawn
+    kept = I.drawn_documents(frame(spark, rows), texts, shortest=lo, longest=hi, buckets=buckets, percent=percent)
+    assert {r.doc_id for r in kept.collect()} == {r[0] for r in drawn} and kept.columns == DOCS.replace(",", "").split()[::2]
+
+
+def test_resampling_of_ties_in_many_ranges(spark):
+    """One text under ascending and repeated ids: all weights are equal, repeated ids tie in their scores."""
+    rows = [(i % 400, "tea " * 20, "xx", "a") for i in range(2000)]
+    texts = spark.createDataFrame([("tea",)], "text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = [tuple(r) for r in I.resample(frame(spark, rows).repartition(7), texts, percent=50).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    drawn, every = plain_resample(rows, ["tea"], 1, 1, 10_000, 20, 50)
+    assert Counter(r[:4] for r in got) == every
+    assert sorted((r for r in got if r[4] is not None), key=lambda r: r[4]) == drawn
+
+
+def test_resampling_of_nothing(spark):
+    texts = spark.createDataFrame([("tea",)], "text string")
+    assert I.resample(frame(spark, []), texts).count() == 0
+    got = I.resample(frame(spark, [(1, None, None, None), (2, "tea " * 30, None, None)]), texts.filter("false"))
+    assert sorted((r.doc_id, r.n_features, r.rank) for r in got.collect()) == [(1, 0, None), (2, 30, None)]
+
+
+def test_resampling_query_equals_its_sql(matches):
+    matches(I.op12_importance_resampling, I.OP12_SQL)
