@@ -3,8 +3,8 @@
 Two passes with a vocabulary automaton:
 
 1. Each piece of the corpus (about PIECE bytes of texts) gives its distinct terms with the documents that hold them,
-   so a frequent term is one row a piece. Their sums are exact document frequencies; a language keeps the terms in at
-   least ``least_documents`` of its documents.
+   so a frequent term is one row a piece. Their sums over a language are exact document frequencies; the terms in at
+   least ``least_documents`` documents are kept.
 2. Each piece gets those kept terms that it holds, which its own size bounds, and an Aho-Corasick automaton over them,
    each padded with a delimiter on both sides, counts their occurrences again in the texts of each source.
 
@@ -13,7 +13,8 @@ two sources adds up, over all kept terms, (p - q)^2 / (p + q), rounded down: pos
 source into blocks, and each (pair of blocks, shard) is a small dense table in a task, whose sums are added up. Terms that
 neither source holds add the same each and are counted, not listed.
 
-All numbers are integers; a share is found by three divisions of 64-bit numbers, exact up to 9e15 occurrences.
+All numbers are integers; a share is found by three divisions of 64-bit numbers, exact up to 9e15 occurrences. A term
+has a number in place of its text: the piece that comes first of those that hold it, and its place there.
 """
 
 from __future__ import annotations
@@ -33,27 +34,60 @@ from runnel.llm.storage import materialize
 from runnel.llm.terms import LETTER_TERMS, coded, distinct_pairs, folded, piece_ids
 from runnel.llm.text_arrays import pieces, tidy
 
-#: Bytes of text that are a piece (or one longer text).
-PIECE = 16 << 20
+#: Bytes of text that are a piece, and that are cut into terms at once (or one longer text).
+PIECE, SLICE = 64 << 20, 4 << 20
+#: Digits of a place among the terms of a piece; a piece with more terms is several, each with all its texts.
+PLACE_BITS = 20
 #: Terms of a shard and sources of a block, on average; a task's table has at most about 2 * BLOCK * SHARD cells.
 SHARD, BLOCK = 4096, 128
 BILLION = 1_000_000_000
 
 _PIECES = pa.schema(
     [
-        ("piece", pa.int64()), ("lang", pa.string()), ("terms", pa.list_(pa.string())), ("found_in", pa.list_(pa.int32())),
+        ("piece", pa.int64()), ("lang", pa.string()), ("terms", pa.list_(pa.string())), ("found_in", pa.list_(pa.int64())),
         ("sources", pa.list_(pa.string())), ("texts", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int64())),
     ]
 )
-_POSTINGS = "lang string, source string, ids array<long>, counts array<long>"
+_PIECES_SQL = "piece long, lang string, terms array<string>, found_in array<long>, sources array<string>, texts array<binary>, sizes array<long>"
+_POSTINGS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+_POSTINGS_SQL = "lang string, source string, ids array<long>, counts array<long>"
 _PAIRS = "lang string, source string, other string, value long"
 
 
+def _rows(schema: pa.Schema, *columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+class _Part:
+    """What a piece holds of one language: terms with their documents by slices, and packed texts of its sources."""
+
+    def __init__(self) -> None:
+        self.terms, self.held, self.sources, self.texts, self.sizes = [], [], [], [], []
+
+    def add(self, terms: pa.Array, held: np.ndarray, texts: dict[str, list[bytes]]) -> None:
+        self.terms.append(terms)
+        self.held.append(held)
+        for source, parts in texts.items():
+            text = b" ".join([b"", *parts, b""])
+            self.sources.append(source)
+            self.texts.append(pa.compress(text, "zstd", asbytes=True))
+            self.sizes.append(len(text))
+
+    def rows(self, lang: str, number: Iterator[int]) -> Iterator[pa.RecordBatch]:
+        found = pa.concat_arrays(self.terms).dictionary_encode()
+        terms = found.dictionary.cast(pa.string())
+        held = np.zeros(len(terms), np.int64)
+        np.add.at(held, found.indices.to_numpy(), np.concatenate(self.held))
+        for at in range(0, max(len(terms), 1), 1 << PLACE_BITS):
+            some = slice(at, at + (1 << PLACE_BITS))
+            yield _rows(_PIECES, [next(number)], [lang], [terms[some]], [held[some]], [self.sources], [self.texts], [self.sizes])
+
+
 @tidy
 def _make_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each piece and language: its terms with their documents, and the folded texts of its sources, packed."""
-    number = piece_ids()
-    for batch in pieces(batches, PIECE):
+    """A row for each piece and language."""
+    number, parts, size = piece_ids(), {}, 0
+    for batch in pieces(batches, SLICE):
         data, offsets = folded(batch["text"], LETTER_TERMS)
         terms, code, bounds = coded(data, offsets)
         langs = batch["lang"].dictionary_encode()
@@ -61,67 +95,76 @@ def _make_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, term, _ = distinct_pairs(np.repeat(np.arange(len(of_row)), np.diff(bounds)), code, len(terms))
         lang, term, held = distinct_pairs(of_row[row], term, len(terms))
         sources = batch["source"].to_pylist()
-        piece = next(number)
         for i, name in enumerate(langs.dictionary.to_pylist()):
-            mine = lang == i
-            by_source: dict[str, list[bytes]] = {}
+            texts: dict[str, list[bytes]] = {}
             for r in np.flatnonzero(of_row == i).tolist():
-                by_source.setdefault(sources[r], []).append(data[offsets[r] : offsets[r + 1]].tobytes())
-            texts = [b" ".join([b"", *parts, b""]) for parts in by_source.values()]
-            columns = [
-                [piece], [name], [terms.take(pa.array(term[mine])).cast(pa.string())], [held[mine]], [list(by_source)],
-                [[pa.compress(t, "zstd", asbytes=True) for t in texts]], [list(map(len, texts))],
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECES, strict=True)], schema=_PIECES)
+                texts.setdefault(sources[r], []).append(data[offsets[r] : offsets[r + 1]].tobytes())
+            mine = lang == i
+            parts.setdefault(name, _Part()).add(terms.take(pa.array(term[mine])), held[mine], texts)
+        size += len(data)
+        if size >= PIECE:
+            for name, part in parts.items():
+                yield from part.rows(name, number)
+            parts, size = {}, 0
+    for name, part in parts.items():
+        yield from part.rows(name, number)
 
 
 @tidy
 def _recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of a piece's kept terms in the texts of each of its sources."""
-    names = ["lang", "source", "ids", "counts"]
     for batch in batches:
         for r in range(batch.num_rows):
-            one = batch.slice(r, 1).to_pylist()[0]
+            kept = batch["kept"].slice(r, 1).flatten()
+            terms = batch["terms"].slice(r, 1).flatten().take(kept.field("i"))
+            ids = kept.field("id").to_numpy()
             automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-            for i, kept in enumerate(one["kept"]):
-                automaton.add_word(f" {kept['term']} ", i)
+            for i, term in enumerate(terms.to_pylist()):
+                automaton.add_word(f" {term} ", i)
             automaton.make_automaton()
-            ids = np.array([kept["id"] for kept in one["kept"]], np.int64)
-            out: list[list] = [[], [], [], []]
-            for source, packed, size in zip(one["sources"], one["texts"], one["sizes"], strict=True):
-                text = pa.decompress(packed, size, "zstd", asbytes=True).decode()
-                counts = np.bincount(np.fromiter(map(itemgetter(1), automaton.iter(text)), np.int64), minlength=len(ids))
-                some = np.flatnonzero(counts)
-                for column, value in zip(out, (one["lang"], source, ids[some], counts[some]), strict=True):
-                    column.append(value)
-            kinds = [pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+            counts: dict[str, np.ndarray] = {}
+            columns = (batch[name].slice(r, 1).flatten() for name in ("sources", "texts", "sizes"))
+            for source, packed, size in zip(*columns, strict=True):
+                text = pa.decompress(packed.as_buffer(), size.as_py(), "zstd", asbytes=True).decode()
+                n = np.bincount(np.fromiter(map(itemgetter(1), automaton.iter(text)), np.int64), minlength=len(ids))
+                name = source.as_py()
+                counts[name] = counts[name] + n if name in counts else n
+            some = [np.flatnonzero(n) for n in counts.values()]
+            found = [n[at] for n, at in zip(counts.values(), some, strict=True)]
+            yield _rows(_POSTINGS, [batch["lang"][r].as_py()] * len(counts), list(counts), [ids[at] for at in some], found)
 
 
 def cut(documents: DataFrame) -> DataFrame:
     """The corpus in pieces, as a table."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    schema = "piece long, lang string, terms array<string>, found_in array<int>, sources array<string>, texts array<binary>, sizes array<long>"
-    return materialize(documents.select(*text).mapInArrow(_make_pieces, schema), "pieces")
+    return materialize(documents.select(*text).mapInArrow(_make_pieces, _PIECES_SQL), "pieces")
 
 
 def vocabulary(corpus: DataFrame, least_documents: int) -> DataFrame:
-    """lang, term, documents, id of the kept terms; ids are unique over all languages."""
-    found = corpus.select("lang", F.explode(F.arrays_zip("terms", "found_in")).alias("t"))
-    frequency = found.groupBy("lang", F.col("t.terms").alias("term")).agg(F.sum("t.found_in").alias("documents"))
-    return materialize(frequency.filter(F.col("documents") >= least_documents).withColumn("id", F.monotonically_increasing_id()), "vocabulary")
+    """piece, i, id: where each kept term stands in each piece that holds it."""
+    held = corpus.select("piece", "lang", F.posexplode(F.arrays_zip("terms", "found_in")).alias("i", "t"))
+    term = W.partitionBy("lang", "t.terms")
+    place = F.shiftleft("piece", PLACE_BITS).bitwiseOR(F.col("i").cast("long"))
+    known = held.select("piece", "i", F.sum("t.found_in").over(term).alias("documents"), F.min(place).over(term).alias("id"))
+    return known.filter(F.col("documents") >= least_documents).drop("documents")
 
 
 def postings(corpus: DataFrame, kept: DataFrame) -> DataFrame:
     """lang, source, id, n: the occurrences of each kept term in each source that holds it."""
-    held = corpus.select("piece", "lang", F.explode("terms").alias("term")).join(kept.select("lang", "term", "id"), ["lang", "term"])
-    lists = held.groupBy("piece", "lang").agg(F.collect_list(F.struct("term", "id")).alias("kept"))
-    texts = corpus.select("piece", "lang", "sources", "texts", "sizes").join(lists, ["piece", "lang"])
-    counted = texts.mapInArrow(_recount, _POSTINGS)
+    lists = kept.groupBy("piece").agg(F.collect_list(F.struct("i", "id")).alias("kept"))
+    counted = corpus.drop("found_in").join(lists, "piece").mapInArrow(_recount, _POSTINGS_SQL)
     rows = counted.select("lang", "source", F.explode(F.arrays_zip("ids", "counts")).alias("t"))
     return materialize(rows.groupBy("lang", "source", F.col("t.ids").alias("id")).agg(F.sum("t.counts").alias("n")), "postings")
 
 
+def texts_of(terms: DataFrame, corpus: DataFrame) -> DataFrame:
+    """The rows of ``terms`` with the term that ``id`` stands for as ``item``."""
+    places = corpus.select(F.col("piece").alias("_piece"), "terms")
+    found = terms.join(places, F.shiftright("id", PLACE_BITS) == F.col("_piece"))
+    at = F.col("id").bitwiseAND((1 << PLACE_BITS) - 1).cast("int")
+    return found.withColumn("item", F.col("terms")[at]).drop("_piece", "terms")
+
+
 def parts_per_billion(n: Column, total: Column) -> Column:
     """1 + floor(BILLION * n / total) for n <= total, thousand by thousand so that no product exceeds 64 bits."""
 
@@ -186,7 +229,8 @@ def pair_values(shares: DataFrame, groups: DataFrame) -> DataFrame:
     columns = ["lang", "a", "b", "shard", "source", "block", "vocabulary", "id", "p"]
     named = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
     named = named.withColumn("id", F.lit(None).cast("long")).withColumn("p", F.col("none")).select(columns)
-    given = shares.join(dealt, ["lang", "source"]).withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards"))).select(columns)
+    given = shares.join(dealt.drop("block", "vocabulary"), ["lang", "source"]).withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")))
+    given = given.withColumn("block", F.lit(None).cast("long")).withColumn("vocabulary", F.lit(None).cast("long")).select(columns)
     sums = named.unionByName(given).groupBy("lang", "a", "b", "shard").applyInArrow(_pair_sums, _PAIRS)
     once = materialize(sums.groupBy("lang", "source", "other").agg(F.sum("value").alias("value")), "pairs")
     turned = once.select("lang", F.col("other").alias("source"), F.col("source").alias("other"), "value")
@@ -202,9 +246,8 @@ def audit(documents: DataFrame, least_documents: int = 10, top: int = 10) -> Dat
     group without terms is compared all the same; an empty table gives no rows. Other columns are not read.
     """
     corpus = cut(documents)
-    kept = vocabulary(corpus, least_documents)
-    found = postings(corpus, kept)
-    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary"))
+    found = postings(corpus, vocabulary(corpus, least_documents))
+    sizes = found.groupBy("lang", "id").agg(F.lit(1)).groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary"))
     counts = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = corpus.select("lang", F.explode("sources").alias("source")).distinct()
     groups = groups.join(sizes, "lang", "left").join(counts, ["lang", "source"], "left").na.fill(0, ["vocabulary", "total"])
@@ -224,7 +267,7 @@ def audit(documents: DataFrame, least_documents: int = 10, top: int = 10) -> Dat
     marked = marked.select("lang", "source", "id", divergence(F.col("p"), F.col("q")).alias("value"))
     # Ties at the last place stay until their terms are known.
     best = marked.withColumn("_at", F.rank().over(W.partitionBy("lang", "source").orderBy(F.desc("value")))).filter(F.col("_at") <= top)
-    named = best.join(kept.select("id", F.col("term").alias("item")), "id")
+    named = texts_of(materialize(best, "terms"), corpus)
     named = named.select("lang", "source", F.lit("term").alias("part"), "item", "value").withColumn("rank", F.row_number().over(order))
     return pairs.unionByName(named.filter(F.col("rank") <= top))
 

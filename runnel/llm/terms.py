@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -45,9 +47,9 @@ def distinct_pairs(owner: np.ndarray, code: np.ndarray, n_codes: int) -> tuple[n
     return both // max(n_codes, 1), both % max(n_codes, 1), np.bincount(found.indices.to_numpy(), minlength=len(both))
 
 
-def piece_ids():
-    """Numbers of the pieces that a task makes, unlike those of all other tasks of its stage."""
-    first = TaskContext.get().partitionId() << 32
+def piece_ids() -> Iterator[int]:
+    """Numbers of the pieces that a task makes, unlike those of all other tasks of its stage, of 43 digits at most."""
+    first = TaskContext.get().partitionId() << 22
     while True:
         yield first
         first += 1
