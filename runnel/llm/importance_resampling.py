@@ -1,6 +1,6 @@
 """Importance resampling of documents towards a target corpus, by hashed n-gram features.
 
-1. Each piece of the corpus (about PIECE bytes of texts) gives its distinct n-grams once, as strings, with their
+1. Each piece of the corpus (about PIECE bytes of texts, cut in slices) gives its distinct n-grams once, as strings, with their
    occurrences in the piece, and the counts of each of its documents by the number of the n-gram in the piece.
 2. The dictionary adds up the strings of all pieces and of the target. Each distinct string is hashed once, to
    one of ``buckets`` buckets; the buckets add up what their strings count.
@@ -26,8 +26,8 @@ from runnel.llm.storage import materialize
 from runnel.llm.terms import WORD_TERMS, coded, distinct_pairs, folded, piece_ids
 from runnel.llm.text_arrays import pieces, tidy
 
-#: Bytes of text that are a piece (or one longer text).
-PIECE = 16 << 20
+#: Bytes of text that are a piece, and that are cut into n-grams at once (or one longer text).
+PIECE, SLICE = 32 << 20, 4 << 20
 #: Hashes of 32 bits as numbers between 0 and 1.
 SPAN = 4294967296
 #: Digits below which monotonically_increasing_id numbers the rows of a partition.
@@ -55,26 +55,48 @@ def _counted_schema(kind: str) -> str:
     return f"piece long, features array<string>, totals array<long>, doc_ids array<{kind}>, words array<long>, sizes array<int>, codes array<int>, counts array<int>"
 
 
+def _one_list(values: pa.Array | np.ndarray) -> pa.Array:
+    """A column of one row that holds all the values."""
+    values = values if isinstance(values, pa.Array) else pa.array(values)
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _piece(number: int, parts: list[tuple]) -> pa.RecordBatch:
+    """The slices of a piece as one: their n-grams are numbered anew."""
+    features, totals, doc_ids, words, sizes, codes, counts = zip(*parts, strict=True)
+    found = pa.concat_arrays(features).dictionary_encode()
+    into = found.indices.to_numpy()
+    total = np.zeros(len(found.dictionary), np.int64)
+    np.add.at(total, into, np.concatenate(totals))
+    before = np.cumsum([0, *map(len, features)])
+    columns = {
+        "features": found.dictionary.cast(pa.string()), "totals": total, "doc_ids": pa.concat_arrays(doc_ids),
+        "words": np.concatenate(words), "sizes": np.concatenate(sizes),
+        "codes": np.concatenate([into[at + code] for at, code in zip(before.tolist(), codes, strict=False)]).astype(np.int32),
+        "counts": np.concatenate(counts),
+    }
+    lists = {name: _one_list(v) for name, v in columns.items()}
+    return pa.RecordBatch.from_pydict({"piece": pa.array([number], pa.int64()), **lists})
+
+
 def _count(shortest: int, longest: int):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = piece_ids()
-        for batch in pieces(batches, PIECE):
+        number, parts, size = piece_ids(), [], 0
+        for batch in pieces(batches, SLICE):
             data, offsets = folded(batch["text"], WORD_TERMS)
             features, code, text, words = n_grams(data, offsets, shortest, longest)
             owner, feature, n = distinct_pairs(text, code, len(features))
             order = np.argsort(owner, kind="stable")
-            row = {
-                "piece": pa.array([next(number)], pa.int64()),
-                "features": pa.array([features.cast(pa.string())], pa.list_(pa.string())),
-                "totals": pa.array([np.bincount(code, minlength=len(features))], pa.list_(pa.int64())),
-                "doc_ids": pa.array([batch["doc_id"]], pa.list_(batch["doc_id"].type)),
-                "words": pa.array([words], pa.list_(pa.int64())),
-                "sizes": pa.array([np.bincount(owner, minlength=len(words)).astype(np.int32)], pa.list_(pa.int32())),
-                "codes": pa.array([feature[order].astype(np.int32)], pa.list_(pa.int32())),
-                "counts": pa.array([n[order].astype(np.int32)], pa.list_(pa.int32())),
-            }
-            yield pa.RecordBatch.from_pydict(row)
+            sizes = np.bincount(owner, minlength=len(words)).astype(np.int32)
+            totals = np.bincount(code, minlength=len(features))
+            parts.append((features, totals, batch["doc_id"], words.astype(np.int64), sizes, feature[order].astype(np.int32), n[order].astype(np.int32)))
+            size += len(data)
+            if size >= PIECE:
+                yield _piece(next(number), parts)
+                parts, size = [], 0
+        if parts:
+            yield _piece(next(number), parts)
 
     return run
 
@@ -82,6 +104,7 @@ def _count(shortest: int, longest: int):
 @tidy
 def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of each piece with their floored mean gain."""
+    names = ["piece", "doc_id", "n_words", "n_features", "weight", "at"]
     for batch in batches:
         for r in range(batch.num_rows):
             of = {name: batch[name].slice(r, 1).flatten() for name in ("doc_ids", "words", "sizes", "codes", "counts", "gains")}
@@ -93,8 +116,9 @@ def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(n, doc, counts)
             np.add.at(total, doc, gain[codes] * counts)
             weight = np.where(n > 0, total // np.maximum(n, 1), 0)
-            columns = [of["doc_ids"], pa.array(words), pa.array(n), pa.array(weight), pa.array(np.arange(len(n)))]
-            yield pa.RecordBatch.from_arrays([batch["piece"].slice(r, 1).take(pa.array(np.zeros(len(n), np.int64))), *columns], names=["piece", "doc_id", "n_words", "n_features", "weight", "at"])
+            piece = np.full(len(n), batch["piece"][r].as_py())
+            columns = [piece, of["doc_ids"], words, n, weight, np.arange(len(n))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
 def count_features(texts: DataFrame, shortest: int, longest: int) -> DataFrame:

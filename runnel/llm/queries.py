@@ -10,6 +10,7 @@ from runnel.llm.importance_resampling import OP12_SQL, op12_importance_resamplin
 from runnel.llm.language_id import op4_language_id
 from runnel.llm.near_dedup import OP8_SQL, op8_near_dedup
 from runnel.llm.packing import op10_pack
+from runnel.llm.pu_toxicity import op13_toxicity
 from runnel.llm.source_divergence import OP11_SQL, op11_source_divergence
 from runnel.llm.source_mix import OP6_SQL, op6_source_mix
 from runnel.llm.substring_dedup import OP2_SQL, op2_substring_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_pack": op10_pack,
     "op11_source_divergence": op11_source_divergence,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLES = {
