@@ -37,6 +37,31 @@ def tm_forward(lon: Column, lat: Column, meridian: float = MERIDIAN) -> tuple[Co
     return FALSE_EAST + SCALE_FACTOR * a * east, SCALE_FACTOR * a * north
 
 
+def tm_inverse(east: Column, north: Column, meridian: float = MERIDIAN) -> tuple[Column, Column]:
+    """Longitude and latitude of an easting and northing, by the inverse series to the fourth order of n."""
+    n = FLATTENING / (2 - FLATTENING)
+    a = MAJOR / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    # Coefficients of the inverse series, and of the latitude by the conformal latitude.
+    beta = (
+        n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360, n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440,
+        17 * n**3 / 480 - 37 * n**4 / 840, 4397 * n**4 / 161280,
+    )
+    delta = (
+        2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45, 7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45,
+        56 * n**3 / 15 - 136 * n**4 / 35, 4279 * n**4 / 630,
+    )
+    xi, eta = north / (SCALE_FACTOR * a), (east - FALSE_EAST) / (SCALE_FACTOR * a)
+    x, y = xi, eta
+    for j, c in enumerate(beta, 1):
+        x = x - c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        y = y - c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    conformal = F.asin(F.sin(x) / F.cosh(y))
+    lat = conformal
+    for j, c in enumerate(delta, 1):
+        lat = lat + c * F.sin(2 * j * conformal)
+    return meridian + F.degrees(F.atan2(F.sinh(y), F.cos(x))), F.degrees(lat)
+
+
 def project(geometry: Column) -> Column:
     """Longitudes and latitudes of a geometry to UTM 43 north."""
 
