@@ -349,7 +349,7 @@ def _over_flats(window: Window) -> pa.Table:
         lower = near < best
         best, code = np.where(lower, near, best), np.where(lower, k, code)
     full = np.zeros(z.shape, np.int32)
-    full[inner] = code
+    full[inner] = np.where(window["low"][inner] < FAR, code, 0)  # a flat that nothing drains
     return _own_rows(window, _CODES, window.own & flat, full)
 
 
