@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -93,6 +91,18 @@ def ring_area(ring: Column) -> Column:
     return F.abs(F.aggregate(cross, F.lit(0.0), lambda s, d: s + d)) / 2
 
 
+def area_of(geometry: Column) -> Column:
+    """A Polygon's first ring less the others; of a MultiPolygon the sum of its rings, holes turning the other way than shells."""
+
+    def turning(ring: Column) -> Column:
+        return F.aggregate(F.transform(segments(ring), lambda e: e["ax"] * e["by"] - e["bx"] * e["ay"]), F.lit(0.0), lambda s, d: s + d) / 2
+
+    parts = geometry["parts"]
+    every = F.aggregate(F.transform(parts, ring_area), F.lit(0.0), lambda s, d: s + d)
+    turned = F.abs(F.aggregate(F.transform(parts, turning), F.lit(0.0), lambda s, d: s + d))
+    return F.when(geometry["type"] == "Polygon", 2 * F.coalesce(ring_area(F.try_element_at(parts, F.lit(1))), F.lit(0.0)) - every).otherwise(turned)
+
+
 def in_ring(x: Column, y: Column, ring: Column) -> Column:
     """Even-odd rule over the edges of a closed ring."""
     n = F.greatest(F.size(ring) - 1, F.lit(0))
@@ -119,7 +129,7 @@ def last_point(geometry: Column) -> Column:
 
 
 def is_usable(geometry: Column) -> Column:
-    """Not null, not empty, and every part has two distinct points (one for points)."""
+    """Not null, not empty, and every part has two distinct points (one for points). Whether a polygon is valid is told by planar.polygon_faults."""
     enough = F.forall(geometry["parts"], lambda part: F.size(F.array_distinct(part)) >= F.when(geometry["type"].contains("Point"), 1).otherwise(2))
     return F.coalesce(geometry.isNotNull() & (F.size(geometry["parts"]) > 0) & enough, F.lit(False))
 
@@ -235,55 +245,6 @@ def leaves_area(part: Column, area: list[list[list[tuple[float, float]]]], toler
     return F.exists(segments(part), strays)
 
 
-def clip_line(part: np.ndarray, ring: np.ndarray) -> list[np.ndarray]:
-    """The pieces of a line inside a simple polygon ring: each segment is split where it crosses an edge and its
-    pieces are kept by their midpoints; pieces that meet are joined."""
-    out: list[list] = []
-    a, b = ring[:-1], ring[1:]
-    for p, q in zip(part[:-1], part[1:], strict=True):
-        d, e = q - p, b - a
-        cross = d[0] * e[:, 1] - d[1] * e[:, 0]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = ((a[:, 0] - p[0]) * e[:, 1] - (a[:, 1] - p[1]) * e[:, 0]) / cross
-            u = ((a[:, 0] - p[0]) * d[1] - (a[:, 1] - p[1]) * d[0]) / cross
-        ok = np.isfinite(t) & (t > 0) & (t < 1) & (u >= 0) & (u <= 1)
-        cuts = np.unique(np.r_[0.0, t[ok], 1.0])
-        for s, f in zip(cuts[:-1], cuts[1:], strict=True):
-            m = p + d * (s + f) / 2
-            if not inside_ring(m, ring):
-                continue
-            x, y = p + d * s, p + d * f
-            if out and np.allclose(out[-1][-1], x, rtol=0, atol=1e-9):
-                out[-1].append(y)
-            else:
-                out.append([x, y])
-    return [np.array(o) for o in out]
-
-
-def inside_ring(p: np.ndarray, ring: np.ndarray) -> bool:
-    a, b = ring[:-1], ring[1:]
-    over = (a[:, 1] > p[1]) != (b[:, 1] > p[1])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = (b[:, 0] - a[:, 0]) * (p[1] - a[:, 1]) / (b[:, 1] - a[:, 1]) + a[:, 0]
-    return bool((over & (p[0] < x)).sum() % 2)
-
-
-def clipped(geometry: Column, ring: list[tuple[float, float]]) -> Column:
-    """Lines cut to a polygon, as a MultiLineString (null if nothing is left). The ring goes with the task's code."""
-    area = np.array(ring, float)
-
-    @F.pandas_udf("struct<type:string,parts:array<array<struct<x:double,y:double>>>>")
-    def run(geometries: pd.DataFrame) -> pd.DataFrame:
-        types, parts = [], []
-        for lines in geometries["parts"]:
-            found = [c for line in (lines if lines is not None else []) for c in clip_line(np.array([(q["x"], q["y"]) for q in line]), area)]
-            types.append("MultiLineString" if len(found) > 1 else "LineString" if found else None)
-            parts.append([[{"x": float(x), "y": float(y)} for x, y in c] for c in found])
-        return pd.DataFrame({"type": types, "parts": parts})
-
-    return run(geometry)
-
-
 def touched_cells(part: Column, x0: float, y0: float, dx: float, dy: float) -> Column:
     """array<struct<row,col>> of all cells a line touches: each segment is cut at the cell borders it crosses."""
 

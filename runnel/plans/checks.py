@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from runnel.functions import exprs as E
 from runnel.functions import geo as G
-from runnel.operators import graph, grid
+from runnel.operators import graph, grid, planar
 from runnel.operators import relational as R
 from runnel.operators.spatial import MAPPING_STATUS
 from runnel.schema import PROVENANCE, require_columns
@@ -62,11 +62,19 @@ def rainfall(scenario: DataFrame) -> DataFrame:
     ])
 
 
+def marked_polygons(features: DataFrame) -> DataFrame:
+    """The features with ``_id`` and ``usable``: a geometry that is there, not empty and, for a polygon, valid."""
+    marked = materialize(features.withColumn("_id", F.monotonically_increasing_id()), "features")
+    faulty = planar.polygon_faults(marked.select(F.col("_id").alias("id"), "geometry")).select(F.col("id").alias("_id"), F.lit(True).alias("_fault")).distinct()
+    usable = G.is_usable(F.col("geometry")) & F.col("_fault").isNull()
+    return marked.join(faulty, "_id", "left").withColumn("usable", usable).drop("_fault")
+
+
 def area(aoi: DataFrame) -> DataFrame:
     """V2, V5: features, usable geometry, bounds."""
     b = G.bounds(F.col("geometry"))
-    return report(aoi, [
-        ("features", F.count(F.lit(1)), "v > 0"), ("unusable_geometry", _none(~G.is_usable(F.col("geometry"))), "v = 0"),
+    return report(marked_polygons(aoi), [
+        ("features", F.count(F.lit(1)), "v > 0"), ("unusable_geometry", _none(~F.col("usable")), "v = 0"),
         ("min_x", F.min(b["min_x"]), ""), ("min_y", F.min(b["min_y"]), ""), ("max_x", F.max(b["max_x"]), ""), ("max_y", F.max(b["max_y"]), ""),
     ])
 
@@ -99,18 +107,16 @@ def surface_features(features: DataFrame, aoi: DataFrame) -> DataFrame:
             at = at.withColumn(k, F.explode(F.sequence(*ends)))
         return at.drop("side")
 
-    marked = features.withColumn("_id", F.monotonically_increasing_id())
-    marked = materialize(marked, "features")
+    marked = materialize(marked_polygons(features), "usable")
     own = marked.filter("geometry is not null").select("_id", F.col("geometry.parts").alias("own"), G.bounds(F.col("geometry")).alias("b"))
     pairs = tiles(own, "b").join(tiles(areas, "a"), ["tx", "ty"])
     meet = (F.col("a.min_x") <= F.col("b.max_x")) & (F.col("b.min_x") <= F.col("a.max_x")) & (F.col("a.min_y") <= F.col("b.max_y")) & (F.col("b.min_y") <= F.col("a.max_y"))
     hits = pairs.filter(meet).filter(G.parts_meet(F.col("own"), F.col("area"))).select("_id", F.lit(True).alias("_in")).distinct()
     marked = marked.join(hits, "_id", "left")
     misses = F.col("geometry").isNotNull() & F.col("_in").isNull()
-    ring = F.aggregate(F.transform("geometry.parts", G.ring_area), F.lit(0.0), lambda s, d: s + d)
     return report(marked, [
-        ("features", F.count(F.lit(1)), "v > 0"), ("unusable_geometry", _none(~G.is_usable(F.col("geometry"))), "v = 0"),
-        ("outside", F.count_if(misses), "v = 0"), ("area", F.sum(ring), ""),
+        ("features", F.count(F.lit(1)), "v > 0"), ("unusable_geometry", _none(~F.col("usable")), "v = 0"),
+        ("outside", F.count_if(misses), "v = 0"), ("area", F.sum(G.area_of(F.col("geometry"))), ""),
     ])
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from runnel.functions import exprs as E
 from runnel.functions import geo as G
-from runnel.operators import graph, grid, relational, spatial
+from runnel.operators import graph, grid, planar, relational, spatial
 from runnel.schema import PROVENANCE, require_columns
 from runnel.staging import materialize
 
@@ -322,8 +322,11 @@ def depth_summary(depth: DataFrame) -> DataFrame:
 # --- roads ---
 
 
-def process_roads(raw: DataFrame, ring: list[tuple[float, float]] | None = None) -> DataFrame:
-    """OSM ways to the roads table: lists joined, oneway as boolean, lines clipped to the area, stable ids."""
+def process_roads(raw: DataFrame, area: DataFrame | None = None) -> DataFrame:
+    """OSM ways to the roads table: lists joined, oneway as boolean, lines clipped to the area, stable ids.
+
+    area: polygons (id, geometry) of the area of interest.
+    """
     names = {"osmid": "osm_id", "highway": "road_class"}
     texts = ["name", "lanes", "maxspeed", "surface", "bridge", "tunnel", "access"]
     kinds = dict(raw.dtypes)
@@ -338,8 +341,9 @@ def process_roads(raw: DataFrame, ring: list[tuple[float, float]] | None = None)
         E.yes_no(F.col("oneway") if "oneway" in raw.columns else F.lit(None)).alias("oneway"), "geometry",
     )
     out = out.filter(G.is_usable(F.col("geometry")) & F.col("geometry.type").isin("LineString", "MultiLineString"))
-    if ring:
-        out = out.withColumn("geometry", G.clipped(F.col("geometry"), ring)).filter(F.size("geometry.parts") > 0)
+    if area is not None:
+        whole = materialize(out.withColumn("id", F.monotonically_increasing_id()), "ways")
+        out = whole.drop("geometry").join(planar.clip_lines(whole.select("id", "geometry"), area), "id").drop("id")
     out = out.withColumn("length_m", E.rint_n(G.length(F.col("geometry")), 3)).filter("length_m > 0")
     out = out.withColumn("_w", F.array_join(F.transform("geometry.parts", G.wkt_line), ";"))
     out = graph.relabel(out, ["osm_id", "_w"], "RN_ROAD", "road_id").drop("_w")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from runnel.functions import exprs as E
 from runnel.functions import geo as G
-from runnel.operators import graph, grid
+from runnel.operators import graph, grid, planar
 from runnel.plans import checks
 from runnel.plans.gridded import CHANNEL_SQL, DOWN_SQL, GRID_SQL, ROADS_SQL, SPREAD_SQL, channel_edges, channel_nodes, roads, spill_sources, spilled
 from runnel.plans.relational import PART_COEF_SQL, part_coefficient, query, table
@@ -59,9 +59,9 @@ def v01_rainfall(spark, sf_dir):
     return shown(checks.rainfall(scenario.withColumn("location", F.lit("x")).withColumn("source", F.lit("synthetic")).withColumn("interval_minutes", F.lit(60))))
 
 
-# --- V2, V5: a lot for each part, some without geometry, some of one point ---
+# --- V2, V5: a lot for each part, some without geometry, some of one point, some bow ties, some with a hole across the edge ---
 
-LOTS_SQL = f"""WITH {GRID_SQL}, lots AS (SELECT cell, p_size, 30.0 * col AS x0, -30.0 * row AS y0, 30.0 * col + 2 + p_size / 2.0 AS x1, -30.0 * row + 4.5 AS y1, p_size <> 17 AS has, p_size <> 13 AS wide FROM grid),
+LOTS_SQL = f"""WITH {GRID_SQL}, lots AS (SELECT cell, p_size, 30.0 * col AS x0, -30.0 * row AS y0, 30.0 * col + 2 + p_size / 2.0 AS x1, -30.0 * row + 4.5 AS y1, p_size <> 17 AS has, p_size <> 13 AS wide, p_size NOT IN (19, 23) AS simple FROM grid),
 ok AS (SELECT *, CASE WHEN has THEN x0 END AS gx0, CASE WHEN has THEN y0 END AS gy0, CASE WHEN has THEN CASE WHEN wide THEN x1 ELSE x0 END END AS gx1, CASE WHEN has THEN CASE WHEN wide THEN y1 ELSE y0 END END AS gy1 FROM lots)"""
 
 
@@ -72,22 +72,26 @@ def lots(spark, sf_dir) -> DataFrame:
     cells = grid.grid_from_parts(spark, sf_dir).join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("cell"), "p_size"), "cell")
     x0, y0 = F.col("col") * 30.0, F.col("row") * -30.0
     x1, y1 = F.when(F.col("p_size") != 13, x0 + 2 + F.col("p_size") / 2.0).otherwise(x0), F.when(F.col("p_size") != 13, y0 + 4.5).otherwise(y0)
-    ring = F.array(G.point(x0, y0), G.point(x1, y0), G.point(x1, y1), G.point(x0, y1), G.point(x0, y0))
-    shape = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("parts"))
+    corners = [G.point(x0, y0), G.point(x1, y0), G.point(x1, y1), G.point(x0, y1), G.point(x0, y0)]
+    ring = F.array(*corners)
+    tie = F.array(*[corners[i] for i in (0, 2, 1, 3, 0)])
+    hole = F.array(*[G.point(x1 + dx, y0 + dy) for dx, dy in ((-1, 1), (-1, 2), (1, 2), (1, 1), (-1, 1))])
+    parts = F.when(F.col("p_size") == 19, F.array(tie)).when(F.col("p_size") == 23, F.array(ring, hole)).otherwise(F.array(ring))
+    shape = F.struct(F.lit("Polygon").alias("type"), parts.alias("parts"))
     return cells.select("cell", "p_size", F.when(F.col("p_size") != 17, shape).alias("geometry"))
 
 
 @query(metrics_sql(LOTS_SQL, "ok", [
-    ("features", "count(*)", SOME), ("unusable_geometry", "count(*) FILTER (NOT has OR NOT wide)", NONE),
-    ("min_x", "min(gx0)", ""), ("min_y", "min(gy0)", ""), ("max_x", "max(gx1)", ""), ("max_y", "max(gy1)", ""),
+    ("features", "count(*)", SOME), ("unusable_geometry", "count(*) FILTER (NOT has OR NOT wide OR NOT simple)", NONE),
+    ("min_x", "min(gx0)", ""), ("min_y", "min(gy0)", ""), ("max_x", "max(CASE WHEN p_size = 23 THEN gx1 + 1 ELSE gx1 END)", ""), ("max_y", "max(gy1)", ""),
 ]))
 def v02_area(spark, sf_dir):
     return shown(checks.area(lots(spark, sf_dir)))
 
 
 @query(metrics_sql(LOTS_SQL + f", areas AS ({AREAS_SQL})", "ok", [
-    ("features", "count(*)", SOME), ("unusable_geometry", "count(*) FILTER (NOT has OR NOT wide)", NONE),
-    ("outside", "count(*) FILTER (has AND NOT EXISTS (SELECT 1 FROM areas WHERE gx0 <= c AND gx1 >= a AND gy0 <= d AND gy1 >= b))", NONE), ("area", "sum((gx1 - gx0) * (gy1 - gy0))", ""),
+    ("features", "count(*)", SOME), ("unusable_geometry", "count(*) FILTER (NOT has OR NOT wide OR NOT simple)", NONE),
+    ("outside", "count(*) FILTER (has AND NOT EXISTS (SELECT 1 FROM areas WHERE gx0 <= c AND gx1 >= a AND gy0 <= d AND gy1 >= b))", NONE), ("area", "sum(CASE p_size WHEN 19 THEN 0 WHEN 23 THEN (gx1 - gx0) * (gy1 - gy0) - 2 ELSE (gx1 - gx0) * (gy1 - gy0) END)", ""),
 ]))
 def v05_surface_features(spark, sf_dir):
     """Against a block of three by two cells for each of the largest parts."""
@@ -214,9 +218,78 @@ t AS (SELECT cell, ax, ay, bx, by_, greatest(0, CASE WHEN bx > ax THEN (4.25 - a
 SELECT cell, round(sum((t1 - t0) * sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay))), 6) AS length_m FROM t WHERE t1 > t0 AND (bx <> ax OR by_ <> ay) GROUP BY 1""")
 def clip_lines(spark, sf_dir):
     """What lies of each line in a rectangle."""
-    ring = [(4.25, -100.5), (70.75, -100.5), (70.75, 1.25), (4.25, 1.25), (4.25, -100.5)]
-    inside = paths(spark, sf_dir).select("cell", G.clipped(F.col("geometry"), ring).alias("geometry")).filter(F.size("geometry.parts") > 0)
-    return inside.select("cell", F.round(G.length(F.col("geometry")), 6).alias("length_m")).filter("length_m > 0")
+    ring = F.array(*[G.point(F.lit(x), F.lit(y)) for x, y in ((4.25, -100.5), (70.75, -100.5), (70.75, 1.25), (4.25, 1.25), (4.25, -100.5))])
+    area = spark.range(1).select("id", F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("parts")).alias("geometry"))
+    inside = planar.clip_lines(paths(spark, sf_dir).select(F.col("cell").alias("id"), "geometry"), area)
+    return inside.select(F.col("id").alias("cell"), F.round(G.length(F.col("geometry")), 6).alias("length_m")).filter("length_m > 0")
+
+
+# --- Layers of polygons ---
+
+PLOTS_SQL = f"""WITH {GRID_SQL}, plots AS (SELECT cell, p_size % 3 AS class, 30.0 * col AS x0, -30.0 * row AS y0, 30.0 * col + 10 + p_size AS x1, -30.0 * row + 5 + (p_size * 7) % 40 AS y1 FROM grid)"""
+
+
+def plots(spark, sf_dir) -> DataFrame:
+    """A rectangle for each part, most of which overlap their neighbours, in three classes."""
+    cells = grid.grid_from_parts(spark, sf_dir).join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("cell"), "p_size"), "cell")
+    x0, y0 = F.col("col") * 30.0, F.col("row") * -30.0
+    x1, y1 = x0 + 10 + F.col("p_size"), y0 + 5 + (F.col("p_size") * 7) % 40
+    ring = F.array(G.point(x0, y0), G.point(x1, y0), G.point(x1, y1), G.point(x0, y1), G.point(x0, y0))
+    return cells.select((F.col("p_size") % 3).alias("group"), F.col("cell").alias("id"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("parts")).alias("geometry"))
+
+
+@query(f"""{PLOTS_SQL},
+edge AS (SELECT DISTINCT class, unnest([x0, x1]) AS x FROM plots), slab AS (SELECT class, x AS a, lead(x) OVER (PARTITION BY class ORDER BY x) AS b FROM edge),
+strip AS (SELECT s.class, a, b, y0, y1, max(y1) OVER (PARTITION BY s.class, a ORDER BY y0, y1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+  FROM slab s JOIN plots p ON p.class = s.class AND p.x0 <= a AND p.x1 >= b)
+SELECT class, round(sum((b - a) * greatest(0, y1 - greatest(y0, coalesce(reached, y0)))), 4) AS area FROM strip GROUP BY class""")
+def dissolve_plots(spark, sf_dir):
+    """The area that the plots of a class cover, those that overlap once."""
+    rings = planar.dissolve(plots(spark, sf_dir))
+    return rings.groupBy(F.col("group").alias("class")).agg(F.round(F.sum("area"), 4).alias("area"))
+
+
+QUARTER, REACH = 8, 6.5
+
+
+@query(f"""SELECT s_suppkey, round(2 * {REACH} * 10 * (1 + s_suppkey % 7) + 2 * {QUARTER} * {REACH} * {REACH} * sin(pi() / 2 / {QUARTER}), 4) AS area FROM supplier""")
+def buffer_lines(spark, sf_dir):
+    """All within 6.5 m of a straight line of three points for each supplier."""
+    k = F.col("s_suppkey")
+    x, y, n = (k * 37 % 1000).cast("double"), (k * 91 % 1000).cast("double"), k % 7 + 1
+    line = F.array(G.point(x, y), G.point(x + 3 * n, y + 4 * n), G.point(x + 6 * n, y + 8 * n))
+    lines = table(spark, sf_dir, "supplier").select(k.alias("id"), F.struct(F.lit("LineString").alias("type"), F.array(line).alias("parts")).alias("geometry"))
+    rings = planar.buffer(lines, REACH, QUARTER)
+    return rings.groupBy(F.col("group").alias("s_suppkey")).agg(F.round(F.sum("area"), 4).alias("area"))
+
+
+#: A hook with a hole, from a cell's corner; no line of ``paths`` runs along it.
+HOOK = ([(-10.37, -35.41), (52.63, -35.41), (52.63, -5.19), (21.17, -5.19), (21.17, 3.77), (52.63, 3.77), (52.63, 31.43), (-10.37, 31.43), (-10.37, -35.41)],
+        [(-4.21, 8.83), (15.91, 8.83), (15.91, 22.57), (-4.21, 22.57), (-4.21, 8.83)])
+_HOOK_EDGES = ", ".join(f"({a[0]}, {a[1]}, {b[0]}, {b[1]})" for ring in HOOK for a, b in zip(ring, ring[1:], strict=False))
+
+
+@query(f"""{PATHS_SQL},
+hook(hax, hay, hbx, hby) AS (VALUES {_HOOK_EDGES}),
+border AS (SELECT cell AS area, 30.0 * col + hax AS ax, -30.0 * row + hay AS ay, 30.0 * col + hbx AS bx, -30.0 * row + hby AS by_ FROM grid, hook WHERE p_size = 50),
+seg AS (SELECT cell, 1 AS i, x0 AS ax, y0 AS ay, x1 AS bx, y1 AS by_ FROM paths WHERE x1 > x0 UNION ALL SELECT cell, 2, x1, y1, x2, y1 FROM paths),
+cut AS (SELECT s.cell, s.i, CASE WHEN b.ax = b.bx THEN (b.ax - s.ax) / (s.bx - s.ax) ELSE (b.ay - s.ay) / nullif(s.by_ - s.ay, 0) END AS t FROM seg s JOIN border b
+  ON least(b.ax, b.bx) <= s.bx AND greatest(b.ax, b.bx) >= s.ax AND least(b.ay, b.by_) <= s.by_ AND greatest(b.ay, b.by_) >= s.ay),
+place AS (SELECT cell, i, t FROM cut WHERE t > 0 AND t < 1 UNION SELECT cell, i, unnest([0::DOUBLE, 1::DOUBLE]) FROM seg),
+piece AS (SELECT cell, i, t AS t0, lead(t) OVER (PARTITION BY cell, i ORDER BY t) AS t1 FROM place),
+middle AS (SELECT p.cell, p.i, t0, t1, ax + (bx - ax) * (t0 + t1) / 2 AS x, ay + (by_ - ay) * (t0 + t1) / 2 AS y, sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)) * (t1 - t0) AS len
+  FROM piece p JOIN seg s ON s.cell = p.cell AND s.i = p.i WHERE t1 IS NOT NULL),
+held AS (SELECT m.cell, m.i, t0, any_value(len) AS len FROM middle m JOIN border b ON (b.ay > m.y) <> (b.by_ > m.y) AND m.x < b.ax GROUP BY m.cell, m.i, t0, area HAVING count(*) % 2 = 1),
+once AS (SELECT cell, i, t0, any_value(len) AS len FROM held GROUP BY ALL)
+SELECT cell, round(sum(len), 5) AS length_m FROM once GROUP BY cell""")
+def clip_layers(spark, sf_dir):
+    """What lies of each line in hooks with holes, one for each of the largest parts; hooks overlap."""
+    corner = F.col("col") * 30.0, F.col("row") * -30.0
+    rings = F.array(*[F.array(*[G.point(corner[0] + x, corner[1] + y) for x, y in ring]) for ring in HOOK])
+    large = grid.grid_from_parts(spark, sf_dir).join(table(spark, sf_dir, "part").filter("p_size = 50").select(F.col("p_partkey").alias("cell")), "cell")
+    hooks = large.select(F.col("cell").alias("id"), F.struct(F.lit("Polygon").alias("type"), rings.alias("parts")).alias("geometry"))
+    inside = planar.clip_lines(paths(spark, sf_dir).select(F.col("cell").alias("id"), "geometry"), hooks)
+    return inside.select(F.col("id").alias("cell"), F.round(G.length(F.col("geometry")), 5).alias("length_m"))
 
 
 _BURN = {"x0": 0.0, "y0": 0.0, "dx": 2.0, "dy": -2.0}

@@ -1,4 +1,3 @@
-import math
 import random
 
 import numpy as np
@@ -80,14 +79,12 @@ def test_lines(spark):
     df = spark.createDataFrame([(r,)], "g struct<type:string,parts:array<array<struct<x:double,y:double>>>>")
     got = df.select(
         G.length(F.col("g")).alias("n"), G.first_point(F.col("g")).alias("a"), G.last_point(F.col("g")).alias("b"), G.midpoint(F.col("g.parts")[0]).alias("m"),
-        G.wkt_line(F.col("g.parts")[0]).alias("w"), G.clipped(F.col("g"), [(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)]).alias("c"), G.is_usable(F.col("g")).alias("u"),
+        G.wkt_line(F.col("g.parts")[0]).alias("w"), G.is_usable(F.col("g")).alias("u"),
         G.touched_cells(F.col("g.parts")[0], 0.0, 10.0, 1.0, 1.0).alias("t"),
     ).first()
     assert got.n == 11.0 and tuple(got.a) == (0, 0) and tuple(got.b) == (3, 10) and got.u
     assert abs(got.m.x - 3) < 1e-9 and abs(got.m.y - 4.5) < 1e-9
     assert got.w == "LINESTRING (0.0 0.0, 3.0 4.0, 3.0 10.0)"
-    ends = [tuple(p) for p in got.c.parts[0]]
-    assert ends[0] == (0, 0) and math.isclose(ends[-1][1], 5)
     assert {(c.row, c.col) for c in got.t} >= {(9, 0), (5, 3), (0, 3)}
 
 

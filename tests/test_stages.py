@@ -167,7 +167,9 @@ def test_roads_from_osm(spark):
         [([1, 2], "residential", "True", ("LineString", [[(0.0, 0.0), (10.0, 0.0)]])), ([3], "primary", None, ("LineString", [[(-5.0, 1.0), (20.0, 1.0)]])), ([4], "x", "no", None)],
         "osmid array<long>, highway string, oneway string, geometry struct<type:string,parts:array<array<struct<x:double,y:double>>>>",
     )
-    got = stages.process_roads(raw, [(0, -5), (12, -5), (12, 5), (0, 5), (0, -5)]).orderBy("road_id").collect()
+    shape = ("Polygon", [[(0.0, -5.0), (12.0, -5.0), (12.0, 5.0), (0.0, 5.0), (0.0, -5.0)]])
+    area = spark.createDataFrame([(1, shape)], "id int, geometry struct<type:string,parts:array<array<struct<x:double,y:double>>>>")
+    got = stages.process_roads(raw, area).orderBy("road_id").collect()
     assert [(r.osm_id, r.oneway, r.length_m, r.name) for r in got] == [("1;2", True, 10.0, None), ("3", False, 12.0, None)]
 
 
