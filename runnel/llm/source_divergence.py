@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from runnel.llm.storage import materialize
+from runnel.llm.storage import materialize, new_path
 from runnel.llm.terms import LETTER_TERMS, coded, distinct_pairs, folded, piece_ids
 from runnel.llm.text_arrays import pieces, tidy
 
@@ -44,16 +44,25 @@ BILLION = 1_000_000_000
 
 _PIECES = pa.schema(
     [
-        ("piece", pa.int64()), ("lang", pa.string()), ("terms", pa.list_(pa.string())), ("found_in", pa.list_(pa.int64())),
-        ("sources", pa.list_(pa.string())), ("texts", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int64())),
+        ("piece", pa.int64()), ("lang", pa.string()), ("terms", pa.list_(pa.string())), ("found_in", pa.list_(pa.int64())), ("packed_terms", pa.binary()),
+        ("sources", pa.list_(pa.string())), ("texts", pa.list_(pa.binary())),
     ]
 )
-_PIECES_SQL = "piece long, lang string, terms array<string>, found_in array<long>, sources array<string>, texts array<binary>, sizes array<long>"
+_PIECES_SQL = "piece long, lang string, terms array<string>, found_in array<long>, packed_terms binary, sources array<string>, texts array<binary>"
 _POSTINGS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 _POSTINGS_SQL = "lang string, source string, ids array<long>, counts array<long>"
 _PAIRS = "lang string, source string, other string, value long"
 
 
+def _packed(text: bytes) -> bytes:
+    return len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
+
+
+def _unpacked(packed: pa.Scalar) -> str:
+    data = packed.as_buffer()
+    return pa.decompress(data.slice(8), int.from_bytes(data.slice(0, 8), "little"), "zstd", asbytes=True).decode()
+
+
 def _rows(schema: pa.Schema, *columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -62,25 +71,26 @@ class _Part:
     """What a piece holds of one language: terms with their documents by slices, and packed texts of its sources."""
 
     def __init__(self) -> None:
-        self.terms, self.held, self.sources, self.texts, self.sizes = [], [], [], [], []
+        self.terms, self.held, self.sources, self.texts = [], [], [], []
 
     def add(self, terms: pa.Array, held: np.ndarray, texts: dict[str, list[bytes]]) -> None:
         self.terms.append(terms)
         self.held.append(held)
         for source, parts in texts.items():
-            text = b" ".join([b"", *parts, b""])
             self.sources.append(source)
-            self.texts.append(pa.compress(text, "zstd", asbytes=True))
-            self.sizes.append(len(text))
+            self.texts.append(_packed(b" ".join([b"", *parts, b""])))
 
     def rows(self, lang: str, number: Iterator[int]) -> Iterator[pa.RecordBatch]:
         found = pa.concat_arrays(self.terms).dictionary_encode()
         terms = found.dictionary.cast(pa.string())
         held = np.zeros(len(terms), np.int64)
         np.add.at(held, found.indices.to_numpy(), np.concatenate(self.held))
+        order = pc.sort_indices(terms)  # packs well
+        terms, held = terms.take(order), held[order.to_numpy()]
         for at in range(0, max(len(terms), 1), 1 << PLACE_BITS):
             some = slice(at, at + (1 << PLACE_BITS))
-            yield _rows(_PIECES, [next(number)], [lang], [terms[some]], [held[some]], [self.sources], [self.texts], [self.sizes])
+            packed = _packed(" ".join(terms[some].to_pylist()).encode())
+            yield _rows(_PIECES, [next(number)], [lang], [terms[some]], [held[some]], [packed], [self.sources], [self.texts])
 
 
 @tidy
@@ -116,17 +126,15 @@ def _recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in range(batch.num_rows):
             kept = batch["kept"].slice(r, 1).flatten()
-            terms = batch["terms"].slice(r, 1).flatten().take(kept.field("i"))
+            terms = _unpacked(batch["packed_terms"][r]).split(" ")
             ids = kept.field("id").to_numpy()
             automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-            for i, term in enumerate(terms.to_pylist()):
-                automaton.add_word(f" {term} ", i)
+            for i, at in enumerate(kept.field("i").to_pylist()):
+                automaton.add_word(f" {terms[at]} ", i)
             automaton.make_automaton()
             counts: dict[str, np.ndarray] = {}
-            columns = (batch[name].slice(r, 1).flatten() for name in ("sources", "texts", "sizes"))
-            for source, packed, size in zip(*columns, strict=True):
-                text = pa.decompress(packed.as_buffer(), size.as_py(), "zstd", asbytes=True).decode()
-                n = np.bincount(np.fromiter(map(itemgetter(1), automaton.iter(text)), np.int64), minlength=len(ids))
+            for source, packed in zip(*(batch[name].slice(r, 1).flatten() for name in ("sources", "texts")), strict=True):
+                n = np.bincount(np.fromiter(map(itemgetter(1), automaton.iter(_unpacked(packed))), np.int64), minlength=len(ids))
                 name = source.as_py()
                 counts[name] = counts[name] + n if name in counts else n
             some = [np.flatnonzero(n) for n in counts.values()]
@@ -137,22 +145,26 @@ def _recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def cut(documents: DataFrame) -> DataFrame:
     """The corpus in pieces, as a table."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    return materialize(documents.select(*text).mapInArrow(_make_pieces, _PIECES_SQL), "pieces")
+    path = new_path(documents.sparkSession, "pieces")
+    documents.select(*text).mapInArrow(_make_pieces, _PIECES_SQL).write.option("compression", "zstd").parquet(path)
+    return documents.sparkSession.read.schema(_PIECES_SQL).parquet(path)
 
 
 def vocabulary(corpus: DataFrame, least_documents: int) -> DataFrame:
     """piece, i, id: where each kept term stands in each piece that holds it."""
+    place = F.shiftleft("piece", PLACE_BITS).bitwiseOR(F.col("i").cast("long")).alias("place")
     held = corpus.select("piece", "lang", F.posexplode(F.arrays_zip("terms", "found_in")).alias("i", "t"))
-    term = W.partitionBy("lang", "t.terms")
-    place = F.shiftleft("piece", PLACE_BITS).bitwiseOR(F.col("i").cast("long"))
-    known = held.select("piece", "i", F.sum("t.found_in").over(term).alias("documents"), F.min(place).over(term).alias("id"))
-    return known.filter(F.col("documents") >= least_documents).drop("documents")
+    held = held.select("lang", F.col("t.terms").alias("term"), place, F.col("t.found_in").alias("found_in"))
+    term = W.partitionBy("lang", "term")
+    known = held.select("place", F.sum("found_in").over(term).alias("documents"), F.min("place").over(term).alias("id"))
+    i = F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("i")
+    return known.filter(F.col("documents") >= least_documents).select(F.shiftright("place", PLACE_BITS).alias("piece"), i, "id")
 
 
 def postings(corpus: DataFrame, kept: DataFrame) -> DataFrame:
     """lang, source, id, n: the occurrences of each kept term in each source that holds it."""
     lists = kept.groupBy("piece").agg(F.collect_list(F.struct("i", "id")).alias("kept"))
-    counted = corpus.drop("found_in").join(lists, "piece").mapInArrow(_recount, _POSTINGS_SQL)
+    counted = corpus.drop("terms", "found_in").join(lists, "piece").mapInArrow(_recount, _POSTINGS_SQL)
     rows = counted.select("lang", "source", F.explode(F.arrays_zip("ids", "counts")).alias("t"))
     return materialize(rows.groupBy("lang", "source", F.col("t.ids").alias("id")).agg(F.sum("t.counts").alias("n")), "postings")
 
