@@ -27,7 +27,7 @@ from runnel.llm.terms import WORD_TERMS, coded, distinct_pairs, folded, piece_id
 from runnel.llm.text_arrays import pieces, tidy
 
 #: Bytes of text that are a piece, and that are cut into n-grams at once (or one longer text).
-PIECE, SLICE = 32 << 20, 4 << 20
+PIECE, SLICE = 16 << 20, 4 << 20
 #: Hashes of 32 bits as numbers between 0 and 1.
 SPAN = 4294967296
 #: Digits below which monotonically_increasing_id numbers the rows of a partition.
