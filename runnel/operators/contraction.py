@@ -20,6 +20,14 @@ from pyspark.sql import functions as F
 from runnel.staging import materialize
 
 
+class CycleError(ValueError):
+    """Pointers form a cycle; ``unresolved`` is the number of cells on cycles."""
+
+    def __init__(self, unresolved: int):
+        super().__init__(f"{unresolved} unresolved cells: the pointers form a cycle")
+        self.unresolved = unresolved
+
+
 @dataclass(frozen=True)
 class Algebra:
     """``state`` is what a node knows of its closed children, ``way`` what becomes of a node's value on its way down."""
@@ -33,8 +41,15 @@ class Algebra:
 
 
 def fold(nodes: DataFrame, algebra: Algebra) -> DataFrame:
-    """(k, value) of nodes (k, p, state, way); p is the key of the node below, null at roots. RuntimeError on cycles."""
+    """(k, value) of nodes (k, p, state, way); p is the key of the node below, null at roots.
+
+    CycleError if pointers form a cycle, which is spliced until a node points to itself. ValueError if a node points to none
+    of the nodes, as its value would be lost.
+    """
     live = materialize(nodes.select("k", "p", "state", "way"), "live")
+    lost = live.filter("p is not null").select(F.col("p").alias("k")).distinct().join(live.select("k"), "k", "left_anti").count()
+    if lost:
+        raise ValueError(f"{lost} nodes that others point to are not there")
     closed, spliced, left = [], [], live.count()
     for turn in range(64 + 16 * max(1, left).bit_length()):
         if not left:
@@ -63,8 +78,10 @@ def fold(nodes: DataFrame, algebra: Algebra) -> DataFrame:
         live = live.select("k", F.coalesce("np", "p").alias("p"), "state", F.coalesce("nw", "way").alias("way"))
         live = materialize(live, "live")
         left = live.count()
+        if left and live.filter("p is null or p <> k").isEmpty():
+            break
     if left:
-        raise RuntimeError(f"{left} nodes cannot be closed: the pointers form a cycle")
+        raise CycleError(left)
     known = closed
     for gone in reversed(spliced):
         above = reduce(DataFrame.union, known).withColumnRenamed("k", "u").withColumnRenamed("value", "of_child")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from runnel.operators.contraction import fold, strahler_orders, sums_under_limits
+from runnel.operators.contraction import CycleError, fold, strahler_orders, sums_under_limits
 from runnel.staging import discard, materialize, new_path
 
 #: Rows of a tree that one task walks.
@@ -25,14 +25,6 @@ def _rounds(n: int) -> int:
     return max(1, math.ceil(math.log2(max(n, 2)))) + 1
 
 
-class CycleError(ValueError):
-    """Pointers form a cycle; ``unresolved`` is the number of cells on cycles."""
-
-    def __init__(self, unresolved: int):
-        super().__init__(f"{unresolved} unresolved cells: the pointers form a cycle")
-        self.unresolved = unresolved
-
-
 def accumulate(cells: DataFrame, values: list[str], key: str = "cell", down: str = "down") -> DataFrame:
     """Own plus all upstream values of each cell, under the same names, by path doubling.
 
@@ -260,10 +252,14 @@ def capacity_route(nodes: DataFrame, by: list[str] | None = None, chunks: int =
     nodes: id, down (null at sinks), capacity (of the edge to down), local (own inflow), root, and the columns ``by``
     (such as interval_id). A node passes on min(total, capacity); the rest overflows there and leaves the network. A
     sink exports all. A tree with a share of the intervals is walked in a task, with a vector of intervals, if that has
-    up to WALK_ROWS rows; larger trees are contracted.
+    up to WALK_ROWS rows; larger trees are contracted. Both ways give the same rows. Whatever the way, ValueError if a node
+    that drains has no capacity, drains to one that its interval does not have, or drains elsewhere in another
+    interval, and CycleError if nodes drain in a circle. Null own inflow is none. The result is a table.
     """
     by = by or []
     kinds = dict(nodes.dtypes)
+    nodes = materialize(nodes, "routing")
+    _require_routable(nodes, by)
 
     def walk(rows: pd.DataFrame) -> pd.DataFrame:
         at, ids = pd.factorize(rows["id"])
@@ -271,7 +267,8 @@ def capacity_route(nodes: DataFrame, by: list[str] | None = None, chunks: int =
         tree = rows.drop_duplicates("id").reset_index(drop=True)
         index = {v: i for i, v in enumerate(ids)}
         down = [index[d] if d == d and d is not None else None for d in tree["down"]]
-        capacity = tree["capacity"].tolist()
+        capacity = np.zeros((len(ids), key.max() + 1))
+        capacity[at, key] = rows["capacity"].to_numpy(float)
         waits = [0] * len(down)
         for d in down:
             if d is not None:
@@ -293,9 +290,8 @@ def capacity_route(nodes: DataFrame, by: list[str] | None = None, chunks: int =
             waits[d] -= 1
             if not waits[d]:
                 ready.append(d)
-        if done < len(down):
-            raise CycleError(len(down) - done)
         out = rows[[*by, "id"]].copy()
+        local[[w > 0 for w in waits]] = np.nan  # on a circle, or below one
         for name, m in (("local", local), ("upstream", upstream), ("conveyed", passed), ("overflow", over), ("export", export), ("total", local + upstream)):
             out[name] = m[at, key]
         return out
@@ -303,7 +299,10 @@ def capacity_route(nodes: DataFrame, by: list[str] | None = None, chunks: int =
     schema = ", ".join([f"{c} {kinds[c]}" for c in [*by, "id"]]) + ", local double, upstream double, conveyed double, overflow double, export double, total double"
     chunk = F.pmod(F.xxhash64(*by), F.lit(chunks)) if by else F.lit(0)
     small, large = _by_size(nodes.withColumn("_chunk", chunk), ["root", "_chunk"])
-    walked = small.groupBy("root", "_chunk").applyInPandas(walk, schema)
+    walked = materialize(small.groupBy("root", "_chunk").applyInPandas(walk, schema), "routed")
+    stuck = walked.filter(F.col("local").isNull() | F.isnan("local")).select("id").distinct().count()
+    if stuck:
+        raise CycleError(stuck)
     if large is None:
         return walked
 
@@ -324,6 +323,25 @@ def capacity_route(nodes: DataFrame, by: list[str] | None = None, chunks: int =
     return walked.union(flows)
 
 
+def _require_routable(nodes: DataFrame, by: list[str]) -> None:
+    drains = F.col("down").isNotNull()
+    capacity = F.col("capacity").cast("double")
+    bare = nodes.filter(drains & (capacity.isNull() | F.isnan(capacity))).count()
+    if bare:
+        raise ValueError(f"{bare} draining nodes have no capacity")
+
+    def key(c: str) -> Column:
+        return F.struct(*by, F.col(c).alias("id")).alias("k")
+
+    lost = nodes.filter(drains).select(key("down")).distinct().join(nodes.select(key("id")), "k", "left_anti").count()
+    if lost:
+        raise ValueError(f"{lost} nodes that others drain to are not there")
+    way = F.struct("down")
+    apart = nodes.groupBy("id").agg(F.min(way).alias("a"), F.max(way).alias("b")).filter("a <> b").count()
+    if apart:
+        raise ValueError(f"{apart} nodes drain to different nodes in different intervals")
+
+
 def _by_size(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
     """Rows of the groups of up to WALK_ROWS rows, and those of larger ones (None if there are none)."""
     rows = materialize(rows, "trees")

@@ -189,3 +189,38 @@ def test_a_chain_of_any_length_has_one_root(spark, n):
     tree = spark.createDataFrame([(i, i - 1 if i else None) for i in range(n)], "cell long, down long")
     assert {r.cell: (r.root, r.depth) for r in graph.roots(tree).collect()} == {i: (0, i) for i in range(n)}
     assert {r.id: r.component for r in graph.connected(tree.filter("down is not null").toDF("a", "b")).collect()} == {i: 0 for i in range(n) if n > 1}
+
+
+@pytest.mark.parametrize("walk_rows", [500_000, 0])
+@pytest.mark.parametrize("fault", ["none", "capacity", "dangling", "circle", "elsewhere"])
+def test_routing_answers_alike_whichever_way_it_takes(spark, monkeypatch, walk_rows, fault):
+    """Capacities that differ by interval count, and what cannot be routed is refused on both ways."""
+    monkeypatch.setattr(graph, "WALK_ROWS", walk_rows)
+    rows = {(s, i): [s, i, d, c, 2.5, "S"] for s in (0, 30) for i, d, c in (("A", "B", 2.0 + s), ("B", "S", 30.0), ("C", "B", 0.5), ("S", None, None))}
+    if fault == "capacity":
+        rows[30, "C"][3] = None
+    if fault == "dangling":
+        rows[30, "C"][2] = "lost"
+        rows[0, "C"][2] = "lost"
+    if fault == "circle":
+        for s in (0, 30):
+            rows[s, "B"][2] = "A"
+    if fault == "elsewhere":
+        rows[30, "C"][2] = "S"
+    nodes = spark.createDataFrame([tuple(r) for r in rows.values()], "step int, id string, down string, capacity double, local double, root string")
+    if fault != "none":
+        with pytest.raises(graph.CycleError if fault == "circle" else ValueError, match={"capacity": "capacity", "dangling": "not there", "circle": "cycle", "elsewhere": "different"}[fault]):
+            graph.capacity_route(nodes, ["step"]).collect()
+        return
+    got = {(r.step, r.id): (r.conveyed, r.overflow, r.export) for r in graph.capacity_route(nodes, ["step"]).collect()}
+    assert got[0, "A"] == (2.0, 0.5, 0.0) and got[30, "A"] == (2.5, 0.0, 0.0) and got[0, "C"] == (0.5, 2.0, 0.0)
+    assert got[0, "S"] == (0.0, 0.0, 7.5) and got[30, "S"] == (0.0, 0.0, 8.0)
+
+
+def test_a_value_that_would_be_lost_is_an_error(spark):
+    from runnel.operators.contraction import fold, sums_under_limits
+
+    way = F.struct(F.lit(0.0).alias("plus"), F.lit(1.0).alias("limit"))
+    nodes = spark.createDataFrame([(1, 7), (2, None)], "k int, p int").withColumn("state", F.lit(1.0)).withColumn("way", way)
+    with pytest.raises(ValueError, match="not there"):
+        fold(nodes, sums_under_limits())
