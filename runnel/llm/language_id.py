@@ -6,8 +6,8 @@ weights tie the languages of neighbouring words. Forward-backward gives each wor
 languages given the whole text, so a text that switches languages is labelled word by word; the shares of a
 document are the means over its words that have a letter.
 
-The weights are fitted on a bounded sample of labelled documents (TRAIN_DOCS a language, TRAIN_WORDS words of each; every language that has a label is learned),
-joined to sequences that also switch languages, by full-batch gradient steps on the likelihood. Distinct words are
+The weights are fitted on a bounded sample of labelled documents (TRAIN_DOCS a language and SAMPLE_DOCS in all, TRAIN_WORDS words
+of each; every language that has a label is learned), joined to sequences that also switch languages, by full-batch gradient steps on the likelihood. Distinct words are
 scored once a batch, and the recursions run over all documents of a batch at once.
 """
 
@@ -32,8 +32,11 @@ PIECE = 2 << 20
 #: Places that features are hashed to, and weights of a model at most (64 MB); more languages have fewer places.
 FEATURES, MOST_WEIGHTS, LEAST_FEATURES = 1 << 16, 1 << 24, 1 << 10
 SEQUENCE, STEPS = 40, 30
-#: Words of a long text that the recursions take as one run.
-RUN = 128
+#: Words of a long text that the recursions take as one run; with more languages than MOST_CUT, of which a run would need
+#: the square, texts are not cut, which gives the same marginals.
+RUN, MOST_CUT = 128, 16
+#: Numbers of an array of (words or features, languages) that are worked on at once, and documents of the sample in all.
+BLOCK, SAMPLE_DOCS = 1 << 24, 300 * 16
 UNKNOWN = "und"
 
 
@@ -98,8 +101,14 @@ def _scores(weights: np.ndarray, features: np.ndarray, begins: np.ndarray) -> np
     """(words, languages): every word has a feature, as its marks make one n-gram at least."""
     if not len(begins):
         return np.zeros((0, weights.shape[1]), np.float32)
-    counts = np.diff(np.r_[begins, len(features)])
-    return np.add.reduceat(weights[features], begins, axis=0) / np.sqrt(counts)[:, None].astype(np.float32)
+    ends = np.r_[begins[1:], len(features)]
+    out = np.empty((len(begins), weights.shape[1]), np.float32)
+    most, i = max(1, BLOCK // weights.shape[1]), 0
+    while i < len(begins):
+        j = max(i + 1, int(np.searchsorted(ends, begins[i] + most, side="right")))
+        out[i:j] = np.add.reduceat(weights[features[begins[i] : ends[j - 1]]], begins[i:j] - begins[i], axis=0)
+        i = j
+    return out / np.sqrt(ends - begins)[:, None].astype(np.float32)
 
 
 def _passages(local: np.ndarray, first: np.ndarray, size: np.ndarray, move: np.ndarray) -> np.ndarray:
@@ -152,7 +161,8 @@ def marginals(scores: np.ndarray, bounds: np.ndarray, transitions: np.ndarray, p
     local = np.exp(scores - top).astype(np.float32)
     move = np.exp(transitions).astype(np.float32)
     whole = int(np.diff(bounds).max(initial=1))
-    begin, size, enter, leave = _runs_of_texts(local, bounds, move, RUN if pairs is None else max(1, whole))
+    cut = pairs is None and len(move) <= MOST_CUT
+    begin, size, enter, leave = _runs_of_texts(local, bounds, move, RUN if cut else max(1, whole))
     order = np.argsort(-size, kind="stable")
     begin, size, enter, leave = begin[order], size[order], enter[order].astype(np.float32), leave[order].astype(np.float32)
     steps = int(size[0]) if len(size) else 0
@@ -175,8 +185,8 @@ def marginals(scores: np.ndarray, bounds: np.ndarray, transitions: np.ndarray, p
         forward[at] = joint / (joint @ ones)
         ahead = local[at] * back
         if pairs is not None and t:
-            both = forward[at - 1][:, :, None] * move[None] * ahead[:, None, :]
-            pairs += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            before = forward[at - 1]
+            pairs += move * ((before / ((before @ move) * ahead).sum(axis=1, keepdims=True)).T @ ahead)
         back = ahead @ move.T
         back /= back @ ones
     return forward
@@ -215,16 +225,22 @@ def train(samples: list[tuple[str, list[str]]], seed: int = 3) -> Model:
     w, t = np.zeros((places + 1, n), np.float32), np.zeros((n, n))
     seen_t = np.zeros((n, n))
     np.add.at(seen_t, (label[second - 1], label[second]), 1)
-    seen = np.zeros((len(code), n), np.float32)
-    seen[np.arange(len(code)), label] = 1
+    whole_blocks = max(1, BLOCK // n // SEQUENCE)
+    blocks = [bounds[i : i + whole_blocks + 1] for i in range(0, len(bounds) - 1, whole_blocks)]
     moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(t), np.zeros_like(t)]
     for step in range(1, STEPS + 1):
-        scores = _scores(w, features, begins)[code]
+        scores = _scores(w, features, begins)
         pair = np.zeros((n, n))
-        p = marginals(scores, bounds, t, pair)
-        off = seen - p
-        by_word = np.stack([np.bincount(code, off[:, i], len(begins)) for i in range(n)], axis=1)
-        grad = np.stack([np.bincount(features, by_word[owner, i] * share, places + 1) for i in range(n)], axis=1) - 0.02 * w
+        by_word = np.zeros((n, len(begins)))
+        for at in blocks:
+            here = slice(at[0], at[-1])
+            off = -marginals(scores[code[here]], at - at[0], t, pair)
+            off[np.arange(len(off)), label[here]] += 1
+            for i in range(n):
+                by_word[i] += np.bincount(code[here], off[:, i], len(begins))
+        grad = -0.02 * w
+        for i in range(n):
+            grad[:, i] += np.bincount(features, by_word[i][owner] * share, places + 1)
         grad_t = (seen_t - pair) / len(code) * 50 - 0.02 * t
         for x, g, m, v in ((w, grad, moments[0], moments[1]), (t, grad_t, moments[2], moments[3])):
             m += 0.1 * (g - m)
@@ -254,9 +270,10 @@ def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fit(labelled: DataFrame) -> Model | None:
     """The model of rows (doc_id, text, lang), all of whose languages are learned.
 
-    It is fitted on a sample by a hash of doc_id and text: about TRAIN_DOCS documents a language, of each TRAIN_WORDS
-    words. Rows that are equal are drawn together, so the sample is also cut at three times its expected size, in the
-    order of the hash. More languages than a model has weights for (16,384) are an error. None if nothing is labelled.
+    It is fitted on a sample by a hash of doc_id and text: about TRAIN_DOCS documents a language, fewer if all languages
+    together had more than SAMPLE_DOCS, of each TRAIN_WORDS words. Rows that are equal are drawn together, so the sample is also cut at three times its
+    expected size, in the order of the hash. Time grows with the square of the languages, memory in proportion to them; tests train and label
+    with 200. More languages than a model has weights for (16,384) are an error. None if nothing is labelled.
     """
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     most = MOST_WEIGHTS // LEAST_FEATURES
@@ -266,12 +283,13 @@ def fit(labelled: DataFrame) -> Model | None:
         return None
     if n > most:
         raise ValueError(f"{n} languages are more than the {most} that a model can tell apart")
-    rates = counts.select(F.col("lang").alias("_lang"), F.least(F.lit(1.0), TRAIN_DOCS / F.col("n")).alias("rate"))
+    docs = min(TRAIN_DOCS, -(-SAMPLE_DOCS // n))
+    rates = counts.select(F.col("lang").alias("_lang"), F.least(F.lit(1.0), docs / F.col("n")).alias("rate"))
     u = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
     drawn = rows.select("text", "lang", u.alias("u")).join(F.broadcast(rates), F.col("lang") == F.col("_lang")).filter("u < rate")
     drawn = drawn.select((F.col("u") / F.col("rate")).alias("turn"), "lang", "text")
     some = drawn.mapInArrow(_sample_words, "turn double, lang string, words array<string>")
-    got = some.orderBy("turn", "lang", "words").limit(3 * TRAIN_DOCS * n).toArrow().to_pylist()
+    got = some.orderBy("turn", "lang", "words").limit(3 * docs * n).toArrow().to_pylist()
     samples = sorted((r["lang"], r["words"]) for r in got if r["words"])
     return train(samples) if samples else None
 
@@ -298,6 +316,11 @@ def _label(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray,
     return np.where(n > 0, names[best], UNKNOWN), np.clip(score, 0, 1), of_words, bounds
 
 
+def _piece(model: Model) -> int:
+    """Bytes of text at once: fewer where each word has more numbers."""
+    return PIECE * MOST_CUT // max(MOST_CUT, len(model.languages))
+
+
 def _runs(model: Model, of_words: np.ndarray, bounds: np.ndarray) -> pa.Array:
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -311,7 +334,7 @@ def _predict(shared, spans: bool):
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for batch in pieces(batches, PIECE):
+        for batch in pieces(batches, _piece(model)):
             pred, score, of_words, bounds = _label(model, batch)
             columns = [batch["doc_id"], pa.array(pred, pa.string()), pa.array(score)]
             if spans:
@@ -336,7 +359,7 @@ def keep_identified(documents: DataFrame, model: Model | None, least_score: floa
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, PIECE):
+        for batch in pieces(batches, _piece(shared.value)):
             pred, score, _, _ = _label(shared.value, batch)
             yield batch.filter(pa.array((pred != UNKNOWN) & (score >= least_score)))
 

@@ -105,6 +105,37 @@ def test_all_languages_are_learned_from_a_bounded_sample(spark, monkeypatch):
         L.feature_count((1 << 14) + 1)
 
 
+def test_two_hundred_languages_within_memory():
+    """Trained and labelled for real: no array grows with the square of the languages times words or texts."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rnd = random.Random(8)
+    letters = "abcdefghijklmnopqrst"
+    stems = [[f"{rnd.choice(letters)}{letters[i % 20]}{letters[i // 20]}{rnd.choice(letters)}" for _ in range(4)] for i in range(200)]
+    text = lambda i, n: [rnd.choice(stems[i]) + rnd.choice("aeiou") for _ in range(n)]
+    samples = [(f"l{i:03}", text(i, 30)) for i in range(200) for _ in range(4)]
+    tracemalloc.start()
+    model = L.train(samples)
+    rows = [" ".join(text(i, 40)) for i in range(200)] + [" ".join(text(7, 20_000))]
+    pred, score, _, _ = L._label(model, pa.record_batch({"text": rows}))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.mean(pred[:200] == np.array([f"l{i:03}" for i in range(200)])) > 0.95 and pred[200] == "l007"
+    assert most < 600e6, most
+
+
+def test_pairs_equal_the_sum_over_words():
+    rnd = np.random.default_rng(3)
+    scores, moves, bounds = rnd.normal(size=(30, 3)), rnd.normal(size=(3, 3)), np.array([0, 1, 12, 12, 30])
+    pair = np.zeros((3, 3))
+    p = L.marginals(scores, bounds, moves, pair)
+    assert pair.sum() == pytest.approx(30 - 3, abs=1e-4)  # one for each word that has one before it
+    starts = p[[0, 1, 12]].sum(axis=0)
+    assert np.allclose(pair.sum(axis=0), p.sum(axis=0) - starts, atol=1e-4)
+
+
 def test_held_out_is_by_crc(spark):
     import zlib
 
