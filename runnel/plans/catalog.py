@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from runnel.plans import gridded, relational, terrain, validations
+from runnel.plans import gridded, networks, relational, terrain, validations
 
 QUERIES, ORACLES = relational.QUERIES, relational.ORACLES
-assert gridded.CHANNEL_CELLS and terrain.TILE and validations.NETWORK_SQL
+assert gridded.CHANNEL_CELLS and networks.STREETS_SQL and terrain.TILE and validations.NETWORK_SQL
