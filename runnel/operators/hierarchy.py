@@ -96,9 +96,12 @@ def search(hierarchy: Hierarchy, source) -> DataFrame:
     return known
 
 
-def route(hierarchy: Hierarchy, source, target) -> DataFrame:
-    """(step, id, distance) of the nodes of a shortest way from source to target, both included; no rows if there is none."""
-    found = search(hierarchy, source)
+def route(hierarchy: Hierarchy, source, target, found: DataFrame | None = None) -> DataFrame:
+    """(step, id, distance) of the nodes of a shortest way from source to target, both included; no rows if there is none.
+
+    found: the rows of ``search`` from source, if they are there already.
+    """
+    found = search(hierarchy, source) if found is None else found
     spark, kind = found.sparkSession, dict(found.dtypes)["id"]
     at_end = found.filter(F.col("id") == F.lit(target).cast(kind))
     if at_end.isEmpty():

@@ -52,8 +52,8 @@ def duplicates(df: DataFrame, key: list[str]) -> DataFrame:
 def strict_lookup(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Left join to a lookup whose key is unique and complete; the job fails otherwise.
 
-    The lookup's rows are counted in the aggregate that makes it unique; a missing key fails in the plan, without
-    another pass.
+    The lookup's rows are counted in the aggregate that makes it unique; a missing key fails in a filter, without another
+    pass and whichever columns are read afterwards.
     """
     values = [c for c in lookup.columns if c != key]
     one = lookup.groupBy(key).agg(F.first(F.struct(*values)).alias("_v"), F.count(F.lit(1)).alias("_n"))
@@ -61,7 +61,7 @@ def strict_lookup(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     fault = F.when(F.col("_n").isNull(), F.raise_error(F.concat(F.lit(f"no {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))).when(
         F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string")))
     )
-    return joined.select(*rows.columns, *[F.when(fault.isNull(), F.col(f"_v.{c}")).alias(c) for c in values])
+    return joined.filter(fault.isNull()).select(*rows.columns, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
 def set_difference_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

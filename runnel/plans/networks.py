@@ -76,5 +76,6 @@ def street_route(spark, sf_dir):
     """Node by node from the first cell to the one that is farthest from it."""
     found = hierarchy.contract(streets(spark, sf_dir))
     first = found.nodes.agg(F.min("id")).first()[0]
-    last = hierarchy.search(found, first).agg(F.max_by("id", "distance")).first()[0]
-    return hierarchy.route(found, first, last).select("step", "id", F.round("distance", 6).alias("distance"))
+    ways = hierarchy.search(found, first)
+    last = ways.agg(F.max_by("id", "distance")).first()[0]
+    return hierarchy.route(found, first, last, ways).select("step", "id", F.round("distance", 6).alias("distance"))

@@ -88,6 +88,9 @@ def test_strict_lookup(spark):
     for bad in (good.filter("k <> 2"), good.union(good)):
         with pytest.raises(Exception, match="no k 2|k is not unique"):
             relational.strict_lookup(rows, bad, "k").collect()
+        for narrow in (lambda df: df.select("k").collect(), lambda df: df.count()):
+            with pytest.raises(Exception, match="no k 2|k is not unique"):
+                narrow(relational.strict_lookup(rows, bad, "k"))
 
 
 def test_spreading(spark):
