@@ -222,9 +222,12 @@ def conditional_counts(spark, sf_dir):
   round(quantile_cont(l_extendedprice, 0.99), 4) AS p99, round(median(l_quantity), 4) AS median_quantity FROM lineitem GROUP BY 1""")
 def percentiles_exact(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    price = R.percentiles(lines, ["l_linestatus"], "l_extendedprice", {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99})
-    both = price.join(R.percentiles(lines, ["l_linestatus"], "l_quantity", {"median_quantity": 0.5}), "l_linestatus")
-    return both.select("l_linestatus", *[F.round(c, 4).alias(c) for c in ("p50", "p90", "p95", "p99", "median_quantity")])
+    values = [F.struct(F.lit(c).alias("of"), F.col(c).cast("double").alias("v")) for c in ("l_extendedprice", "l_quantity")]
+    both = lines.select("l_linestatus", F.explode(F.array(*values)).alias("x")).select("l_linestatus", "x.of", "x.v")  # one pass for both columns
+    found = R.percentiles(both, ["l_linestatus", "of"], "v", {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99})
+    price, quantity = F.col("of") == "l_extendedprice", F.col("of") == "l_quantity"
+    shares = [F.round(F.max(F.when(price, F.col(c))), 4).alias(c) for c in ("p50", "p90", "p95", "p99")]
+    return found.groupBy("l_linestatus").agg(*shares, F.round(F.max(F.when(quantity, F.col("p50"))), 4).alias("median_quantity"))
 
 
 @query("""SELECT CASE WHEN l_quantity < 5 THEN '[0,5)' WHEN l_quantity < 10 THEN '[5,10)' WHEN l_quantity < 20 THEN '[10,20)' WHEN l_quantity < 30 THEN '[20,30)' ELSE '[30,inf)' END AS bin,
