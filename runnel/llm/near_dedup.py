@@ -42,6 +42,8 @@ SHARE, PASS = 75, 0.54
 BLOCK, BLOCK_SHINGLES = 2000, 500_000
 #: Pairs of one leader that meet one copy of its set.
 SPREAD = 5000
+#: Bytes of text whose words and shingles a worker holds at once (or one longer text).
+PIECE = 2 << 20
 
 SIGNATURES = "doc_id long, n_shingles long, s1 long, s2 long, sketch array<long>, bands array<long>"
 _SIGNATURES_ARROW = pa.schema(
@@ -88,7 +90,7 @@ def band_keys(minima: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 @tidy
 def _signatures(batches):
-    for batch in pieces(batches):
+    for batch in pieces(batches, PIECE):
         sets, bounds = shingle_sets(batch["text"])
         n = np.diff(bounds)
         upto = np.r_[np.uint64(0), np.cumsum(mix(sets ^ np.uint64(0x5851F42D4C957F2D)))], np.r_[np.uint64(0), np.cumsum(mix(sets + np.uint64(0x14057B7EF767814F)))]
@@ -107,7 +109,7 @@ def _signatures(batches):
 
 @tidy
 def _sets(batches):
-    for batch in pieces(batches):
+    for batch in pieces(batches, PIECE):
         sets, bounds = shingle_sets(batch["text"])
         yield pa.RecordBatch.from_arrays(
             [batch["doc_id"].cast(pa.int64()), pa.ListArray.from_arrays(bounds.astype(np.int32), sets.view(np.int64))], names=["id", "shingles"]
