@@ -247,7 +247,7 @@ def plots(spark, sf_dir) -> DataFrame:
 edge AS (SELECT DISTINCT class, unnest([x0, x1]) AS x FROM plots), slab AS (SELECT class, x AS a, lead(x) OVER (PARTITION BY class ORDER BY x) AS b FROM edge),
 strip AS (SELECT s.class, a, b, y0, y1, max(y1) OVER (PARTITION BY s.class, a ORDER BY y0, y1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
   FROM slab s JOIN plots p ON p.class = s.class AND p.x0 <= a AND p.x1 >= b)
-SELECT class, round(sum((b - a) * greatest(0, y1 - greatest(y0, coalesce(reached, y0)))), 4) AS area FROM strip GROUP BY class""")
+SELECT class, round(sum((b - a) * greatest(0, y1 - greatest(y0, coalesce(reached, y0))))::DOUBLE, 4) AS area FROM strip GROUP BY class""")
 def dissolve_plots(spark, sf_dir):
     """The area that the plots of a class cover, those that overlap once."""
     rings = planar.dissolve(plots(spark, sf_dir))
