@@ -28,7 +28,7 @@ from runnel.llm.text_arrays import pieces, tidy, utf8, words
 #: Bounds of the training sample: documents a language (about, and three times as many at most), and words of each.
 TRAIN_DOCS, TRAIN_WORDS = 300, 120
 #: Bytes of text that a Python worker labels at once.
-PIECE = 2 << 20
+PIECE = 1 << 20
 #: Places that features are hashed to, and weights of a model at most (64 MB); more languages have fewer places.
 FEATURES, MOST_WEIGHTS, LEAST_FEATURES = 1 << 16, 1 << 24, 1 << 10
 SEQUENCE, STEPS = 40, 30
