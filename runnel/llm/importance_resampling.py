@@ -101,24 +101,24 @@ def _count(shortest: int, longest: int):
     return run
 
 
-@tidy
-def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The documents of each piece with their floored mean gain."""
-    names = ["piece", "doc_id", "n_words", "n_features", "weight", "at"]
-    for batch in batches:
-        for r in range(batch.num_rows):
-            of = {name: batch[name].slice(r, 1).flatten() for name in ("doc_ids", "words", "sizes", "codes", "counts", "gains")}
-            sizes, codes, counts, words = (of[name].to_numpy(zero_copy_only=False) for name in ("sizes", "codes", "counts", "words"))
-            gain = np.zeros(len(of["gains"]), np.int64)
-            gain[of["gains"].field("i").to_numpy()] = of["gains"].field("gain").to_numpy()
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            n, total = np.zeros((2, len(sizes)), np.int64)
-            np.add.at(n, doc, counts)
-            np.add.at(total, doc, gain[codes] * counts)
-            weight = np.where(n > 0, total // np.maximum(n, 1), 0)
-            piece = np.full(len(n), batch["piece"][r].as_py())
-            columns = [piece, of["doc_ids"], words, n, weight, np.arange(len(n))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+_WEIGHED = ["piece", "doc_id", "n_words", "n_features", "weight", "at"]
+
+
+def _weigh(pieces_of: pa.Table, gains: pa.Table) -> pa.Table:
+    """The documents of one piece (a row) with their floored mean gain; gains: i, gain of its n-grams."""
+    if not pieces_of.num_rows:
+        return pa.table([pa.array([], pieces_of.schema.field("doc_ids").type.value_type if k == "doc_id" else pa.int64()) for k in _WEIGHED], names=_WEIGHED)
+    of = {name: pieces_of[name].combine_chunks().flatten() for name in ("doc_ids", "words", "sizes", "codes", "counts")}
+    sizes, codes, counts, words = (of[name].to_numpy(zero_copy_only=False) for name in ("sizes", "codes", "counts", "words"))
+    gain = np.zeros(gains.num_rows, np.int64)
+    gain[gains["i"].to_numpy()] = gains["gain"].to_numpy()
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    n, total = np.zeros((2, len(sizes)), np.int64)
+    np.add.at(n, doc, counts)
+    np.add.at(total, doc, gain[codes] * counts)
+    weight = np.where(n > 0, total // np.maximum(n, 1), 0)
+    piece = np.full(len(n), pieces_of["piece"][0].as_py())
+    return pa.table([pa.array(c) for c in (piece, of["doc_ids"], words, n, weight, np.arange(len(n)))], names=_WEIGHED)
 
 
 def count_features(texts: DataFrame, shortest: int, longest: int) -> DataFrame:
@@ -150,12 +150,10 @@ def bucket_gains(features: DataFrame, buckets: int) -> DataFrame:
 def weigh(corpus: DataFrame, features: DataFrame, gains: DataFrame) -> DataFrame:
     """piece, doc_id, n_words, n_features, weight, at (the document's place in its piece)."""
     by_feature = features.filter("s > 0").join(F.broadcast(gains), "bucket").select("feature", "gain")
-    held = corpus.select("piece", F.posexplode("features").alias("i", "feature")).join(by_feature, "feature")
-    lists = held.groupBy("piece").agg(F.collect_list(F.struct("i", "gain")).alias("gains"))
-    rows = corpus.select("piece", "doc_ids", "words", "sizes", "codes", "counts").join(lists, "piece", "left")
-    rows = rows.withColumn("gains", F.coalesce("gains", F.array().cast(lists.schema["gains"].dataType)))
+    held = corpus.select("piece", F.posexplode("features").alias("i", "feature")).join(by_feature, "feature").select(F.col("piece").alias("of"), "i", "gain")
+    rows = corpus.select("piece", "doc_ids", "words", "sizes", "codes", "counts").groupBy("piece").cogroup(held.groupBy("of"))
     kind = corpus.schema["doc_ids"].dataType.elementType.simpleString()
-    return rows.mapInArrow(_weigh, f"piece long, doc_id {kind}, n_words long, n_features long, weight long, at long")
+    return rows.applyInArrow(_weigh, f"piece long, doc_id {kind}, n_words long, n_features long, weight long, at long")
 
 
 def noise(seed: str, key: Column) -> Column:
@@ -189,7 +187,8 @@ def resample(
     order, as are rows without doc_id, which come after those that have one. An empty target gives gains
     from the corpus alone; an empty table gives no rows. Other columns are not read.
     """
-    corpus = materialize(count_features(documents.select("doc_id", "text"), shortest, longest), "counts")
+    # A row is a whole piece: each is a row group of its own, so writers and readers hold one at a time.
+    corpus = materialize(count_features(documents.select("doc_id", "text"), shortest, longest), "counts", options={"parquet.block.row.count.limit": "1"})
     wanted = count_features(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), shortest, longest)
     features = dictionary(corpus, wanted, buckets)
     weighed = weigh(corpus, features, bucket_gains(features, buckets))

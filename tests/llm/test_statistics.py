@@ -7,11 +7,13 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from runnel.llm import importance_resampling as I
 from runnel.llm import source_divergence as D
+from runnel.staging import materialize
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n long, value string"
 
@@ -143,6 +145,18 @@ def test_resampling_of_ties_in_many_ranges(spark):
     assert sorted((r for r in got if r[4] is not None), key=lambda r: r[4]) == drawn
 
 
+def test_resampling_holds_one_piece_at_a_time(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(I, "materialize", lambda df, name, *a, **options: kept.setdefault(name, materialize(df, name, *a, **options)))
+    rows = [(i, f"tea{i} of the " * 1_300_000, None, None) for i in range(3)]  # two fill a piece
+    docs = frame(spark, rows).coalesce(1)
+    assert sorted(r.n_features for r in I.resample(docs, spark.createDataFrame([("tea",)], "text string"), least_words=1).collect()) == [3_900_000] * 3
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0).num_rows for f in kept["counts"].inputFiles()]
+    assert kept["counts"].count() == 2 and set(groups) == {1}
+    weighed = I.weigh(kept["counts"], kept["dictionary"], I.bucket_gains(kept["dictionary"], 10_000))
+    assert "collect_list" not in weighed._jdf.queryExecution().toString()  # of all n-grams of a task's pieces
+
+
 def test_resampling_of_nothing(spark):
     texts = spark.createDataFrame([("tea",)], "text string")
     assert I.resample(frame(spark, []), texts).count() == 0
