@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runnel.operators import hierarchy, reach
+from runnel.operators import blocks, reach
 from runnel.plans.gridded import DOWN_SQL, INLET_SIZE, REACH_SQL, cells_with_down
 from runnel.plans.relational import query, table
 from runnel.plans.terrain import SURFACE_SQL, surface
@@ -61,9 +61,8 @@ def streets(spark, sf_dir) -> DataFrame:
 @query(f"""WITH RECURSIVE {STREETS_SQL} SELECT cell AS id, round(d, 6) AS distance FROM best""")
 def street_distances(spark, sf_dir):
     """From the first cell to all others."""
-    found = hierarchy.contract(streets(spark, sf_dir))
-    first = found.nodes.agg(F.min("id")).first()[0]
-    return hierarchy.search(found, first).select("id", F.round("distance", 6).alias("distance"))
+    parted = blocks.blocks_of(streets(spark, sf_dir))
+    return blocks.distances(parted, parted.agg(F.min("a")).first()[0]).select("id", F.round("distance", 6).alias("distance"))
 
 
 @query(f"""WITH RECURSIVE {STREETS_SQL},
@@ -74,8 +73,7 @@ way(cell, d, k) AS (
 SELECT (max(k) OVER () - k)::BIGINT AS step, cell AS id, round(d, 6) AS distance FROM way""")
 def street_route(spark, sf_dir):
     """Node by node from the first cell to the one that is farthest from it."""
-    found = hierarchy.contract(streets(spark, sf_dir))
-    first = found.nodes.agg(F.min("id")).first()[0]
-    ways = hierarchy.search(found, first)
-    last = ways.agg(F.max_by("id", "distance")).first()[0]
-    return hierarchy.route(found, first, last, ways).select("step", "id", F.round("distance", 6).alias("distance"))
+    parted = blocks.blocks_of(streets(spark, sf_dir))
+    found = blocks.distances(parted, parted.agg(F.min("a")).first()[0])
+    last = found.agg(F.max_by("id", "distance")).first()[0]
+    return blocks.route(found, last).select("step", "id", F.round("distance", 6).alias("distance"))
