@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from runnel.llm.text_arrays import SPACE, gather, strings, utf8
+from runnel.llm.text_arrays import REMEMBERED, SPACE, gather, strings, utf8
 
 #: Bytes of pieces that a worker remembers, each counted with PIECE_COST more than its text; beyond it, those that only one
 #: batch has used are forgotten, or all if that frees less than half.
@@ -44,13 +44,16 @@ KIND[[*range(65, 91), *range(97, 123)]] = LETTER
 KIND[SPACE] = BLANK
 KIND[ord("'")] = OTHER
 
+#: The name under which a worker's tokenizers are remembered between tasks.
+TOKENIZERS = "tokenizers"
 _loaded: dict[str, ChunkTokenizer] = {}
 
 
 def tokenizer(path: str) -> ChunkTokenizer:
-    """One for each worker process and vocabulary."""
+    """One for each worker process and vocabulary, until a task of another kind runs there."""
     if path not in _loaded:
         _loaded[path] = ChunkTokenizer(path)
+        REMEMBERED[TOKENIZERS] = _loaded.clear
     return _loaded[path]
 
 

@@ -12,6 +12,7 @@ next, so nothing is shuffled, memory is bounded, and a lost task is done again w
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runnel.llm.chunk_tokenizer import tokenizer
+from runnel.llm.chunk_tokenizer import TOKENIZERS, tokenizer
 from runnel.llm.text_arrays import pieces, strings, tidy, utf8
 
 WINDOW = 2048
@@ -160,7 +161,7 @@ def _encode_spans(path: str, texts: pa.Array, spans: pa.Array) -> tuple[np.ndarr
 
 
 def _pack_documents(path: str, end_id: int, limits: tuple[int, int, int]):
-    @tidy
+    @functools.partial(tidy, keeps=TOKENIZERS)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() * SEQUENCES, limits)
         known: dict[int, tuple] = {}  # of examples that still wait

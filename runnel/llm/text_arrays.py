@@ -29,19 +29,34 @@ def pieces(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20, column:
             first = last
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+#: What a worker remembers between tasks: by its name, a function that forgets it.
+REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def _give_back() -> None:
+    """What has been freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function over batches that gives what it has freed back to the system at the end of its task.
 
-    Workers live on between tasks and stages; what their allocators keep would count against the tasks that follow.
+    Workers live on between tasks and stages; what their allocators keep would count against the tasks that follow. So would
+    what they remember: a task begins by forgetting all of it but what it ``keeps`` itself.
     """
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others = [forget for name, forget in REMEMBERED.items() if name != keeps]
+        for forget in others:
+            forget()
+        if others:
+            _give_back()
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-        if trim is not None:
-            trim(0)
+        _give_back()
 
     return wrapped
 

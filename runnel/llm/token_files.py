@@ -12,6 +12,7 @@ number of words of each lane, whose running sum says where its words lie. Its ch
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from runnel.llm.chunk_tokenizer import tokenizer
+from runnel.llm.chunk_tokenizer import TOKENIZERS, tokenizer
 from runnel.llm.storage import new_path
 from runnel.llm.text_arrays import pieces, tidy
 
@@ -156,7 +157,7 @@ def decode_ids(row: dict, first_block: int = 0, n_blocks: int | None = None) ->
 
 
 def _write_segments(path: str, end_id: int, segment_tokens: int):
-    @tidy
+    @functools.partial(tidy, keeps=TOKENIZERS)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, segment = TaskContext.get().partitionId(), 0
         held, docs, lengths, size = [], [], [], 0

@@ -251,3 +251,14 @@ def test_search_of_few(spark):
     got = sorted(tuple(r) for r in A.search(df, df.filter("vec_id = 0")).collect())
     assert got == [(0, 1, 2, 0.0), (0, 2, 1, 2**0.5)]
     assert A.search(df.limit(0), df).count() == 0 and A.search(df, df.limit(0)).count() == 0
+
+
+def test_tasks_of_another_kind_forget_the_tokenizers():
+    import public_tokenizers
+
+    from runnel.llm import chunk_tokenizer, text_arrays
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    first = chunk_tokenizer.tokenizer(path)
+    assert list(text_arrays.tidy(lambda rows: rows, keeps=chunk_tokenizer.TOKENIZERS)(iter([1]))) == [1] and chunk_tokenizer.tokenizer(path) is first
+    assert list(text_arrays.tidy(lambda rows: rows)(iter([1]))) == [1] and not chunk_tokenizer._loaded
