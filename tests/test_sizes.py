@@ -40,3 +40,11 @@ def test_cells_in_many_small_polygons(spark):
     began = time.monotonic()
     assert grid.cells_in_polygons(cells, areas, META).count() > 0
     assert time.monotonic() - began < 60  # 60,000 polygons on a tile of 4096 cells: 245 million pairs
+
+
+def test_cells_on_lines_are_dealt_out_before_they_are_put_together(spark):
+    line = F.array(G.point(F.lit(0.0), F.lit(0.0)), G.point(F.col("id").cast("double"), F.lit(-7.0)))
+    lines = spark.range(50).select(F.struct(F.lit("LineString").alias("type"), F.array(line).alias("parts")).alias("geometry"))
+    cells = grid.cells_on_lines(lines, META)
+    below = cells._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
+    assert cells.count() == cells.distinct().count() and "Generate" in below and "Aggregate" not in below
