@@ -1,4 +1,4 @@
-"""Network queries whose rounds do not grow with the network's depth: strong components, what drains through a node, routes."""
+"""Network queries whose rounds do not grow with the network's edges in a row: strong components, what drains through a node, routes."""
 
 from __future__ import annotations
 
