@@ -2,33 +2,102 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from runnel.functions import geo as G
 from runnel.operators import grid
+from runnel.staging import discard, materialize, new_path
+
+
+#: Segments that the tile of a typical point should meet in the first round, and tiles that a segment of mean extent spans at most there.
+MATES, MOST_SPAN = 32, 16
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, reach: float, point: str = "id", segment: str = "sid", apart: bool = False) -> DataFrame:
     """(point, segment, distance): each point's nearest segment up to ``reach`` away, the smaller id among equals.
 
-    points: id, x, y; segments: sid, ax, ay, bx, by. Segments are dealt to the tiles of side ``reach`` that their
-    bounds, widened by ``reach``, touch; a point has one tile, so candidates meet by an equi-join. Points without a
-    segment in reach have no row. With ``apart`` a segment of the point's own id does not count.
+    points: id, x, y; segments: sid, ax, ay, bx, by. Rounds look farther and farther, the last one up
+    to ``reach``: segments are dealt to the tiles within the round's distance of them, a point has one tile, and what is
+    found there within that distance is the nearest; only points without such a segment go on. The first distance follows
+    from how densely segments lie, so a point does not meet all that are in reach. The least distance and the least id
+    at it are aggregates of numbers, which are not sorted. Points without a segment in reach have no row. With
+    ``apart`` a segment of the point's own id does not count; of equal segments the two smallest ids can count.
     """
+    ends = ["ax", "ay", "bx", "by"]
+    finite = [F.abs(F.col(c)) < float("inf") for c in ends]  # not null, not NaN
+    usable = segments.select(segment, *[(F.col(c).cast("double") + 0.0).alias(c) for c in ends]).filter(reduce(Column.__and__, finite))
+    copies = W.partitionBy(*ends).orderBy(segment)
+    usable = usable.withColumn("_copy", F.dense_rank().over(copies)).filter(F.col("_copy") <= (2 if apart else 1)).drop("_copy")
+    usable = materialize(usable, "segments")
+    left_path, found = new_path(points.sparkSession, "points"), []
+    left = materialize(points.select(point, "x", "y").filter("abs(x) < double('inf') and abs(y) < double('inf')"), "points", left_path)
+    for side in _distances(left, usable, reach):
+        dealt = within_tiles(usable, side)
+        least = _met(left, dealt, side, point, segment, apart).groupBy(point).agg(F.min("distance").alias("_least"))
+        least = materialize(left.join(least, point), "least")
+        best = _met(least, dealt, side, point, segment, apart).filter(F.col("distance") == F.col("_least"))
+        found.append(materialize(best.groupBy(point).agg(F.min(segment).alias(segment), F.min("distance").alias("distance")), "nearest"))
+        if side < reach:
+            old, left_path = left_path, new_path(points.sparkSession, "points")
+            left = materialize(left.join(found[-1].select(point), point, "left_anti"), "points", left_path)
+            discard(points.sparkSession, old)
+            if left.isEmpty():
+                break
+    return reduce(DataFrame.union, found)
 
-    def tiles(a: str, b: str) -> Column:
-        low, high = F.least(a, b) - reach, F.greatest(a, b) + reach
-        return F.sequence(F.floor(low / reach), F.floor(high / reach))
 
-    dealt = segments.withColumn("tx", F.explode(tiles("ax", "bx"))).withColumn("ty", F.explode(tiles("ay", "by")))
-    at = points.withColumn("tx", F.floor(F.col("x") / reach)).withColumn("ty", F.floor(F.col("y") / reach))
+def _met(points: DataFrame, dealt: DataFrame, side: float, point: str, segment: str, apart: bool) -> DataFrame:
+    """Pairs of points and segments up to ``side`` away from each other, with their distance."""
+    at = points.withColumn("tx", F.floor(F.col("x") / side)).withColumn("ty", F.floor(F.col("y") / side))
+    pairs = at.join(dealt.hint("merge"), ["tx", "ty"])  # both are large where a broadcast would still take one
+    pairs = pairs.filter(F.col(point) != F.col(segment)) if apart else pairs
     d = G.segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
-    near = at.join(dealt, ["tx", "ty"]).withColumn("distance", d).filter(F.col("distance") <= reach)
-    if apart:
-        near = near.filter(F.col(point) != F.col(segment))
-    best = near.groupBy(point).agg(F.min(F.struct("distance", segment)).alias("_b"))
-    return best.select(point, F.col(f"_b.{segment}").alias(segment), F.col("_b.distance").alias("distance"))
+    return pairs.withColumn("distance", d).filter(F.col("distance") <= side)
+
+
+def within_tiles(segments: DataFrame, side: float) -> DataFrame:
+    """Each segment once for every tile (tx, ty) of that side which may hold a point up to ``side`` away from it.
+
+    In a column of tiles these are the tiles beside the piece that is near the column, so a slanted segment does not fill its box.
+    """
+    wide = side * 1.001  # rounding loses no tile
+    low, high = F.least("ax", "bx"), F.greatest("ax", "bx")
+    columns = segments.withColumn("tx", F.explode(F.sequence(F.floor((low - wide) / side), F.floor((high + wide) / side))))
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+
+    def y_at(x: Column, end: str) -> Column:
+        t = F.least(F.greatest(F.try_divide(x - F.col("ax"), dx), F.lit(0.0)), F.lit(1.0))
+        return F.when(dx == 0, F.col(end)).otherwise(F.col("ay") + dy * t)
+
+    y0, y1 = y_at(F.col("tx") * side - wide, "ay"), y_at((F.col("tx") + 1) * side + wide, "by")
+    rows = F.sequence(F.floor((F.least(y0, y1) - wide) / side), F.floor((F.greatest(y0, y1) + wide) / side))
+    return columns.withColumn("ty", F.explode(rows))
+
+
+def _distances(points: DataFrame, segments: DataFrame, reach: float) -> list[float]:
+    """Distances of the rounds, each a quarter of the next one, ``reach`` last.
+
+    The first is about the one at which the tile of a typical point meets MATES segments: they are counted by their first ends
+    in squares of ``reach``, and a segment counts for as many tiles as it is dealt to.
+    """
+    squares = [F.floor(F.col(c) / reach) for c in ("x", "y")]
+    near = points.groupBy(squares[0].alias("tx"), squares[1].alias("ty")).agg(F.count(F.lit(1)).alias("p"))
+    squares = [F.floor(F.col(c) / reach) for c in ("ax", "ay")]
+    starts = segments.groupBy(squares[0].alias("tx"), squares[1].alias("ty")).agg(F.count(F.lit(1)).alias("s"))
+    typical = near.join(starts, ["tx", "ty"]).agg((F.sum(F.col("p") * F.col("s").cast("double")) / F.sum("p")).alias("s"))
+    extent = segments.agg(F.avg(F.abs(F.col("bx") - F.col("ax")) + F.abs(F.col("by") - F.col("ay"))).alias("l"))
+    dense, long = typical.crossJoin(extent).first()
+    sides = [reach]
+    while dense:
+        side = sides[0] / 4
+        if side * MOST_SPAN < (long or 0.0) or dense * (side / reach) ** 2 * 3 * (3 + (long or 0.0) / side) < MATES:
+            break
+        sides.insert(0, side)
+    return sides
 
 
 # What can become of an inlet.

@@ -6,7 +6,7 @@ import time
 from pyspark.sql import functions as F
 
 from runnel.functions import geo as G
-from runnel.operators import grid
+from runnel.operators import grid, spatial
 
 META = {"x0": -3.0, "y0": 5.0, "dx": 2.0, "dy": -2.0}
 
@@ -48,3 +48,29 @@ def test_cells_on_lines_are_dealt_out_before_they_are_put_together(spark):
     cells = grid.cells_on_lines(lines, META)
     below = cells._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
     assert cells.count() == cells.distinct().count() and "Generate" in below and "Aggregate" not in below
+
+
+def cloud(spark, n, size, copies=1):
+    """n segments in a square, each from one of the n points, some of them alike."""
+    k = F.expr(f"int(id / {copies})")
+    x, y, dx, dy = ((F.xxhash64(k, F.lit(s)) % 100_003) / 100_003 for s in range(4))
+    at = spark.range(n).select("id", (x * size).alias("x"), (y * size).alias("y"), (dx * 9).alias("dx"), (dy * 9).alias("dy"))
+    return at.select("id", "x", "y"), at.select(F.col("id").alias("sid"), F.col("x").alias("ax"), F.col("y").alias("ay"), (F.col("x") + F.col("dx")).alias("bx"), (F.col("y") + F.col("dy")).alias("by"))
+
+
+def test_nearest_segments_are_those_of_all_pairs(spark):
+    for n, size, reach, copies, apart in ((400, 20, 30.0, 1, True), (400, 60, 30.0, 3, True), (300, 900, 30.0, 2, True), (300, 40, 7.0, 2, False), (300, 4000, 30.0, 1, True)):
+        points, segments = cloud(spark, n, size, copies)
+        d = G.segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
+        near = points.crossJoin(segments).withColumn("distance", d).filter(F.col("distance") <= reach)
+        near = near.filter("id <> sid") if apart else near
+        want = near.groupBy("id").agg(F.min(F.struct("distance", "sid")).alias("m")).select("id", "m.sid", "m.distance")
+        got = spatial.nearest_segment(points, segments, reach, apart=apart)
+        assert sorted(got.collect()) == sorted(want.collect()) != []
+
+
+def test_a_crowded_point_does_not_meet_all_segments_in_reach(spark):
+    points, segments = cloud(spark, 30_000, 40)
+    began = time.monotonic()
+    assert spatial.nearest_segment(points, segments, 30.0, apart=True).count() == 30_000
+    assert time.monotonic() - began < 60  # hundreds of millions of pairs are in reach
