@@ -9,10 +9,14 @@ looped over in Python. Coordinates are doubles; predicates are evaluated in doub
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from runnel.functions import geo as G
 from runnel.operators.graph import connected, roots
@@ -20,6 +24,8 @@ from runnel.staging import materialize
 
 #: Tiles on a side of the whole extent at most, which bounds the number of tiles of one long edge.
 MOST_TILES = 1 << 20
+#: Edges of rings that one task follows.
+BLOCK_EDGES = 100_000
 EDGE = ("ax", "ay", "bx", "by")
 
 
@@ -53,19 +59,23 @@ def _span(low: Column, high: Column, side: float) -> Column:
 
 
 def on_tiles(edges: DataFrame, side: float) -> DataFrame:
-    """Each edge once for every tile (tx, ty) that it touches; a long one is cut, so its whole box is not filled."""
+    """Each edge once for every tile (tx, ty) that it touches; a long one is cut at the columns of tiles, so its whole box is not filled."""
+    wide = side * 1e-6  # rounding loses no tile
+    low, high = F.least("ax", "bx"), F.greatest("ax", "bx")
+    columns = edges.withColumn("tx", F.explode(_span(low - wide, high + wide, side)))
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    pieces = F.greatest(F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / side), F.lit(1)).cast("int")
 
-    def tiles(k: Column) -> Column:
-        ends = [(F.col("a" + c) + d * k / pieces, F.col("a" + c) + d * (k + 1) / pieces) for c, d in (("x", dx), ("y", dy))]
-        # The last piece ends in the edge's own end, not in a rounded one.
-        ends = [(u, F.when(k == pieces - 1, F.col("b" + c)).otherwise(v)) for (u, v), c in zip(ends, "xy", strict=True)]
-        xs, ys = (_span(F.least(u, v), F.greatest(u, v), side) for u, v in ends)
-        return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("tx"), y.alias("ty")))))
+    def y_at(x: Column, end: str) -> Column:
+        t = F.least(F.greatest(F.try_divide(x - F.col("ax"), dx), F.lit(0.0)), F.lit(1.0))
+        return F.when(F.abs(dx) <= wide, F.col(end)).otherwise(F.col("ay") + dy * t)
 
-    cells = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), pieces - 1), tiles)))
-    return edges.withColumn("_t", F.explode(cells)).select("*", "_t.tx", "_t.ty").drop("_t")
+    y0, y1 = y_at(F.col("tx") * side - wide, "ay"), y_at((F.col("tx") + 1) * side + wide, "by")
+    return columns.withColumn("ty", F.explode(_span(F.least(y0, y1) - wide, F.greatest(y0, y1) + wide, side)))
+
+
+def spread_out(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt to all cores: those of a small file, or few shuffled ones, would be blown up to edges in one task."""
+    return rows.repartition(3 * rows.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def _edge(prefix: str = "") -> Column:
@@ -283,20 +293,96 @@ def _turned_rings(boundary: DataFrame, keys: list[str]) -> DataFrame:
     # Clockwise from where the edge came from; a way straight back comes last.
     turn = F.pmod(F.col("_back") - F.col("_out") - F.lit(1e-12), F.lit(2 * math.pi))
     ways = boundary.withColumn("_back", back).drop("ax", "ay").join(outs, [*keys, "bx", "by"])
-    follow = ways.groupBy("eid").agg(F.min_by("next", F.struct(turn.alias("t"), F.col("next").alias("n"))).alias("next"))
-    follow = materialize(follow, "follow")
-    ring = connected(follow.select(F.col("eid").alias("a"), F.col("next").alias("b"))).select(F.col("id").alias("eid"), F.col("component").alias("ring"))
-    # Each ring is opened before its least edge; the steps to its end put it in order.
-    chain = follow.join(ring, "eid").select("eid", "ring", F.when(F.col("next") != F.col("ring"), F.col("next")).alias("p"))
-    chain = materialize(chain, "chain")
-    order = roots(chain, "eid", "p").select("eid", F.col("depth").alias("left"))
-    points = boundary.join(order, "eid").join(chain.select("eid", "ring"), "eid")
-    at = F.struct((-F.col("left")).alias("o"), G.point(F.col("ax"), F.col("ay")).alias("p"))
-    rings = points.groupBy(*keys, "ring").agg(F.array_sort(F.collect_list(at)).alias("_ps"))
+    follow = ways.groupBy(*keys, "eid").agg(F.min_by("next", F.struct(turn.alias("t"), F.col("next").alias("n"))).alias("next"))
+    places = boundary.select("eid", "ax", "ay")
+    follow = materialize(follow.join(places, "eid"), "follow")
+    turned = rings_in_order(follow, keys)
+    at = F.struct("place", G.point(F.col("ax"), F.col("ay")).alias("p"))
+    rings = turned.groupBy(*keys, "ring").agg(F.array_sort(F.collect_list(at)).alias("_ps"))
     line = F.transform("_ps", lambda e: e["p"])
     return rings.select(*keys, "ring", F.concat(line, F.slice(line, 1, 1)).alias("part"))
 
 
+def rings_in_order(follow: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, eid, next, ax, ay) of edges with their ring (its least eid) and their place in it, from 0 for that edge.
+
+    Edges are dealt out by keys and place, BLOCK_EDGES to a task, which follows them within its share: rings that lie in it
+    are done, others are left as chains, a row each, and only these are joined by the graph operators. Edges that lead to
+    the same one are an error.
+    """
+    n, low, high = follow.agg(F.count(F.lit(1)), F.min("ax"), F.max("ax")).first()
+    shares = max(1, -(-n // BLOCK_EDGES))
+    strip = F.floor((F.col("ax") - F.lit(low or 0.0)) / max(((high or 0.0) - (low or 0.0)) / math.ceil(math.sqrt(shares)), 1e-9))
+    dealt = follow.withColumn("_strip", strip).repartitionByRange(shares, *keys, "_strip", "ay").drop("_strip")
+    schema = StructType([*dealt.schema.fields, *[StructField(c, LongType()) for c in ("head", "pos", "out", "len", "least", "least_pos")]])
+    walked = materialize(dealt.mapInArrow(_walk_share, schema), "walked")
+    done = walked.filter("len is null").select(*follow.columns, F.col("head").alias("ring"), F.col("pos").alias("place"))
+    chains = materialize(walked.filter("out is not null").select("head", "out", "len", "least", "least_pos"), "chains")
+    if chains.isEmpty():
+        return done
+    if not chains.groupBy("out").count().filter("count > 1").isEmpty() or not chains.join(chains.select(F.col("head").alias("out")), "out", "left_anti").isEmpty():
+        raise ValueError("edges of a boundary do not form rings")
+    label = connected(chains.select(F.col("head").alias("a"), F.col("out").alias("b"))).withColumnRenamed("id", "head")
+    # Each ring of chains is opened before one of them; a chain's place follows from what is left to the end.
+    chain = materialize(chains.join(label, "head").withColumn("p", F.when(F.col("out") != F.col("component"), F.col("out"))), "chain")
+    left = roots(chain, "head", "p", "len").select("head", F.col("len").cast("long").alias("left"))
+    chain = materialize(chain.join(left, "head"), "chain")
+    whole = chain.groupBy("component").agg(
+        F.sum("len").alias("all"), F.min("least").alias("ring"), F.min(F.struct("least", (F.col("least_pos") - F.col("left")).alias("o"))).alias("first")
+    )
+    ways = chain.select("head", "component", "left").join(whole, "component").select("head", "left", "all", "ring", F.col("first.o").alias("first"))
+    joined = walked.filter("len is not null").join(ways, "head")
+    place = F.pmod(F.col("pos") - F.col("left") - F.col("first"), F.col("all"))
+    return done.unionByName(joined.select(*follow.columns, "ring", place.alias("place")))
+
+
+def _walk_share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with head, the first edge of a ring (its least) or chain, and pos, the steps from there; len is null in rings.
+
+    The last edge of a chain also has out (the edge that follows elsewhere) and the chain's least edge and its place.
+    """
+    batches = list(batches)
+    rows = pa.Table.from_batches(batches).combine_chunks() if batches else None
+    if rows is None or not rows.num_rows:
+        return
+    eid, following = (rows.column(c).to_numpy() for c in ("eid", "next"))
+    n, order = len(eid), np.argsort(eid)
+    spot = np.minimum(np.searchsorted(eid, following, sorter=order), n - 1)
+    to = np.where(eid[order[spot]] == following, order[spot], -1)
+    inner = np.flatnonzero(to >= 0)
+    if len(np.unique(to[inner])) < len(inner):
+        raise ValueError("edges of a boundary do not form rings")
+    back = np.arange(n)
+    back[to[inner]] = inner
+    rounds = n.bit_length() + 1
+    jump, least = back, eid
+    for _ in range(rounds):  # the least edge of all before an edge: in a ring, of all
+        least, jump = np.minimum(least, least[jump]), jump[jump]
+    ring = back[jump] != jump
+    ring |= (back == np.arange(n)) & (to == np.arange(n))  # an edge that follows itself
+    first = ring & (eid == least)
+    back = np.where(first, np.arange(n), back)
+    head, pos = back, (back != np.arange(n)).astype(np.int64)
+    for _ in range(rounds):
+        pos, head = pos + pos[head], head[head]
+    last = to < 0
+    place = np.full(n, -1, np.int64)  # of a chain's least edge, at its head
+    at = np.flatnonzero(~ring)
+    end_least = np.full(n, np.iinfo(np.int64).max)
+    end_least[head[last]] = least[last]
+    is_least = at[eid[at] == end_least[head[at]]]
+    place[head[is_least]] = pos[is_least]
+
+    def some(values: np.ndarray, where: np.ndarray) -> pa.Array:
+        return pa.array(values.astype(np.int64), pa.int64(), mask=~where)
+
+    everywhere = np.ones(n, bool)
+    columns = (("head", eid[head], everywhere), ("pos", pos, everywhere), ("out", following, last), ("len", pos + 1, ~ring), ("least", least, last), ("least_pos", place[head], last))
+    for name, values, where in columns:
+        rows = rows.append_column(name, some(values, where))
+    yield from rows.to_batches(max_chunksize=50_000)
+
+
 def dissolve(features: DataFrame, digits: int = 7) -> DataFrame:
     """group, ring, part, area: the rings of the union of the polygons (group, id, geometry) of each group.
 
@@ -306,7 +392,7 @@ def dissolve(features: DataFrame, digits: int = 7) -> DataFrame:
     end. Where a hole touches its shell in a point, both are one ring. ids must be unique in a group; null geometries
     add nothing. Polygons must be valid; those of a group may overlap, touch and repeat.
     """
-    keyed = features.filter("geometry is not null").select(F.struct("group", "id").alias("id"), "geometry")
+    keyed = spread_out(features.filter("geometry is not null").select(F.struct("group", "id").alias("id"), "geometry"), "id")
     exact = F.transform("part", lambda q: G.point(F.round(q["x"], digits) + 0.0, F.round(q["y"], digits) + 0.0))
     rings = rings_of(keyed).withColumn("part", without_repeats(exact)).filter(F.size("part") > 3)
     rings = materialize(rings.withColumn("group", F.col("id.group")).withColumn("_area", signed_area(F.col("part"))), "rings")
@@ -343,7 +429,7 @@ def buffer(features: DataFrame, distance: float, quarter: int = 8, digits: int =
     Every edge, and every single point, has an outline of two half circles of 2 * ``quarter`` edges each, whose corners lie
     at the distance; outlines and a polygon's own area are dissolved.
     """
-    rings = materialize(rings_of(features), "parts")
+    rings = materialize(rings_of(spread_out(features, "id")), "parts")
     single = rings.filter(F.size("part") == 1).select("id", "ring", F.lit(0).alias("i"), *[F.element_at("part", 1)[c[1]].alias(c) for c in EDGE])
     edges = edges_of(rings).select("id", "ring", "i", *EDGE).unionByName(single)
     along = F.coalesce(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax")), F.lit(0.0))

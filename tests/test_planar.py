@@ -160,3 +160,22 @@ def test_buffers(spark):
     assert sum(r.area for r in found if r.group == 2) == pytest.approx(circle)
     assert sorted(r.area for r in found if r.group == 3) == pytest.approx([-49.0, 400 + 80 * d + circle], abs=1e-4)
     assert sorted(r.area > 0 for r in found if r.group == 1) == [False, True]  # the way comes back near its start
+
+
+@pytest.mark.parametrize("block", [100_000, 7])
+def test_rings_are_followed_in_and_across_shares(spark, monkeypatch, block):
+    """Rings of 3 to 60 edges in two groups; few of them are left to the graph operators, none if one task holds all."""
+    monkeypatch.setattr(planar, "BLOCK_EDGES", block)
+    joined = []
+    monkeypatch.setattr(planar, "connected", lambda edges, real=planar.connected: joined.append(edges.count()) or real(edges))
+    rnd, ids, rows, want = random.Random(3), iter(random.Random(4).sample(range(1000), 300)), [], {}
+    for n in (3, 60, 4, 25, 9, 30):
+        ring, x, y = [next(ids) for _ in range(n)], rnd.random() * 50, rnd.random() * 50
+        at = {e: (x + 5 * math.cos(2 * math.pi * i / n), y + 5 * math.sin(2 * math.pi * i / n)) for i, e in enumerate(ring)}
+        rows += [(n % 2, e, ring[(i + 1) % n], *at[e]) for i, e in enumerate(ring)]
+        first = ring.index(min(ring))
+        want |= {e: (min(ring), i, n % 2) for i, e in enumerate(ring[first:] + ring[:first])}
+    rnd.shuffle(rows)
+    got = planar.rings_in_order(spark.createDataFrame(rows, "group int, eid long, next long, ax double, ay double"), ["group"])
+    assert {r.eid: (r.ring, r.place, r.group) for r in got.collect()} == want and got.count() == len(want)
+    assert joined == [] if block > 1000 else len(joined) == 1
