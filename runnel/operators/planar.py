@@ -165,7 +165,7 @@ def polygon_faults(features: DataFrame) -> DataFrame:
 
     Null geometries and empty ones have no faults here; ids must be unique. That holes which touch part the interior is not checked.
     """
-    rings = rings_of(features.filter(F.col("geometry.type").contains("Polygon")))
+    rings = rings_of(spread_out(features.filter(F.col("geometry.type").contains("Polygon")), "id"))
     finite = F.forall("part", lambda p: p.isNotNull() & p["x"].between(-1.7e308, 1.7e308) & p["y"].between(-1.7e308, 1.7e308))
     finite = F.coalesce(finite, F.lit(False))
     closed = F.coalesce(F.element_at("part", 1) == F.element_at("part", -1), F.lit(False))
