@@ -29,6 +29,8 @@ from runnel.llm.text_arrays import pieces, tidy, utf8, words
 TRAIN_DOCS, TRAIN_WORDS = 300, 120
 #: Bytes of text that a Python worker labels at once.
 PIECE = 1 << 20
+#: Distinct words whose features (some dozens of numbers each) are held at once when texts are labelled.
+WORDS = 1 << 13
 #: Places that features are hashed to, and weights of a model at most (64 MB); more languages have fewer places.
 FEATURES, MOST_WEIGHTS, LEAST_FEATURES = 1 << 16, 1 << 24, 1 << 10
 SEQUENCE, STEPS = 40, 30
@@ -294,15 +296,23 @@ def fit(labelled: DataFrame) -> Model | None:
     return train(samples) if samples else None
 
 
+def _word_scores(model: Model, distinct: pa.LargeStringArray) -> np.ndarray:
+    """(words, languages), the features of WORDS words at a time."""
+    out = np.empty((len(distinct), len(model.languages)), np.float32)
+    for i in range(0, len(distinct), WORDS):
+        features, begins, _ = word_features(distinct.slice(i, WORDS), model.lexicon, len(model.weights) - 1)
+        out[i : i + WORDS] = _scores(model.weights, features, begins)
+    return out
+
+
 def _label(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of the batch's texts: predicted language, score, and of their words: language and the bounds of the texts."""
     names = np.array(model.languages, object)
     data, offsets = utf8(batch["text"])
     all_words, bounds = words(data, offsets)
     coded = all_words.dictionary_encode()
-    features, begins, _ = word_features(coded.dictionary, model.lexicon, len(model.weights) - 1)
     letter = pc.match_substring_regex(coded.dictionary, r"\p{L}").to_numpy(zero_copy_only=False)
-    scores = _scores(model.weights, features, begins)
+    scores = _word_scores(model, coded.dictionary)
     scores[~letter] = 0
     code = coded.indices.to_numpy()
     p = marginals(scores[code], bounds, model.transitions)

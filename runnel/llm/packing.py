@@ -26,8 +26,8 @@ from runnel.llm.chunk_tokenizer import TOKENIZERS, tokenizer
 from runnel.llm.text_arrays import pieces, strings, tidy, utf8
 
 WINDOW = 2048
-#: Bytes of text that a Python worker encodes at once.
-PIECE = 2 << 20
+#: Bytes of text that a Python worker packs at once, and of these that it encodes at once.
+PIECE, SLICE = 2 << 20, 1 << 19
 #: sequence_id = partition * SEQUENCES + number in the partition.
 SEQUENCES = 1 << 36
 
@@ -181,7 +181,8 @@ def _pack_documents(path: str, end_id: int, limits: tuple[int, int, int]):
             if "spans" in batch.schema.names:
                 ids, counts, bears = _encode_spans(path, batch["text"], batch["spans"])
             else:
-                (ids, counts), bears = tokenizer(path).encode(batch["text"]), None
+                parts = [tokenizer(path).encode(some["text"]) for some in pieces(iter([batch]), SLICE)]
+                (ids, counts), bears = map(np.concatenate, zip(*parts, strict=True)), None
             ends = np.cumsum(counts)
             ids = np.insert(ids, ends, end_id).astype("<u4")
             ends = ends + np.arange(1, len(ends) + 1)

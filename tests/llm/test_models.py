@@ -1,7 +1,9 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -258,3 +260,20 @@ def test_broken_pages_parse(page):
 def test_list_items_and_cells_are_blocks():
     got = [b.text for b in blocks("<ul><li>a<li>b <i>c</i></ul><table><tr><td>d<td>e</table><p>f<p>g")]
     assert got == ["a", "b c", "d", "e", "f", "g"]
+
+
+def test_features_are_held_for_some_words_at_a_time():
+    """A piece of different words takes no features of all of them at once, and has the scores they had."""
+    rnd = np.random.default_rng(5)
+    text = " ".join(f"{w:x}" for w in rnd.integers(1 << 24, 1 << 28, L.PIECE // 8))
+    model = L.Model(["aa", "bb"], rnd.standard_normal(((1 << 16) + 1, 2)).astype(np.float32), np.zeros((2, 2)), np.zeros(0, np.uint64))
+    batch = pa.record_batch([pa.array([text])], ["text"])
+    L._label(model, batch)
+    tracemalloc.start()
+    pred, score, of_words, bounds = L._label(model, batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 * L.PIECE
+    distinct = pa.array(text.split()[: 2 * L.WORDS + 5], pa.large_string())
+    features, begins, _ = L.word_features(distinct, model.lexicon, 1 << 16)
+    assert (L._word_scores(model, distinct) == L._scores(model.weights, features, begins)).all() and len(of_words) == bounds[-1] == L.PIECE // 8

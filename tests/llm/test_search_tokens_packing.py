@@ -262,3 +262,25 @@ def test_tasks_of_another_kind_forget_the_tokenizers():
     first = chunk_tokenizer.tokenizer(path)
     assert list(text_arrays.tidy(lambda rows: rows, keeps=chunk_tokenizer.TOKENIZERS)(iter([1]))) == [1] and chunk_tokenizer.tokenizer(path) is first
     assert list(text_arrays.tidy(lambda rows: rows)(iter([1]))) == [1] and not chunk_tokenizer._loaded
+
+
+def test_packing_encodes_a_slice_at_a_time(monkeypatch):
+    """The rows do not depend on the slices that are encoded at once, and no more than a slice is."""
+    rnd = random.Random(4)
+    texts = [None if i % 7 == 0 else " ".join(rnd.choice(["alpha", "beta", "don't", "x1"]) for _ in range(rnd.randrange(200))) for i in range(300)]
+    batch = pa.record_batch([pa.array(range(300)), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(P, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("Of", (), {"partitionId": lambda self: 0})())}))
+    seen, encode = [], ChunkTokenizer.encode
+
+    def counted(self, some):
+        seen.append(sum(len(t or "") for t in some.to_pylist()))
+        return encode(self, some)
+
+    def rows():
+        run = P._pack_documents(public_tokenizers.path("byte_bpe_50k.json"), 0, (1024, 64, 1024))
+        return [r for b in run(iter([batch])) for r in b.to_pylist()]
+
+    whole = rows()
+    monkeypatch.setattr(ChunkTokenizer, "encode", counted)
+    monkeypatch.setattr(P, "SLICE", 5000)
+    assert rows() == whole and len(seen) > 10 and max(seen) <= 5000
