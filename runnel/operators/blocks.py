@@ -34,7 +34,8 @@ def blocks_of(edges: DataFrame, block_arcs: int | None = None) -> DataFrame:
     arcs = rows.select(F.explode(both).alias("e"), "w").groupBy("e.a", "e.b").agg(F.min("w").alias("w"))
     arcs = materialize(arcs, "arcs")
     n = max(1, math.ceil(arcs.count() / (block_arcs or BLOCK_ARCS)))
-    dealt = materialize(arcs.repartitionByRange(n, "a").withColumn("block", F.spark_partition_id()), "dealt")
+    # long, as blocks of offers are: equal numbers of two types do not meet in a cogroup of several partitions
+    dealt = materialize(arcs.repartitionByRange(n, "a").withColumn("block", F.spark_partition_id().cast("long")), "dealt")
     where = dealt.select(F.col("a").alias("b"), F.col("block").alias("to")).distinct()
     path = new_path(edges.sparkSession, "blocks")
     whole = dealt.join(where, "b").select("a", "b", "w", "to", "block")

@@ -37,3 +37,23 @@ def test_rounds_are_those_of_blocks(spark, monkeypatch):
     parted = blocks.blocks_of(spark.range(1200).selectExpr("id as src", "id + 1 as dst", "1.0 as weight"), 800)
     assert blocks.distances(parted, 0).filter("distance = id").count() == 1201
     assert rounds.count("round") <= 4
+
+
+@pytest.fixture
+def apart(spark):
+    """Shuffles of seven partitions that are not put together, as those of large tables are not."""
+    settings = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_arcs_and_offers_of_a_block_meet_in_any_partition(spark, apart):
+    edges, source, _ = cases("grid")
+    parted = blocks.blocks_of(spark.createDataFrame(edges, "src long, dst long, weight double"), 40)
+    assert parted.select("block").distinct().count() > 3
+    got = {r.id: r.distance for r in blocks.distances(parted, source).collect()}
+    assert got == pytest.approx(plain(edges, source))
