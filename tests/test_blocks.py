@@ -4,6 +4,7 @@ import pytest
 from test_hierarchy import cases, plain
 
 from runnel.operators import blocks
+from runnel.plans import catalog
 
 
 @pytest.mark.parametrize("shape,size", [("grid", 40), ("chain", 50), ("random", 1000), ("star", 10)])
@@ -57,3 +58,8 @@ def test_arcs_and_offers_of_a_block_meet_in_any_partition(spark, apart):
     assert parted.select("block").distinct().count() > 3
     got = {r.id: r.distance for r in blocks.distances(parted, source).collect()}
     assert got == pytest.approx(plain(edges, source))
+
+
+def test_a_route_over_many_blocks_equals_its_sql(matches, apart, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_ARCS", 150)
+    matches(catalog.QUERIES["street_route"], catalog.ORACLES["street_route"])
